@@ -408,11 +408,12 @@ def assembly_stats(contigs, thresholds=(0, 1000, 5000, 10000, 25000, 50000), by=
         return F.max(F.when(reached, F.col("len")))
 
     def lx(share):
+        # Contigs before the length at which the share is reached, then as many of that length.
+        target = F.col("total") * share
         before = F.col("cum") - F.col("len") * F.col("n")
-        inside = F.ceil((F.col("total") * share - before) / F.col("len"))
-        return F.min(
-            F.when(F.col("cum") >= F.col("total") * share, F.col("cum_n") - F.col("n") + inside)
-        ).cast("bigint")
+        reached_here = (F.col("cum") >= target) & (before < target)
+        inside = F.ceil((target - before) / F.col("len"))
+        return F.max(F.when(reached_here, F.col("cum_n") - F.col("n") + inside)).cast("bigint")
 
     counts = [
         F.sum(F.when(F.col("len") >= t, F.col("n")).otherwise(0)).alias(f"contigs_{t}")

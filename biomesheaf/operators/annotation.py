@@ -202,7 +202,7 @@ def intersect_targets(rows, targets_long, kinds=("ec", "ko", "gene", "pwy"), via
         return rows.withColumns(
             {
                 f"{kind}_hit": _or_null(
-                    F.array_sort(F.array_intersect(F.col(KIND_COLUMN[kind]), targets_of(kind)))
+                    F.sort_array(F.array_intersect(F.col(KIND_COLUMN[kind]), targets_of(kind)))
                 )
                 for kind in kinds
             }
@@ -375,13 +375,17 @@ def gene_to_ec(rows, targets):
         F.array_distinct(
             F.flatten(
                 F.filter(
-                    F.transform("gene_hit", lambda g: F.try_element_at(enzymes_of, g)),
+                    F.transform("gene_hit", lambda g: F.try_element_at("_enzymes_of", g)),
                     lambda ecs: ecs.isNotNull(),
                 )
             )
         )
     )
-    return rows.withColumn("ec_hit", F.coalesce("ec_hit", _or_null(translated)))
+    return (
+        rows.withColumn("_enzymes_of", enzymes_of)
+        .withColumn("ec_hit", F.coalesce("ec_hit", _or_null(translated)))
+        .drop("_enzymes_of")
+    )
 
 
 def split_depth(rows, ids, name="id"):

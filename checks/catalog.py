@@ -1,4 +1,4 @@
 """All queries."""
 
-from . import read_queries  # noqa: F401
+from . import alignment_queries, annotation_queries, read_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -201,11 +201,20 @@ class Views:
 
     def __getattr__(self, name):
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return self._table(name)
         if name not in VIEWS:
             raise AttributeError(name)
         return self.sql(f"select * from {name}")
 
+    def _table(self, name):
+        """A test table. One that has fewer splits than there are cores is spread over them;
+        the large tables of a cluster have splits enough and are read as they are."""
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in ("events", "lineitem", "customer") and table.rdd.getNumPartitions() < cores:
+            table = table.repartition(cores)
+        return table
+
     def sql(self, text):
         text = inline(text, "spark")
         for table in TABLES:
