@@ -1,5 +1,6 @@
 """Readers of the tabular and sequence text formats."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,6 @@ from .. import schemas
 from ..functions.cohort import per_sample  # noqa: F401  (re-exported for readers of headers)
 
 FILE = "_metadata.file_path"
-FILE_NAME = "_metadata.file_name"
 
 
 def sample_from(column, pattern):
@@ -214,13 +214,15 @@ def read_track_reads(spark, path):
 
 
 def combine_sample_files(spark, paths, schema, sep="\t", suffix=".tsv", header=True):
-    """Append per-sample tables; ``Sample`` is the file name up to the suffix.
+    """Append per-sample tables; ``Sample`` is the name of the file, up to the suffix.
 
-    ``schema`` is a DDL string. Files without rows add nothing, whichever comes first.
+    The table of a sample may be a file or a folder of that name written by Spark. ``schema`` is a
+    DDL string. Files without rows add nothing, whichever comes first.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     table = spark.read.csv(paths, sep=sep, header=header, schema=schema)
-    return table.select("*", F.substring_index(F.url_decode(FILE_NAME), suffix, 1).alias("Sample"))
+    name = F.regexp_extract(F.url_decode(FILE), f"([^/]+){re.escape(suffix)}(?:/[^/]*)?$", 1)
+    return table.select("*", name.alias("Sample"))
 
 
 def append_tables(tables):
