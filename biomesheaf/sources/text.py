@@ -1,6 +1,5 @@
 """Readers of the tabular and sequence text formats."""
 
-import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -213,16 +212,17 @@ def read_track_reads(spark, path):
     )
 
 
-def combine_sample_files(spark, paths, schema, sep="\t", suffix=".tsv", header=True):
-    """Append per-sample tables; ``Sample`` is the name of the file, up to the suffix.
+def combine_sample_files(
+    spark, paths, schema, sep="\t", header=True, sample_pattern=r"([^/]+)\.tsv(?:/[^/]*)?$"
+):
+    """Append per-sample tables; ``Sample`` is the name of the file without ``.tsv``.
 
     The table of a sample may be a file or a folder of that name written by Spark. ``schema`` is a
     DDL string. Files without rows add nothing, whichever comes first.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     table = spark.read.csv(paths, sep=sep, header=header, schema=schema)
-    name = F.regexp_extract(F.url_decode(FILE), f"([^/]+){re.escape(suffix)}(?:/[^/]*)?$", 1)
-    return table.select("*", name.alias("Sample"))
+    return table.select("*", sample_from(FILE, sample_pattern).alias("Sample"))
 
 
 def append_tables(tables):

@@ -127,9 +127,9 @@ def _(v):
     return rd.quality_trim(v.reads_v)
 
 
-@check("filter_pairs_by_length", f"select {KEY}, seq, qual from ({pair_filter_sql('qtrimmed_v')})")
+@check("filter_pairs_by_length", f"select {KEY}, seq, qual from ({pair_filter_sql('qtrimmed_v', 62)})")
 def _(v):
-    return rd.filter_pairs_by_length(rd.quality_trim(v.reads_v), 50)
+    return rd.filter_pairs_by_length(rd.quality_trim(v.reads_v), 62)
 
 
 @check("trim_and_filter", f"select {KEY}, seq, qual from ({pair_filter_sql('qa_trimmed_v')})")

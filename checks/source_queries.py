@@ -248,23 +248,17 @@ def _(v):
     return tt.read_track_reads(v.spark, path)
 
 
-def write_per_sample(table, suffix, spark):
-    """One TSV per sample, as the per-sample jobs of the file-based pipelines leave them."""
-    path = scratch_path(spark, "tables")
-    for row in table.select("sample").distinct().collect():
-        own = table.filter(F.col("sample") == row["sample"]).drop("sample")
-        own.write.csv(f"{path}/{row['sample']}{suffix}", sep="\t", header=True)
-    return path
-
-
 @check(
     "combine_sample_files",
     "select sample as \"Sample\", cds, depth, num_bases from hist_v where cds <> 'genome'",
 )
 def _(v):
+    path = scratch_path(v.spark, "tables")
     rows = hist(v).filter("cds <> 'genome'").select("sample", "cds", "depth", "num_bases")
-    path = write_per_sample(rows, ".tsv", v.spark)
-    return tt.combine_sample_files(v.spark, f"{path}/*.tsv", "cds string, depth bigint, num_bases bigint")
+    rows.write.partitionBy("sample").csv(path, sep="\t", header=True)
+    return tt.combine_sample_files(
+        v.spark, f"{path}/sample=*", "cds string, depth bigint, num_bases bigint", sample_pattern=BY_SAMPLE
+    )
 
 
 @check(
@@ -273,8 +267,12 @@ def _(v):
 )
 def _(v):
     levels = rs.resistome_levels(rs.gene_fraction_hits(v.hits_v, genes(v), 70), genes(v))
-    path = write_per_sample(rs.level_table(levels, "mechanism"), ".mechanism.tsv", v.spark)
-    return tt.combine_resistome(v.spark, path, {"mechanism": "mechanism string, hits bigint"})["mechanism"]
+    path = scratch_path(v.spark, "tables")
+    named = rs.level_table(levels, "mechanism").withColumn("sample", F.concat("sample", F.lit(".mechanism.tsv")))
+    named.write.partitionBy("sample").csv(path, sep="\t", header=True)
+    tables = tt.combine_resistome(v.spark, path, {"mechanism": "mechanism string, hits bigint"})
+    # The folders are called sample=<name>.mechanism.tsv.
+    return tables["mechanism"].withColumn("Sample", F.replace("Sample", F.lit("sample="), F.lit("")))
 
 
 @check("write_table", "select sample, ec, round(depth, 6) as depth, pathway from pw_feat_v")
@@ -306,7 +304,6 @@ def _(v):
     names = [*schemas.COVERAGE_HIST.names, *schemas.ANNOTATIONS.names[1:]]
     rows = cov_annot(v)
     full = rows.select("sample", F.lit(0).alias("index"), *[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in names])
-    samples = [r[0] for r in full.select("sample").distinct().collect()]
-    for sample in sorted(samples):
-        full.filter(F.col("sample") == sample).drop("sample").write.csv(f"{path}/eggnog_map.{sample}", header=True, escape='"')
-    return tt.read_annotated_coverage(v.spark, f"{path}/eggnog_map.*").select("sample", "cds", "depth", "num_bases", "ec")
+    folders = full.withColumn("sample", F.concat(F.lit("eggnog_map."), "sample"))
+    folders.write.partitionBy("sample").csv(path, header=True, escape='"')
+    return tt.read_annotated_coverage(v.spark, f"{path}/sample=*").select("sample", "cds", "depth", "num_bases", "ec")
