@@ -45,7 +45,7 @@ HEADLINE = (
 def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = cohort_session("bench", f"local[{cpus}]", shuffle_partitions=max(int(cpus), 1))
+    spark = cohort_session("bench", f"local[{cpus}]", shuffle_partitions=max(int(cpus), 1), driver_memory="16g")
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     spark.read.parquet(f"{folder}/region.parquet").count()

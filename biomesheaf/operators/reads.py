@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences as sq
+from ..functions.joins import measured, shuffled
 from ..functions.kernels import adapter_cut_udf, longest_overlap_udf
 from ..functions.sampling import bucket, fraction_limit
 from .alignments import FIRST_MATE, REVERSE, SECOND_MATE, has_flag, lacks_flag
@@ -148,10 +149,18 @@ def _read_kmers(reads, k, *keep):
     return reads.select(*keep, F.explode(sq.kmers("seq", k)).alias("kmer"))
 
 
+def _word_bound(refs, k, hdist):
+    """Upper bound of the k-mer table: two words per base, each with its one-base variants."""
+    bases = refs.agg(F.coalesce(F.sum(F.length("seq")), F.lit(0))).first()[0]
+    return 2 * bases * (1 + 3 * k * hdist)
+
+
 def screened_pairs(reads, refs, k=31, hdist=1):
     """Pairs with a mate holding a contaminant k-mer. Only the reference side knows both
-    strands, so reads are cut once."""
+    strands, so reads are cut once. A small reference is broadcast, and no read k-mer is
+    shuffled; a large one (a host genome) is joined by shuffle."""
     words = contaminant_kmers(refs, k, hdist).select("kmer").distinct()
+    words = measured(words, _word_bound(refs, k, hdist))
     return _read_kmers(reads, k, *PAIR).join(words, "kmer", "left_semi").select(*PAIR).distinct()
 
 
@@ -165,7 +174,7 @@ def kmer_screen_stats(reads, refs, k=31, hdist=1):
     """Reads matching each reference, as a count and as a percentage of the sample's reads."""
     matched = (
         _read_kmers(reads, k, *PAIR, "mate")
-        .join(contaminant_kmers(refs, k, hdist), "kmer")
+        .join(measured(contaminant_kmers(refs, k, hdist), _word_bound(refs, k, hdist)), "kmer")
         .select("sample", "ref_id", "pair_id", "mate")
         .distinct()
         .groupBy("sample", "ref_id")
@@ -192,7 +201,7 @@ def toss_low_depth_reads(reads, k=32, depth=4):
         .filter(F.col("n") <= depth)
         .select("sample", "kmer")
     )
-    tossed = words.join(rare, ["sample", "kmer"], "left_semi").select(*PAIR).distinct()
+    tossed = words.join(shuffled(rare), ["sample", "kmer"], "left_semi").select(*PAIR).distinct()
     return reads.join(tossed, PAIR, "left_anti")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences as sq
+from ..functions.joins import measured
 
 UNCLASSIFIED = 0
 MAX_TREE_DEPTH = 100
@@ -58,7 +59,7 @@ def _read_hits(reads, kmer_db, k):
     words = reads.select(
         "sample", "pair_id", F.explode(sq.canonical_kmers("seq", k)).alias("kmer")
     )
-    return words.join(kmer_db, "kmer").select("sample", "pair_id", "tax_id")
+    return words.join(measured(kmer_db), "kmer").select("sample", "pair_id", "tax_id")
 
 
 def classify_reads(reads, kmer_db, taxonomy, k):
@@ -128,7 +129,7 @@ def kmer_hit_string(reads, kmer_db, k):
         .alias("label")
     )
     ordered = (
-        words.join(kmer_db, "kmer", "left")
+        words.join(measured(kmer_db), "kmer", "left")
         .groupBy("sample", "pair_id", "mate")
         .agg(F.array_sort(F.collect_list(F.struct("pos", label))).alias("cells"))
         .select(

@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def cohort_session(app_name="biomesheaf", master=None, shuffle_partitions=None):
+def cohort_session(app_name="biomesheaf", master=None, shuffle_partitions=None, driver_memory=None):
     """A session with the settings the operators are written for.
 
-    Joins carry no broadcast hints: Spark broadcasts a side only after its own size check
-    (static statistics or the AQE runtime size) and otherwise shuffles, splitting skewed
-    partitions. Nothing here is needed for correct results.
+    Joins between tables are left to Spark, which broadcasts a side only after its own size
+    check and otherwise shuffles, splitting skewed partitions; k-mer joins, whose sizes it cannot
+    foresee, are decided by ``functions.joins``. Nothing here is needed for correct results.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -24,6 +24,8 @@ def cohort_session(app_name="biomesheaf", master=None, shuffle_partitions=None):
     )
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

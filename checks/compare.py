@@ -66,7 +66,7 @@ def compare(spark, con, folder, name):
 def main(argv):
     folder = f"{DATA}/{argv[0] if argv else 'sf0.001'}"
     names = argv[1:] or list(catalog.QUERIES)
-    spark = cohort_session(master="local[8]", shuffle_partitions=8)
+    spark = cohort_session(master="local[8]", shuffle_partitions=8, driver_memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(folder), 0
     for name in names:

@@ -6,6 +6,8 @@ from biomesheaf import plans
 from biomesheaf.operators import cohort as co
 from biomesheaf.operators import resistome as rs
 from biomesheaf.operators import taxonomy as tx
+from biomesheaf.session import scratch_path
+from biomesheaf.sources.sinks import materialize_if_absent
 
 from .alignment_queries import CANON
 from .registry import SQL_VIEWS, check, rounded
@@ -90,7 +92,9 @@ SQL_VIEWS["report_v"] = report_sql("called_v").replace("with d as", "with d as",
 
 
 def kmer_db(v):
-    return tx.canonical_kmer_db(v.kdb_v, v.tax_v)
+    """The k-mer table as a stored database, which is what a classifier is given."""
+    path = scratch_path(v.spark, "kmer_db")
+    return materialize_if_absent(v.spark, lambda: tx.canonical_kmer_db(v.kdb_v, v.tax_v), path)
 
 
 def genes(v):
