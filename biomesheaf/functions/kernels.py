@@ -28,23 +28,52 @@ def _matrix(texts, width, right=False):
     return np.array(rows, dtype=f"S{width}").view(np.uint8).reshape(len(rows), width)
 
 
-def adapter_cuts(seqs, adapters, error_rate, min_overlap):
+def _texts(series):
+    texts = np.array(["" if t is None else t for t in series], dtype=object)
+    return texts, np.array([len(t) for t in texts], dtype=np.int64)
+
+
+def quality_cuts(quals, cutoff, offset=33):
+    """Bases kept by the running-sum rule from the 3' end.
+
+    Walking from the last base, ``cutoff - q`` is added up; the walk ends when the sum turns
+    negative and the read is cut where the sum was largest.
+    """
+    texts, lengths = _texts(quals)
+    kept = lengths.copy()
+    for rows in _blocks(lengths):
+        width = int(lengths[rows].max()) if len(rows) else 0
+        if width == 0:
+            continue
+        # The 3' end first; padding ends the walk of a shorter read.
+        codes = _matrix(texts[rows], width, right=True)[:, ::-1].astype(np.int64)
+        gain = np.where(codes == 0, -(1 << 40), cutoff + offset - codes)
+        total = np.cumsum(gain, axis=1)
+        walked = np.cumsum(total < 0, axis=1) == 0
+        reached = np.where(walked, total, 0)
+        best = reached.argmax(axis=1)
+        top = np.take_along_axis(reached, best[:, None], axis=1)[:, 0]
+        kept[rows] = lengths[rows] - np.where(top > 0, best + 1, 0)
+    return kept
+
+
+def adapter_cuts(seqs, adapters, error_rate, min_overlap, lengths=None):
     """Leftmost start of an adapter (whole or running off the end) in each sequence.
 
-    The sequence length stands for "none found".
+    ``lengths`` are the bases to look at (all by default); they stand for "none found".
     """
-    texts = np.array(["" if s is None else s for s in seqs], dtype=object)
-    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    texts, full = _texts(seqs)
+    lengths = full if lengths is None else np.minimum(lengths, full)
     cuts = lengths.copy()
     panel = [np.frombuffer(a.encode("ascii"), dtype=np.uint8) for a in adapters]
+    longest = max((len(a) for a in panel), default=0)
     for rows in _blocks(lengths):
-        width = int(lengths[rows].max()) if len(rows) else 0
+        size = lengths[rows]
+        width = int(size.max()) if len(rows) else 0
         if width < min_overlap:
             continue
-        size = lengths[rows]
-        longest = max((len(a) for a in panel), default=0)
         cells = np.zeros((len(rows), width + longest), dtype=np.uint8)
-        cells[:, :width] = _matrix(texts[rows], width)
+        cells[:, :width] = _matrix([t[:n] for t, n in zip(texts[rows], size)], width)
         best = size.copy()
         for adapter in panel:
             for start in range(width - min_overlap + 1):
@@ -57,6 +86,14 @@ def adapter_cuts(seqs, adapters, error_rate, min_overlap):
     return cuts
 
 
+def quality_cut_udf(cutoff):
+    @F.pandas_udf(T.IntegerType())
+    def cut(qual: pd.Series) -> pd.Series:
+        return pd.Series(quality_cuts(qual, cutoff), dtype="int32")
+
+    return cut
+
+
 def adapter_cut_udf(adapters, error_rate, min_overlap):
     adapters = list(adapters)
 
@@ -67,11 +104,22 @@ def adapter_cut_udf(adapters, error_rate, min_overlap):
     return cut
 
 
+def quality_adapter_cut_udf(cutoff, adapters, error_rate, min_overlap):
+    """Both cuts in one pass: the adapters are looked for in what the quality cut leaves."""
+    adapters = list(adapters)
+
+    @F.pandas_udf(T.IntegerType())
+    def cut(seq: pd.Series, qual: pd.Series) -> pd.Series:
+        kept = quality_cuts(qual, cutoff)
+        return pd.Series(adapter_cuts(seq, adapters, error_rate, min_overlap, kept), dtype="int32")
+
+    return cut
+
+
 def longest_overlaps(left, right, error_rate, min_overlap):
     """Longest suffix of ``left`` that matches a prefix of ``right``; 0 when there is none."""
-    lefts = np.array(["" if s is None else s for s in left], dtype=object)
-    rights = np.array(["" if s is None else s for s in right], dtype=object)
-    limit = np.array([min(len(a), len(b)) for a, b in zip(lefts, rights)], dtype=np.int64)
+    (lefts, left_sizes), (rights, right_sizes) = _texts(left), _texts(right)
+    limit = np.minimum(left_sizes, right_sizes)
     found = np.zeros(len(limit), dtype=np.int64)
     for rows in _blocks(limit):
         width = int(limit[rows].max()) if len(rows) else 0

@@ -23,29 +23,12 @@ def phred_scores(qual):
     )
 
 
-def kmers(seq, k):
-    """All k-mers made of A, C, G, T only, in read order (a look-ahead match per offset)."""
-    return F.regexp_extract_all(_col(seq), F.lit(f"(?=([{BASES}]{{{k}}}))"), F.lit(1))
-
-
-def kmer_windows(seq, k):
-    """All k-mers of the sequence, ambiguous ones included; empty when it is too short."""
-    return F.regexp_extract_all(_col(seq), F.lit(f"(?=(.{{{k}}}))"), F.lit(1))
-
-
 def canonical(kmer):
     """The smaller of a k-mer and its reverse complement."""
     kmer = _col(kmer)
     return F.least(kmer, reverse_complement(kmer))
 
 
-def canonical_kmers(seq, k):
-    """Canonical k-mers of a read: both strands are cut once and paired offset by offset."""
-    forward = kmers(seq, k)
-    backward = F.reverse(kmers(reverse_complement(seq), k))
-    return F.zip_with(forward, backward, lambda a, b: F.least(a, b))
-
-
 def base_count(seq, base):
     seq = _col(seq)
     return F.length(seq) - F.length(F.replace(seq, F.lit(base), F.lit("")))
@@ -55,38 +38,6 @@ def gc_count(seq):
     return base_count(seq, "G") + base_count(seq, "C")
 
 
-def quality_cut(qual, cutoff):
-    """Number of bases kept by the running-sum rule from the 3' end.
-
-    Walking from the last base, ``cutoff - q`` is added up; the walk ends when the sum turns
-    negative and the read is cut where the sum was largest.
-    """
-    qual = _col(qual)
-    start = F.struct(
-        F.lit(0).alias("total"),
-        F.lit(0).alias("best"),
-        F.lit(0).alias("seen"),
-        F.lit(0).alias("drop"),
-        F.lit(False).alias("done"),
-    )
-
-    def step(acc, q):
-        total = acc["total"] + F.lit(cutoff) - q
-        done = acc["done"] | (total < 0)
-        better = ~done & (total > acc["best"])
-        seen = acc["seen"] + 1
-        return F.struct(
-            total.alias("total"),
-            F.when(better, total).otherwise(acc["best"]).alias("best"),
-            seen.alias("seen"),
-            F.when(better, seen).otherwise(acc["drop"]).alias("drop"),
-            done.alias("done"),
-        )
-
-    dropped = F.aggregate(F.reverse(phred_scores(qual)), start, step, lambda acc: acc["drop"])
-    return F.length(qual) - dropped
-
-
 def base_quality_sum(qual, floor=15):
     """Sum of the base qualities that reach ``floor``."""
     return F.aggregate(
@@ -94,3 +45,43 @@ def base_quality_sum(qual, floor=15):
         F.lit(0).cast("bigint"),
         lambda acc, q: acc + F.when(q >= floor, q).otherwise(0).cast("bigint"),
     )
+
+
+# Sequences are cut into pieces of this many k-mer starts: finding a place in a string costs
+# time in proportion to the place, and a chromosome must not become one array of k-mers.
+PIECE = 256
+
+
+def _pieces(seq, k):
+    whole = F.length(seq) <= PIECE + k - 1
+    overlapping = F.regexp_extract_all(
+        seq, F.lit(f"(?s)(?=(.{{1,{PIECE + k - 1}}})).{{1,{PIECE}}}"), F.lit(1)
+    )
+    return F.when(whole, F.array(seq)).otherwise(overlapping)
+
+
+def explode_kmers(df, k, *keep, seq="seq", canonical=False):
+    """One row per k-mer of A, C, G, T: the kept columns, ``pos`` (0-based) and ``kmer``.
+
+    With ``canonical`` the smaller of the k-mer and its reverse complement is given; the strand is
+    complemented once per piece, not per k-mer.
+    """
+    text = _col(seq)
+    clean = F.when(text.rlike(f"[^{BASES}]"), F.regexp_replace(text, f"[^{BASES}]", "N")).otherwise(text)
+    pieces = (
+        df.select(*keep, clean.alias("_clean"))
+        .select(*keep, F.posexplode(_pieces(F.col("_clean"), k)).alias("_piece", "_text"))
+        .filter(F.length("_text") >= k)
+    )
+    size = F.length("_text")
+    backward = [reverse_complement("_text").alias("_back")] if canonical else []
+    placed = pieces.select(
+        *keep, "_piece", "_text", size.alias("_size"), *backward
+    ).select("*", F.explode(F.sequence(F.lit(1), F.col("_size") - k + 1)).alias("_at"))
+    kmer = F.substring(F.col("_text"), F.col("_at"), F.lit(k))
+    if canonical:
+        other = F.substring(F.col("_back"), F.col("_size") - F.col("_at") - k + 2, F.lit(k))
+        kmer = F.least(kmer, other)
+    return placed.select(
+        *keep, (F.col("_piece") * PIECE + F.col("_at") - 1).alias("pos"), kmer.alias("kmer")
+    ).filter(~F.contains("kmer", F.lit("N")))

@@ -114,61 +114,64 @@ def duplicate_metrics(alignments, score=None):
 # ---------------------------------------------------------------- coverage
 
 
-def coverage_runs(spans, by=("sample",), bin_width=BIN_WIDTH):
+def coverage_runs(spans, by=("sample",), bin_width=BIN_WIDTH, levels=0):
     """Stretches of equal depth: (*by, rname, depth, bases), depth > 0 only.
 
-    ``spans`` may carry a ``weight``: the number of identical alignments a row stands for.
     Every span is cut at bin borders and each bin is swept on its own; +1/-1 events at one
     position are added up before the shuffle, so a window never holds more than one row per
-    position of its bin.
+    position of its bin, however many reads a reference has.
+
+    With ``levels`` the spans carry ``entry``, the first of so many nested subsamples they are
+    in, and ``depth`` becomes ``depths``, one value per subsample: all are swept together.
     """
     by = list(by)
-    weight = F.col("weight") if "weight" in spans.columns else F.lit(1)
     width = F.lit(bin_width).cast("bigint")
-    events = (
-        spans.filter(F.col("end0") > F.col("start0"))
-        .select(
-            *by,
-            "rname",
-            "start0",
-            "end0",
-            weight.cast("bigint").alias("weight"),
-            F.explode(
-                F.sequence(
-                    F.floor(F.col("start0") / width), F.floor((F.col("end0") - 1) / width)
-                )
-            ).alias("bin"),
-        )
-        .select(
-            *by,
-            "rname",
-            "bin",
-            F.inline(
-                F.array(
-                    F.struct(
-                        F.greatest(F.col("start0"), F.col("bin") * width).alias("pos"),
-                        F.col("weight").alias("delta"),
-                    ),
-                    F.struct(
-                        F.least(F.col("end0"), (F.col("bin") + 1) * width).alias("pos"),
-                        (-F.col("weight")).alias("delta"),
-                    ),
-                )
-            ),
-        )
-        .groupBy(*by, "rname", "bin", "pos")
-        .agg(F.sum("delta").alias("delta"))
+    entry = ["entry"] if levels else []
+    pieces = spans.filter(F.col("end0") > F.col("start0")).select(
+        *by,
+        "rname",
+        "start0",
+        "end0",
+        *entry,
+        F.explode(
+            F.sequence(F.floor(F.col("start0") / width), F.floor((F.col("end0") - 1) / width))
+        ).alias("bin"),
     )
-    sweep = Window.partitionBy(*by, "rname", "bin").orderBy("pos")
-    return (
-        events.select(
-            *by,
-            "rname",
-            F.sum("delta").over(sweep.rowsBetween(Window.unboundedPreceding, 0)).alias("depth"),
-            (F.lead("pos").over(sweep) - F.col("pos")).alias("bases"),
-        )
-        .filter((F.col("depth") > 0) & (F.col("bases") > 0))
+    one = F.lit(1).cast("bigint")
+    first = F.greatest(F.col("start0"), F.col("bin") * width)
+    behind = F.least(F.col("end0"), (F.col("bin") + 1) * width)
+    events = pieces.select(
+        *by,
+        "rname",
+        "bin",
+        *entry,
+        F.inline(
+            F.array(
+                F.struct(first.alias("pos"), one.alias("delta")),
+                F.struct(behind.alias("pos"), (-one).alias("delta")),
+            )
+        ),
     )
+    names = [f"_d{i}" for i in range(levels)] or ["depth"]
+    if levels:
+        sums = [
+            F.sum(F.when(F.col("entry") <= i, F.col("delta")).otherwise(0)).alias(n)
+            for i, n in enumerate(names)
+        ]
+    else:
+        sums = [F.sum("delta").alias("depth")]
+    at_position = events.groupBy(*by, "rname", "bin", "pos").agg(*sums)
+    sweep = Window.partitionBy(*by, "rname", "bin").orderBy("pos")
+    upto = sweep.rowsBetween(Window.unboundedPreceding, 0)
+    runs = at_position.select(
+        *by,
+        "rname",
+        *[F.sum(n).over(upto).alias(n) for n in names],
+        (F.lead("pos").over(sweep) - F.col("pos")).alias("bases"),
+    ).filter((F.col(names[-1]) > 0) & (F.col("bases") > 0))
+    if levels:
+        return runs.select(*by, "rname", F.array(*names).alias("depths"), "bases")
+    return runs
 
 
 def coverage_histogram(alignments, ref_lengths, by=("sample",), bin_width=BIN_WIDTH):
@@ -434,9 +437,8 @@ def assembly_stats(contigs, thresholds=(0, 1000, 5000, 10000, 25000, 50000), by=
 
 
 def _sketch(sequences, key, k, size, hash_of):
-    hashes = sequences.select(
-        key, F.explode(sq.canonical_kmers("seq", k)).alias("kmer")
-    ).select(key, hash_of(F.col("kmer")).alias("hash")).distinct()
+    words = sq.explode_kmers(sequences, k, key, canonical=True)
+    hashes = words.select(key, hash_of(F.col("kmer")).alias("hash")).distinct()
     # row_number() <= size is pushed below the shuffle as a per-task group limit.
     smallest = Window.partitionBy(key).orderBy("hash")
     return (

@@ -517,33 +517,12 @@ def sample_of_annotation_path(path):
     return F.when(name != "", name).otherwise("unknown")
 
 
-def rarefaction_spans(spans, bucket, levels):
-    """Weighted spans per level: (sample, level, rname, start0, end0, weight).
-
-    ``bucket`` is the sampling bucket of a row and ``levels`` maps level -> bucket limit; a row
-    is in a level when its bucket lies below the limit. Equal spans entering at the same level
-    are counted first, then only these counts are copied to the higher levels.
-    """
-    ordered = sorted(levels.items(), key=lambda kv: kv[1])
+def entry_level(bucket, limits):
+    """Index of the first of the ascending bucket limits above the bucket; null above all."""
     entry = F.lit(None).cast("int")
-    for i, (_, limit) in reversed(list(enumerate(ordered))):
+    for i, limit in reversed(list(enumerate(limits))):
         entry = F.when(bucket < limit, F.lit(i)).otherwise(entry)
-    names = F.array(*[F.lit(name) for name, _ in ordered])
-    keys = [c for c in spans.columns if c in ("sample", "iteration")]
-    return (
-        spans.withColumn("entry", entry)
-        .filter(F.col("entry").isNotNull())
-        .groupBy(*keys, "rname", "start0", "end0", "entry")
-        .agg(F.count(F.lit(1)).alias("weight"))
-        .select(
-            *keys,
-            F.explode(F.slice(names, F.col("entry") + 1, F.size(names))).alias("level"),
-            "rname",
-            "start0",
-            "end0",
-            "weight",
-        )
-    )
+    return entry
 
 
 def all_samples(df):
@@ -571,20 +550,22 @@ def collapse_runs(runs, ref_lengths, by=("sample",)):
 def feature_rarefaction(spans, ref_lengths, annotations, targets, threshold=0.75, fractions=None, key="qname", seed=1, how="xxhash64"):
     """Number of pathway feature rows per sample and fraction of the reads.
 
-    All fractions run in one job; a fraction without features counts 0.
+    All fractions run in one job over one sweep of the reads, which are not copied per fraction;
+    a fraction without features counts 0.
     """
-    fractions = fractions or [p / 100 for p in range(5, 100, 5)]
-    percents = {int(round(f * 100)): fraction_limit(f) for f in fractions}
-    by = ["sample", "level"]
-    levels = rarefaction_spans(spans, bucket(key, seed, how), percents)
-    collapsed = collapse_runs(coverage_runs(levels, by), ref_lengths, by)
+    fractions = sorted(fractions or [p / 100 for p in range(5, 100, 5)])
+    percents = F.array(*[F.lit(int(round(f * 100))) for f in fractions])
+    entry = entry_level(bucket(key, seed, how), [fraction_limit(f) for f in fractions])
+    entered = spans.withColumn("entry", entry).filter(F.col("entry").isNotNull())
+    runs = coverage_runs(entered, levels=len(fractions)).select(
+        "sample", "rname", "bases", F.posexplode("depths").alias("_at", "depth")
+    )
+    by = ["sample", "percent"]
+    at_level = runs.filter(F.col("depth") > 0).withColumn("percent", F.get(percents, F.col("_at")))
+    collapsed = collapse_runs(at_level, ref_lengths, by)
     features = pathway_features(annotate_collapsed(collapsed, annotations), targets, threshold, by)
-    grid = all_samples(spans).select(
-        "sample", F.explode(F.array(*[F.lit(p) for p in percents])).alias("level")
-    )
+    grid = all_samples(spans).select("sample", F.explode(percents).alias("percent"))
     counted = features.select(*by, F.lit(1).alias("n")).unionByName(
         grid.select(*by, F.lit(0).alias("n"))
     )
-    return counted.groupBy("sample", F.col("level").alias("percent")).agg(
-        F.sum("n").alias("features")
-    )
+    return counted.groupBy(*by).agg(F.sum("n").alias("features"))

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences as sq
 from ..functions.joins import measured, shuffled
-from ..functions.kernels import adapter_cut_udf, longest_overlap_udf
+from ..functions.kernels import (
+    adapter_cut_udf,
+    longest_overlap_udf,
+    quality_adapter_cut_udf,
+    quality_cut_udf,
+)
 from ..functions.sampling import bucket, fraction_limit
 from .alignments import FIRST_MATE, REVERSE, SECOND_MATE, has_flag, lacks_flag
 
@@ -93,7 +98,7 @@ def trim_adapters(reads, adapters, error_rate=0.1, min_overlap=3):
 
 def quality_trim(reads, cutoff=10):
     """Trim the 3' end by the running-sum rule at the given quality."""
-    return _keep_first(reads, sq.quality_cut("qual", cutoff))
+    return _keep_first(reads, quality_cut_udf(cutoff)(F.col("qual")))
 
 
 def filter_pairs_by_length(reads, min_len=50, policy="any"):
@@ -110,8 +115,9 @@ def filter_pairs_by_length(reads, min_len=50, policy="any"):
 
 
 def trim_and_filter(reads, adapters, cutoff=10, min_len=50, error_rate=0.1, min_overlap=3):
-    """Quality trim, then adapters, then the pair length filter."""
-    trimmed = trim_adapters(quality_trim(reads, cutoff), adapters, error_rate, min_overlap)
+    """Quality trim, then adapters (both in one pass over the batch), then the length filter."""
+    cut = quality_adapter_cut_udf(cutoff, _adapter_panel(adapters), error_rate, min_overlap)
+    trimmed = _keep_first(reads, cut(F.col("seq"), F.col("qual")))
     return filter_pairs_by_length(trimmed, min_len)
 
 
@@ -123,7 +129,7 @@ def contaminant_kmers(refs, k=31, hdist=1):
     strands = refs.select(
         "ref_id", F.explode(F.array("seq", sq.reverse_complement("seq"))).alias("seq")
     )
-    words = strands.select("ref_id", F.explode(sq.kmers("seq", k)).alias("kmer")).distinct()
+    words = sq.explode_kmers(strands, k, "ref_id").select("ref_id", "kmer").distinct()
     if hdist == 0:
         return words
     if hdist != 1:
@@ -145,10 +151,6 @@ def contaminant_kmers(refs, k=31, hdist=1):
     return words.select("ref_id", F.explode(variants).alias("kmer")).distinct()
 
 
-def _read_kmers(reads, k, *keep):
-    return reads.select(*keep, F.explode(sq.kmers("seq", k)).alias("kmer"))
-
-
 def _word_bound(refs, k, hdist):
     """Upper bound of the k-mer table: two words per base, each with its one-base variants."""
     bases = refs.agg(F.coalesce(F.sum(F.length("seq")), F.lit(0))).first()[0]
@@ -161,7 +163,7 @@ def screened_pairs(reads, refs, k=31, hdist=1):
     shuffled; a large one (a host genome) is joined by shuffle."""
     words = contaminant_kmers(refs, k, hdist).select("kmer").distinct()
     words = measured(words, _word_bound(refs, k, hdist))
-    return _read_kmers(reads, k, *PAIR).join(words, "kmer", "left_semi").select(*PAIR).distinct()
+    return sq.explode_kmers(reads, k, *PAIR).join(words, "kmer", "left_semi").select(*PAIR).distinct()
 
 
 def kmer_screen(reads, refs, k=31, hdist=1):
@@ -173,7 +175,7 @@ def kmer_screen(reads, refs, k=31, hdist=1):
 def kmer_screen_stats(reads, refs, k=31, hdist=1):
     """Reads matching each reference, as a count and as a percentage of the sample's reads."""
     matched = (
-        _read_kmers(reads, k, *PAIR, "mate")
+        sq.explode_kmers(reads, k, *PAIR, "mate")
         .join(measured(contaminant_kmers(refs, k, hdist), _word_bound(refs, k, hdist)), "kmer")
         .select("sample", "ref_id", "pair_id", "mate")
         .distinct()
@@ -188,13 +190,13 @@ def kmer_screen_stats(reads, refs, k=31, hdist=1):
 
 def kmer_cardinality(reads, k=31, rsd=0.05):
     """Approximate number of distinct canonical k-mers per sample."""
-    words = reads.select("sample", F.explode(sq.canonical_kmers("seq", k)).alias("kmer"))
+    words = sq.explode_kmers(reads, k, "sample", canonical=True)
     return words.groupBy("sample").agg(F.approx_count_distinct("kmer", rsd).alias("kmers"))
 
 
 def toss_low_depth_reads(reads, k=32, depth=4):
     """Drop pairs holding a k-mer seen at most ``depth`` times in the sample."""
-    words = reads.select(*PAIR, F.explode(sq.canonical_kmers("seq", k)).alias("kmer"))
+    words = sq.explode_kmers(reads, k, *PAIR, canonical=True).drop("pos")
     rare = (
         words.groupBy("sample", "kmer")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -6,24 +6,24 @@ from ..functions import cigar as cg
 from ..functions.cohort import sample_list
 from ..functions.sampling import bucket, fraction_limit
 from .alignments import UNMAPPED, alignment_spans, coverage_runs, lacks_flag
-from .annotation import rarefaction_spans
+from .annotation import entry_level
 
 # Levels of the resistance annotation, finest first.
 LEVELS = ("gene", "group", "mechanism", "class")
 
 
-def _gene_fractions(spans, genes, by):
-    """Reads and covered percent per key and gene from (weighted) spans."""
-    weight = F.col("weight") if "weight" in spans.columns else F.lit(1)
-    covered = coverage_runs(spans, by).select(*by, "rname", F.lit(0).cast("bigint").alias("hits"), F.col("bases").alias("covered"))
-    reads = spans.select(*by, "rname", weight.cast("bigint").alias("hits"), F.lit(0).cast("bigint").alias("covered"))
+def _gene_fractions(spans, genes):
+    """Reads and covered percent per sample and gene."""
+    zero = F.lit(0).cast("bigint")
+    covered = coverage_runs(spans).select("sample", "rname", zero.alias("hits"), F.col("bases").alias("covered"))
+    reads = spans.select("sample", "rname", F.lit(1).cast("bigint").alias("hits"), zero.alias("covered"))
     return (
         covered.unionByName(reads)
-        .groupBy(*by, F.col("rname").alias("gene"))
+        .groupBy("sample", F.col("rname").alias("gene"))
         .agg(F.sum("hits").alias("hits"), F.sum("covered").alias("covered"))
         .join(genes.select("gene", "gene_length"), "gene")
         .select(
-            *by,
+            "sample",
             "gene",
             "hits",
             "covered",
@@ -42,7 +42,7 @@ def _passing(fractions, threshold):
 
 def gene_fraction_hits(alignments, genes, threshold=80):
     """Genes of each sample covered to at least ``threshold`` percent."""
-    return _passing(_gene_fractions(alignment_spans(alignments), genes, ["sample"]), threshold)
+    return _passing(_gene_fractions(alignment_spans(alignments), genes), threshold)
 
 
 def _levels(amr_annotations):
@@ -78,35 +78,62 @@ def resistome_rarefaction(
     """Distinct names per level that pass the threshold in subsamples of the reads.
 
     All levels and iterations are worked out in one job: (sample, iteration, percent, level,
-    names), zero counts included.
+    names), zero counts included. The subsamples of an iteration are nested, so one sweep over
+    the reads gives the covered bases of a gene in all of them.
     """
     percents = list(range(first, last + 1, step))
-    limits = {p: fraction_limit(p / 100) for p in percents}
-    buckets = F.array(
+    limits = [fraction_limit(p / 100) for p in percents]
+    draws = F.array(
         *[
-            F.struct(F.lit(i).alias("iteration"), bucket(key, i, how).alias("bucket"))
+            F.struct(
+                F.lit(i).alias("iteration"), entry_level(bucket(key, i, how), limits).alias("entry")
+            )
             for i in range(1, iterations + 1)
         ]
     )
-    spans = alignment_spans(alignments, [buckets.alias("draws")]).select(
-        "sample", "rname", "start0", "end0", F.inline("draws")
+    spans = (
+        alignment_spans(alignments, [draws.alias("draws")])
+        .select("sample", "rname", "start0", "end0", F.inline("draws"))
+        .filter(F.col("entry").isNotNull())
     )
-    levels = rarefaction_spans(spans, F.col("bucket"), limits).withColumnRenamed("level", "percent")
-    by = ["sample", "iteration", "percent"]
+    by = ["sample", "iteration"]
+    runs = coverage_runs(spans, by, levels=len(percents))
+    covered = runs.groupBy(*by, F.col("rname").alias("gene")).agg(
+        *[
+            F.sum(F.when(F.get("depths", F.lit(i)) > 0, F.col("bases")).otherwise(0)).alias(f"_c{i}")
+            for i in range(len(percents))
+        ]
+    )
+    per_percent = covered.select(
+        *by,
+        "gene",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(p).alias("percent"), F.col(f"_c{i}").alias("covered"))
+                    for i, p in enumerate(percents)
+                ]
+            )
+        ),
+    )
+    by.append("percent")
     found = (
-        _passing(_gene_fractions(levels, genes, by), threshold)
+        _passing(per_percent.join(genes.select("gene", "gene_length"), "gene"), threshold)
+        .filter(F.col("covered") > 0)
         .select(*by, "gene")
         .join(amr_annotations.select(*LEVELS), "gene")
         .select(*by, _levels(amr_annotations))
     )
     every = genes.sparkSession.range(1).select(F.explode(sample_list(alignments)).alias("sample"))
-    grid = every.select(
-        "sample",
-        F.explode(F.array(*[F.lit(i) for i in range(1, iterations + 1)])).alias("iteration"),
-    ).select("*", F.explode(F.array(*[F.lit(p) for p in percents])).alias("percent"))
-    grid = grid.select(
-        "*", F.explode(F.array(*[F.lit(level) for level in LEVELS])).alias("level")
-    ).withColumn("name", F.lit(None).cast("string"))
+    grid = every
+    for name, values in (
+        ("iteration", range(1, iterations + 1)),
+        ("percent", percents),
+        ("level", LEVELS),
+    ):
+        grid = grid.withColumn(name, F.explode(F.array(*[F.lit(x) for x in values])))
+    # The grid rows name nothing and only keep the zero counts.
+    grid = grid.withColumn("name", F.lit(None).cast("string"))
     return (
         found.unionByName(grid)
         .groupBy(*by, "level")

@@ -56,9 +56,7 @@ def _lca(paths):
 
 
 def _read_hits(reads, kmer_db, k):
-    words = reads.select(
-        "sample", "pair_id", F.explode(sq.canonical_kmers("seq", k)).alias("kmer")
-    )
+    words = sq.explode_kmers(reads, k, "sample", "pair_id", canonical=True)
     return words.join(measured(kmer_db), "kmer").select("sample", "pair_id", "tax_id")
 
 
@@ -119,23 +117,31 @@ def kmer_hit_string(reads, kmer_db, k):
 
     ``A`` stands for k-mers with an ambiguous base, ``0`` for k-mers not in the table.
     """
-    plain = F.col("kmer").rlike(f"^[{sq.BASES}]+$")
-    words = reads.select(
-        "sample", "pair_id", "mate", F.posexplode(sq.kmer_windows("seq", k)).alias("pos", "kmer")
-    ).withColumns({"plain": plain, "kmer": F.when(plain, sq.canonical("kmer"))})
-    label = (
-        F.when(~F.col("plain"), F.lit("A"))
-        .otherwise(F.coalesce(F.col("tax_id").cast("string"), F.lit("0")))
-        .alias("label")
+    read = ["sample", "pair_id", "mate"]
+    # Only k-mers found in the table travel; the read itself tells the others apart.
+    hits = (
+        sq.explode_kmers(reads, k, *read, canonical=True)
+        .join(measured(kmer_db), "kmer")
+        .select(*read, F.struct("pos", F.col("tax_id").cast("string").alias("label")).alias("hit"), F.lit(None).cast("string").alias("seq"))
     )
-    ordered = (
-        words.join(measured(kmer_db), "kmer", "left")
-        .groupBy("sample", "pair_id", "mate")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", label))).alias("cells"))
-        .select(
-            "sample", "pair_id", "mate", F.transform("cells", lambda c: c["label"]).alias("labels")
-        )
+    whole = reads.select(
+        *read, F.lit(None).cast("struct<pos:int,label:string>").alias("hit"), F.col("seq").alias("seq")
     )
+    gathered = (
+        hits.unionByName(whole)
+        .groupBy(*read)
+        .agg(F.collect_list("hit").alias("hits"), F.max("seq").alias("seq"))
+        .filter(F.length("seq") >= k)
+        .withColumn("found", F.map_from_entries("hits"))
+    )
+
+    def label(pos):
+        window = F.substring(F.col("seq"), pos + 1, F.lit(k))
+        absent = F.when(window.rlike(f"[^{sq.BASES}]"), F.lit("A")).otherwise(F.lit("0"))
+        return F.coalesce(F.try_element_at(F.col("found"), pos), absent)
+
+    labels = F.transform(F.sequence(F.lit(0), F.length("seq") - k), label)
+    ordered = gathered.select(*read, labels.alias("labels"))
     starts = F.filter(
         F.sequence(F.lit(1), F.size("labels")),
         lambda i: (i == 1) | (F.get("labels", i - 1) != F.get("labels", i - 2)),
