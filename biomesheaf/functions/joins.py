@@ -24,3 +24,14 @@ def measured(df, rows=None, max_rows=MAX_BROADCAST_ROWS):
     if rows is None:
         rows = df.limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else shuffled(df)
+
+
+def keep_if_few(df, wanted, keys, max_rows=MAX_BROADCAST_ROWS):
+    """Drop rows without a partner in ``wanted`` ahead of the real join, if that is cheap.
+
+    A short list of keys is broadcast and thins the table before its first shuffle. For a long
+    one the table is returned as it is: the join that follows gives the same result.
+    """
+    if wanted.limit(max_rows + 1).count() > max_rows:
+        return df
+    return df.join(F.broadcast(wanted), keys, "left_semi")

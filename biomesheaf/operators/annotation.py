@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.cohort import one_row_literal
+from ..functions.joins import keep_if_few
 from ..functions.sampling import bucket, fraction_limit
 from .alignments import GENOME, coverage_runs
 
@@ -144,27 +145,36 @@ def collapse_covered(cov_annot):
     )
 
 
-def annotate_collapsed(collapsed, annotations):
-    """``collapse_covered(annotate_coverage(...))`` with the coverage summed before the join.
+def _annotation_keys(annotations):
+    return ["sample", "cds"] if "sample" in annotations.columns else ["cds"]
 
-    The join then sees one row per CDS instead of one per depth. A CDS with several annotation
-    rows keeps them all, its sums counted once per row as the late form does.
-    """
-    keys = ["sample", "cds"] if "sample" in annotations.columns else ["cds"]
-    of_cds = Window.partitionBy(*keys)
-    counted = (
-        annotations.withColumn("n_rows", F.count(F.lit(1)).over(of_cds)).distinct()
-    )
+
+def _with_row_count(annotations):
+    """Distinct annotation rows with the number of rows their CDS had."""
+    of_cds = Window.partitionBy(*_annotation_keys(annotations))
+    return annotations.withColumn("n_rows", F.count(F.lit(1)).over(of_cds)).distinct()
+
+
+def _repeat_sums(rows):
+    """Count a CDS's sums once per annotation row, as a join ahead of the sums does."""
     times = F.coalesce(F.col("n_rows"), F.lit(1))
     return (
-        collapsed.join(counted, keys, "left")
-        .withColumn("depth", F.col("depth") * times)
+        rows.withColumn("depth", F.col("depth") * times)
         .withColumn("num_bases", F.col("num_bases") * times)
         .withColumn("frac", F.col("num_bases") / F.col("cds_size"))
         .drop("n_rows")
     )
 
 
+def annotate_collapsed(collapsed, annotations):
+    """``collapse_covered(annotate_coverage(...))`` with the coverage summed before the join.
+
+    The join then sees one row per CDS instead of one per depth.
+    """
+    counted = _with_row_count(annotations)
+    return _repeat_sums(collapsed.join(counted, _annotation_keys(annotations), "left"))
+
+
 def parse_annotation_lists(rows):
     """Comma lists -> arrays; ``ko:`` prefixes dropped, gene names lower-cased."""
     plain = lambda c: F.replace(F.col(c), F.lit("ko:"), F.lit(""))
@@ -495,6 +505,33 @@ def pathway_features(collapsed, targets, threshold=0.75, by=("sample",)):
     return split_depth_by_pathway(ec_depth, normalize_targets(targets))
 
 
+def annotation_enzymes(annotations, targets):
+    """Target enzymes of each annotation row with enzyme or gene evidence.
+
+    Evidence depends on the annotation alone, so it is looked up once per annotation row and not
+    once per sample and CDS.
+    """
+    rows = gene_to_ec(pathway_candidates(_with_row_count(annotations), targets), targets)
+    return rows.select(*_annotation_keys(annotations), "n_rows", "ec_hit")
+
+
+def target_spans(spans, enzymes):
+    """Only the spans on CDS with target enzymes, where these are few enough to be broadcast."""
+    names = enzymes.select(*[c for c in ("sample", "cds") if c in enzymes.columns])
+    names = names.withColumnRenamed("cds", "rname").distinct()
+    return keep_if_few(spans, names, names.columns)
+
+
+def enzyme_features(collapsed, enzymes, targets, threshold=0.75, by=("sample",)):
+    """``pathway_features`` from coverage per CDS and ``annotation_enzymes``."""
+    by = list(by)
+    keys = [c for c in ("sample", "cds") if c in enzymes.columns]
+    rows = drop_poor_evidence(_repeat_sums(collapsed.join(enzymes, keys)))
+    long_rows = split_depth(filter_cds_coverage(rows, threshold), "ec_hit", "ec")
+    ec_depth = long_rows.groupBy(*by, "ec").agg(F.sum("split_depth").alias("depth"))
+    return split_depth_by_pathway(ec_depth, normalize_targets(targets))
+
+
 def pathway_feature_table(cov_annot, targets, threshold=0.75):
     """Depth per sample, enzyme and pathway: (sample, ec, depth, pathway)."""
     return pathway_features(collapse_covered(cov_annot), targets, threshold)
@@ -555,15 +592,23 @@ def feature_rarefaction(spans, ref_lengths, annotations, targets, threshold=0.75
     """
     fractions = sorted(fractions or [p / 100 for p in range(5, 100, 5)])
     percents = F.array(*[F.lit(int(round(f * 100))) for f in fractions])
-    entry = entry_level(bucket(key, seed, how), [fraction_limit(f) for f in fractions])
-    entered = spans.withColumn("entry", entry).filter(F.col("entry").isNotNull())
+    # The bucket is a column of its own and the filter looks at the last limit only, so that a key
+    # is not hashed again for every fraction.
+    limits = [fraction_limit(f) for f in fractions]
+    enzymes = annotation_enzymes(annotations, targets)
+    entered = (
+        target_spans(spans, enzymes)
+        .withColumn("_bucket", bucket(key, seed, how))
+        .filter(F.col("_bucket") < limits[-1])
+        .withColumn("entry", entry_level(F.col("_bucket"), limits))
+    )
     runs = coverage_runs(entered, levels=len(fractions)).select(
         "sample", "rname", "bases", F.posexplode("depths").alias("_at", "depth")
     )
     by = ["sample", "percent"]
     at_level = runs.filter(F.col("depth") > 0).withColumn("percent", F.get(percents, F.col("_at")))
     collapsed = collapse_runs(at_level, ref_lengths, by)
-    features = pathway_features(annotate_collapsed(collapsed, annotations), targets, threshold, by)
+    features = enzyme_features(collapsed, enzymes, targets, threshold, by)
     grid = all_samples(spans).select("sample", F.explode(percents).alias("percent"))
     counted = features.select(*by, F.lit(1).alias("n")).unionByName(
         grid.select(*by, F.lit(0).alias("n"))

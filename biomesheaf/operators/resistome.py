@@ -85,16 +85,15 @@ def resistome_rarefaction(
     limits = [fraction_limit(p / 100) for p in percents]
     draws = F.array(
         *[
-            F.struct(
-                F.lit(i).alias("iteration"), entry_level(bucket(key, i, how), limits).alias("entry")
-            )
+            F.struct(F.lit(i).alias("iteration"), bucket(key, i, how).alias("bucket"))
             for i in range(1, iterations + 1)
         ]
     )
     spans = (
         alignment_spans(alignments, [draws.alias("draws")])
         .select("sample", "rname", "start0", "end0", F.inline("draws"))
-        .filter(F.col("entry").isNotNull())
+        .filter(F.col("bucket") < limits[-1])
+        .withColumn("entry", entry_level(F.col("bucket"), limits))
     )
     by = ["sample", "iteration"]
     runs = coverage_runs(spans, by, levels=len(percents))

@@ -24,12 +24,14 @@ def clean_reads(reads, adapters, artifacts, host=None, k=31, hdist=1, cutoff=10,
 def pathway_features(alignments, ref_lengths, annotations, targets, threshold=0.75):
     """Alignments (or spans) -> depth per sample, enzyme and pathway.
 
-    Same rows as coverage_histogram -> annotate_coverage -> pathway_feature_table, with the
-    coverage summed per CDS before it meets the annotation.
+    Same rows as coverage_histogram -> annotate_coverage -> pathway_feature_table. The target
+    enzymes are looked up in the annotation first; alignments elsewhere are dropped before the
+    sweep when the CDS that matter are few, and coverage is summed per CDS before the join.
     """
     spans = alignments if "start0" in alignments.columns else al.alignment_spans(alignments)
-    collapsed = an.collapse_runs(al.coverage_runs(spans), ref_lengths)
-    return an.pathway_features(an.annotate_collapsed(collapsed, annotations), targets, threshold)
+    enzymes = an.annotation_enzymes(annotations, targets)
+    runs = al.coverage_runs(an.target_spans(spans, enzymes))
+    return an.enzyme_features(an.collapse_runs(runs, ref_lengths), enzymes, targets, threshold)
 
 
 def gene_abundance(alignments, intervals, gene_lengths, score=None):
