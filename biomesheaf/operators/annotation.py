@@ -150,9 +150,17 @@ def _annotation_keys(annotations):
 
 
 def _with_row_count(annotations):
-    """Distinct annotation rows with the number of rows their CDS had."""
+    """Distinct annotation rows with the number of rows their CDS had.
+
+    Copies of a row are counted before the shuffle, so the window sees distinct rows only.
+    """
     of_cds = Window.partitionBy(*_annotation_keys(annotations))
-    return annotations.withColumn("n_rows", F.count(F.lit(1)).over(of_cds)).distinct()
+    return (
+        annotations.groupBy(*annotations.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("n_rows", F.sum("_copies").over(of_cds))
+        .drop("_copies")
+    )
 
 
 def _repeat_sums(rows):
