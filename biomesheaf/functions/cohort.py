@@ -19,19 +19,18 @@ def per_sample(table, samples):
     return table.withColumn("sample", F.explode(sample_list(samples)))
 
 
-def one_row_literal(df, value, max_rows, what):
-    """Aggregate a small table into one scalar value, failing inside the plan when it is not small.
+def bounded_rows(df, max_rows, what):
+    """Rows of a hand-kept table that becomes part of the expressions, e.g. pathway targets.
 
-    ``value`` is an aggregate column; ``max_rows`` the proven bound of the table it stands for.
-    A larger table raises: it is never cut short, the limit only stops the surplus being gathered.
+    A table above its proven bound raises: it is never cut short, the limit only stops the
+    surplus being gathered.
     """
-    checked = F.when(
-        F.count(F.lit(1)) > max_rows,
-        F.raise_error(F.lit(f"{what}: more than {max_rows} rows")).cast("boolean"),
-    )
-    return (
-        df.limit(max_rows + 1)
-        .agg(checked.alias("guard"), value.alias("value"))
-        .select(F.when(F.col("guard").isNull(), F.col("value")))
-        .scalar()
-    )
+    found = df.limit(max_rows + 1).collect()
+    if len(found) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows")
+    return found
+
+
+def text_array(values):
+    """An array<string> constant."""
+    return F.array(*[F.lit(x) for x in values]).cast("array<string>")

@@ -134,7 +134,7 @@ def coverage_runs(spans, by=("sample",), bin_width=BIN_WIDTH, levels=0):
         "end0",
         *entry,
         F.explode(
-            F.sequence(F.floor(F.col("start0") / width), F.floor((F.col("end0") - 1) / width))
+            F.sequence(F.expr(f"start0 div {bin_width}"), F.expr(f"(end0 - 1) div {bin_width}"))
         ).alias("bin"),
     )
     one = F.lit(1).cast("bigint")

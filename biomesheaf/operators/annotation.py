@@ -9,7 +9,7 @@ short_name, pwy) with comma lists; ``normalize_targets`` makes it long: (pathway
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.cohort import one_row_literal
+from ..functions.cohort import bounded_rows, text_array
 from ..functions.joins import keep_if_few
 from ..functions.sampling import bucket, fraction_limit
 from .alignments import GENOME, coverage_runs
@@ -209,18 +209,14 @@ def intersect_targets(rows, targets_long, kinds=("ec", "ko", "gene", "pwy"), via
     above MAX_TARGET_IDS; ``via="join"`` has no bound on the targets and joins the ids.
     """
     if via == "literal":
-        def targets_of(kind):
-            return one_row_literal(
-                targets_long.filter(F.col("kind") == kind).select("id").distinct(),
-                F.array_sort(F.collect_set("id")),
-                MAX_TARGET_IDS,
-                f"{kind} targets, use via='join'",
-            )
-
+        wanted = targets_long.filter(F.col("kind").isin(*kinds)).select("kind", "id").distinct()
+        ids = {kind: [] for kind in kinds}
+        for row in bounded_rows(wanted, MAX_TARGET_IDS, "targets, use via='join'"):
+            ids[row["kind"]].append(row["id"])
         return rows.withColumns(
             {
                 f"{kind}_hit": _or_null(
-                    F.sort_array(F.array_intersect(F.col(KIND_COLUMN[kind]), targets_of(kind)))
+                    F.sort_array(F.array_intersect(F.col(KIND_COLUMN[kind]), text_array(sorted(ids[kind]))))
                 )
                 for kind in kinds
             }
@@ -306,9 +302,14 @@ def intersect_by_pathway(rows, targets_long, kinds=("ec", "ko", "gene", "pwy")):
 
 def _with_pathways(samples, targets_long, value, what):
     """Every sample with every pathway of the target table and the pathway's ``value``."""
-    per_pathway = targets_long.groupBy("pathway").agg(value.alias("wanted"))
-    table = one_row_literal(
-        per_pathway, F.collect_list(F.struct("pathway", "wanted")), MAX_TARGET_IDS, what
+    per_pathway = bounded_rows(
+        targets_long.groupBy("pathway").agg(value.alias("wanted")), MAX_TARGET_IDS, what
+    )
+    table = F.array(
+        *[
+            F.struct(F.lit(r["pathway"]).alias("pathway"), text_array(r["wanted"] or []).alias("wanted"))
+            for r in per_pathway
+        ]
     )
     return samples.select("sample").distinct().select("sample", F.inline(table))
 
@@ -353,7 +354,7 @@ def found_ids(pathway_hits, targets_long, samples, one_per_cds=True):
         .groupBy("sample", "pathway")
         .agg(F.array_sort(F.collect_set(F.concat("prefix", "id"))).alias("found"))
     )
-    wanted = _with_pathways(samples, targets_long, F.lit(True), "pathways").drop("wanted")
+    wanted = _with_pathways(samples, targets_long, F.lit(None).cast("array<string>"), "pathways").drop("wanted")
     none = F.expr("cast(array() as array<string>)")
     return wanted.join(found, ["sample", "pathway"], "left").select(
         "sample", "pathway", F.coalesce("found", none).alias("found")
@@ -386,24 +387,21 @@ def gene_to_ec(rows, targets):
         .groupBy("gene")
         .agg(F.array_sort(F.collect_set(F.trim("ec"))).alias("ecs"))
     )
-    enzymes_of = one_row_literal(
-        pairs, F.map_from_entries(F.collect_list(F.struct("gene", "ecs"))), MAX_TARGET_IDS, "gene names"
-    )
+    named = bounded_rows(pairs, MAX_TARGET_IDS, "gene names")
+    if not named:
+        return rows
+    enzymes_of = F.create_map(*[x for r in named for x in (F.lit(r["gene"]), text_array(r["ecs"]))])
     translated = F.array_sort(
         F.array_distinct(
             F.flatten(
                 F.filter(
-                    F.transform("gene_hit", lambda g: F.try_element_at("_enzymes_of", g)),
+                    F.transform("gene_hit", lambda g: F.try_element_at(enzymes_of, g)),
                     lambda ecs: ecs.isNotNull(),
                 )
             )
         )
     )
-    return (
-        rows.withColumn("_enzymes_of", enzymes_of)
-        .withColumn("ec_hit", F.coalesce("ec_hit", _or_null(translated)))
-        .drop("_enzymes_of")
-    )
+    return rows.withColumn("ec_hit", F.coalesce("ec_hit", _or_null(translated)))
 
 
 def split_depth(rows, ids, name="id"):
