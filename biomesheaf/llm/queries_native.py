@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import licenses, mixing
+from . import licenses, mixing, warc
 from .registry import query, table
 
 _TRANSLATE = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -29,7 +29,7 @@ segments as (
   select doc_id, 'l' || generate_subscripts(string_split(t, chr(10)), 1) as place, unnest(string_split(t, chr(10))) as s from normal
   union all
   select doc_id, 'p' || generate_subscripts(p, 1), unnest(p)
-  from (select doc_id, string_split_regex(t, '\\n *\\n[ \\n]*') as p from normal where contains(t, chr(10)))
+  from (select doc_id, string_split_regex(t, '\\n *\\n[ \\n]*') as p from normal where regexp_matches(t, '\\n *\\n'))
   union all
   select doc_id, 'w', t from normal where contains(t, chr(10))),
 grams as (
@@ -122,3 +122,21 @@ def op6_mixing_weights(spark, folder):
         F.round("_probability", 9).alias("probability"),
         F.col("_kept").alias("kept"),
     )
+
+
+WARC_SQL = """
+with plain as (select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as h from pages),
+first as (select h, n, max(page_id) as keeper from plain where page_id is not null group by h, n)
+select page_id, n::bigint as payload_bytes,
+  array_to_string(list_transform(range(0, 8), lambda i: list_reduce(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * i + 1, 5))::bigint >> s) & 31)::int + 1, 1)),
+    lambda a, b: a || b)), '') as payload_digest,
+  if(keeper is null or page_id is null or page_id = keeper, 'response', 'revisit') as record_type,
+  if(page_id <> keeper, keeper, null) as refers_to
+from plain left join first using (h, n)"""
+
+
+@query("op8_warc_archive", WARC_SQL)
+def op8_warc_archive(spark, folder):
+    manifest = warc.write_archives(table(spark, folder, "pages"))
+    return warc.read_pages(warc.read_chunks(manifest, with_data=False))

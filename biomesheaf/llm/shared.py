@@ -46,3 +46,13 @@ def unit(column: str, seed: str) -> Column:
     """A number in [0, 1) that depends on the value and the seed only; other engines compute the same."""
     text = F.concat(F.lit(seed + ":"), F.coalesce(F.col(column).cast("string"), F.lit("null")))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / float(2**52)
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Names a document by its id and text, nulls included; equal for equal rows only."""
+    return F.concat_ws(
+        ":",
+        F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
+        F.coalesce(F.xxhash64(text_col).cast("string"), F.lit("")),
+        F.coalesce(F.length(text_col).cast("string"), F.lit("null")),
+    )
