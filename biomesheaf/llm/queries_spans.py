@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontamination, pii
+from . import decontamination, minhash, pii
 from .registry import query, table
 
 
@@ -22,3 +22,9 @@ def op9_personal_data(spark, folder):
 def op1_benchmark_decontamination(spark, folder):
     found = decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", F.round("score", 9).alias("score"), "seeds")
+
+
+@query("op5_minhash_near_dedup")
+def op5_minhash_near_dedup(spark, folder):
+    found = minhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
