@@ -175,8 +175,9 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
     Links are confirmed on full sets. Ids are taken as longs.
 
     Null and empty texts, and texts of blanks, have no set: n_shingles 0, linked with nothing, kept.
-    Rows without an id are linked like others; where no row of a component has an id its component_id
-    is null, and such rows are kept only if they have no set. Of repeated rows with the smallest id all are kept.
+    Rows without an id are linked like others and never kept beside one with an id; where no row of
+    a component has an id its component_id is null and the row with the first text key is kept. Of
+    repeated rows with the smallest id all are kept.
     """
     rows = docs.select(row_key(id_col, text_col).alias("_key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     described = rows.mapInArrow(_describe, "_key string, id long, n long, one long, two long, sig binary")
@@ -215,11 +216,13 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
             pairs = pairs.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", "x.b")
         links = stored(links.unionByName(confirmed(pairs.select("a", "b").distinct())), "links")
     found = components(links).select(F.col("id").alias("node"), "component")
-    whole = classes.join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
-    smallest = whole.groupBy("component").agg(F.min("id").alias("least"))
-    by_class = whole.join(smallest, "component").select("node", "least")
+    whole = classes.join(found, "node", "left").select("node", "id", "_key", F.coalesce("component", "node").alias("component"))
+    smallest = whole.groupBy("component").agg(F.min("id").alias("least"), F.min("_key").alias("first"))
+    by_class = whole.join(smallest, "component").select("node", "least", "first")
     told = signed.select("_key", "id", F.col("n").alias("n_shingles"), "node").join(by_class, "node", "left")
-    own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least"))
+    alone = F.col("node").isNull()
     return told.select(
-        "_key", "id", "n_shingles", own.alias("component_id"), (F.col("node").isNull() | F.coalesce(F.col("id") == own, F.lit(False))).alias("kept")
-    )
+        "_key", "id", "n_shingles",
+        F.when(alone, F.col("id")).otherwise(F.col("least")).alias("component_id"),
+        F.when(alone, True).when(F.col("least").isNull(), F.col("_key") == F.col("first")).otherwise(F.coalesce(F.col("id") == F.col("least"), F.lit(False))).alias("kept"),
+    )

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import langid, lm, toxicity
 from .registry import query, table
 from .shared import fold
 
@@ -28,3 +28,10 @@ def op4_toxicity(spark, folder):
     return scored.select(
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     )
+
+
+@query("op3_lm_scores")
+def op3_lm_scores(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = lm.scores(docs, docs.where(fold("doc_id", 7) != 2))
+    return found.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import decontamination, minhash, pii
+from . import decontamination, embeddings, minhash, pii
 from .registry import query, table
 
 
@@ -28,3 +28,9 @@ def op1_benchmark_decontamination(spark, folder):
 def op5_minhash_near_dedup(spark, folder):
     found = minhash.near_duplicates(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query("op2_embedding_near_dedup")
+def op2_embedding_near_dedup(spark, folder):
+    found = embeddings.near_duplicates(table(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
