@@ -87,7 +87,12 @@ def _bigrams(words):
 
 
 def _words(text):
-    return F.filter(F.split(text, r"[ \n]+"), lambda w: w != "")
+    return F.split(F.btrim(text, F.lit(" \n")), r"[ \n]+")
+
+
+def _once(df, name, value, *keep):
+    """Add a column that later filters can't pull apart and compute again."""
+    return df.select(*keep, F.explode(F.array(value)).alias(name))
 
 
 def _normal(text):
@@ -123,32 +128,20 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8
     words_in_template = (
         table.withColumn("b", F.size("bigrams")).select("template", "license", "b", F.explode("bigrams").alias("bigram"))
     )
-    text = docs.select(F.col(id_col).alias("_id"), _normal(F.col(text_col)).alias("_text"))
+    text = _once(docs, "_text", _normal(F.col(text_col)), F.col(id_col).alias("_id"))
+    none = F.array().cast("array<struct<at:string,s:string>>")
+    numbered = lambda kind: lambda s, i: F.struct(F.concat(F.lit(kind), i.cast("string")).alias("at"), s.alias("s"))
     pieces = F.concat(
-        F.transform(F.split("_text", r"\n"), lambda s, i: F.struct(F.concat(F.lit("l"), i.cast("string")).alias("at"), s.alias("s"))),
-        F.when(
-            F.contains("_text", F.lit("\n")),
-            F.concat(
-                F.transform(
-                    F.split("_text", r"\n *\n[ \n]*"),
-                    lambda s, i: F.struct(F.concat(F.lit("p"), i.cast("string")).alias("at"), s.alias("s")),
-                ),
-                F.array(F.struct(F.lit("w").alias("at"), F.col("_text").alias("s"))),
-            ),
-        ).otherwise(F.array().cast("array<struct<at:string,s:string>>")),
+        F.transform(F.split("_text", r"\n"), numbered("l")),
+        F.when(F.col("_text").rlike(r"\n *\n"), F.transform(F.split("_text", r"\n *\n[ \n]*"), numbered("p"))).otherwise(none),
+        F.when(F.contains("_text", F.lit("\n")), F.array(F.struct(F.lit("w").alias("at"), F.col("_text").alias("s")))).otherwise(none),
     )
     longest = max((max(map(len, t.split())) for _, t in templates), default=0)
-    segments = (
-        text.select("_id", F.inline(pieces))
-        # Every word is at least one character long: too short to reach the bound, whatever it says.
-        .where(F.length("s") >= 2 * least + 1)
-        .select("_id", "at", _words(F.col("s")).alias("words"))
-        .where(F.size("words") - 1 >= least)
-        .select("_id", "at", _bigrams(F.col("words")).alias("bigrams"))
-        .where(F.size("bigrams").between(least, most))
-        .select("_id", "at", F.size("bigrams").alias("a"), F.explode("bigrams").alias("bigram"))
-        .where(F.length("bigram") <= 2 * longest + 1)
-    )
+    # Every word is at least one character long: a shorter segment can't reach the bound, whatever it says.
+    segments = text.select("_id", F.inline(pieces)).where(F.length("s") >= 2 * least + 1)
+    segments = _once(segments, "words", _words(F.col("s")), "_id", "at").where(F.size("words") - 1 >= least)
+    segments = _once(segments, "bigrams", _bigrams(F.col("words")), "_id", "at").where(F.size("bigrams").between(least, most))
+    segments = segments.select("_id", "at", F.size("bigrams").alias("a"), F.explode("bigrams").alias("bigram")).where(F.length("bigram") <= 2 * longest + 1)
     shared = (
         segments.join(F.broadcast(words_in_template), "bigram")
         .where((F.col("a") >= F.col("b") * low) & (F.col("a") <= F.col("b") * high))
