@@ -7,7 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import row_key, stored
@@ -18,7 +19,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Tokens with an embedding of their own, classes of the output, width; positions scored and kept as context in a window.
-KNOWN, CLASSES, WIDTH, SCORED, CONTEXT = 4096, 96, 16, 32, 16
+KNOWN, CLASSES, WIDTH, SCORED, CONTEXT = 4096, 160, 16, 32, 16
+#: The most frequent tokens are classes of their own.
+ALONE = 96
 WINDOW = SCORED + CONTEXT
 BUCKETS = 32
 END_WORD = np.uint64(0x5E5E5E5E5E5E5E5E)
@@ -33,16 +36,32 @@ def _encoder(vocabulary: str):
     return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), max(ranks.values()) + 2
 
 
-def _sequences(column: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """All texts as subword ids, each between two end ids (which begin and close it), their offsets, and the end id."""
-    encoder, size = _encoder(vocabulary)
-    end = size - 1
-    lists = [encoder.encode_ordinary(t) if t else [] for t in column.to_pylist()]
-    offsets = np.concatenate([[0], np.cumsum([len(x) + 2 for x in lists])])
-    flat = np.full(offsets[-1], end, np.int32)
-    for x, at in zip(lists, offsets[:-1], strict=True):
-        flat[at + 1 : at + 1 + len(x)] = x
-    return flat, offsets, end
+def _subwords(vocabulary: str):
+    """The subword ids of each text between two end ids, which begin and close it, as 16-bit numbers."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, size = _encoder(vocabulary)
+        for batch in batches:
+            for first, last, _, _ in text_groups(batch.column("text")):
+                ids = []
+                for text in batch.column("text").slice(first, last - first).to_pylist():
+                    ids.append(np.array([size - 1, *(encoder.encode_ordinary(text) if text else ()), size - 1], np.uint16).tobytes())
+                rest = [batch.column(c).slice(first, last - first) for c in ("_row", "doc_id", "learn")]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(ids, pa.large_binary()).cast(pa.binary())], ["_row", "doc_id", "learn", "ids"])
+
+    return cut
+
+
+def _sequences(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, last, ids, offsets) of groups of texts: up to ``limit`` ids together, or one longer text."""
+    sizes = pa.compute.binary_length(column).to_numpy(zero_copy_only=False) // 2
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] + limit, "right")))
+        flat = np.frombuffer(b"".join(column.slice(first, last - first).to_pylist()), np.uint16).astype(np.int32)
+        yield first, last, flat, np.concatenate([[0], np.cumsum(sizes[first:last])])
+        first = last
 
 
 def _windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,7 +83,6 @@ class SubwordModel:
     kind: np.ndarray
     within: np.ndarray
     weights: dict[str, np.ndarray]
-    vocabulary: str = VOCABULARY
     squares: dict[str, np.ndarray] = field(default_factory=dict)
 
     @staticmethod
@@ -83,15 +101,15 @@ class SubwordModel:
         x = w["token"][tokens] + w["position"]
         late = x[:, CONTEXT:]
         q, k, v = late @ w["query"], x @ w["key"], x @ w["value"]
-        s = (q @ k.transpose(0, 2, 1)) * np.float32(1 / np.sqrt(WIDTH))
-        s += np.where(inside, np.float32(0), np.float32(-1e9))[:, None, :]
-        s += MASK
-        s -= s.max(axis=2, keepdims=True)
+        s = (q * np.float32(1 / np.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
+        np.clip(s, -40, 40, out=s)
         np.exp(s, out=s)
-        s /= s.sum(axis=2, keepdims=True)
+        s *= MASK & inside[:, None, :]
+        s /= s.sum(axis=2, keepdims=True) + np.float32(1e-30)
         h = late + s @ v
-        z = h @ w["out"] + w["bias"]
-        z -= z.max(axis=2, keepdims=True)
+        z = h @ w["out"]
+        z += w["bias"]
+        np.clip(z, -40, 40, out=z)
         return {"x": x, "q": q, "k": k, "v": v, "a": s, "h": h, "z": z}
 
     def step(self, tokens: np.ndarray, inside: np.ndarray, target: np.ndarray, rate: float) -> None:
@@ -130,43 +148,47 @@ class SubwordModel:
 
 
 #: A scored place sees no place after it.
-MASK = np.where(np.arange(WINDOW)[None] <= (CONTEXT + np.arange(SCORED))[:, None], 0, -1e9).astype(np.float32)
+MASK = np.arange(WINDOW)[None] <= (CONTEXT + np.arange(SCORED))[:, None]
 
 
-def _statistics(vocabulary: str):
-    """Counts over the training texts: words by hash, subword ids by the bucket of the id before."""
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the texts by hash, and one end a text, counted over a few million at a time."""
+    held, total = [], 0
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, size = _encoder(vocabulary)
-        pairs = np.zeros(size * BUCKETS, np.int64)
-        held, total = [], 0
+    def counted():
+        word, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    for batch in batches:
+        for first, last, b, offsets in text_groups(batch.column("text")):
+            h, _ = hash_words(b, offsets)
+            held += [h, np.full(last - first, END_WORD)]
+            total += len(h) + last - first
+            if total >= 4_000_000:
+                yield counted()
+                held, total = [], 0
+    if held:
+        yield counted()
 
-        def words():
-            word, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(word), np.int32)), pa.array(word.view(np.int64)), pa.array(n)], ["kind", "id", "n"])
 
+def _follows(size: int):
+    """How often each subword id follows an id of each bucket."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros(size * BUCKETS, np.int64)
         for batch in batches:
-            for first, last, b, offsets in text_groups(batch.column("text")):
-                h, _ = hash_words(b, offsets)
-                held += [h, np.full(last - first, END_WORD)]
-                total += len(h) + last - first
-                if total >= 4_000_000:
-                    yield words()
-                    held, total = [], 0
-                flat, ends, _ = _sequences(batch.column("text").slice(first, last - first), vocabulary)
+            for _, _, flat, offsets in _sequences(batch.column("ids")):
                 real = np.ones(len(flat), bool)
-                real[ends[:-1]] = False
+                real[offsets[:-1]] = False
                 at = np.flatnonzero(real)
                 pairs += np.bincount(flat[at].astype(np.int64) * BUCKETS + flat[at - 1] % BUCKETS, minlength=len(pairs))
-        if held:
-            yield words()
         found = np.flatnonzero(pairs)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(found), np.int32)), pa.array(found), pa.array(pairs[found])], ["kind", "id", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(pairs[found])], ["id", "n"])
 
     return count
 
 
-def _classes(counts: np.ndarray, seed: int = 9) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Known tokens by count, classes of tokens that follow alike tokens (k-means), and shares within the classes."""
     total = counts.sum(axis=1)
     order = np.lexsort((np.arange(len(total)), -total))[: KNOWN - 1]
@@ -174,19 +196,21 @@ def _classes(counts: np.ndarray, seed: int = 9) -> tuple[np.ndarray, np.ndarray,
     place = np.full(len(total), KNOWN - 1)
     place[order] = np.arange(len(order))
     kind = np.full(len(total), CLASSES - 1)
+    alone = min(ALONE, len(order))
+    kind[order[:alone]] = np.arange(alone)
+    order = order[alone:]
     if len(order):
         x = np.sqrt(counts[order] / total[order][:, None])
         weight = total[order].astype(float)
-        rng = np.random.default_rng(seed)
-        size = min(CLASSES - 1, len(order))
-        centres = x[np.concatenate([np.arange(size // 2), rng.choice(np.arange(size // 2, len(order)), size - size // 2, replace=False)])]
+        size = min(CLASSES - 1 - ALONE, len(order))
+        centres = x[np.linspace(0, len(order) - 1, size).astype(int)]
         for _ in range(15):
             near = ((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)[None]).argmin(1)
             mass = np.bincount(near, weights=weight, minlength=size)
             moved = np.zeros_like(centres)
             np.add.at(moved, near, x * weight[:, None])
             centres = np.where(mass[:, None] > 0, moved / np.maximum(mass, 1)[:, None], centres)
-        kind[order] = near
+        kind[order] = ALONE + near
     mass, members = np.bincount(kind, weights=total, minlength=CLASSES), np.bincount(kind, minlength=CLASSES)
     within = np.log10((total + 1) / (mass + members)[kind])
     return place, kind, within
@@ -196,11 +220,10 @@ def _train(model: SubwordModel, rate: float, batch_windows: int = 64):
     """The weights after a pass over a task's share of the sampled texts, with the number of places it learned from."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = SubwordModel(model.place, model.kind, model.within, {k: v.copy() for k, v in model.weights.items()}, model.vocabulary)
+        own = SubwordModel(model.place, model.kind, model.within, {k: v.copy() for k, v in model.weights.items()})
         rng, places_seen = np.random.default_rng(7), 0
         for batch in batches:
-            for first, last, _, _ in text_groups(batch.column("text")):
-                flat, offsets, _ = _sequences(batch.column("text").slice(first, last - first), own.vocabulary)
+            for _, _, flat, offsets in _sequences(batch.column("ids")):
                 places, inside, _ = _windows(offsets)
                 known, kind = own.place[flat], own.kind[flat]
                 order = rng.permutation(len(places))
@@ -215,24 +238,23 @@ def _train(model: SubwordModel, rate: float, batch_windows: int = 64):
     return train
 
 
-def train(texts: DataFrame, vocabulary: str = VOCABULARY, rounds: int = 4, one_in: int = 32, rate: float = 0.08) -> tuple[SubwordModel, DataFrame]:
-    """A model of the column text of ``texts``, and the counts (word, n) of all their words.
+def train(sequences: DataFrame, size: int, rounds: int = 4, one_in: int = 32, rate: float = 0.08) -> SubwordModel:
+    """A model of the column ids of ``sequences``.
 
-    All texts are counted. In each of ``rounds`` another one in ``one_in`` of the texts, by a hash, is
+    All ids are counted. In each of ``rounds`` another one in ``one_in`` of the texts, by a hash, is
     learned from: every task descends from the same weights over its own share, and Spark averages
     the weights by the places each has seen. What is gathered grows with the texts; the driver gets
     the averaged weights and the counts of subwords, whose sizes are fixed.
     """
-    told = stored(
-        texts.select("text").mapInArrow(_statistics(vocabulary), "kind int, id long, n long").groupBy("kind", "id").agg(F.sum("n").alias("n")), "lm-counts"
-    )
-    size = _encoder(vocabulary)[1]
     counts = np.zeros(size * BUCKETS, np.int64)
-    for r in told.where("kind = 1").select("id", "n").toLocalIterator():
-        counts[r["id"]] = r["n"]
-    model = SubwordModel(*_classes(counts.reshape(size, BUCKETS)), SubwordModel.fresh(), vocabulary)
+    told = sequences.select("ids").mapInArrow(_follows(size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts[told["id"].to_numpy(np.int64)] = told["n"]
+    counts = counts.reshape(size, BUCKETS)
+    model = SubwordModel(*_classes(counts), SubwordModel.fresh())
+    mass = np.bincount(model.kind, weights=counts.sum(axis=1), minlength=CLASSES)
+    model.weights["bias"] = np.log((mass + 1) / (mass + 1).sum()).astype(np.float32)
     for i in range(rounds):
-        part = texts.where(F.pmod(F.xxhash64(F.lit(31), "text"), F.lit(one_in)) == i % one_in).select("text")
+        part = sequences.where(F.pmod(F.xxhash64(F.lit(31), "_row"), F.lit(one_in)) == i % one_in).select("ids")
         mean = part.mapInArrow(_train(model, rate / (1 + i)), "at long, value double, n double").groupBy("at").agg((F.sum("value") / F.sum("n")).alias("value"))
         rows = mean.toPandas().sort_values("at")
         if not len(rows):
@@ -242,46 +264,48 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, rounds: int = 4, one_i
             shape = model.weights[k].shape
             model.weights[k] = flat[at : at + int(np.prod(shape))].reshape(shape)
             at += int(np.prod(shape))
-    words = told.where("kind = 0").select(F.col("id").alias("word"), "n")
-    return model, words
-
-
-def log10_probability(model: SubwordModel, column: pa.Array) -> np.ndarray:
-    """Of each whole text, its end included; windows of all texts are scored in batches."""
-    out = np.zeros(len(column))
-    for first, last, _, _ in text_groups(column):
-        flat, offsets, _ = _sequences(column.slice(first, last - first), model.vocabulary)
-        places, inside, text = _windows(offsets)
-        known, kind = model.place[flat], model.kind[flat]
-        for at in range(0, len(places), 512):
-            p, i, who = places[at : at + 512], inside[at : at + 512], text[at : at + 512]
-            z = model.forward(known[p], i)["z"]
-            scored = i[:, CONTEXT:]
-            nexts = np.where(scored, p[:, CONTEXT:] + 1, 0)
-            chosen = np.take_along_axis(z, kind[nexts][:, :, None], 2)[:, :, 0]
-            logs = (chosen - np.log(np.exp(z).sum(axis=2))) / np.log(10) + model.within[flat[nexts]]
-            out[first:last] += np.bincount(who, weights=(logs * scored).sum(axis=1), minlength=last - first)
-    return out
-
-
-def _scored(model: SubwordModel, head: np.ndarray, logs: np.ndarray, known: np.ndarray):
+    return model
+
+
+def _probabilities(model: SubwordModel):
+    """log10 of the probability of each whole text, its end included; windows of all texts are scored in batches."""
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column("text")
-            n, base, seen = (np.zeros(len(text)) for _ in range(3))
-            for first, last, b, offsets in text_groups(text):
+            out = np.zeros(batch.num_rows)
+            for first, last, flat, offsets in _sequences(batch.column("ids")):
+                places, inside, text = _windows(offsets)
+                known, kind, within = model.place[flat], model.kind[flat], model.within[flat]
+                for at in range(0, len(places), 128):
+                    p, i, who = places[at : at + 128], inside[at : at + 128], text[at : at + 128]
+                    z = model.forward(known[p], i)["z"]
+                    scored = i[:, CONTEXT:]
+                    nexts = np.where(scored, p[:, CONTEXT:] + 1, 0)
+                    chosen = np.take_along_axis(z, kind[nexts][:, :, None], 2)[:, :, 0]
+                    np.exp(z, out=z)
+                    logs = (chosen - np.log(z.sum(axis=2))) / np.log(10) + within[nexts]
+                    out[first:last] += np.bincount(who, weights=(logs * scored).sum(axis=1), minlength=last - first)
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), pa.array(out)], ["_row", "doc_id", "score"])
+
+    return score
+
+
+def _head_sums(head: np.ndarray, logs: np.ndarray):
+    """Of each text: its words, those in the head, and the sum of these words' log counts."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, base, seen = (np.zeros(batch.num_rows) for _ in range(3))
+            for first, last, b, offsets in text_groups(batch.column("text")):
                 h, counts = hash_words(b, offsets)
                 at, hit = _find(head, h)
                 owner = np.repeat(np.arange(last - first), counts)[hit]
                 n[first:last] = counts
                 base[first:last] = np.bincount(owner, weights=logs[at[hit]], minlength=last - first)
-                seen[first:last] = np.bincount(owner, weights=known[at[hit]], minlength=last - first)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(base), pa.array(seen.astype(np.int64)), pa.array(log10_probability(model, text))],
-                ["_row", "doc_id", "n", "base", "seen", "score"],
-            )
+                seen[first:last] = np.bincount(owner, minlength=last - first)
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), *map(pa.array, (n.astype(np.int64), base, seen.astype(np.int64)))], ["_row", "n", "base", "seen"])
 
-    return score
+    return add
 
 
 def _find(head: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,21 +339,26 @@ def _pairs(owner: np.ndarray, h: np.ndarray):
     return (owner[new], h[new]), np.diff(np.append(new, len(owner)))
 
 
-def scores(docs: DataFrame, training: DataFrame, head_words: int = 65_536, **options) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``, learned from ``training``.
+def scores(docs: DataFrame, learn: Column, vocabulary: str = VOCABULARY, head_words: int = 65_536, **options) -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``, learned from those where ``learn`` holds.
 
     Words are runs of non-blank bytes, A-Z lowered; a text has its words and one end. base_score sums
-    log10((c + 1) / (N + V + 1)) over them: c the count of a word in ``training``, N of all, V the number of
-    distinct ones. score is the log10 probability of the text's subwords and its end under the
-    attention model, with a two-level output: the class from the context, the subword within the class
-    by its count. Windows of 48 places overlap by 16, so every subword is scored once.
+    log10((c + 1) / (N + V + 1)) over them: c the count of a word in the texts learned from, N of all, V the
+    number of distinct ones. score is the log10 probability of the text's subwords and its end under
+    the attention model, with a two-level output: the class from the context, the subword within the
+    class by its count. Windows of 48 places overlap by 16, so every subword is scored once.
 
     The counts of the ``head_words`` most frequent words, a fixed number, go to the tasks; all other
-    words meet their counts in a join. Null texts are empty: one token, the end. With no training
-    rows all counts are 0. Equal rows get equal results. Words are told apart by 64-bit hashes.
+    words meet their counts in a join. Null texts are empty: one token, the end. With nothing to
+    learn from all counts are 0. Equal rows get equal results. Words are told apart by 64-bit hashes.
+    ``vocabulary`` is the path of a byte-pair vocabulary that every executor can open.
     """
-    texts = training.select(F.coalesce("text", F.lit("")).alias("text"))
-    model, words = train(texts, **options)
+    size = _encoder(vocabulary)[1]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(F.xxhash64(row_key()).alias("_row"), "doc_id", F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce("text", F.lit("")).alias("text"))
+    sequences = stored(rows.mapInArrow(_subwords(vocabulary), f"_row long, doc_id {kind}, learn boolean, ids binary"), "lm-subwords")
+    model = train(sequences.where("learn"), size, **options)
+    words = stored(rows.where("learn").select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(sums["n"] or 0), int(sums["v"] or 0)
     end = words.where(F.col("word") == int(END_WORD.view(np.int64))).first()
@@ -338,24 +367,28 @@ def scores(docs: DataFrame, training: DataFrame, head_words: int = 65_536, **opt
     head = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(head)
     head, count = head[order], top["n"].to_numpy(np.int64)[order]
-    rows = docs.select("doc_id", F.xxhash64(row_key()).alias("_row"), F.coalesce("text", F.lit("")).alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = stored(
-        rows.select("_row", "doc_id", "text").mapInArrow(
-            _scored(model, head, np.log10(count + 1.0), (count > 0).astype(float)), f"_row long, doc_id {kind}, n long, base double, seen long, score double"
-        ),
-        "lm-scores",
-    )
-    rest = rows.select("_row", "text").mapInArrow(_rest(head), "_row long, word long, times long").join(words, "word", "left")
+    text = rows.select("_row", "text")
+    sums = text.mapInArrow(_head_sums(head, np.log10(count + 1.0)), "_row long, n long, base double, seen long").dropDuplicates(["_row"])
+    rest = text.mapInArrow(_rest(head), "_row long, word long, times long").join(words, "word", "left")
     c = F.coalesce("n", F.lit(0))
     rest = rest.groupBy("_row").agg(F.sum(F.col("times") * F.log10(c + 1)).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("also"))
+    scored = stored(sequences.select("_row", "doc_id", "ids").mapInArrow(_probabilities(model), f"_row long, doc_id {kind}, score double"), "lm-scores")
     copies = scored.groupBy("_row").agg(F.count(F.lit(1)).alias("copies"))
-    share = rest.join(copies, "_row").select("_row", (F.col("more") / F.col("copies")).alias("more"), (F.col("also") / F.col("copies")).cast("long").alias("also"))
-    base = F.col("base") + F.coalesce("more", F.lit(0.0)) + float(np.log10(ends + 1.0)) - (F.col("n") + 1) * float(np.log10(n + v + 1.0))
-    return scored.join(share, "_row", "left").select(
+    told = (
+        copies.join(sums, "_row")
+        .join(rest, "_row", "left")
+        .select(
+            "_row",
+            "n",
+            (F.col("seen") + F.coalesce((F.col("also") / F.col("copies")).cast("long"), F.lit(0))).alias("seen"),
+            (F.col("base") + F.coalesce(F.col("more") / F.col("copies"), F.lit(0.0))).alias("base"),
+        )
+    )
+    base = F.col("base") + float(np.log10(ends + 1.0)) - (F.col("n") + 1) * float(np.log10(n + v + 1.0))
+    return scored.join(told, "_row").select(
         "doc_id",
         (F.col("n") + 1).alias("n_tokens"),
-        (F.col("seen") + F.coalesce("also", F.lit(0)) + (1 if ends else 0)).alias("n_known"),
+        (F.col("seen") + (1 if ends else 0)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         base.alias("base_score"),
         "score",

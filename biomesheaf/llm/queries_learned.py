@@ -33,5 +33,5 @@ def op4_toxicity(spark, folder):
 @query("op3_lm_scores")
 def op3_lm_scores(spark, folder):
     docs = table(spark, folder, "documents")
-    found = lm.scores(docs, docs.where(fold("doc_id", 7) != 2))
+    found = lm.scores(docs, fold("doc_id", 7) != 2)
     return found.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -62,6 +62,7 @@ def fit(
     terms: int = 4096,
     dims: int = 6,
     epochs: int = 12,
+    steps: int = 1500,
     rate: float = 0.1,
     decay: float = 0.002,
     seed: int = 11,
@@ -71,8 +72,9 @@ def fit(
     ``labels`` has doc_id and toxic (of several rows of an id the largest counts, nulls are no
     label). The ``terms`` buckets that split the classes best (chi square) are kept. The machine's
     logit is bias + sum of weights + sum over pairs of terms of the product of their factors, so a
-    pair can count for more, or less, than its two terms. The bias is moved from the balanced sample
-    to the share of toxic rows among all labels.
+    pair can count for more, or less, than its two terms. Terms whose chi square is one that chance
+    gives among so many terms (below twice the log of their number) are noise and left out. The bias is moved from the balanced sample
+    to the share of toxic rows among all labels. ``epochs`` passes are made, or more for ``steps`` steps.
     """
     one = labels.groupBy("doc_id").agg(F.max("toxic").alias("_toxic")).where(F.col("_toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = {r["_toxic"]: r["n"] for r in one.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -99,7 +101,8 @@ def fit(
     b = np.bincount(at, minlength=len(found)) - a
     gap = a * (clean - b) - b * (toxic - a)
     chi = gap**2 * len(y) / np.maximum((a + b) * (len(y) - a - b) * toxic * clean, 1e-9)
-    chosen = np.sort(np.argsort(-np.where(a + b >= 3, chi, -1), kind="stable")[: min(terms, int((a + b >= 3).sum()))])
+    telling = (a + b >= 3) & (chi >= 2 * np.log(max(2, int((a + b >= 3).sum()))))
+    chosen = np.sort(np.argsort(-np.where(telling, chi, -1), kind="stable")[: min(terms, int(telling.sum()))])
     place = np.full(len(found), -1)
     place[chosen] = np.arange(len(chosen))
     keep = place[at] >= 0
@@ -108,7 +111,7 @@ def fit(
     rng = np.random.default_rng(seed)
     model = FactorizationMachine(found[chosen], np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), dims)), 0.0)
     seen_w, seen_v, seen_b = np.full(len(chosen), 1e-6), np.full((len(chosen), dims), 1e-6), 1e-6
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-steps * 32 // len(y)))):
         order = rng.permutation(len(y))
         for part in np.array_split(order, max(1, len(y) // 32)):
             sizes = cuts[part + 1] - cuts[part]
