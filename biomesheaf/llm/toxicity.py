@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .langid import labelled_sample
-from .words import NOT_TERM, hash_words, text_groups
+from .words import term_hashes, text_groups
 
 BITS = 22
+#: Words count whole and by their first bytes, so that inflected forms share terms.
+PREFIXES = (4, 5, 6)
 
 
 @dataclass
@@ -24,18 +26,23 @@ class FactorizationMachine:
     bias: float
 
 
-def _terms(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct term buckets of each text, sorted: as (text << BITS | bucket), and their cuts by text."""
-    h, counts = hash_words(b, offsets, NOT_TERM)
-    key = np.unique((np.repeat(np.arange(len(counts), dtype=np.int64), counts) << BITS) | (h >> np.uint64(64 - BITS)).astype(np.int64))
-    return key, np.searchsorted(key, np.arange(len(counts) + 1, dtype=np.int64) << BITS)
+def _terms(b: np.ndarray, offsets: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, bucket) of the distinct terms of each text, in order; with ``place`` the places of those it knows."""
+    h, text = term_hashes(b, offsets, PREFIXES)
+    bucket = (h >> np.uint64(64 - BITS)).astype(np.int64)
+    if place is not None:
+        bucket = place[bucket].astype(np.int64)
+        text, bucket = text[bucket >= 0], bucket[bucket >= 0]
+    key = np.unique((text << BITS) | bucket)
+    return key >> BITS, key & ((1 << BITS) - 1)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, b, offsets in text_groups(batch.column("text")):
-            key, cuts = _terms(b, offsets)
-            terms = pa.ListArray.from_arrays(cuts.astype(np.int32), (key & ((1 << BITS) - 1)).astype(np.int32))
+            text, bucket = _terms(b, offsets)
+            cuts = np.searchsorted(text, np.arange(last - first + 1))
+            terms = pa.ListArray.from_arrays(cuts.astype(np.int32), bucket.astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("label").slice(first, last - first), terms], ["label", "terms"])
 
 
@@ -143,10 +150,8 @@ def toxicity(model: FactorizationMachine, text: str = "text") -> Column:
         for column in columns:
             p = np.zeros(len(column))
             for first, last, b, offsets in text_groups(column):
-                key, _ = _terms(b, offsets)
-                at = place[key & ((1 << BITS) - 1)]
-                known = at >= 0
-                logit, _ = _logits(model, at[known], (key >> BITS)[known], last - first)
+                owner, at = _terms(b, offsets, place)
+                logit, _ = _logits(model, at, owner, last - first)
                 p[first:last] = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
             yield pa.array(p)
 

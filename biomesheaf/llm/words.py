@@ -108,6 +108,28 @@ def hash_words(b: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) ->
     return np.concatenate(hashes), np.diff(np.searchsorted(np.concatenate(starts), offsets))
 
 
+def term_hashes(b: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the terms of a group of texts, and the text of each: runs of letters and digits, and their beginnings.
+
+    A word longer than one of ``prefixes`` (in bytes) also counts with so much of its beginning.
+    """
+    hashes, texts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for at, stop in _pieces(b):
+        part = b[at:stop]
+        s, e, h = _hash_piece(part, offsets - at, NOT_TERM)
+        power, inverse = _weights(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(CODE[LOWER[part]] * power[: len(part)], out=total[1:])
+        owner = np.searchsorted(offsets, s + at, "right") - 1
+        hashes.append(h)
+        texts.append(owner)
+        for size in prefixes:
+            long = e - s > size
+            hashes.append(mixed((total[s[long] + size] - total[s[long]]) * inverse[s[long]]))
+            texts.append(owner[long])
+    return np.concatenate(hashes), np.concatenate(texts)
+
+
 def shingles(h: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every run of ``k`` words, in order, and how many each text has.
 
