@@ -7,6 +7,7 @@ result by a no-op write.
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -45,7 +46,7 @@ HEADLINE = (
 def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = cohort_session("bench", f"local[{cpus}]", shuffle_partitions=max(int(cpus), 1), driver_memory="16g")
+    spark = cohort_session("bench", f"local[{cpus}]", shuffle_partitions=max(int(cpus), 1), driver_memory="16g", scratch=tempfile.mkdtemp(prefix="scratch-"))
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     run = lambda name: catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()

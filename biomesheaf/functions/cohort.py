@@ -17,20 +17,3 @@ def per_sample(table, samples):
     if "sample" in table.columns:
         return table
     return table.withColumn("sample", F.explode(sample_list(samples)))
-
-
-def bounded_rows(df, max_rows, what):
-    """Rows of a hand-kept table that becomes part of the expressions, e.g. pathway targets.
-
-    A table above its proven bound raises: it is never cut short, the limit only stops the
-    surplus being gathered.
-    """
-    found = df.limit(max_rows + 1).collect()
-    if len(found) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} rows")
-    return found
-
-
-def text_array(values):
-    """An array<string> constant."""
-    return F.array(*[F.lit(x) for x in values]).cast("array<string>")

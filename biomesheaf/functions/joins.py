@@ -1,13 +1,11 @@
 """Join sides whose size Spark's statistics cannot foresee.
 
 Exploding sequences into k-mers multiplies rows by hundreds, which static estimates ignore. Such
-a side is measured before it is broadcast, or kept out of broadcasts altogether.
+a side is stored first, so that Spark knows its bytes and broadcasts or shuffles it by its own
+size check.
 """
 
-from pyspark.sql import functions as F
-
-# Rows of a k-mer table that are shipped whole to every executor (about 200 MB in memory).
-MAX_BROADCAST_ROWS = 2_000_000
+from ..session import scratch_path
 
 
 def shuffled(df):
@@ -15,23 +13,8 @@ def shuffled(df):
     return df.hint("merge")
 
 
-def measured(df, rows=None, max_rows=MAX_BROADCAST_ROWS):
-    """Broadcast the side if it is known to be small, else shuffle it.
-
-    ``rows`` is an upper bound of its size worked out by the caller; without one the rows are
-    counted, no further than the limit.
-    """
-    if rows is None:
-        rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else shuffled(df)
-
-
-def keep_if_few(df, wanted, keys, max_rows=MAX_BROADCAST_ROWS):
-    """Drop rows without a partner in ``wanted`` ahead of the real join, if that is cheap.
-
-    A short list of keys is broadcast and thins the table before its first shuffle. For a long
-    one the table is returned as it is: the join that follows gives the same result.
-    """
-    if wanted.limit(max_rows + 1).count() > max_rows:
-        return df
-    return df.join(F.broadcast(wanted), keys, "left_semi")
+def settled(df, name="settled"):
+    """``df`` written to the shared scratch folder and read again: its size is then known."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,8 +1,10 @@
 """Stable sampling buckets."""
 
+from math import ceil
+
 from pyspark.sql import functions as F
 
-BUCKETS = 1_000_000
+BUCKETS = 1 << 32
 
 
 def bucket(key, seed=1, how="xxhash64"):
@@ -14,11 +16,11 @@ def bucket(key, seed=1, how="xxhash64"):
     keys = [F.col(k) if isinstance(k, str) else k for k in (key if isinstance(key, (list, tuple)) else [key])]
     if how == "md5":
         text = F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys])
-        return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(BUCKETS))
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     if how == "xxhash64":
         return F.pmod(F.xxhash64(F.lit(int(seed)), *keys), F.lit(BUCKETS))
     raise ValueError(f"unknown bucket hash: {how}")
 
 
 def fraction_limit(fraction):
-    return int(round(fraction * BUCKETS))
+    return ceil(fraction * BUCKETS)

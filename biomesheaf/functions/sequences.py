@@ -30,7 +30,8 @@ def canonical(kmer):
 
 
 def base_count(seq, base):
-    seq = _col(seq)
+    """Occurrences of a base, soft-masked (lower case) ones included."""
+    seq = F.upper(_col(seq))
     return F.length(seq) - F.length(F.replace(seq, F.lit(base), F.lit("")))
 
 
@@ -63,10 +64,10 @@ def _pieces(seq, k):
 def explode_kmers(df, k, *keep, seq="seq", canonical=False):
     """One row per k-mer of A, C, G, T: the kept columns, ``pos`` (0-based) and ``kmer``.
 
-    With ``canonical`` the smaller of the k-mer and its reverse complement is given; the strand is
+    Soft-masked (lower case) bases count like others. With ``canonical`` the smaller of the k-mer and its reverse complement is given; the strand is
     complemented once per piece, not per k-mer.
     """
-    text = _col(seq)
+    text = F.upper(_col(seq))
     clean = F.when(text.rlike(f"[^{BASES}]"), F.regexp_replace(text, f"[^{BASES}]", "N")).otherwise(text)
     pieces = (
         df.select(*keep, clean.alias("_clean"))

@@ -338,7 +338,7 @@ def tpm(counts, gene_lengths, read_length=100):
     rates = counts.join(gene_lengths, keys).select(
         "sample",
         "gene_id",
-        (F.lit(read_length) * F.col("count") / F.col("gene_length")).alias("rate"),
+        F.try_divide(F.lit(read_length) * F.col("count"), F.col("gene_length")).alias("rate"),
     )
     totals = rates.groupBy("sample").agg(F.sum("rate").alias("total"))
     return rates.join(totals, "sample").select(
@@ -359,7 +359,7 @@ def tpm_wide(tpm_long, samples=None):
 def alignment_identity(alignments):
     """1 - NM / aligned columns. NM is taken from a column ``nm`` or from the tags."""
     nm = F.col("nm") if "nm" in alignments.columns else F.try_element_at("tags", F.lit("NM")).cast("int")
-    return F.lit(1.0) - nm / cg.aligned_columns("cigar")
+    return F.lit(1.0) - F.try_divide(nm, cg.aligned_columns("cigar"))
 
 
 def mapped_ids(alignments, min_id=0.90, keys=("sample", "qname")):
@@ -427,12 +427,12 @@ def assembly_stats(contigs, thresholds=(0, 1000, 5000, 10000, 25000, 50000), by=
         *counts,
         F.max("total").alias("total_length"),
         F.max("len").alias("largest"),
-        (F.lit(100.0) * F.sum("gc") / (F.max("total") - F.sum("unknown"))).alias("gc_percent"),
+        F.try_divide(F.lit(100.0) * F.sum("gc"), F.max("total") - F.sum("unknown")).alias("gc_percent"),
         nx(0.5).alias("n50"),
         lx(0.5).alias("l50"),
         nx(0.75).alias("n75"),
         lx(0.75).alias("l75"),
-        (F.lit(100000.0) * F.sum("unknown") / F.max("total")).alias("n_per_100kbp"),
+        F.try_divide(F.lit(100000.0) * F.sum("unknown"), F.max("total")).alias("n_per_100kbp"),
     )
 
 

@@ -9,8 +9,8 @@ short_name, pwy) with comma lists; ``normalize_targets`` makes it long: (pathway
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.cohort import bounded_rows, text_array
-from ..functions.joins import keep_if_few
+from ..functions.cohort import sample_list
+from ..functions.joins import settled
 from ..functions.sampling import bucket, fraction_limit
 from .alignments import GENOME, coverage_runs
 
@@ -18,10 +18,7 @@ from .alignments import GENOME, coverage_runs
 KIND_COLUMN = {"ec": "ec", "ko": "kegg_ko", "gene": "protein_name", "pwy": "kegg_pwy"}
 COVERAGE_COLUMNS = ("depth", "num_bases", "cds_size", "frac")
 
-# A target table names known enzymes, orthologs, genes and pathways; all such identifiers in
-# use stay well below this. Larger tables go through the join form of ``intersect_targets``.
-MAX_TARGET_IDS = 100_000
-
+# Fixed value: how target tables write the enzyme family whose members are numbered.
 EC_WILDCARD = "2.8.3._"
 
 
@@ -202,38 +199,22 @@ def _or_null(ids):
     return F.when(F.size(ids) > 0, ids)
 
 
-def intersect_targets(rows, targets_long, kinds=("ec", "ko", "gene", "pwy"), via="literal"):
+def intersect_targets(rows, targets_long, kinds=("ec", "ko", "gene", "pwy")):
     """Add ``<kind>_hit``: the ids of the row found among the targets, sorted, null when none.
 
-    ``via="literal"`` compares with one small array per kind, without a shuffle, and fails
-    above MAX_TARGET_IDS; ``via="join"`` has no bound on the targets and joins the ids.
+    Hits depend on the list of ids alone, so distinct lists meet the targets, once each, and rows get
+    the result by their list. The target table may have any size.
     """
-    if via == "literal":
-        wanted = targets_long.filter(F.col("kind").isin(*kinds)).select("kind", "id").distinct()
-        ids = {kind: [] for kind in kinds}
-        for row in bounded_rows(wanted, MAX_TARGET_IDS, "targets, use via='join'"):
-            ids[row["kind"]].append(row["id"])
-        return rows.withColumns(
-            {
-                f"{kind}_hit": _or_null(
-                    F.sort_array(F.array_intersect(F.col(KIND_COLUMN[kind]), text_array(sorted(ids[kind]))))
-                )
-                for kind in kinds
-            }
-        )
     wanted = targets_long.select("kind", "id").distinct()
-    hits = (
-        _kind_ids(rows, kinds)
-        .join(wanted, ["kind", "id"])
-        .groupBy("sample", "cds", "kind", "ids")
-        .agg(F.array_sort(F.collect_set("id")).alias("hit"))
-    )
     for kind in kinds:
         column = KIND_COLUMN[kind]
-        of_kind = hits.filter(F.col("kind") == kind).select(
-            "sample", "cds", F.col("ids").alias(column), F.col("hit").alias(f"{kind}_hit")
+        lists = rows.select(F.col(column).alias("_list")).distinct().select("_list", F.explode("_list").alias("id"))
+        hits = (
+            lists.join(wanted.filter(F.col("kind") == kind).select("id"), "id")
+            .groupBy("_list")
+            .agg(F.array_sort(F.collect_set("id")).alias(f"{kind}_hit"))
         )
-        rows = rows.join(of_kind, ["sample", "cds", column], "left")
+        rows = rows.join(hits, rows[column] == hits["_list"], "left").drop("_list")
     return rows
 
 
@@ -300,18 +281,10 @@ def intersect_by_pathway(rows, targets_long, kinds=("ec", "ko", "gene", "pwy")):
     )
 
 
-def _with_pathways(samples, targets_long, value, what):
+def _with_pathways(samples, targets_long, value):
     """Every sample with every pathway of the target table and the pathway's ``value``."""
-    per_pathway = bounded_rows(
-        targets_long.groupBy("pathway").agg(value.alias("wanted")), MAX_TARGET_IDS, what
-    )
-    table = F.array(
-        *[
-            F.struct(F.lit(r["pathway"]).alias("pathway"), text_array(r["wanted"] or []).alias("wanted"))
-            for r in per_pathway
-        ]
-    )
-    return samples.select("sample").distinct().select("sample", F.inline(table))
+    per_pathway = targets_long.groupBy("pathway").agg(value.alias("wanted"))
+    return per_pathway.select(F.explode(sample_list(samples)).alias("sample"), "pathway", "wanted")
 
 
 def missing_enzymes(pathway_hits, targets_long, samples, wildcard=EC_WILDCARD, last=50):
@@ -323,7 +296,6 @@ def missing_enzymes(pathway_hits, targets_long, samples, wildcard=EC_WILDCARD, l
         samples,
         targets_long,
         F.array_sort(F.collect_set(F.when(is_required, F.col("id")))),
-        "pathway targets",
     )
     found = (
         pathway_hits.filter(F.col("kind") == "ec")
@@ -354,7 +326,7 @@ def found_ids(pathway_hits, targets_long, samples, one_per_cds=True):
         .groupBy("sample", "pathway")
         .agg(F.array_sort(F.collect_set(F.concat("prefix", "id"))).alias("found"))
     )
-    wanted = _with_pathways(samples, targets_long, F.lit(None).cast("array<string>"), "pathways").drop("wanted")
+    wanted = _with_pathways(samples, targets_long, F.first(F.lit(None).cast("array<string>"))).drop("wanted")
     none = F.expr("cast(array() as array<string>)")
     return wanted.join(found, ["sample", "pathway"], "left").select(
         "sample", "pathway", F.coalesce("found", none).alias("found")
@@ -387,21 +359,15 @@ def gene_to_ec(rows, targets):
         .groupBy("gene")
         .agg(F.array_sort(F.collect_set(F.trim("ec"))).alias("ecs"))
     )
-    named = bounded_rows(pairs, MAX_TARGET_IDS, "gene names")
-    if not named:
-        return rows
-    enzymes_of = F.create_map(*[x for r in named for x in (F.lit(r["gene"]), text_array(r["ecs"]))])
-    translated = F.array_sort(
-        F.array_distinct(
-            F.flatten(
-                F.filter(
-                    F.transform("gene_hit", lambda g: F.try_element_at(enzymes_of, g)),
-                    lambda ecs: ecs.isNotNull(),
-                )
-            )
-        )
+    lists = rows.filter(F.col("ec_hit").isNull()).select(F.col("gene_hit").alias("_genes")).distinct()
+    translated = (
+        lists.select("_genes", F.explode("_genes").alias("gene"))
+        .join(pairs, "gene")
+        .groupBy("_genes")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ecs")))).alias("_ecs"))
     )
-    return rows.withColumn("ec_hit", F.coalesce("ec_hit", _or_null(translated)))
+    known = rows.join(translated, rows["gene_hit"] == translated["_genes"], "left")
+    return known.withColumn("ec_hit", F.coalesce("ec_hit", "_ecs")).drop("_genes", "_ecs")
 
 
 def split_depth(rows, ids, name="id"):
@@ -522,10 +488,10 @@ def annotation_enzymes(annotations, targets):
 
 
 def target_spans(spans, enzymes):
-    """Only the spans on CDS with target enzymes, where these are few enough to be broadcast."""
+    """Only the spans on CDS with target enzymes; their list is stored, so Spark knows whether to broadcast it."""
     names = enzymes.select(*[c for c in ("sample", "cds") if c in enzymes.columns])
     names = names.withColumnRenamed("cds", "rname").distinct()
-    return keep_if_few(spans, names, names.columns)
+    return spans.join(settled(names, "target-cds"), names.columns, "left_semi")
 
 
 def enzyme_features(collapsed, enzymes, targets, threshold=0.75, by=("sample",)):
@@ -573,8 +539,6 @@ def all_samples(df):
     return df.select("sample").distinct()
 
 
-
-
 def collapse_runs(runs, ref_lengths, by=("sample",)):
     """``collapse_coverage`` straight from depth runs, without depth 0 and genome rows."""
     by = list(by)
@@ -597,7 +561,9 @@ def feature_rarefaction(spans, ref_lengths, annotations, targets, threshold=0.75
     a fraction without features counts 0.
     """
     fractions = sorted(fractions or [p / 100 for p in range(5, 100, 5)])
-    percents = F.array(*[F.lit(int(round(f * 100))) for f in fractions])
+    # Every fraction is a level of its own, however close to the next.
+    shown = [round(f * 100, 10) for f in fractions]
+    percents = F.array(*[F.lit(int(p) if all(x == int(x) for x in shown) else float(p)) for p in shown])
     # The bucket is a column of its own and the filter looks at the last limit only, so that a key
     # is not hashed again for every fraction.
     limits = [fraction_limit(f) for f in fractions]

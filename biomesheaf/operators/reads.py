@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences as sq
-from ..functions.joins import measured, shuffled
+from ..functions.joins import settled, shuffled
 from ..functions.kernels import (
     adapter_cut_udf,
     longest_overlap_udf,
@@ -18,10 +18,6 @@ from .alignments import FIRST_MATE, REVERSE, SECOND_MATE, has_flag, lacks_flag
 
 PAIR = ["sample", "pair_id"]
 
-# An adapter file is a hand-kept panel that travels with the tasks. Longer panels can be
-# passed as a plain list of sequences.
-MAX_ADAPTERS = 10_000
-
 # ---------------------------------------------------------------- pairs
 
 
@@ -68,12 +64,10 @@ def deinterleave(reads):
 
 
 def _adapter_panel(adapters):
-    if not isinstance(adapters, DataFrame):
-        return list(adapters)
-    rows = adapters.select("seq").limit(MAX_ADAPTERS + 1).collect()
-    if len(rows) > MAX_ADAPTERS:
-        raise ValueError(f"more than {MAX_ADAPTERS} adapters: pass the sequences as a list")
-    return [r["seq"] for r in rows]
+    """The sequences of a hand-kept panel, which travels with the tasks, in upper case."""
+    if isinstance(adapters, DataFrame):
+        adapters = [r["seq"] for r in adapters.select("seq").distinct().orderBy("seq").collect()]
+    return [a.upper() for a in adapters]
 
 
 def _keep_first(reads, kept):
@@ -93,7 +87,7 @@ def trim_adapters(reads, adapters, error_rate=0.1, min_overlap=3):
     ``min_overlap`` bases with at most ``error_rate`` mismatches.
     """
     cut = adapter_cut_udf(_adapter_panel(adapters), error_rate, min_overlap)
-    return _keep_first(reads, cut(F.col("seq")))
+    return _keep_first(reads, cut(F.upper("seq")))
 
 
 def quality_trim(reads, cutoff=10):
@@ -117,7 +111,7 @@ def filter_pairs_by_length(reads, min_len=50, policy="any"):
 def trim_and_filter(reads, adapters, cutoff=10, min_len=50, error_rate=0.1, min_overlap=3):
     """Quality trim, then adapters (both in one pass over the batch), then the length filter."""
     cut = quality_adapter_cut_udf(cutoff, _adapter_panel(adapters), error_rate, min_overlap)
-    trimmed = _keep_first(reads, cut(F.col("seq"), F.col("qual")))
+    trimmed = _keep_first(reads, cut(F.upper("seq"), F.col("qual")))
     return filter_pairs_by_length(trimmed, min_len)
 
 
@@ -151,18 +145,11 @@ def contaminant_kmers(refs, k=31, hdist=1):
     return words.select("ref_id", F.explode(variants).alias("kmer")).distinct()
 
 
-def _word_bound(refs, k, hdist):
-    """Upper bound of the k-mer table: two words per base, each with its one-base variants."""
-    bases = refs.agg(F.coalesce(F.sum(F.length("seq")), F.lit(0))).first()[0]
-    return 2 * bases * (1 + 3 * k * hdist)
-
-
 def screened_pairs(reads, refs, k=31, hdist=1):
     """Pairs with a mate holding a contaminant k-mer. Only the reference side knows both
-    strands, so reads are cut once. A small reference is broadcast, and no read k-mer is
-    shuffled; a large one (a host genome) is joined by shuffle."""
-    words = contaminant_kmers(refs, k, hdist).select("kmer").distinct()
-    words = measured(words, _word_bound(refs, k, hdist))
+    strands, so reads are cut once. Their words are stored first: Spark then broadcasts those of a
+    small reference, so that no read k-mer is shuffled, and shuffles those of a host genome."""
+    words = settled(contaminant_kmers(refs, k, hdist).select("kmer").distinct(), "contaminants")
     return sq.explode_kmers(reads, k, *PAIR).join(words, "kmer", "left_semi").select(*PAIR).distinct()
 
 
@@ -176,7 +163,7 @@ def kmer_screen_stats(reads, refs, k=31, hdist=1):
     """Reads matching each reference, as a count and as a percentage of the sample's reads."""
     matched = (
         sq.explode_kmers(reads, k, *PAIR, "mate")
-        .join(measured(contaminant_kmers(refs, k, hdist), _word_bound(refs, k, hdist)), "kmer")
+        .join(settled(contaminant_kmers(refs, k, hdist), "contaminants"), "kmer")
         .select("sample", "ref_id", "pair_id", "mate")
         .distinct()
         .groupBy("sample", "ref_id")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import cigar as cg
 from ..functions.cohort import sample_list
 from ..functions.sampling import bucket, fraction_limit
-from .alignments import UNMAPPED, alignment_spans, coverage_runs, lacks_flag
+from .alignments import SECONDARY, SUPPLEMENTARY, UNMAPPED, alignment_spans, coverage_runs, lacks_flag
 from .annotation import entry_level
 
 # Levels of the resistance annotation, finest first.
@@ -144,15 +144,16 @@ def snp_haplotypes(alignments, genes):
     """Mismatch patterns of reads against their gene and how often each occurs.
 
     A pattern is ``pos:ref>alt`` joined by ``;`` in order of position (1-based), taken from the
-    gap-free blocks. Reads equal to the gene stop at one comparison of two strings.
+    gap-free blocks of primary records that carry their bases; case does not matter. Reads equal to the gene stop at one comparison of two strings.
     """
     hits = (
-        alignments.filter(lacks_flag(UNMAPPED) & F.col("seq").isNotNull())
-        .select("sample", F.col("rname").alias("gene"), "pos", "cigar", "seq")
+        alignments.filter(lacks_flag(UNMAPPED) & lacks_flag(SECONDARY) & lacks_flag(SUPPLEMENTARY))
+        .filter(F.col("seq").isNotNull() & (F.col("seq") != "*"))
+        .select("sample", F.col("rname").alias("gene"), "pos", "cigar", F.upper("seq").alias("seq"))
         .groupBy("sample", "gene", "pos", "cigar", "seq")
         .agg(F.count(F.lit(1)).alias("n"))
         .join(genes.select("gene", "gene_seq"), "gene")
-        .withColumn("ref", F.substring(F.col("gene_seq"), F.col("pos").cast("int"), cg.reference_span("cigar")))
+        .withColumn("ref", F.substring(F.upper("gene_seq"), F.col("pos").cast("int"), cg.reference_span("cigar")))
         .drop("gene_seq")
         .filter((F.col("seq") != F.col("ref")))
     )

@@ -7,40 +7,55 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import sequences as sq
-from ..functions.joins import measured
+from ..functions.joins import settled
 
 UNCLASSIFIED = 0
-MAX_TREE_DEPTH = 100
+# Reads whose taxon is not in the tree are counted on a line of this id and name.
+UNPLACED, UNPLACED_NAME = -1, "unplaced"
+ROW_GUARD = "spark.sql.cteRecursionRowLimit"
 
 
 def lineages(taxonomy):
     """tax_id -> path of ids and of names from the root down, by a recursive query.
 
-    The work grows with the taxonomy, not with the reads. The row guard of recursive queries
-    is lifted because published taxonomies have more than a million nodes.
+    The work grows with the taxonomy, not with the reads. The result is stored, so plans that use it
+    read a table; a table that has paths already is returned as it is. Spark's guard on the rows
+    of a recursion is lifted for this query only: published taxonomies have over a million nodes.
     """
+    if "path" in taxonomy.columns:
+        return taxonomy
     spark = taxonomy.sparkSession
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return spark.sql(
-        f"""
-        with recursive walk(tax_id, rank, name, path, names) max recursion level {MAX_TREE_DEPTH} as (
-          select tax_id, rank, name, array(tax_id), array(name) from {{tax}} where parent_id = 0
-          union all
-          select t.tax_id, t.rank, t.name, concat(w.path, array(t.tax_id)), concat(w.names, array(t.name))
-          from walk w join {{tax}} t on t.parent_id = w.tax_id)
-        select * from walk
-        """,
-        tax=taxonomy.select("tax_id", "parent_id", "rank", "name"),
-    )
+    guard = spark.conf.get(ROW_GUARD)
+    spark.conf.set(ROW_GUARD, "-1")
+    try:
+        return settled(
+            spark.sql(
+                """
+                with recursive walk(tax_id, rank, name, path, names) max recursion level 2147483647 as (
+                  select tax_id, rank, name, array(tax_id), array(name) from {tax} where parent_id = 0
+                  union all
+                  select t.tax_id, t.rank, t.name, concat(w.path, array(t.tax_id)), concat(w.names, array(t.name))
+                  from walk w join {tax} t on t.parent_id = w.tax_id)
+                select * from walk
+                """,
+                tax=taxonomy.select("tax_id", "parent_id", "rank", "name"),
+            ),
+            "lineages",
+        )
+    finally:
+        spark.conf.set(ROW_GUARD, guard)
 
 
 def canonical_kmer_db(kmer_db, taxonomy):
-    """(kmer -> tax_id) with canonical k-mers; strands naming different taxa get their LCA."""
+    """(kmer -> tax_id) with canonical k-mers; strands naming different taxa get their LCA.
+
+    A taxon outside the tree is its own root; k-mers of taxa without a common root get taxon 0.
+    """
     paths = lineages(taxonomy).select("tax_id", "path")
     return (
-        kmer_db.join(paths, "tax_id")
-        .groupBy(sq.canonical("kmer").alias("kmer"))
-        .agg(F.collect_set("path").alias("paths"))
+        kmer_db.join(paths, "tax_id", "left")
+        .groupBy(sq.canonical(F.upper("kmer")).alias("kmer"))
+        .agg(F.collect_set(F.coalesce("path", F.array("tax_id"))).alias("paths"))
         .select("kmer", _lca(F.col("paths")).alias("tax_id"))
     )
 
@@ -52,12 +67,12 @@ def _lca(paths):
         F.element_at(paths, 1),
         lambda acc, p: F.array_intersect(acc, p),
     )
-    return F.element_at(common, -1)
+    return F.coalesce(F.try_element_at(common, F.lit(-1)), F.lit(UNCLASSIFIED))
 
 
 def _read_hits(reads, kmer_db, k):
     words = sq.explode_kmers(reads, k, "sample", "pair_id", canonical=True)
-    return words.join(measured(kmer_db), "kmer").select("sample", "pair_id", "tax_id")
+    return words.join(kmer_db, "kmer").select("sample", "pair_id", "tax_id")
 
 
 def classify_reads(reads, kmer_db, taxonomy, k):
@@ -121,7 +136,7 @@ def kmer_hit_string(reads, kmer_db, k):
     # Only k-mers found in the table travel; the read itself tells the others apart.
     hits = (
         sq.explode_kmers(reads, k, *read, canonical=True)
-        .join(measured(kmer_db), "kmer")
+        .join(kmer_db, "kmer")
         .select(*read, F.struct("pos", F.col("tax_id").cast("string").alias("label")).alias("hit"), F.lit(None).cast("string").alias("seq"))
     )
     whole = reads.select(
@@ -162,11 +177,15 @@ def kmer_hit_string(reads, kmer_db, k):
 def taxonomy_report(read_class, taxonomy):
     """Clade and direct read counts per taxon in pre-order, with the unclassified row.
 
+    Reads of a taxon that is not in the tree are counted in the row ``unplaced``, so the rows of rank
+    U and the root add up to all reads.
     Reads are counted per sample and taxon before the tree is looked at.
     """
     direct = read_class.groupBy("sample", "tax_id").agg(F.count(F.lit(1)).alias("n"))
     tree = lineages(taxonomy)
-    placed = direct.join(tree.select("tax_id", "path"), "tax_id")
+    known = direct.join(tree.select("tax_id", "path"), "tax_id", "left")
+    placed = known.filter(F.col("path").isNotNull())
+    outside = known.filter(F.col("path").isNull() & (F.col("tax_id") != UNCLASSIFIED)).groupBy("sample").agg(F.sum("n").alias("n"))
     clades = (
         placed.select("sample", "n", F.col("tax_id").alias("own"), F.explode("path").alias("tax_id"))
         .groupBy("sample", "tax_id")
@@ -185,10 +204,20 @@ def taxonomy_report(read_class, taxonomy):
         F.lit("unclassified").alias("name"),
         F.array("tax_id").alias("path"),
     )
+    unplaced = outside.select(
+        F.lit(UNPLACED).cast("bigint").alias("tax_id"),
+        "sample",
+        F.col("n").alias("clade_reads"),
+        F.col("n").alias("direct_reads"),
+        F.lit("U").alias("rank"),
+        F.lit(UNPLACED_NAME).alias("name"),
+        F.array(F.lit(0).cast("bigint"), F.lit(UNPLACED).cast("bigint")).alias("path"),
+    )
     totals = direct.groupBy("sample").agg(F.sum("n").alias("total"))
     in_order = Window.partitionBy("sample").orderBy("path")
     return (
         clades.unionByName(unknown)
+        .unionByName(unplaced)
         .join(totals, "sample")
         .select(
             "sample",
@@ -211,7 +240,8 @@ def classified_labels(read_class):
 def translate_lineage(read_class, taxonomy, sep="|"):
     """Full taxonomic name of each classified read: (sample, read_id, taxonomy)."""
     names = lineages(taxonomy).select("tax_id", F.concat_ws(sep, "names").alias("taxonomy"))
-    return classified_labels(read_class).join(names, "tax_id").select("sample", "read_id", "taxonomy")
+    labels = classified_labels(read_class).join(names, "tax_id", "left")
+    return labels.select("sample", "read_id", F.coalesce("taxonomy", F.lit(UNPLACED_NAME)).alias("taxonomy"))
 
 
 # ---------------------------------------------------------------- summaries

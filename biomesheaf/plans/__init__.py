@@ -1,5 +1,6 @@
 """End-to-end plans: each composes operators into one lazy DataFrame."""
 
+from ..functions.joins import settled
 from ..operators import alignments as al
 from ..operators import annotation as an
 from ..operators import reads as rd
@@ -42,7 +43,8 @@ def gene_abundance(alignments, intervals, gene_lengths, score=None):
 
 def taxonomy_summary(reads, kmer_db, taxonomy, track_reads, k=35):
     """Reads -> classification -> report -> domain counts and richness per sample."""
-    report = tx.taxonomy_report(tx.classify_reads(reads, kmer_db, taxonomy, k), taxonomy)
+    tree = tx.lineages(taxonomy)
+    report = settled(tx.taxonomy_report(tx.classify_reads(reads, kmer_db, tree, k), tree), "report")
     return tx.classification_summary(report, track_reads)
 
 

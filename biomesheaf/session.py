@@ -1,18 +1,17 @@
 """Session defaults and the shared scratch folder."""
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def cohort_session(app_name="biomesheaf", master=None, shuffle_partitions=None, driver_memory=None):
+def cohort_session(app_name="biomesheaf", master=None, shuffle_partitions=None, driver_memory=None, scratch=None):
     """A session with the settings the operators are written for.
 
     Joins between tables are left to Spark, which broadcasts a side only after its own size
-    check and otherwise shuffles, splitting skewed partitions; k-mer joins, whose sizes it cannot
-    foresee, are decided by ``functions.joins``. Nothing here is needed for correct results.
+    check and otherwise shuffles, splitting skewed partitions; tables whose sizes it cannot foresee
+    are stored first (``functions.joins``). ``scratch`` is a folder that driver and executors share.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -26,18 +25,16 @@ def cohort_session(app_name="biomesheaf", master=None, shuffle_partitions=None,
         builder = builder.master(master)
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
 
 
 def scratch_path(spark, name):
-    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
-
-    Only where the session names none (local tests) a temporary folder is made.
-    """
+    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="biomesheaf-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

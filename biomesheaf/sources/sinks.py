@@ -4,7 +4,13 @@ from pyspark.sql import functions as F
 
 
 def write_table(df, path, fmt="parquet", mode="errorifexists", by=("sample",)):
-    """Write a table partitioned by sample (``by=()`` for none)."""
+    """Write a table partitioned by sample (``by=()`` for none).
+
+    Rows are rebalanced by sample first: a file is as large as Spark's advisory partition size, a
+    large sample has several files and no task writes to all samples.
+    """
+    if by:
+        df = df.hint("rebalance", *by)
     writer = df.write.mode(mode)
     if by:
         writer = writer.partitionBy(*by)
@@ -17,12 +23,12 @@ def _record(mark):
     return F.concat_ws("\n", F.concat(F.lit("@"), F.col("pair_id"), mark), "seq", F.lit("+"), "qual")
 
 
-def write_fastq(reads, path, layout="interleaved", compression="none", mode="errorifexists"):
+def write_fastq(reads, path, layout="interleaved", compression="none", mode="errorifexists", pairs_per_file=5_000_000):
     """Write FASTQ text, one ``sample=...`` folder per sample.
 
     ``interleaved`` keeps mates adjacent: a pair becomes one text value of two records, so no
-    file border can part it. ``split`` writes below ``<path>/R1`` and ``<path>/R2``, both in pair
-    order of the same ranges.
+    file border can part it. ``split`` writes the pairs that have both mates below ``<path>/R1`` and
+    ``<path>/R2``, in the same order and files of about ``pairs_per_file`` pairs.
     """
     mark = F.concat(F.lit("/"), F.col("mate").cast("string"))
     if layout == "interleaved":
@@ -35,15 +41,15 @@ def write_fastq(reads, path, layout="interleaved", compression="none", mode="err
         return
     if layout != "split":
         raise ValueError(f"unknown layout: {layout}")
-    # A fixed number of hash partitions puts both mates of a pair into files of the same number.
-    files = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # One row per whole pair gives both files, so they stay in step; orphans are left out.
+    pairs = reads.groupBy("sample", "pair_id").agg(F.array_sort(F.collect_list(F.struct("mate", "seq", "qual"))).alias("mates"))
+    whole = pairs.filter(F.transform("mates", lambda m: m["mate"]) == F.array(F.lit(1), F.lit(2)))
+    sizes = whole.groupBy("sample").agg(F.ceil(F.count(F.lit(1)) / pairs_per_file).cast("int").alias("files"))
+    dealt = whole.join(sizes, "sample").withColumn("_part", F.pmod(F.xxhash64("pair_id"), F.col("files")))
+    dealt = dealt.repartition("sample", "_part").sortWithinPartitions("sample", "_part", "pair_id")
     for mate in (1, 2):
-        one = (
-            reads.filter(F.col("mate") == mate)
-            .repartition(files, "sample", "pair_id")
-            .sortWithinPartitions("sample", "pair_id")
-            .select("sample", _record(mark).alias("value"))
-        )
+        one = dealt.select("sample", "pair_id", F.lit(mate).alias("mate"), F.get("mates", F.lit(mate - 1)).alias("m"))
+        one = one.select("sample", "pair_id", "mate", "m.seq", "m.qual").select("sample", _record(mark).alias("value"))
         one.write.mode(mode).option("compression", compression).partitionBy("sample").text(f"{path}/R{mate}")
 
 

@@ -4,9 +4,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
-from ..functions.cohort import per_sample  # noqa: F401  (re-exported for readers of headers)
 
 FILE = "_metadata.file_path"
 
@@ -71,9 +71,10 @@ def read_sam(spark, path, sample_pattern="([^/.]+)\\.[^/]*$"):
     cells = F.split("value", "\t")
     names = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")
     kinds = {"flag": "int", "pos": "bigint", "mapq": "int", "pnext": "bigint", "tlen": "bigint"}
-    fields = [
-        F.get("cells", F.lit(i)).cast(kinds.get(n, "string")).alias(n) for i, n in enumerate(names)
-    ]
+    cell = lambda i: F.get("cells", F.lit(i))
+    # ``*`` in these two stands for bases and qualities that are not given.
+    given = {n: F.nullif(cell(names.index(n)), F.lit("*")) for n in ("seq", "qual")}
+    fields = [given.get(n, cell(i)).cast(kinds.get(n, "string")).alias(n) for i, n in enumerate(names)]
     tags = F.map_from_entries(
         F.transform(
             F.slice("cells", len(names) + 1, F.size("cells")),
@@ -196,33 +197,67 @@ def read_classification(spark, path, sample_pattern="([^/]+)\\.krakenClass$"):
     )
 
 
+def _first_lines(spark, paths):
+    """(file, header) of every file that has a line: the line at its very beginning."""
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col(FILE).alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    return lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+
+
 def read_track_reads(spark, path):
-    """Blank-separated tracking table of all stages: (sample, input, qtrimmed) only."""
-    # The header names and their order.
-    order = ("#sample", "#input", "#noAdpt", "#filtered", "#decontaminated", "#qtrimmed")
-    cells = F.split(F.trim("value"), "\\s+")
-    return (
-        spark.read.text(path)
-        .filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
-        .select(
-            F.get(cells, F.lit(order.index("#sample"))).alias("sample"),
-            F.get(cells, F.lit(order.index("#input"))).cast("bigint").alias("input"),
-            F.get(cells, F.lit(order.index("#qtrimmed"))).cast("bigint").alias("qtrimmed"),
-        )
+    """Blank-separated tracking table: (sample, input, qtrimmed), found by the names in each file's header.
+
+    A file that begins without a header (a part of a written folder) has that of the others, if they
+    agree. A header that lacks one of the three names, or none at all, raises.
+    """
+    # The header names.
+    wanted = {"sample": "#sample", "input": "#input", "qtrimmed": "#qtrimmed"}
+    cells = lambda c: F.split(F.trim(c), "\\s+")
+    headers = _first_lines(spark, path).withColumn("header", F.when(F.col("header").startswith("#"), F.trim("header")))
+    shared = headers.agg(F.collect_set("header").alias("all")).select(F.when(F.size("all") == 1, F.get("all", F.lit(0)))).scalar()
+    headers = headers.select("file", cells(F.coalesce("header", shared)).alias("names"))
+    rows = spark.read.text(path).select("value", F.col(FILE).alias("file"))
+    rows = rows.filter((F.trim("value") != "") & ~F.col("value").startswith("#")).join(headers, "file")
+
+    def cell(name):
+        at = F.array_position("names", wanted[name]).cast("int")
+        message = F.concat(F.lit(f"no column {wanted[name]} in "), F.col("file"))
+        return F.when(at > 0, F.get(cells("value"), at - 1)).otherwise(F.raise_error(message).cast("string"))
+
+    return rows.select(
+        cell("sample").alias("sample"), cell("input").cast("bigint").alias("input"), cell("qtrimmed").cast("bigint").alias("qtrimmed")
     )
 
 
 def combine_sample_files(
     spark, paths, schema, sep="\t", header=True, sample_pattern=r"([^/]+)\.tsv(?:/[^/]*)?$"
 ):
-    """Append per-sample tables; ``Sample`` is the name of the file without ``.tsv``.
+    """Append per-sample tables by column name; ``Sample`` is the name of the file without ``.tsv``.
 
     The table of a sample may be a file or a folder of that name written by Spark. ``schema`` is a
-    DDL string. Files without rows add nothing, whichever comes first.
+    DDL string. Files may hold the columns in any order; one that a file lacks is null there. Files
+    without rows add nothing, whichever comes first. Without a header columns go by position.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    table = spark.read.csv(paths, sep=sep, header=header, schema=schema)
-    return table.select("*", sample_from(FILE, sample_pattern).alias("Sample"))
+    sample = sample_from(FILE, sample_pattern).alias("Sample")
+    kinds = StructType.fromDDL(schema)
+    if not header:
+        return spark.read.csv(paths, sep=sep, schema=schema).select("*", sample)
+    # One read for each order of columns there is.
+    orders = {}
+    for row in _first_lines(spark, paths).collect():
+        orders.setdefault(row["header"], []).append(row["file"])
+    parts = []
+    for line, files in sorted(orders.items()):
+        names = [n.strip().strip('"') for n in line.split(sep)]
+        found = StructType([kinds[n] if n in kinds.names else StructField(n, StringType()) for n in names])
+        part = spark.read.csv(sorted(files), sep=sep, header=True, schema=found)
+        parts.append(part.select(*[F.col(f"`{n}`") for n in names if n in kinds.names], sample))
+    none = spark.createDataFrame([], kinds).withColumn("Sample", F.lit(None).cast("string"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, none).select(*kinds.names, "Sample")
 
 
 def append_tables(tables):
@@ -230,9 +265,13 @@ def append_tables(tables):
     return reduce(lambda a, b: DataFrame.unionByName(a, b, allowMissingColumns=True), tables)
 
 
+# The file names of the combined tables; haplotypes are named by sequencing lane.
+RESISTOME_FILES = {"gene": "*gene.tsv", "group": "*group.tsv", "mechanism": "*mechanism.tsv", "class": "*class.tsv", "snp": "*_L???.tsv"}
+
+
 def combine_resistome(spark, folder, schemas_by_level):
-    """The combined table of each level from ``<folder>/*<level>.tsv``."""
+    """The combined table of each level (gene, group, mechanism, class, snp) from the files of that level."""
     return {
-        level: combine_sample_files(spark, f"{folder.rstrip('/')}/*{level}.tsv", ddl)
+        level: combine_sample_files(spark, f"{folder.rstrip('/')}/{RESISTOME_FILES.get(level, f'*{level}.tsv')}", ddl)
         for level, ddl in schemas_by_level.items()
     }

@@ -210,7 +210,7 @@ def _(v):
 @check("intersect_targets_join", f"select sample, cds, {HIT_TEXT} from coll_wide_v")
 def _(v):
     rows = an.intersect_targets(
-        an.parse_annotation_lists(collapsed(v)), an.normalize_targets(targets(v)), via="join"
+        an.parse_annotation_lists(collapsed(v)), an.normalize_targets(targets(v))
     )
     return joined(rows.select("sample", "cds", *HITS), *HITS)
 
@@ -386,8 +386,8 @@ def _(v):
 def rarefied_sql():
     return """
 with fr as (select cast(unnest(range(5, 100, 5)) as int) as percent),
-al as (select *, cast('0x' || substr(md5('1:' || qname), 1, 8) as bigint) % 1000000 as bucket from aln_v),
-b as (select sample, percent, rname, cast(unnest(range(start0, end0)) as bigint) as p from al join fr on bucket < percent * 10000),
+al as (select *, cast('0x' || substr(md5('1:' || qname), 1, 8) as bigint) as bucket from aln_v),
+b as (select sample, percent, rname, cast(unnest(range(start0, end0)) as bigint) as p from al join fr on bucket < percent * 42949672.96),
 d as (select sample, percent, rname, p, count(*) as depth from b group by 1, 2, 3, 4),
 h as (select sample, percent, rname, depth, count(*) as n from d group by 1, 2, 3, 4),
 c as (select sample, percent, rname as cds, sum(depth) as depth, sum(n) / 400.0 as frac from h group by 1, 2, 3),

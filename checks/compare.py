@@ -1,7 +1,9 @@
 """Run queries against their SQL in DuckDB: ``python -m checks.compare sf0.01 [name ...]``."""
 
 import math
+import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -66,7 +68,7 @@ def compare(spark, con, folder, name):
 def main(argv):
     folder = f"{DATA}/{argv[0] if argv else 'sf0.001'}"
     names = argv[1:] or list(catalog.QUERIES)
-    spark = cohort_session(master="local[8]", shuffle_partitions=8, driver_memory="8g")
+    spark = cohort_session(master=f"local[{os.environ.get('CPUS', '8')}]", shuffle_partitions=8, driver_memory="8g", scratch=tempfile.mkdtemp(prefix="scratch-"))
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(folder), 0
     for name in names:

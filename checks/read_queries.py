@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from biomesheaf.functions import sequences as sq
 from biomesheaf.operators import reads as rd
 from biomesheaf.plans import clean_reads
 
@@ -161,9 +162,20 @@ def _(v):
     return rounded(rd.kmer_screen_stats(v.reads_v, v.artifacts_v), "percent")
 
 
-@check("kmer_cardinality")
+@check(
+    "kmer_cardinality",
+    f"""
+select sample, count(distinct {CANON}) as kmers, true as within_bound from (
+  select sample, substr(seq, cast(unnest(range(1, length(seq) - 29)) as int), 31) as kmer from reads_v)
+where kmer not like '%N%' group by sample""",
+)
 def _(v):
-    return rd.kmer_cardinality(v.reads_v)
+    """The estimate against the exact count; three times its standard error is allowed."""
+    rsd = 0.05
+    exact = sq.explode_kmers(v.reads_v, 31, "sample", canonical=True).groupBy("sample").agg(F.count_distinct("kmer").alias("exact"))
+    both = rd.kmer_cardinality(v.reads_v, rsd=rsd).join(exact, "sample")
+    within = F.abs(F.col("kmers") - F.col("exact")) <= 3 * rsd * F.col("exact")
+    return both.select("sample", F.col("exact").alias("kmers"), within.alias("within_bound"))
 
 
 @check(
@@ -203,7 +215,7 @@ def _(v):
     "subsample",
     f"""
 select {KEY}, seq from reads_v
-where cast('0x' || substr(md5('1:' || cast(pair_id as varchar)), 1, 8) as bigint) % 1000000 < 50000""",
+where cast('0x' || substr(md5('1:' || cast(pair_id as varchar)), 1, 8) as bigint) < 0.05 * 4294967296""",
 )
 def _(v):
     return rd.subsample(v.reads_v, 0.05, how="md5").drop("qual")

@@ -226,9 +226,9 @@ def _(v):
     "resistome_rarefaction",
     """
 with fr as (select cast(unnest(range(5, 101, 5)) as int) as percent), it as (select cast(unnest(range(1, 3)) as int) as iteration),
-h as (select h.*, it.iteration, cast('0x' || substr(md5(cast(it.iteration as varchar) || ':' || cast(qname as varchar)), 1, 8) as bigint) % 1000000 as bucket
+h as (select h.*, it.iteration, cast('0x' || substr(md5(cast(it.iteration as varchar) || ':' || cast(qname as varchar)), 1, 8) as bigint) as bucket
   from hits_v h, it where flag & 4 = 0),
-b as (select sample, iteration, percent, rname, cast(unnest(range(pos - 1, pos + 63)) as bigint) as p from h join fr on bucket < percent * 10000),
+b as (select sample, iteration, percent, rname, cast(unnest(range(pos - 1, pos + 63)) as bigint) as p from h join fr on bucket < percent * 42949672.96),
 g as (select b.sample, b.iteration, b.percent, b.rname from b join genes_v on gene = rname group by 1, 2, 3, 4, gene_length
   having count(distinct p) * 100 >= gene_length * 70),
 n as (select sample, iteration, percent, unnest(['gene', 'group', 'mechanism', 'class']) as level, unnest([x.gene, x.grp, x.mechanism, x.class]) as name
@@ -247,7 +247,7 @@ def _(v):
     "snp_haplotypes",
     """
 with b as (select h.sample, h.rname as gene, h.qname, h.pos + i - 1 as p0, substr(h.seq, i, 1) as alt, substr(g.gene_seq, cast(h.pos + i - 1 as int), 1) as ref
-  from (select *, cast(unnest(range(1, 65)) as int) as i from hits_v where flag & 4 = 0) h join genes_v g on g.gene = h.rname),
+  from (select *, cast(unnest(range(1, 65)) as int) as i from hits_v where flag & 2308 = 0) h join genes_v g on g.gene = h.rname),
 p as (select sample, gene, qname, string_agg(cast(p0 as varchar) || ':' || ref || '>' || alt, ';' order by p0) as pattern
   from b where ref <> alt group by 1, 2, 3)
 select sample, gene, pattern, count(*) as occurrence from p group by 1, 2, 3""",

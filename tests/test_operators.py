@@ -6,7 +6,6 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from biomesheaf.functions import joins
 from biomesheaf.functions import sequences as sq
 from biomesheaf.operators import alignments as al
 from biomesheaf.operators import annotation as an
@@ -86,7 +85,7 @@ def test_tpm_sums_to_a_million(spark):
     assert rows(tpm.filter("sample = 'z'"), "tpm") == [(None,)]
 
 
-def test_screen_finds_variants_on_both_strands_either_way(spark, monkeypatch):
+def test_screen_finds_variants_on_both_strands_either_way(spark):
     ref = "ACGTTGCATCGATCGGATCTTACGGCATGCATTAGCCATG"
     variant = ref[:20] + ("A" if ref[20] != "A" else "C") + ref[21:]
     other = "".join(random.Random(7).choice("ACGT") for _ in range(40))
@@ -95,12 +94,14 @@ def test_screen_finds_variants_on_both_strands_either_way(spark, monkeypatch):
         "sample string, pair_id int, mate int, seq string, qual string",
     )
     refs = spark.createDataFrame([("r", ref)], "ref_id string, seq string")
-    for limit in (joins.MAX_BROADCAST_ROWS, 0):
-        monkeypatch.setattr(rd, "measured", lambda df, n=None, m=limit: joins.measured(df, n, m))
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (usual, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         kept, removed = rd.kmer_screen(reads, refs, hdist=1)
         assert rows(kept, "pair_id") == [(2,), (2,)]
         assert rows(removed, "pair_id") == [(0,), (0,), (1,), (1,)]
         assert rows(rd.kmer_screen(reads, refs, hdist=0)[1], "pair_id") == [(0,), (0,)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
 
 
 def test_subsamples_are_nested(spark):
