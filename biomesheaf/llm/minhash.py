@@ -14,7 +14,7 @@ from .words import hash_words, shingles, text_groups
 
 WORDS = 5
 #: Parts of a signature, of 8 bits each; the first INDEXED of them are split into CHUNKS.
-PARTS, INDEXED, CHUNKS, ERRORS = 256, 66, 11, 1
+PARTS, INDEXED, CHUNKS, ERRORS = 512, 66, 11, 1
 BLOCK = 256
 _rng = np.random.default_rng(1_703)
 FACTORS = (_rng.integers(1, 2**31, PARTS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -164,7 +164,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
     are linked; component_id is the smallest id reachable, kept is true where that is its own.
 
     1. Equal sets are one class (told by their size and two 64-bit sums).
-    2. A class has a signature of 66 indexed parts of 8 bits (of 256 in all). These are split into 11
+    2. A class has a signature of 66 indexed parts of 8 bits (of 512 in all). These are split into 11
        chunks; two signatures that differ in at most 21 of the 66 parts differ in at most one part of some
        chunk, so they share one of the keys made of a chunk less one part: no pair within that
        distance is missed. Sets at the similarity threshold stay within it but for 4 standard deviations.
