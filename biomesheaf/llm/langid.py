@@ -79,7 +79,7 @@ def fit(docs: DataFrame, per_label: int = 600, dims: int = 16, epochs: int = 6,
         .mapInArrow(_features, "label string, part int, bucket array<int>, count array<float>")
         .toPandas()
     )
-    rows = rows[[len(x) > 0 for x in rows["bucket"]]]
+    rows = rows[np.array([len(x) > 0 for x in rows["bucket"]], bool)]
     labels = sorted(set(rows["label"]))
     if not labels:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
