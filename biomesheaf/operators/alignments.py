@@ -60,54 +60,55 @@ def sort_by_coordinate(alignments, partitions=None):
     return ranged.sortWithinPartitions(*keys)
 
 
+def _examined():
+    return lacks_flag(UNMAPPED) & lacks_flag(SECONDARY) & lacks_flag(SUPPLEMENTARY)
+
+
 def _duplicate_groups(alignments, score):
-    """One row per group of duplicates: its best row and its size.
+    """One row per group of duplicate fragments: its ends, its best fragment and its size.
 
-    A partial aggregation picks the best row before the shuffle, so a fragment copied millions
-    of times moves one row per task.
+    A fragment is what shares a read name: one record or two mates. Its ends are the unclipped 5'
+    positions and strands of its records. Only names, ends and scores are shuffled, and a fragment
+    copied millions of times moves one row per task.
     """
-    columns = alignments.columns
-    candidates = alignments.filter(lacks_flag(UNMAPPED) & lacks_flag(SECONDARY) & lacks_flag(SUPPLEMENTARY))
-    keys = [
-        F.col("sample").alias("k_sample"),
-        F.col("rname").alias("k_rname"),
-        cg.unclipped_five_prime("pos", "cigar", has_flag(REVERSE)).alias("k_pos"),
-        has_flag(REVERSE).alias("k_reverse"),
-    ]
-    if {"rnext", "pnext"} <= set(columns):
-        keys += [
-            F.col("rnext").alias("k_rnext"),
-            F.col("pnext").alias("k_pnext"),
-            has_flag(MATE_REVERSE).alias("k_mate_reverse"),
-        ]
-    best = F.min_by(
-        F.struct(*columns), F.struct((-score).alias("neg_score"), F.col("qname"), F.col("flag"))
+    end = F.struct(
+        "rname",
+        cg.unclipped_five_prime("pos", "cigar", has_flag(REVERSE)).alias("five_prime"),
+        has_flag(REVERSE).alias("reverse"),
+    )
+    fragments = (
+        alignments.filter(_examined())
+        .groupBy("sample", "qname")
+        .agg(F.sort_array(F.collect_list(end)).alias("ends"), F.sum(score).alias("score"))
     )
-    return candidates.groupBy(*keys).agg(best.alias("best"), F.count(F.lit(1)).alias("copies"))
+    best = F.min(F.struct((-F.col("score")).alias("neg_score"), "qname")).alias("best")
+    return fragments.groupBy("sample", "ends").agg(best, F.count(F.lit(1)).alias("copies"))
 
 
 def remove_duplicates(alignments, score=None):
-    """Keep the best alignment per start, strand and mate start; ties go to the smallest name.
+    """Keep the best of the fragments with equal ends, both mates of it; ties go to the smallest name.
 
-    Unmapped, secondary and supplementary records are not examined and stay.
+    Mates are examined together, so no orphan is left: a pair equals another only if both its
+    unclipped 5' ends and strands do. Unmapped, secondary and supplementary records are not
+    examined and stay.
     """
     score = sq.base_quality_sum("qual") if score is None else score
-    kept = _duplicate_groups(alignments, score).select("best.*")
-    unexamined = alignments.filter(~(lacks_flag(UNMAPPED) & lacks_flag(SECONDARY) & lacks_flag(SUPPLEMENTARY)))
-    return kept.unionByName(unexamined)
+    names = _duplicate_groups(alignments, score).select("sample", "best.qname")
+    kept = alignments.filter(_examined()).join(names, ["sample", "qname"], "left_semi")
+    return kept.unionByName(alignments.filter(~_examined())).select(*alignments.columns)
 
 
 def duplicate_metrics(alignments, score=None):
     """Per sample: alignments examined, duplicates removed, their share."""
-    score = F.lit(0) if score is None else score
+    records = F.size("ends")
     return (
-        _duplicate_groups(alignments.select(*[c for c in alignments.columns if c not in ("seq", "qual", "tags")]), score)
-        .groupBy(F.col("k_sample").alias("sample"))
+        _duplicate_groups(alignments, F.lit(0) if score is None else score)
+        .groupBy("sample")
         .agg(
-            F.sum("copies").alias("examined"),
-            F.sum(F.col("copies") - 1).alias("duplicates"),
+            F.sum(F.col("copies") * records).alias("examined"),
+            F.sum((F.col("copies") - 1) * records).alias("duplicates"),
         )
-        .withColumn("duplicate_fraction", F.col("duplicates") / F.col("examined"))
+        .withColumn("duplicate_fraction", F.try_divide("duplicates", "examined"))
     )
 
 

@@ -409,10 +409,21 @@ def keyword_candidates(collapsed, targets):
     return drop_pathway_only(keep_any_hit(_with_hits(collapsed, targets, kinds), kinds))
 
 
-def keyword_rows(collapsed, targets, threshold=0.75):
-    """Long form of the keyword table: one row per sample, CDS and keyword."""
+def keyword_rows(collapsed, targets, threshold=0.75, check=False):
+    """Long form of the keyword table: one row per sample, CDS and keyword.
+
+    ``check`` compares the depth of each sample before and after the split and raises on a loss; it
+    evaluates the rows once more.
+    """
     rows = choose_keywords(filter_cds_coverage(keyword_candidates(collapsed, targets), threshold))
-    return split_depth(rows.select("sample", "cds", "depth", "seed_orth", "keywords"), "keywords", "kwd")
+    rows = rows.select("sample", "cds", "depth", "seed_orth", "keywords")
+    return _checked(rows, split_depth(rows, "keywords", "kwd"), check)
+
+
+def _checked(before, after, check):
+    if check:
+        assert_depth_conserved(before, after)
+    return after
 
 
 def summarize_keywords(long_rows):
@@ -434,9 +445,9 @@ def summarize_keywords(long_rows):
     )
 
 
-def keyword_feature_table(cov_annot, targets, threshold=0.75):
+def keyword_feature_table(cov_annot, targets, threshold=0.75, check=False):
     """Depth per sample and keyword (enzyme, else ortholog, else gene)."""
-    return summarize_keywords(keyword_rows(collapse_covered(cov_annot), targets, threshold))
+    return summarize_keywords(keyword_rows(collapse_covered(cov_annot), targets, threshold, check))
 
 
 def split_depth_by_pathway(ec_depth, targets_long):
@@ -459,18 +470,22 @@ def pathway_candidates(collapsed, targets):
     return drop_pathway_only(keep_any_hit(_with_hits(collapsed, targets, kinds), kinds), ("ec", "gene"))
 
 
-def pathway_rows(collapsed, targets, threshold=0.75, by=("sample",)):
-    """Long form before summing: one row per CDS and enzyme that passes the threshold."""
+def pathway_rows(collapsed, targets, threshold=0.75, by=("sample",), check=False):
+    """Long form before summing: one row per CDS and enzyme that passes the threshold.
+
+    ``check`` as in ``keyword_rows``; rows without an enzyme take no part in the split.
+    """
     rows = gene_to_ec(drop_poor_evidence(pathway_candidates(collapsed, targets)), targets)
-    long_rows = split_depth(rows.select(*by, "cds", "frac", "depth", "ec_hit"), "ec_hit", "ec")
-    return filter_cds_coverage(long_rows, threshold)
+    rows = rows.select(*by, "cds", "frac", "depth", "ec_hit")
+    split = _checked(rows.filter(F.col("ec_hit").isNotNull()), split_depth(rows, "ec_hit", "ec"), check)
+    return filter_cds_coverage(split, threshold)
 
 
-def pathway_features(collapsed, targets, threshold=0.75, by=("sample",)):
+def pathway_features(collapsed, targets, threshold=0.75, by=("sample",), check=False):
     """Depth per sample, enzyme and pathway from collapsed annotated rows."""
     by = list(by)
     ec_depth = (
-        pathway_rows(collapsed, targets, threshold, by)
+        pathway_rows(collapsed, targets, threshold, by, check)
         .groupBy(*by, "ec")
         .agg(F.sum("split_depth").alias("depth"))
     )
@@ -504,9 +519,9 @@ def enzyme_features(collapsed, enzymes, targets, threshold=0.75, by=("sample",))
     return split_depth_by_pathway(ec_depth, normalize_targets(targets))
 
 
-def pathway_feature_table(cov_annot, targets, threshold=0.75):
+def pathway_feature_table(cov_annot, targets, threshold=0.75, check=False):
     """Depth per sample, enzyme and pathway: (sample, ec, depth, pathway)."""
-    return pathway_features(collapse_covered(cov_annot), targets, threshold)
+    return pathway_features(collapse_covered(cov_annot), targets, threshold, check=check)
 
 
 def placeholder_for_empty(features, candidates, samples):

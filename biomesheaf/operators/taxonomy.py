@@ -82,29 +82,17 @@ def classify_reads(reads, kmer_db, taxonomy, k):
     their lowest common ancestor, pairs without a hit get taxon 0 and status ``U``. Hits are
     counted per pair and taxon first, so a pair is decided on a handful of rows.
     """
-    none = F.lit(None)
-    hits = _read_hits(reads, kmer_db, k).select(
-        "sample", "pair_id", "tax_id", F.lit(1).alias("hits"), F.lit(0).alias("length")
-    )
-    every_pair = reads.select(
-        "sample",
-        "pair_id",
-        none.cast(dict(kmer_db.dtypes)["tax_id"]).alias("tax_id"),
-        F.lit(0).alias("hits"),
-        F.length("seq").alias("length"),
-    )
+    # Only pairs with a hit meet the lineage; the others come back in the last join.
     counted = (
-        hits.unionByName(every_pair)
+        _read_hits(reads, kmer_db, k)
         .groupBy("sample", "pair_id", "tax_id")
-        .agg(F.sum("hits").alias("hits"), F.sum("length").alias("length"))
-        .join(lineages(taxonomy).select("tax_id", "path"), "tax_id", "left")
-    )
-    gathered = counted.groupBy("sample", "pair_id").agg(
-        F.sum("length").alias("length"),
-        F.collect_list(
-            F.when(F.col("path").isNotNull(), F.struct("tax_id", "hits", "path"))
-        ).alias("taxa"),
+        .agg(F.count(F.lit(1)).alias("hits"))
+        .join(lineages(taxonomy).select("tax_id", "path"), "tax_id")
     )
+    taxa = counted.groupBy("sample", "pair_id").agg(F.collect_list(F.struct("tax_id", "hits", "path")).alias("taxa"))
+    pairs = reads.groupBy("sample", "pair_id").agg(F.sum(F.length("seq")).alias("length"))
+    none = F.array().cast(taxa.schema["taxa"].dataType)
+    gathered = pairs.join(taxa, ["sample", "pair_id"], "left").withColumn("taxa", F.coalesce("taxa", none))
 
     def score(t):
         on_path = F.filter("taxa", lambda u: F.array_contains(t["path"], u["tax_id"]))
@@ -147,7 +135,8 @@ def kmer_hit_string(reads, kmer_db, k):
         .groupBy(*read)
         .agg(F.collect_list("hit").alias("hits"), F.max("seq").alias("seq"))
         .filter(F.length("seq") >= k)
-        .withColumn("found", F.map_from_entries("hits"))
+        # Behind a generator the map is built once a read, not once a position.
+        .select(*read, "seq", F.explode(F.array(F.map_from_entries("hits"))).alias("found"))
     )
 
     def label(pos):
@@ -156,7 +145,7 @@ def kmer_hit_string(reads, kmer_db, k):
         return F.coalesce(F.try_element_at(F.col("found"), pos), absent)
 
     labels = F.transform(F.sequence(F.lit(0), F.length("seq") - k), label)
-    ordered = gathered.select(*read, labels.alias("labels"))
+    ordered = gathered.select(*read, F.explode(F.array(labels)).alias("labels"))
     starts = F.filter(
         F.sequence(F.lit(1), F.size("labels")),
         lambda i: (i == 1) | (F.get("labels", i - 1) != F.get("labels", i - 2)),

@@ -35,6 +35,20 @@ def pathway_features(alignments, ref_lengths, annotations, targets, threshold=0.
     return an.enzyme_features(an.collapse_runs(runs, ref_lengths), enzymes, targets, threshold)
 
 
+def keyword_features(alignments, ref_lengths, annotations, targets, threshold=0.75, samples=None):
+    """Alignments (or spans) -> depth and seed orthologs per sample and keyword.
+
+    Same rows as coverage_histogram -> annotate_coverage -> keyword_feature_table, with coverage summed
+    per CDS before the join. ``samples`` adds a row of nulls for each sample without candidates.
+    """
+    spans = alignments if "start0" in alignments.columns else al.alignment_spans(alignments)
+    collapsed = an.annotate_collapsed(an.collapse_runs(al.coverage_runs(spans), ref_lengths), annotations)
+    features = an.summarize_keywords(an.keyword_rows(collapsed, targets, threshold))
+    if samples is None:
+        return features
+    return an.placeholder_for_empty(features, an.keyword_candidates(collapsed, targets), samples)
+
+
 def gene_abundance(alignments, intervals, gene_lengths, score=None):
     """Duplicate removal, read counts per gene, TPM."""
     kept = al.remove_duplicates(alignments, score)

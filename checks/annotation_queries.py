@@ -352,6 +352,16 @@ def _(v):
     return rounded(an.keyword_feature_table(cov_annot(v), targets(v)), "split_depth")
 
 
+@check(
+    "keyword_features_from_alignments",
+    """
+select sample, kwd, round(sum(split_depth), 6) as split_depth, string_agg(seed_orth, '|' order by seed_orth) as seed_orth
+from kw_long_v group by 1, 2""",
+)
+def _(v):
+    return rounded(plans.keyword_features(v.aln_v, v.cds_v, v.ann_v, targets(v)), "split_depth")
+
+
 @check("split_depth_by_pathway", "select sample, ec, round(depth, 6) as depth, pathway from pw_feat_v")
 def _(v):
     t = targets(v, True)

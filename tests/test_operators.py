@@ -245,3 +245,54 @@ def test_haplotypes_of_gapped_alignments(spark):
     got = rows(rs.snp_haplotypes(hits, genes))
     # 4M covers 3-6, the insertion nothing, 3M 7-9, the deletion 10-11, 2M 12-13 (T, A read as T, T).
     assert got == [("s", "g", "13:A>T", 1), ("s", "g", "3:G>T", 2)]
+
+
+def test_duplicate_pairs_lose_both_mates(spark):
+    aln = spark.createDataFrame(
+        [
+            ("s", "A", 99, "c", 10, "10M", "A" * 10, "I" * 10),
+            ("s", "A", 147, "c", 50, "10M", "A" * 10, "#" * 10),
+            ("s", "B", 99, "c", 10, "10M", "A" * 10, "#" * 10),
+            ("s", "B", 147, "c", 50, "8M2S", "A" * 10, "I" * 10),  # its mate is clipped otherwise
+            ("s", "C", 99, "c", 10, "10M", "A" * 10, "!" * 10),
+            ("s", "C", 147, "c", 52, "8M", "A" * 8, "!" * 8),
+        ],
+        SAM,
+    )
+    assert rows(al.remove_duplicates(aln), "qname", "flag") == [("A", 99), ("A", 147)]
+    assert rows(al.duplicate_metrics(aln), "examined", "duplicates") == [(6, 4)]
+
+
+def test_soft_masked_bases_count(spark):
+    ref = "ACGTTGCATCGATCGGATCTTACGGCATGCATTAGCCATG"
+    reads = spark.createDataFrame([("s", 1, m, ref, "I" * 40) for m in (1, 2)], "sample string, pair_id int, mate int, seq string, qual string")
+    for text in (ref, ref.lower()):
+        refs = spark.createDataFrame([("r", text)], "ref_id string, seq string")
+        assert rd.kmer_screen(reads, refs)[1].count() == 2
+        assert rd.kmer_screen(reads.withColumn("seq", F.lower("seq")), refs)[0].count() == 0
+    contigs = spark.createDataFrame([("s", "a", "acgtNNgg"), ("s", "b", "NNNN")], "sample string, assembler string, seq string")
+    got = rows(al.assembly_stats(contigs, (0,)), "assembler", "gc_percent", "n_per_100kbp")
+    assert got == [("a", 100.0 * 4 / 6, 25000.0), ("b", None, 100000.0)]
+
+
+def test_reads_of_unknown_taxa_are_reported(spark):
+    tree = spark.createDataFrame([(1, 0, "R", "root"), (2, 1, "S", "x")], "tax_id long, parent_id long, rank string, name string")
+    calls = spark.createDataFrame([("s", "C", "a", 2), ("s", "C", "b", 77), ("s", "U", "c", 0)], "sample string, status string, read_id string, tax_id long")
+    guard = spark.conf.get(tx.ROW_GUARD)
+    got = rows(tx.taxonomy_report(calls, tree), "name", "clade_reads")
+    assert sorted(got) == [("root", 1), ("unclassified", 1), ("unplaced", 1), ("x", 1)]
+    assert rows(tx.translate_lineage(calls, tree), "read_id", "taxonomy") == [("a", "root|x"), ("b", "unplaced")]
+    assert spark.conf.get(tx.ROW_GUARD) == guard
+
+
+def test_target_tables_of_any_size(spark):
+    table = spark.createDataFrame([("s", "c1", ["e7", "e150001", "x"]), ("s", "c2", ["y"]), ("s", "c3", None)], "sample string, cds string, ec array<string>")
+    wanted = spark.range(150_000).select(F.lit("p").alias("pathway"), F.lit("ec").alias("kind"), F.concat(F.lit("e"), F.col("id").cast("string")).alias("id"))
+    assert rows(an.intersect_targets(table, wanted, ("ec",)), "cds", "ec_hit") == [("c1", ["e7"]), ("c2", None), ("c3", None)]
+
+
+def test_split_that_loses_depth_raises(spark):
+    before = spark.createDataFrame([("s", 3.0, ["a", "b"]), ("s", 2.0, ["c"])], "sample string, depth double, ids array<string>")
+    an.assert_depth_conserved(before, an.split_depth(before, "ids"))
+    with pytest.raises(AssertionError):
+        an.assert_depth_conserved(before, an.split_depth(before.limit(1), "ids"))

@@ -120,3 +120,37 @@ def test_scratch_folder_is_taken_from_the_session(spark):
     first = scratch_path(spark, "x")
     assert first.startswith(base or spark.conf.get("spark.checkpoint.dir"))
     assert first != scratch_path(spark, "x")
+
+
+def test_tables_are_combined_by_name(spark, tmp_path):
+    (tmp_path / "a.gene.tsv").write_text("hits\tgene\n7\tg1\n")
+    (tmp_path / "b.gene.tsv").write_text("gene\thits\textra\ng2\t8\tz\n")
+    (tmp_path / "c.gene.tsv").write_text("gene\ng3\n")
+    (tmp_path / "x_L001.tsv").write_text("Gene\tHaplotype Pattern\tOccurrence\ng\t1:A>C\t4\n")
+    got = tt.combine_resistome(spark, str(tmp_path), {"gene": "gene string, hits bigint", "snp": "Gene string, `Haplotype Pattern` string, Occurrence bigint"})
+    assert rows(got["gene"], "gene", "hits", "Sample") == [("g1", 7, "a.gene"), ("g2", 8, "b.gene"), ("g3", None, "c.gene")]
+    assert rows(got["snp"], "Gene", "`Haplotype Pattern`", "Occurrence", "Sample") == [("g", "1:A>C", 4, "x_L001")]
+
+
+def test_tracking_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "t1").write_text("#sample #input #qtrimmed\ns1 10 6\n")
+    (tmp_path / "t2").write_text("#sample  #qtrimmed #noAdpt #input\ns2 5 8 9\n")
+    assert rows(tt.read_track_reads(spark, str(tmp_path / "t*"))) == [("s1", 10, 6), ("s2", 9, 5)]
+    (tmp_path / "u").write_text("#sample #input\ns1 10\n")
+    with pytest.raises(Exception, match="#qtrimmed"):
+        tt.read_track_reads(spark, str(tmp_path / "u")).collect()
+
+
+def test_split_files_stay_in_step(spark, tmp_path):
+    reads = spark.createDataFrame(
+        [("s", "p1", 1, "AC", "II"), ("s", "p1", 2, "GT", "##"), ("s", "p2", 1, "A", "I"), ("s", "p3", 1, "C", "I"), ("s", "p3", 2, "G", "I")],
+        "sample string, pair_id string, mate int, seq string, qual string",
+    )
+    sinks.write_fastq(reads, str(tmp_path / "o"), layout="split")
+    names = [[r.value for r in spark.read.text(str(tmp_path / "o" / f"R{m}")).collect() if r.value.startswith("@")] for m in (1, 2)]
+    assert sorted(names[0]) == ["@p1/1", "@p3/1"] and [n[:-1] for n in names[0]] == [n[:-1] for n in names[1]]
+
+
+def test_missing_bases_are_null(spark, tmp_path):
+    (tmp_path / "s.sam").write_text("@SQ\tSN:c\tLN:9\nq\t256\tc\t1\t0\t3M\t*\t0\t0\t*\t*\n")
+    assert rows(tt.read_sam(spark, str(tmp_path / "s.sam"))[0], "qname", "seq", "qual") == [("q", None, None)]
