@@ -37,6 +37,8 @@ HEADLINE = (
     "kmer_hit_string",
     "taxonomy_report",
     "classification_summary",
+    "taxonomy_summary",
+    "track_reads",
     "resistome_levels",
     "resistome_rarefaction",
     "snp_haplotypes",

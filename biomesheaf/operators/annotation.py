@@ -78,18 +78,13 @@ def expand_ec_wildcard(targets_long, wildcard=EC_WILDCARD, first=1, last=50):
 
 
 def max_depth_row(cov_annot):
-    """The histogram row of largest depth per (sample, cds)."""
-    rest = [c for c in cov_annot.columns if c not in ("sample", "cds")]
-    order = F.struct(
-        (-F.col("depth")).alias("d"),
-        *[F.col(c) for c in rest if c != "depth"],
-    )
-    return (
-        cov_annot.groupBy("sample", "cds")
-        .agg(F.min_by(F.struct(*rest), order).alias("row"))
-        .select("sample", "cds", "row.*")
-        .select(*cov_annot.columns)
-    )
+    """The histogram row of largest depth per (sample, cds); ties go to the smallest other values.
+
+    The rank is cut to 1, which Spark applies to the rows of a task before it shuffles them.
+    """
+    rest = [F.col(c) for c in cov_annot.columns if c not in ("sample", "cds", "depth")]
+    deepest = Window.partitionBy("sample", "cds").orderBy(F.col("depth").desc(), *rest)
+    return cov_annot.withColumn("_rank", F.row_number().over(deepest)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def _covered(rows):

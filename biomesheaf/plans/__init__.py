@@ -8,17 +8,19 @@ from ..operators import resistome as rs
 from ..operators import taxonomy as tx
 
 
-def clean_reads(reads, adapters, artifacts, host=None, k=31, hdist=1, cutoff=10, min_len=50):
-    """Adapters, artifacts, host and quality in order: the reads after every stage by name."""
+def clean_reads(reads, adapters, artifacts, host=None, k=31, hdist=1, cutoff=10, min_len=50, keep=settled):
+    """Adapters, artifacts, host and quality in order: the reads after every stage by name.
+
+    ``keep`` stores each stage, so that counting stages and going on from them computes each once;
+    pass ``lambda reads, name: reads`` for one lazy chain.
+    """
     stages = {"input": reads}
-    stages["no_adapter"] = rd.trim_adapters(reads, adapters)
-    stages["filtered"], _ = rd.kmer_screen(stages["no_adapter"], artifacts, k, hdist)
+    stages["no_adapter"] = keep(rd.trim_adapters(reads, adapters), "no-adapter")
+    stages["filtered"] = keep(rd.kmer_screen(stages["no_adapter"], artifacts, k, hdist)[0], "filtered")
     stages["decontaminated"] = stages["filtered"]
     if host is not None:
-        stages["decontaminated"], _ = rd.kmer_screen(stages["filtered"], host, k, 0)
-    stages["qtrimmed"] = rd.filter_pairs_by_length(
-        rd.quality_trim(stages["decontaminated"], cutoff), min_len
-    )
+        stages["decontaminated"] = keep(rd.kmer_screen(stages["filtered"], host, k, 0)[0], "decontaminated")
+    stages["qtrimmed"] = keep(rd.filter_pairs_by_length(rd.quality_trim(stages["decontaminated"], cutoff), min_len), "qtrimmed")
     return stages
 
 
