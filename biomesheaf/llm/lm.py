@@ -19,9 +19,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Tokens with an embedding of their own, classes of the output, width; positions scored and kept as context in a window.
-KNOWN, CLASSES, WIDTH, SCORED, CONTEXT = 4096, 160, 16, 32, 16
+KNOWN, CLASSES, WIDTH, SCORED, CONTEXT = 4096, 128, 16, 32, 16
 #: The most frequent tokens are classes of their own.
-ALONE = 96
+ALONE = 80
 WINDOW = SCORED + CONTEXT
 BUCKETS = 32
 END_WORD = np.uint64(0x5E5E5E5E5E5E5E5E)
@@ -95,26 +95,36 @@ class SubwordModel:
             "out": part(WIDTH, CLASSES), "bias": np.zeros(CLASSES, np.float32),
         }
 
-    def forward(self, tokens: np.ndarray, inside: np.ndarray) -> dict[str, np.ndarray]:
+    def forward(self, tokens: np.ndarray, inside: np.ndarray, train: bool = False) -> dict[str, np.ndarray]:
         """Class probabilities after each scored place; a place sees itself and what stands before it in the window."""
         w = self.weights
         x = w["token"][tokens] + w["position"]
         late = x[:, CONTEXT:]
+        flat = lambda a: a.reshape(-1, a.shape[-1])
         q, k, v = late @ w["query"], x @ w["key"], x @ w["value"]
-        s = (q * np.float32(1 / np.sqrt(WIDTH))) @ k.transpose(0, 2, 1)
-        np.clip(s, -40, 40, out=s)
+        q *= np.float32(1 / np.sqrt(WIDTH))
+        s = q @ k.transpose(0, 2, 1)
+        if WIDTH * np.abs(q).max() * np.abs(k).max() > 40:  # else the exponentials are in range anyway
+            np.clip(s, -40, 40, out=s)
         np.exp(s, out=s)
-        s *= MASK & inside[:, None, :]
-        s /= s.sum(axis=2, keepdims=True) + np.float32(1e-30)
-        h = late + s @ v
-        z = h @ w["out"]
+        s *= MASK
+        cut = ~inside.all(axis=1)
+        s[cut] *= inside[cut][:, None, :]
+        total = (s @ np.ones(WINDOW, s.dtype))[:, :, None] + np.float32(1e-30)
+        h = (s @ v) / total
+        h += late
+        z = flat(h) @ w["out"]
         z += w["bias"]
-        np.clip(z, -40, 40, out=z)
+        if np.abs(h).max() * np.abs(w["out"]).sum(axis=0).max() + np.abs(w["bias"]).max() > 80:
+            np.clip(z, -80, 80, out=z)
+        z = z.reshape(*h.shape[:2], CLASSES)
+        if train:
+            s /= total
         return {"x": x, "q": q, "k": k, "v": v, "a": s, "h": h, "z": z}
 
     def step(self, tokens: np.ndarray, inside: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One step of gradient descent (AdaGrad) on a batch of windows."""
-        w, f = self.weights, self.forward(tokens, inside)
+        w, f = self.weights, self.forward(tokens, inside, train=True)
         scored = inside[:, CONTEXT:]
         n = max(1, int(scored.sum()))
         dz = np.exp(f["z"])
@@ -124,8 +134,8 @@ class SubwordModel:
         flat = lambda a: a.reshape(-1, a.shape[-1])
         dh = dz @ w["out"].T
         da = dh @ f["v"].transpose(0, 2, 1)
-        ds = f["a"] * (da - (f["a"] * da).sum(axis=2, keepdims=True)) * np.float32(1 / np.sqrt(WIDTH))
-        dq, dk, dv = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"], f["a"].transpose(0, 2, 1) @ dh
+        ds = f["a"] * (da - (f["a"] * da).sum(axis=2, keepdims=True))
+        dq, dk, dv = (ds @ f["k"]) * np.float32(1 / np.sqrt(WIDTH)), ds.transpose(0, 2, 1) @ f["q"], f["a"].transpose(0, 2, 1) @ dh
         dx = dk @ w["key"].T + dv @ w["value"].T
         dx[:, CONTEXT:] += dh + dq @ w["query"].T
         late = f["x"][:, CONTEXT:]
@@ -148,11 +158,11 @@ class SubwordModel:
 
 
 #: A scored place sees no place after it.
-MASK = np.arange(WINDOW)[None] <= (CONTEXT + np.arange(SCORED))[:, None]
+MASK = (np.arange(WINDOW)[None] <= (CONTEXT + np.arange(SCORED))[:, None]).astype(np.float32)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of the texts by hash, and one end a text, counted over a few million at a time."""
+    """Words of the texts by hash, and one end a text, counted over two million at a time."""
     held, total = [], 0
 
     def counted():
@@ -164,7 +174,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h, _ = hash_words(b, offsets)
             held += [h, np.full(last - first, END_WORD)]
             total += len(h) + last - first
-            if total >= 4_000_000:
+            if total >= 2_000_000:
                 yield counted()
                 held, total = [], 0
     if held:
@@ -283,7 +293,7 @@ def _probabilities(model: SubwordModel):
                     nexts = np.where(scored, p[:, CONTEXT:] + 1, 0)
                     chosen = np.take_along_axis(z, kind[nexts][:, :, None], 2)[:, :, 0]
                     np.exp(z, out=z)
-                    logs = (chosen - np.log(z.sum(axis=2))) / np.log(10) + within[nexts]
+                    logs = (chosen - np.log(z @ np.ones(CLASSES, z.dtype))) / np.log(10) + within[nexts]
                     out[first:last] += np.bincount(who, weights=(logs * scored).sum(axis=1), minlength=last - first)
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), pa.array(out)], ["_row", "doc_id", "score"])
 
