@@ -216,7 +216,7 @@ def _score(seeds: Seeds, rare: np.ndarray, least: float):
 
 
 def leaks(
-    docs: DataFrame, items: DataFrame, n: int = 4, rare_share: float = 0.75, least: float = 0.6, block_words: int = 1_000_000
+    docs: DataFrame, items: DataFrame, n: int = 4, rare_share: float = 0.75, least: float = 0.6, block_words: int = 200_000
 ) -> DataFrame:
     """(_key, doc_id, item_id, score, seeds): every document that holds an item of the benchmark, or an edited copy.
 

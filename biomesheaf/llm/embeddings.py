@@ -59,6 +59,13 @@ def _units(column: pa.Array, dims: int) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1)[:, None]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors as bytes: the driver holds them as numbers, not as objects."""
+    for batch in batches:
+        v = [np.asarray(x, np.float64).tobytes() for x in batch.column("v").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary())], ["v"])
+
+
 def _codebook(x: np.ndarray, size: int, seed: int, rounds: int = 12) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), min(size, len(x)), replace=False)]
@@ -82,7 +89,8 @@ def fit(classes: DataFrame, dims: int, rows: int, least: float, per_cell: int =
     """
     size = int(max(1, min(most, np.ceil(np.sqrt(rows / per_cell)))))
     picked = lambda seed, n: classes.where(F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(1 << 40)) < int(min(1.0, 1.2 * n / rows) * (1 << 40))).limit(n)
-    sample = np.array([r["v"] for r in picked(3, 32 * size).select("v").collect()], np.float64)
+    packed = picked(3, 32 * size).select("v").mapInArrow(_packed, "v binary").collect()
+    sample = np.frombuffer(b"".join(r["v"] for r in packed)).reshape(-1, dims)
     sample = sample / np.linalg.norm(sample, axis=1)[:, None] if len(sample) else np.ones((1, dims)) / np.sqrt(dims)
     half = max(1, dims // 2)
     index = MultiIndex(_codebook(sample[:, :half], size, 1), _codebook(sample[:, half:], size, 2) if dims > 1 else np.zeros((1, 0)))

@@ -36,13 +36,14 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for bucket, text in byte_grams(b, offsets, SIZES, BITS):
                 keys.append((text.astype(np.int64) << BITS) | bucket)
             key, count = np.unique(np.concatenate(keys), return_counts=True)
-            cuts = np.searchsorted(key, np.arange(n + 1, dtype=np.int64) << BITS).astype(np.int32)
+            cuts = np.searchsorted(key, np.arange(n + 1, dtype=np.int64) << BITS)
+            packed = lambda x: pa.array([x[s:e].tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("label").slice(first, n),
                     batch.column("part").slice(first, n),
-                    pa.ListArray.from_arrays(cuts, (key & ((1 << BITS) - 1)).astype(np.int32)),
-                    pa.ListArray.from_arrays(cuts, count.astype(np.float32)),
+                    packed((key & ((1 << BITS) - 1)).astype(np.int32)),
+                    packed(count.astype(np.float32)),
                 ],
                 ["label", "part", "bucket", "count"],
             )
@@ -65,7 +66,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def fit(docs: DataFrame, per_label: int = 600, dims: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.0005, seed: int = 5) -> LanguageModel:
+def fit(docs: DataFrame, per_label: int = 400, dims: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.0005, seed: int = 5) -> LanguageModel:
     """Train on a bounded sample: at most ``per_label`` rows of each non-null ``lang`` (texts whole).
 
     Only bucket counts of the sample come to the driver, at most 2**15 numbers a row. Every fifth row of
@@ -76,7 +77,7 @@ def fit(docs: DataFrame, per_label: int = 600, dims: int = 16, epochs: int = 6,
     part = F.pmod(F.xxhash64(F.lit(23), F.col("doc_id")), F.lit(5)).cast("int")
     rows = (
         sample.select("text", "label", part.alias("part"))
-        .mapInArrow(_features, "label string, part int, bucket array<int>, count array<float>")
+        .mapInArrow(_features, "label string, part int, bucket binary, count binary")
         .toPandas()
     )
     rows = rows[np.array([len(x) > 0 for x in rows["bucket"]], bool)]
@@ -84,7 +85,8 @@ def fit(docs: DataFrame, per_label: int = 600, dims: int = 16, epochs: int = 6,
     if not labels:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     y = np.array([labels.index(x) for x in rows["label"]])
-    xs = [(np.asarray(i), np.asarray(c, np.float32) / np.sum(c)) for i, c in zip(rows["bucket"], rows["count"], strict=True)]
+    counts = [np.frombuffer(c, np.float32) for c in rows["count"]]
+    xs = [(np.frombuffer(i, np.int32), c / c.sum()) for i, c in zip(rows["bucket"], counts, strict=True)]
     apart = (rows["part"] == 0).to_numpy()
     if apart.all() or len(set(y[~apart])) < len(labels):
         apart = np.zeros(len(y), bool)

@@ -42,7 +42,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last, b, offsets in text_groups(batch.column("text")):
             text, bucket = _terms(b, offsets)
             cuts = np.searchsorted(text, np.arange(last - first + 1))
-            terms = pa.ListArray.from_arrays(cuts.astype(np.int32), bucket.astype(np.int32))
+            bucket = bucket.astype(np.int32)
+            terms = pa.array([bucket[s:e].tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("label").slice(first, last - first), terms], ["label", "terms"])
 
 
@@ -94,14 +95,14 @@ def fit(
         docs.select("doc_id", "text")
         .join(F.broadcast(sample), "doc_id")
         .select("text", "label")
-        .mapInArrow(_features, "label int, terms array<int>")
+        .mapInArrow(_features, "label int, terms binary")
         .toPandas()
     )
     y = rows["label"].to_numpy(dtype=np.float64)
     if len(set(y)) < 2:
         return FactorizationMachine(empty.astype(np.int64), empty, np.zeros((0, dims)), 30.0 if len(y) and y[0] else -30.0)
-    owner = np.repeat(np.arange(len(y)), rows["terms"].map(len))
-    flat = np.concatenate(rows["terms"].to_numpy()).astype(np.int64)
+    lists = [np.frombuffer(t, np.int32) for t in rows["terms"]]
+    owner, flat = np.repeat(np.arange(len(y)), [len(t) for t in lists]), np.concatenate(lists)
     found, at = np.unique(flat, return_inverse=True)
     toxic, clean = y.sum(), len(y) - y.sum()
     a = np.bincount(at, weights=y[owner], minlength=len(found))
@@ -116,7 +117,7 @@ def fit(
     owner, at = owner[keep], place[at][keep]
     cuts = np.searchsorted(owner, np.arange(len(y) + 1))
     rng = np.random.default_rng(seed)
-    model = FactorizationMachine(found[chosen], np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), dims)), 0.0)
+    model = FactorizationMachine(found[chosen].astype(np.int64), np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), dims)), 0.0)
     seen_w, seen_v, seen_b = np.full(len(chosen), 1e-6), np.full((len(chosen), dims), 1e-6), 1e-6
     for _ in range(max(epochs, -(-steps * 32 // len(y)))):
         order = rng.permutation(len(y))
