@@ -18,7 +18,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15
 CODE = np.random.default_rng(20_111).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -26,7 +26,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _weights(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base modulo 2**64 and their inverses."""
     if len(_powers[0]) < n:
-        size = max(n, PIECE + 4096)
+        size = max(n, 2 * PIECE + 8192)
         for k, base in enumerate((BASE, pow(BASE, -1, 2**64))):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -58,6 +58,7 @@ def text_groups(column: pa.Array, limit: int = 2 * PIECE) -> Iterator[tuple[int,
         last = min(last, len(column))
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    pa.default_memory_pool().release_unused()
 
 
 def _hash_piece(b: np.ndarray, cuts: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
