@@ -17,6 +17,7 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     edges = stored(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name
     )
+    before = _told(edges)
     while True:
         # Large star: both ways, every larger neighbour of a node goes to the node's smallest.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -28,13 +29,14 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         new = stored(
             tied.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).distinct(), name
         )
-        if _same(edges, new):
+        after = _told(new)
+        if before == after:
             return new.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
                 new.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
             )
-        edges = new
+        edges, before = new, after
 
 
-def _same(old: DataFrame, new: DataFrame) -> bool:
-    told = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return told(old) == told(new)
+def _told(edges: DataFrame):
+    """Tells one set of links from another."""
+    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

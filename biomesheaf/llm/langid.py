@@ -42,8 +42,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     batch.column("label").slice(first, n),
                     batch.column("part").slice(first, n),
-                    packed((key & ((1 << BITS) - 1)).astype(np.int32)),
-                    packed(count.astype(np.float32)),
+                    packed((key & ((1 << BITS) - 1)).astype(np.uint16)),
+                    packed(np.minimum(count, 65_535).astype(np.uint16)),
                 ],
                 ["label", "part", "bucket", "count"],
             )
@@ -66,7 +66,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def fit(docs: DataFrame, per_label: int = 400, dims: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.0005, seed: int = 5) -> LanguageModel:
+def fit(docs: DataFrame, per_label: int = 250, dims: int = 16, epochs: int = 6, rate: float = 0.5, lost: float = 0.0005, seed: int = 5) -> LanguageModel:
     """Train on a bounded sample: at most ``per_label`` rows of each non-null ``lang`` (texts whole).
 
     Only bucket counts of the sample come to the driver, at most 2**15 numbers a row. Every fifth row of
@@ -85,8 +85,8 @@ def fit(docs: DataFrame, per_label: int = 400, dims: int = 16, epochs: int = 6,
     if not labels:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     y = np.array([labels.index(x) for x in rows["label"]])
-    counts = [np.frombuffer(c, np.float32) for c in rows["count"]]
-    xs = [(np.frombuffer(i, np.int32), c / c.sum()) for i, c in zip(rows["bucket"], counts, strict=True)]
+    counts = [np.frombuffer(c, np.uint16) for c in rows["count"]]
+    xs = [(np.frombuffer(i, np.uint16), (c / c.sum()).astype(np.float32)) for i, c in zip(rows["bucket"], counts, strict=True)]
     apart = (rows["part"] == 0).to_numpy()
     if apart.all() or len(set(y[~apart])) < len(labels):
         apart = np.zeros(len(y), bool)

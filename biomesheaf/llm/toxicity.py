@@ -66,7 +66,7 @@ def _logits(model: FactorizationMachine, at: np.ndarray, owner: np.ndarray, n: i
 def fit(
     docs: DataFrame,
     labels: DataFrame,
-    per_label: int = 3000,
+    per_label: int = 1500,
     terms: int = 4096,
     dims: int = 6,
     epochs: int = 12,
