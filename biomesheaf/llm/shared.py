@@ -26,11 +26,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+#: Rows that go to Python at once: whole texts and sets of shingles are large rows.
+BATCH_ROWS, BATCH = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it again: later jobs start there."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` as a table in the shared folder and read it again: later jobs start there.
+
+    While it is written, batches for Python are kept to BATCH_ROWS rows; the session's setting is put back.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    usual = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH, usual)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(text) -> Column:
