@@ -13,8 +13,8 @@ from .shared import row_key, stored
 from .words import hash_words, shingles, text_groups
 
 WORDS = 5
-#: Parts of a signature, of 8 bits each; the first INDEXED of them are split into CHUNKS.
-PARTS, INDEXED, CHUNKS, ERRORS = 512, 66, 11, 1
+#: Parts of a signature, of 8 bits each, and the parts in which two members of a chunk of the index may differ.
+PARTS, ERRORS = 512, 1
 BLOCK = 256
 _rng = np.random.default_rng(1_703)
 FACTORS = (_rng.integers(1, 2**31, PARTS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -27,6 +27,22 @@ def reach(parts: int, similarity: float, deviations: float = 4.5) -> int:
     return min(parts, int(np.ceil(parts * p + deviations * sqrt(parts * p * (1 - p)))))
 
 
+def index_shape(similarity: float) -> tuple[int, int]:
+    """(indexed parts, chunks): the fewest chunks whose guaranteed distance covers the reach of the similarity.
+
+    Chunks have six parts, below 0.85 five, as more parts of a pair differ there.
+    """
+    size = 6 if similarity >= 0.85 else 5
+    for chunks in range(1, PARTS // size + 1):
+        if chunks * (ERRORS + 1) - 1 >= reach(size * chunks, similarity):
+            return size * chunks, chunks
+    raise ValueError(f"no index of {PARTS} parts covers similarity {similarity}")
+
+
+#: Of the default similarity.
+INDEXED, CHUNKS = index_shape(0.85)
+
+
 def signature(sets: np.ndarray) -> bytes:
     """The lowest 8 bits of the smallest of the set's values under each of the hash functions."""
     low = sets.astype(np.uint32) ^ (sets >> np.uint64(32)).astype(np.uint32)
@@ -64,19 +80,17 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _chunk_parts(chunk: int) -> list[int]:
-    return list(range(chunk * INDEXED // CHUNKS, (chunk + 1) * INDEXED // CHUNKS))
-
-
-def index_keys() -> list[list[int]]:
+def index_keys(similarity: float = 0.85) -> list[list[int]]:
     """The parts that each key of the index holds: every chunk without one of its parts."""
-    return [[p for p in _chunk_parts(c) if p != left] for c in range(CHUNKS) for left in _chunk_parts(c)]
+    indexed, chunks = index_shape(similarity)
+    parts = [range(c * indexed // chunks, (c + 1) * indexed // chunks) for c in range(chunks)]
+    return [[p for p in chunk if p != left] for chunk in parts for left in chunk]
 
 
-def _keys(sig: str) -> Column:
-    """The index keys of a signature: a pair within CHUNKS * (ERRORS + 1) - 1 of each other shares one."""
-    parts = [F.substring(sig, p + 1, 1) for p in range(INDEXED)]
-    return F.array(*[F.xxhash64(F.lit(k), *[parts[p] for p in held]) for k, held in enumerate(index_keys())])
+def _keys(sig: str, similarity: float) -> Column:
+    """The index keys of a signature: a pair within chunks * (ERRORS + 1) - 1 of each other shares one."""
+    parts = [F.substring(sig, p + 1, 1) for p in range(index_shape(similarity)[0])]
+    return F.array(*[F.xxhash64(F.lit(k), *[parts[p] for p in held]) for k, held in enumerate(index_keys(similarity))])
 
 
 def _confirm(similarity: int):
@@ -103,8 +117,8 @@ def _store_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _search(similarity: float, nearest: bool):
     """Pairs within a block of a bucket that are in different components and within reach; each pair in its first bucket only."""
-    held = index_keys()
-    near_parts, near_all = CHUNKS * (ERRORS + 1) - 1, reach(PARTS, similarity)
+    held, (indexed, chunks) = index_keys(similarity), index_shape(similarity)
+    near_parts, near_all = chunks * (ERRORS + 1) - 1, reach(PARTS, similarity)
 
     def pairs(key, first, second, node, component, block, sig):
         rows, cols = np.flatnonzero(block == first), np.flatnonzero(block == second)
@@ -116,7 +130,7 @@ def _search(similarity: float, nearest: bool):
                 continue
             differs = sig[c] != sig[r]
             total = differs.sum(axis=1)
-            good = (differs[:, :INDEXED].sum(axis=1) <= near_parts) & (total <= near_all)
+            good = (differs[:, :indexed].sum(axis=1) <= near_parts) & (total <= near_all)
             for k in range(key):  # the bucket of an earlier key that the two share has the pair
                 if not good.any():
                     break
@@ -164,10 +178,11 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
     are linked; component_id is the smallest id reachable, kept is true where that is its own.
 
     1. Equal sets are one class (told by their size and two 64-bit sums).
-    2. A class has a signature of 66 indexed parts of 8 bits (of 512 in all). These are split into 11
-       chunks; two signatures that differ in at most 21 of the 66 parts differ in at most one part of some
-       chunk, so they share one of the keys made of a chunk less one part: no pair within that
-       distance is missed. Sets at the similarity threshold stay within it but for 4 standard deviations.
+    2. A class has a signature of 512 parts of 8 bits. The first of them are indexed in chunks (``index_shape``:
+       at 85 90 parts in 15 chunks, at 80 90 in 18); two signatures that differ in at most 29 (at 80: 35) of
+       them differ in at most one part of some chunk, so they share one of the keys made of a chunk
+       less one part: no pair within that distance is missed. Sets at the similarity threshold stay
+       within it but for 4.5 standard deviations.
     3. Each member of a bucket is confirmed against the bucket's smallest member, and components of
        the links are built: copies, however many, are tied up by as many links as there are copies.
     4. Only buckets that still hold several components are searched pair by pair, in blocks of about
@@ -186,7 +201,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
     classes = stored(classes, "classes")
     keyed = signed.join(classes.select("_key"), "_key", "left_semi").where("n > 0").select("node", "sig").dropDuplicates(["node"])
     keyed = stored(keyed, "representatives")
-    entries = keyed.select("node", F.posexplode(_keys("sig")).alias("k", "key"))
+    entries = keyed.select("node", F.posexplode(_keys("sig", similarity / 100)).alias("k", "key"))
     shared = entries.groupBy("k", "key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
     buckets = stored(entries.join(shared, ["k", "key"]), "buckets")
     taking = classes.join(buckets.select("node").distinct(), "node").select("node", "_key")

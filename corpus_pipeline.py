@@ -8,6 +8,8 @@ from biomesheaf.llm.queries_native import MIX
 from biomesheaf.llm.shared import row_key, stored
 
 KEY, COPY = "__pipeline_key", "__pipeline_copy"
+#: Per cent, of the stage; op5 has its own.
+SIMILARITY = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +23,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id; of equal rows one.
 
+    Documents whose sets of five-word shingles have a Jaccard similarity of SIMILARITY % and more are linked.
     Documents without words are no duplicates of each other and all stay.
     """
-    found = minhash.near_duplicates(docs).where("kept").select(F.col("_key").alias(KEY), "n_shingles").dropDuplicates([KEY])
+    found = minhash.near_duplicates(docs, similarity=SIMILARITY).where("kept").select(F.col("_key").alias(KEY), "n_shingles").dropDuplicates([KEY])
     copy = F.when(F.col("n_shingles") > 0, F.lit(-1)).otherwise(F.monotonically_increasing_id())
     one = docs.withColumn(KEY, row_key()).join(found, KEY).withColumn(COPY, copy).dropDuplicates([KEY, COPY])
     return one.select(*[one[c] for c in docs.columns])

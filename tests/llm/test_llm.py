@@ -105,6 +105,32 @@ def test_index_keys_cover_the_distance():
         assert any(not differs[k].any() for k in keys)
 
 
+def test_index_covers_the_reach_of_each_similarity():
+    for similarity in (0.8, 0.85, 0.9):
+        indexed, chunks = minhash.index_shape(similarity)
+        assert chunks * (minhash.ERRORS + 1) - 1 >= minhash.reach(indexed, similarity)
+        assert {p for held in minhash.index_keys(similarity) for p in held} == set(range(indexed))
+
+
+def test_near_dedup_stage_equals_brute_force_at_80(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(60):
+        base = [rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(200)]
+        rows.append((len(rows), " ".join(base)))
+        for changed in (3, 4, 5):  # Jaccard of about 0.86, 0.82 and 0.78
+            copy = list(base)
+            for at in range(changed):
+                copy[20 + 30 * at] = f"z{rng.randrange(10_000)}"
+            rows.append((len(rows), " ".join(copy)))
+    sets = {i: shingle_set(t) for i, t in rows}
+    want = brute_components(list(sets), lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    between = [i for i in sets if i % 4 and 80 <= 100 * len(sets[i] & sets[i - i % 4]) / len(sets[i] | sets[i - i % 4]) < 85]
+    assert len(between) >= 60
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, documents(spark, rows), "").collect()}
+    assert got == {i for i in want if want[i] == i}
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r.id: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
