@@ -117,8 +117,7 @@ def _store_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _search(similarity: float, nearest: bool):
     """Pairs within a block of a bucket that are in different components and within reach; each pair in its first bucket only."""
-    held, (indexed, chunks) = index_keys(similarity), index_shape(similarity)
-    near_parts, near_all = chunks * (ERRORS + 1) - 1, reach(PARTS, similarity)
+    held, near_all = index_keys(similarity), reach(PARTS, similarity)
 
     def pairs(key, first, second, node, component, block, sig):
         rows, cols = np.flatnonzero(block == first), np.flatnonzero(block == second)
@@ -130,7 +129,7 @@ def _search(similarity: float, nearest: bool):
                 continue
             differs = sig[c] != sig[r]
             total = differs.sum(axis=1)
-            good = (differs[:, :indexed].sum(axis=1) <= near_parts) & (total <= near_all)
+            good = total <= near_all
             for k in range(key):  # the bucket of an earlier key that the two share has the pair
                 if not good.any():
                     break

@@ -8,6 +8,7 @@ import re
 import urllib.parse
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,18 @@ def test_index_covers_the_reach_of_each_similarity():
         assert {p for held in minhash.index_keys(similarity) for p in held} == set(range(indexed))
 
 
+def test_search_keeps_pairs_of_a_bucket_beyond_the_guaranteed_distance():
+    """One chunk is equal, all other indexed parts differ: the pair meets, and over all parts it is within reach."""
+    sig = np.zeros((2, minhash.PARTS), np.uint8)
+    indexed, chunks = minhash.index_shape(0.85)
+    sig[1, indexed // chunks : indexed] = 1
+    assert indexed - indexed // chunks > chunks * (minhash.ERRORS + 1) - 1
+    rows = {"k": [0, 0], "key": [5, 5], "i": [0, 0], "j": [0, 0], "node": [1, 2], "component": [1, 2], "block": [0, 0]}
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, rows.values()), pa.array([s.tobytes() for s in sig])], [*rows, "sig"])
+    found = [tuple(r.values()) for b in minhash._search(0.85, False)(iter([batch])) for r in b.to_pylist()]
+    assert found == [(1, 2, indexed - indexed // chunks)]
+
+
 def test_near_dedup_stage_equals_brute_force_at_80(spark):
     rng = random.Random(8)
     rows = []
