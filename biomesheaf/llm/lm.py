@@ -19,9 +19,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Tokens with an embedding of their own, classes of the output, width; positions scored and kept as context in a window.
-KNOWN, CLASSES, WIDTH, SCORED, CONTEXT = 4096, 128, 16, 32, 16
+KNOWN, CLASSES, WIDTH, SCORED, CONTEXT = 4096, 160, 16, 32, 16
 #: The most frequent tokens are classes of their own.
-ALONE = 80
+ALONE = 96
 WINDOW = SCORED + CONTEXT
 BUCKETS = 32
 END_WORD = np.uint64(0x5E5E5E5E5E5E5E5E)
@@ -227,7 +227,7 @@ def _classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _train(model: SubwordModel, rate: float, batch_windows: int = 64):
-    """The weights after a pass over a task's share of the sampled texts, with the number of places it learned from."""
+    """The weights after a pass over a task's share of a round's texts, with the number of places it learned from."""
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = SubwordModel(model.place, model.kind, model.within, {k: v.copy() for k, v in model.weights.items()})
@@ -248,13 +248,14 @@ def _train(model: SubwordModel, rate: float, batch_windows: int = 64):
     return train
 
 
-def train(sequences: DataFrame, size: int, rounds: int = 4, one_in: int = 32, rate: float = 0.08) -> SubwordModel:
+def train(sequences: DataFrame, size: int, rounds: int = 4, rate: float = 0.08) -> SubwordModel:
     """A model of the column ids of ``sequences``.
 
-    All ids are counted. In each of ``rounds`` another one in ``one_in`` of the texts, by a hash, is
-    learned from: every task descends from the same weights over its own share, and Spark averages
-    the weights by the places each has seen. What is gathered grows with the texts; the driver gets
-    the averaged weights and the counts of subwords, whose sizes are fixed.
+    All ids are counted, and every text is learned from once: each of ``rounds`` takes another share of
+    them, by a hash, and together they are all. In a round every task descends from the same weights
+    over its own part, and Spark averages the weights by the places each has seen. What is gathered
+    grows with the texts; the driver gets the averaged weights and the counts of subwords, whose
+    sizes are fixed.
     """
     counts = np.zeros(size * BUCKETS, np.int64)
     told = sequences.select("ids").mapInArrow(_follows(size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
@@ -264,7 +265,7 @@ def train(sequences: DataFrame, size: int, rounds: int = 4, one_in: int = 32, ra
     mass = np.bincount(model.kind, weights=counts.sum(axis=1), minlength=CLASSES)
     model.weights["bias"] = np.log((mass + 1) / (mass + 1).sum()).astype(np.float32)
     for i in range(rounds):
-        part = sequences.where(F.pmod(F.xxhash64(F.lit(31), "_row"), F.lit(one_in)) == i % one_in).select("ids")
+        part = sequences.where(F.pmod(F.xxhash64(F.lit(31), "_row"), F.lit(rounds)) == i).select("ids")
         mean = part.mapInArrow(_train(model, rate / (1 + i)), "at long, value double, n double").groupBy("at").agg((F.sum("value") / F.sum("n")).alias("value"))
         rows = mean.toPandas().sort_values("at")
         if not len(rows):

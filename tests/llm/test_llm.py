@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import urllib.parse
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -293,6 +294,29 @@ def test_lm_base_score_equals_brute_force(spark):
         assert abs(g.base_score - base) < 1e-6 * abs(base) and g.score < 0
 
 
+def test_lm_learns_from_every_text_once(spark, tmp_path, monkeypatch):
+    real, folder = lm._train, str(tmp_path)
+
+    def noted(model, rate):
+        inner = real(model, rate)
+
+        def train(batches):
+            def seen():
+                for batch in batches:
+                    with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                        out.writelines(f"{len(x.as_py()) // 2}\n" for x in batch.column("ids"))
+                    yield batch
+
+            return inner(seen())
+
+        return train
+
+    monkeypatch.setattr(lm, "_train", noted)
+    rows = spark.createDataFrame([(i, np.full(i + 2, 7, np.uint16).tobytes()) for i in range(200)], "_row long, ids binary")
+    lm.train(rows, 16)
+    assert sorted(int(n) for f in tmp_path.iterdir() for n in f.read_text().split()) == [i + 2 for i in range(200)]
+
+
 def test_lm_gradient_and_windows():
     places, inside, text = lm._windows(np.array([0, 2, 100, 103]))
     late = inside[:, lm.CONTEXT :]
