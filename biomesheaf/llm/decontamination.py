@@ -58,11 +58,12 @@ def _seeds(rows, n: int) -> Seeds:
     return Seeds(ids, words, found, np.append(cuts, len(order)), items[order], places[order], np.maximum.reduceat(lengths[items[order]], cuts), sorted(sizes))
 
 
-def _slack(length):
-    return 4 + length // 4
+def _slack(length, least: float):
+    """The longest total gap with which an alignment may still score ``least`` of an exact copy."""
+    return np.ceil(MATCH * (1 - least) * length / -GAP).astype(np.int64)
 
 
-def _scan(seeds: Seeds):
+def _scan(seeds: Seeds, least: float):
     """Documents with seeds: their places, and the words around them as segments."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +98,7 @@ def _scan(seeds: Seeds):
                 for d in np.unique(owner):
                     mine = owner == d if len(owner) < 64 else slice(*np.searchsorted(owner, [d, d + 1]))
                     g, p = gram[mine], place[mine]
-                    reach = seeds.reach[g] + _slack(seeds.reach[g]) + max(seeds.sizes)
+                    reach = seeds.reach[g] + _slack(seeds.reach[g], least) + max(seeds.sizes)
                     lo, hi = np.maximum(p - reach, 0), np.minimum(p + reach, counts[d])
                     spans = []
                     for s, e in sorted(zip(lo.tolist(), hi.tolist(), strict=True)):
@@ -182,16 +183,17 @@ def _score(seeds: Seeds, rare: np.ndarray, least: float):
                             diagonals.setdefault(int(seeds.post_item[k]), []).append(p - int(seeds.post_at[k]))
                 for i, ds in diagonals.items():
                     length = len(seeds.words[i])
+                    slack = int(_slack(length, least))
                     ds = sorted(ds)
                     group = [ds[0], ds[0]]
                     groups = [group]
                     for d in ds[1:]:
-                        if d - group[1] > _slack(length) or d - group[0] > length:
+                        if d - group[1] > slack or d - group[0] > length:
                             group = [d, d]
                             groups.append(group)
                         group[1] = d
                     for lo, hi in groups:
-                        lo, hi = lo - _slack(length), hi + length + _slack(length)
+                        lo, hi = lo - slack, hi + length + slack
                         for s, w in zip(row["start"], row["words"], strict=True):
                             a, b = max(lo - s, 0), min(hi - s, len(w))
                             if a < b:
@@ -223,8 +225,8 @@ def leaks(
     Words are runs of non-blank bytes, A-Z lowered. Seeds are the n-grams of words of an item; of these
     the ``rare_share`` found in the fewest documents count (at least eight, and all ties), so an item
     that leaked into very many documents keeps its seeds. Where a document and an item share a rare
-    seed, the stretch of the document around it is aligned with the item by Smith-Waterman (match 2,
-    mismatch and gap -1); ``score`` is the best alignment over that of an exact copy, ``least`` and
+    seed, the stretch of the document around it, as far as gaps reach that leave a score of ``least``,
+    is aligned with the item by Smith-Waterman (match 2, mismatch and gap -1); ``score`` is the best alignment over that of an exact copy, ``least`` and
     more are returned. Items of fewer than n words seed by their whole sequence.
 
     The benchmark is taken in blocks of about ``block_words`` words: only a block is ever sent to the
@@ -245,7 +247,7 @@ def leaks(
             continue
         seeds = _seeds(rows, n)
         hits = stored(
-            texts.mapInArrow(_scan(seeds), f"_key string, _id {kind}, gram array<int>, place array<int>, start array<int>, words array<array<long>>"),
+            texts.mapInArrow(_scan(seeds, least), f"_key string, _id {kind}, gram array<int>, place array<int>, start array<int>, words array<array<long>>"),
             "seeds",
         )
         spread = np.zeros(len(seeds.grams), np.int64)

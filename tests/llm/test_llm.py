@@ -201,6 +201,29 @@ def test_leaks_exact_edited_short_and_clean(spark):
     assert decontamination.best_leak(found).count() == 33
 
 
+def plain_alignment(x, y):
+    h = np.zeros((len(x) + 1, len(y) + 1))
+    for i in range(len(x)):
+        for j in range(len(y)):
+            h[i + 1, j + 1] = max(0, h[i, j] + (2 if x[i] == y[j] else -1), h[i, j + 1] - 1, h[i + 1, j] - 1)
+    return h.max()
+
+
+def test_leaks_split_by_foreign_words_equal_plain_alignment(spark):
+    rng = random.Random(12)
+    text = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(3000)) for _ in range(n)]
+    items, rows = {}, {}
+    for k, (length, gap) in enumerate([(59, 30), (40, 25), (20, 15), (30, 0), (50, 38), (50, 44), (20, 17)]):
+        item = text(length)
+        items[k] = item
+        rows[k] = text(150) + item[: length // 2] + text(gap) + item[length // 2 :] + text(150)
+    want = {k: plain_alignment(items[k], rows[k]) / (2 * len(items[k])) for k in items}
+    assert min(want.values()) < 0.6 < sorted(want.values())[2]
+    found = decontamination.leaks(documents(spark, [(k, " ".join(t)) for k, t in rows.items()]), spark.createDataFrame([(k, " ".join(t)) for k, t in items.items()], "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r.score for r in found.collect()}
+    assert got == pytest.approx({(k, k): s for k, s in want.items() if s >= 0.6})
+
+
 SAMPLE = (
     "mail a.b+c@x-y.example.com, or @no or a@b; ip 10.0.0.255 not 10.0.0.256, v1.2.3.4.5.6.7.8 card 4111 1111-1111 1111, 4111111111111112 "
     "+49 (30) 123-4567. +1 call é 🙂 x@y.zz_d@e.fr 00000000010.1.1.1"
