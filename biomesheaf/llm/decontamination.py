@@ -232,9 +232,9 @@ def leaks(
     The benchmark is taken in blocks of about ``block_words`` words: only a block is ever sent to the
     tasks, and each block is a pass over all documents. Null and empty texts on either side match
     nothing; repeated documents are found again each, repeated rows of an item count once.
-    ``item_id`` is taken as a long.
+    ``item_id`` is taken as a long; items without one are searched like others, found with a null item_id.
     """
-    named = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.col("item_id").isNotNull()).dropDuplicates(["item_id", "text"])
+    named = items.select(F.col("item_id").cast("long").alias("item_id"), "text").dropDuplicates(["item_id", "text"])
     lists = stored(named.mapInArrow(_word_lists, "item_id long, words array<long>").where(F.size("words") > 0), "benchmark")
     total = lists.agg(F.sum(F.size("words")).alias("n")).first()["n"] or 0
     blocks = -(-total // block_words)

@@ -201,6 +201,16 @@ def test_leaks_exact_edited_short_and_clean(spark):
     assert decontamination.best_leak(found).count() == 33
 
 
+def test_items_without_an_id_are_leaks_too(spark, tmp_path):
+    text = [" ".join(f"{c}{i}" for i in range(20)) for c in "abc"]
+    items = spark.createDataFrame([(None, text[0]), (None, text[1]), (None, text[0]), (3, text[2])], "item_id long, text string")
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = documents(spark, [(1, "x " + text[0]), (2, text[1] + " y"), (3, text[2]), (4, "nothing of the kind in here")])
+    got = sorted((r.doc_id, r.item_id, r.score) for r in decontamination.leaks(docs, items).collect())
+    assert got == [(1, None, 1.0), (2, None, 1.0), (3, 3, 1.0)]
+    assert [r.doc_id for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()] == [4]
+
+
 def plain_alignment(x, y):
     h = np.zeros((len(x) + 1, len(y) + 1))
     for i in range(len(x)):
