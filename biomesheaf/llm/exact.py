@@ -49,7 +49,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             differs[1:] |= pc.not_equal(x[1:], x[:-1]).to_numpy(zero_copy_only=False)
         at = np.flatnonzero(differs)
         n = np.add.reduceat(t.column("n").to_numpy(), at)
-        return t.take(pa.array(at)).set_column(t.column_names.index("n"), "n", pa.array(n))
+        where = t.schema.get_field_index("n")
+        return t.take(pa.array(at)).set_column(where, t.schema.field(where), pa.array(n))
 
     for batch in batches:
         if not batch.num_rows:

@@ -7,6 +7,7 @@ import zlib
 from functools import lru_cache
 from itertools import permutations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,3 +208,13 @@ def test_runs_of_any_number_of_places_merge_whole(spark):
     for places in (1, 5, 200):
         merged = exact.tree_merged(rows, places).select("best.id", "n").collect()
         assert sorted(r.id for r in merged) == list(range(900)) and {r.n for r in merged} == {5, 6}
+
+
+def test_runs_go_on_over_batches():
+    def batch(rows):
+        return pa.RecordBatch.from_pylist([{"rank": 0, "digest": d, "chars": 1, "best": {"row": r}, "n": 1} for d, r in rows], schema=schema)
+
+    schema = pa.schema([("rank", pa.int32()), ("digest", pa.binary()), ("chars", pa.int32()), ("best", pa.struct([("row", pa.int64())])), pa.field("n", pa.int64(), nullable=False)])
+    batches = [batch([(b"a", 0), (b"b", 1)]), batch([(b"b", 2)]), batch([]), batch([(b"b", 3), (b"c", 4), (b"c", 5)])]
+    got = [(r["digest"], r["best"]["row"], r["n"]) for b in exact._runs(iter(batches)) for r in b.to_pylist()]
+    assert got == [(b"a", 0, 1), (b"b", 1, 3), (b"c", 4, 2)]
