@@ -8,6 +8,8 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 BLANK = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The rows that a row of the audit counts: all, those of good quality, toxic ones.
@@ -34,7 +36,7 @@ def failure_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """(part, mask, all, good, toxic): rows of each part by the set of filters A to E that they fail.
 
     Rows are reduced to id, digest, part and the mask of A to D, and equal ones counted, before they
-    are sent anywhere; no text is shuffled. E asks for the smallest id of a text: rows of one
+    are sent anywhere; no text is shuffled, and texts are read once. E asks for the smallest id of a text: rows of one
     text are first counted by (part, labels), with the smallest id of each such group, so a text that a
     third of all rows share is as many rows as it has parts and labels.
     """
@@ -47,13 +49,14 @@ def failure_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         _mask(text_failures(text, words)).alias("fails"),
     )
     # One row per id and text; the rows without an id have no smallest id and are counted at once.
-    counted = rows.groupBy("id", "part", "digest", "fails").agg(F.count(F.lit(1)).alias("n"))
+    counted = stored(rows.groupBy("id", "part", "digest", "fails").agg(F.count(F.lit(1)).alias("n")), "failing")
     marked = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
     no = F.lit(False)
     told = counted.where("id is not null").join(marked, "id", "left").unionByName(counted.where("id is null").withColumns({"good": no, "toxic": no}))
-    same = told.groupBy("digest", "part", "fails", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")).agg(
+    groups = told.groupBy("digest", "part", "fails", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")).agg(
         F.sum("n").alias("n"), F.sum(F.when(F.col("id").isNull(), F.col("n"))).alias("nameless"), F.min(F.when(F.col("id").isNotNull(), F.struct("id", "n"))).alias("first")
     )
+    same = stored(groups, "texts")
     # The first row of each (text, part, labels) may be the smallest id of the text; all others with an id fail E.
     smallest = same.groupBy("digest").agg(F.min("first.id").alias("least"), F.count(F.lit(1)).alias("groups"))
     smallest = smallest.where("groups > 1").select("digest", "least")
