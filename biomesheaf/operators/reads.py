@@ -5,8 +5,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import packed as pk
 from ..functions import sequences as sq
-from ..functions.joins import settled, shuffled
+from ..functions.joins import settled
 from ..functions.kernels import (
     adapter_cut_udf,
     longest_overlap_udf,
@@ -118,39 +119,43 @@ def trim_and_filter(reads, adapters, cutoff=10, min_len=50, error_rate=0.1, min_
 # ---------------------------------------------------------------- k-mer screens
 
 
-def contaminant_kmers(refs, k=31, hdist=1):
-    """k-mers of both strands of the references and, for hdist=1, all one-base variants."""
-    strands = refs.select(
-        "ref_id", F.explode(F.array("seq", sq.reverse_complement("seq"))).alias("seq")
-    )
-    words = sq.explode_kmers(strands, k, "ref_id").select("ref_id", "kmer").distinct()
-    if hdist == 0:
-        return words
-    if hdist != 1:
+def contaminant_words(refs, k=31):
+    """(ref_id, word): packed k-mers of both strands of the references."""
+    strands = refs.select("ref_id", F.explode(F.array("seq", sq.reverse_complement("seq"))).alias("seq"))
+    return pk.explode_words(strands, k, "ref_id").select("ref_id", "word").distinct()
+
+
+def _by_halves(words, k, *keep):
+    """Every word under two keys, its halves; two words that differ in at most one base share one of them."""
+    left, right = pk.halves("word", k)
+    sides = [F.struct(F.lit(i).alias("side"), key.alias("key"), other.alias("other")) for i, (key, other) in enumerate([(left, right), (right, left)])]
+    return words.select(*keep, F.explode(F.array(*sides)).alias("half")).select(*keep, "half.*")
+
+
+def _screen_hits(reads, refs, k, hdist, by, of_refs, how):
+    """Columns ``by`` of the reads with a contaminant word (joined with ``of_refs`` of the references).
+
+    With one mismatch allowed a word is looked up by both halves and the other halves are compared
+    bit by bit: two rows a reference word, and no table of variants. Only the reference side knows both
+    strands, so reads are cut once. The reference rows are stored first: Spark then broadcasts those of a
+    small reference, so that no read word is shuffled, and shuffles those of a host genome.
+    """
+    if hdist not in (0, 1):
         raise ValueError("hdist is 0 or 1")
-    bases = F.array(*[F.lit(b) for b in sq.BASES])
-    variants = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(k)),
-            lambda i: F.transform(
-                bases,
-                lambda b: F.concat(
-                    F.substring(F.col("kmer"), F.lit(1), i - 1),
-                    b,
-                    F.substring(F.col("kmer"), i + 1, F.lit(k)),
-                ),
-            ),
-        )
-    )
-    return words.select("ref_id", F.explode(variants).alias("kmer")).distinct()
+    known = contaminant_words(refs, k).select(*of_refs, "word").distinct()
+    words = pk.explode_words(reads, k, *by)
+    if hdist == 0:
+        return words.join(settled(known, "contaminants"), "word", how)
+    known = settled(_by_halves(known, k, *of_refs), "contaminants").alias("known")
+    words = _by_halves(words, k, *by).alias("words")
+    same = (F.col("words.side") == F.col("known.side")) & (F.col("words.key") == F.col("known.key"))
+    near = pk.differing_bases(F.col("words.other"), F.col("known.other")) <= 1
+    return words.join(known, same & near, how).select(*[f"words.{c}" for c in by], *[f"known.{c}" for c in of_refs])
 
 
 def screened_pairs(reads, refs, k=31, hdist=1):
-    """Pairs with a mate holding a contaminant k-mer. Only the reference side knows both
-    strands, so reads are cut once. Their words are stored first: Spark then broadcasts those of a
-    small reference, so that no read k-mer is shuffled, and shuffles those of a host genome."""
-    words = settled(contaminant_kmers(refs, k, hdist).select("kmer").distinct(), "contaminants")
-    return sq.explode_kmers(reads, k, *PAIR).join(words, "kmer", "left_semi").select(*PAIR).distinct()
+    """Pairs with a mate holding a contaminant k-mer, or one that differs from it in one base."""
+    return _screen_hits(reads, refs, k, hdist, PAIR, [], "left_semi").select(*PAIR).distinct()
 
 
 def kmer_screen(reads, refs, k=31, hdist=1):
@@ -162,8 +167,7 @@ def kmer_screen(reads, refs, k=31, hdist=1):
 def kmer_screen_stats(reads, refs, k=31, hdist=1):
     """Reads matching each reference, as a count and as a percentage of the sample's reads."""
     matched = (
-        sq.explode_kmers(reads, k, *PAIR, "mate")
-        .join(settled(contaminant_kmers(refs, k, hdist), "contaminants"), "kmer")
+        _screen_hits(reads, refs, k, hdist, [*PAIR, "mate"], ["ref_id"], "inner")
         .select("sample", "ref_id", "pair_id", "mate")
         .distinct()
         .groupBy("sample", "ref_id")
@@ -177,21 +181,30 @@ def kmer_screen_stats(reads, refs, k=31, hdist=1):
 
 def kmer_cardinality(reads, k=31, rsd=0.05):
     """Approximate number of distinct canonical k-mers per sample."""
-    words = sq.explode_kmers(reads, k, "sample", canonical=True)
-    return words.groupBy("sample").agg(F.approx_count_distinct("kmer", rsd).alias("kmers"))
+    words = pk.explode_words(reads, k, "sample", canonical=True)
+    return words.groupBy("sample").agg(F.approx_count_distinct("word", rsd).alias("kmers"))
+
+
+#: Bases of a minimizer.
+MINIMIZER = 13
 
 
 def toss_low_depth_reads(reads, k=32, depth=4):
-    """Drop pairs holding a k-mer seen at most ``depth`` times in the sample."""
-    words = sq.explode_kmers(reads, k, *PAIR, canonical=True).drop("pos")
-    rare = (
-        words.groupBy("sample", "kmer")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") <= depth)
-        .select("sample", "kmer")
+    """Drop pairs holding a k-mer seen at most ``depth`` times in the sample.
+
+    Runs of k-mers that share a minimizer travel as one row of packed bases, dealt by sample and
+    minimizer, and are cut into words and counted where they arrive. Both strands of a word have the
+    same minimizer, so all its occurrences meet. Equal runs of a batch that are seen more often than
+    ``depth`` leave as one row, so sequence that much of a sample repeats does not gather in one task.
+    """
+    name, owner = (reads.schema[c].dataType.simpleString() for c in PAIR)
+    cut = pk.pieces(reads, k, "sample", F.col("pair_id").alias("owner")).select("sample", "owner", F.col("bases").alias("seq"))
+    runs = cut.mapInArrow(
+        pk.run_batches(k, min(MINIMIZER, k), depth), f"sample {name}, owner {owner}, minimizer bigint, size int, bases binary, n bigint"
     )
-    tossed = words.join(shuffled(rare), ["sample", "kmer"], "left_semi").select(*PAIR).distinct()
-    return reads.join(tossed, PAIR, "left_anti")
+    dealt = runs.repartition("sample", "minimizer").sortWithinPartitions("sample", "minimizer")
+    tossed = dealt.mapInArrow(pk.rare_owners(k, depth), f"sample {name}, owner {owner}").select("sample", F.col("owner").alias("pair_id"))
+    return reads.join(tossed.distinct(), PAIR, "left_anti")
 
 
 # ---------------------------------------------------------------- host removal, sampling

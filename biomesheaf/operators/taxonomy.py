@@ -3,9 +3,11 @@
 A taxonomy row is (tax_id, parent_id, rank, name); the root's parent is 0.
 """
 
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import packed as pk
 from ..functions import sequences as sq
 from ..functions.joins import settled
 
@@ -16,19 +18,26 @@ ROW_GUARD = "spark.sql.cteRecursionRowLimit"
 
 
 def lineages(taxonomy):
-    """tax_id -> path of ids and of names from the root down, by a recursive query.
-
-    The work grows with the taxonomy, not with the reads. The result is stored, so plans that use it
-    read a table; a table that has paths already is returned as it is. Spark's guard on the rows
-    of a recursion is lifted for this query only: published taxonomies have over a million nodes.
+    """The tree, each taxon with its path from the root and its numbers on a walk around the tree.
+
+    Columns tax_id, rank, name, path and names (from the root down), enter and leave: the walk numbers
+    taxa from 1 as it enters them, siblings by tax_id, and ``leave`` is the last number below the taxon.
+    So u is an ancestor of t, or t itself, if u.enter <= t.enter <= u.leave, and taxa in order of enter
+    are in pre-order. ``leaves`` are the leave numbers along the path.
+
+    Paths come from a recursive query, numbers from the sizes of subtrees: a taxon is entered after
+    its ancestors and the whole subtrees of their and its earlier siblings. The work grows with the
+    taxonomy, not with the reads. The result is stored, so plans that use it read a table; a table that
+    has paths already is returned as it is. Spark's guard on the rows of a recursion is lifted for this
+    query only: published taxonomies have over a million nodes.
     """
-    if "path" in taxonomy.columns:
+    if "leaves" in taxonomy.columns:
         return taxonomy
     spark = taxonomy.sparkSession
     guard = spark.conf.get(ROW_GUARD)
     spark.conf.set(ROW_GUARD, "-1")
     try:
-        return settled(
+        walked = settled(
             spark.sql(
                 """
                 with recursive walk(tax_id, rank, name, path, names) max recursion level 2147483647 as (
@@ -40,10 +49,58 @@ def lineages(taxonomy):
                 """,
                 tax=taxonomy.select("tax_id", "parent_id", "rank", "name"),
             ),
-            "lineages",
+            "walk",
         )
     finally:
         spark.conf.set(ROW_GUARD, guard)
+    above = walked.select("tax_id", F.posexplode("path").alias("at", "over"))
+    sizes = above.groupBy(F.col("over").alias("tax_id")).agg(F.count(F.lit(1)).alias("size"))
+    siblings = Window.partitionBy("parent").orderBy("tax_id").rowsBetween(Window.unboundedPreceding, -1)
+    steps = (
+        walked.select("tax_id", F.get("path", F.size("path") - 2).alias("parent"))
+        .join(sizes, "tax_id")
+        .select(F.col("tax_id").alias("over"), "size", (F.coalesce(F.sum("size").over(siblings), F.lit(0)) + 1).alias("step"))
+    )
+    numbers = (
+        above.join(steps, "over")
+        .groupBy("tax_id")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "step", "size"))).alias("way"))
+        # Number and last number of each taxon on the path, from the root down.
+        .select("tax_id", F.aggregate(
+            "way",
+            F.struct(F.lit(0).cast("bigint").alias("enter"), F.array().cast("array<bigint>").alias("leaves")),
+            lambda acc, w: F.struct((acc["enter"] + w["step"]).alias("enter"), F.concat(acc["leaves"], F.array(acc["enter"] + w["step"] + w["size"] - 1)).alias("leaves")),
+        ).alias("n"))
+        .select("tax_id", "n.enter", F.element_at("n.leaves", -1).alias("leave"), "n.leaves")
+    )
+    return settled(walked.join(numbers, "tax_id"), "lineages")
+
+
+def _in_tree(df, tree):
+    """Adds enter and leave by tax_id. A taxon outside the tree is its own root: it gets a number below 0 of its own."""
+    own = -F.col("tax_id").cast("bigint") - 1
+    known = df.join(tree.select("tax_id", "enter", "leave"), "tax_id", "left")
+    return known.withColumns({"enter": F.coalesce("enter", own), "leave": F.coalesce("leave", own)})
+
+
+def _common(df, tree, keys):
+    """Replaces ``low`` and ``high`` (enter and tax_id of the first and last of some taxa in pre-order) by their LCA, tax_id.
+
+    The LCA is the deepest taxon on the first one's path that is left only after the last one is
+    entered. Only rows with two taxa meet the tree; the others look for a key of their own that no taxon has,
+    so that they are not brought together.
+    """
+    apart = (F.col("low.enter") != F.col("high.enter")) & (F.col("low.enter") > 0)
+    none = -F.abs(F.xxhash64(*keys) % (1 << 40)) - 1
+    way = tree.select(F.col("tax_id").cast("bigint").alias("_first"), F.col("path").alias("_path"), F.col("leaves").alias("_leaves"))
+    met = df.withColumn("_first", F.when(apart, F.col("low.tax_id").cast("bigint")).otherwise(none)).join(way, "_first", "left")
+    depth = F.size(F.filter("_leaves", lambda x: x >= F.col("high.enter")))
+    shared = F.coalesce(F.get("_path", depth - 1), F.lit(UNCLASSIFIED))
+    lca = F.when(F.col("low.enter") == F.col("high.enter"), F.col("low.tax_id")).when(apart, shared).otherwise(UNCLASSIFIED)
+    return met.withColumn("tax_id", lca).drop("_first", "_path", "_leaves", "low", "high")
+
+
+ENDS = ("enter", "tax_id")
 
 
 def canonical_kmer_db(kmer_db, taxonomy):
@@ -51,113 +108,95 @@ def canonical_kmer_db(kmer_db, taxonomy):
 
     A taxon outside the tree is its own root; k-mers of taxa without a common root get taxon 0.
     """
-    paths = lineages(taxonomy).select("tax_id", "path")
-    return (
-        kmer_db.join(paths, "tax_id", "left")
+    tree = lineages(taxonomy)
+    ends = (
+        _in_tree(kmer_db, tree)
         .groupBy(sq.canonical(F.upper("kmer")).alias("kmer"))
-        .agg(F.collect_set(F.coalesce("path", F.array("tax_id"))).alias("paths"))
-        .select("kmer", _lca(F.col("paths")).alias("tax_id"))
+        .agg(F.min(F.struct(*ENDS)).alias("low"), F.max(F.struct(*ENDS)).alias("high"))
     )
+    return _common(ends, tree, ["kmer"]).select("kmer", "tax_id")
 
 
-def _lca(paths):
-    """Deepest taxon all root paths share."""
-    common = F.aggregate(
-        F.slice(paths, 2, F.size(paths)),
-        F.element_at(paths, 1),
-        lambda acc, p: F.array_intersect(acc, p),
-    )
-    return F.coalesce(F.try_element_at(common, F.lit(-1)), F.lit(UNCLASSIFIED))
+def packed_kmer_db(kmer_db, taxonomy, k):
+    """(word, tax_id, enter, leave): the k-mer table as reads are looked up in it.
+
+    Words are packed and canonical, of taxa that share one the LCA counts, and every word knows its
+    taxon's place in the tree, so that no read has to ask the tree for it. Takes (kmer, tax_id) with text.
+    """
+    tree = lineages(taxonomy)
+    words = kmer_db.select(pk.packed("kmer", k, canonical=True).alias("word"), "tax_id").filter(F.col("word").isNotNull())
+    ends = _in_tree(words, tree).groupBy("word").agg(F.min(F.struct(*ENDS)).alias("low"), F.max(F.struct(*ENDS)).alias("high"))
+    return _in_tree(_common(ends, tree, ["word"]), tree).select("word", "tax_id", "enter", "leave")
 
 
-def _read_hits(reads, kmer_db, k):
-    words = sq.explode_kmers(reads, k, "sample", "pair_id", canonical=True)
-    return words.join(kmer_db, "kmer").select("sample", "pair_id", "tax_id")
+def _as_packed(kmer_db, tree, k):
+    """A table of text k-mers packed for this query; a packed one is used as it is."""
+    if "enter" in kmer_db.columns:
+        return kmer_db
+    return settled(packed_kmer_db(kmer_db, tree, k), "kmer-db")
 
 
 def classify_reads(reads, kmer_db, taxonomy, k):
-    """Classify each pair by the k-mers of both mates; ``kmer_db`` maps canonical k-mers.
+    """Classify each pair by the k-mers of both mates; ``kmer_db`` is a ``packed_kmer_db`` or maps text k-mers.
 
     A taxon scores the hits on its root path; the best taxon wins, equal ones give way to
-    their lowest common ancestor, pairs without a hit get taxon 0 and status ``U``. Hits are
-    counted per pair and taxon first, so a pair is decided on a handful of rows.
+    their lowest common ancestor, pairs without a hit get taxon 0 and status ``U``.
+
+    Reads are read once: besides its words each mate sends one row with its length, under a key
+    of its own, so that pairs without a hit come out of the same aggregation. Hits are counted per pair
+    and taxon, then a pair is decided on a handful of rows by the numbers of their taxa.
     """
-    # Only pairs with a hit meet the lineage; the others come back in the last join.
-    counted = (
-        _read_hits(reads, kmer_db, k)
-        .groupBy("sample", "pair_id", "tax_id")
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .join(lineages(taxonomy).select("tax_id", "path"), "tax_id")
+    tree = lineages(taxonomy)
+    db = _as_packed(kmer_db, tree, k)
+    pair = ["sample", "pair_id"]
+    own_key = F.xxhash64("sample", "pair_id", "length", "piece")
+    own_key = own_key if k <= pk.ONE else F.struct(own_key.alias("hi"), own_key.alias("lo"))
+    words = (
+        pk.pieces(reads, k, *pair, F.coalesce(F.length("seq"), F.lit(0)).alias("length"))
+        .select(*pair, "length", "piece", F.posexplode(F.concat(F.array(F.lit(None).cast(pk.word_type(k))), pk.words_of("bases", k, True))).alias("at", "word"))
+        .filter(F.col("word").isNotNull() | ((F.col("at") == 0) & (F.col("piece") == 0)))
+        .select(*pair, F.when(F.col("at") == 0, F.col("length")).alias("length"), F.coalesce("word", own_key).alias("word"))
     )
-    taxa = counted.groupBy("sample", "pair_id").agg(F.collect_list(F.struct("tax_id", "hits", "path")).alias("taxa"))
-    pairs = reads.groupBy("sample", "pair_id").agg(F.sum(F.length("seq")).alias("length"))
-    none = F.array().cast(taxa.schema["taxa"].dataType)
-    gathered = pairs.join(taxa, ["sample", "pair_id"], "left").withColumn("taxa", F.coalesce("taxa", none))
+    hit = F.col("length").isNull() & (F.col("enter") > 0)
+    found = words.join(db, "word", "left").filter(hit | F.col("length").isNotNull())
+    taxon = [F.when(hit, F.col(c)).alias(c) for c in ("enter", "leave", "tax_id")]
+    counted = found.select(*pair, "length", *taxon).groupBy(*pair, "enter", "leave", "tax_id").agg(F.count(F.lit(1)).alias("hits"), F.sum("length").alias("length"))
+    entry = F.struct("enter", "leave", "tax_id", "hits")
+    pairs = counted.groupBy(*pair).agg(F.collect_list(F.when(F.col("enter").isNotNull(), entry)).alias("taxa"), F.sum("length").alias("length"))
 
     def score(t):
-        on_path = F.filter("taxa", lambda u: F.array_contains(t["path"], u["tax_id"]))
-        return F.aggregate(on_path, F.lit(0).cast("bigint"), lambda acc, u: acc + u["hits"])
+        above = F.filter("taxa", lambda u: (u["enter"] <= t["enter"]) & (t["enter"] <= u["leave"]))
+        return F.aggregate(above, F.lit(0).cast("bigint"), lambda acc, u: acc + u["hits"])
 
-    scored = gathered.withColumn(
-        "scored", F.transform("taxa", lambda t: F.struct(score(t).alias("score"), t["path"].alias("path")))
-    )
-    top = F.array_max(F.transform("scored", lambda s: s["score"]))
-    winners = F.transform(
-        F.filter("scored", lambda s: s["score"] == F.col("top")), lambda s: s["path"]
-    )
-    called = F.when(F.size("taxa") > 0, _lca(winners))
-    return scored.withColumn("top", top).select(
-        "sample",
-        F.when(F.size("taxa") > 0, "C").otherwise("U").alias("status"),
-        F.col("pair_id").alias("read_id"),
-        F.coalesce(called, F.lit(UNCLASSIFIED)).alias("tax_id"),
-        "length",
-    )
+    scored = pairs.withColumn("scored", F.transform("taxa", lambda t: F.struct(score(t).alias("score"), t["enter"].alias("enter"), t["tax_id"].alias("tax_id"))))
+    best = scored.withColumn("top", F.array_max(F.transform("scored", lambda s: s["score"])))
+    winners = F.transform(F.filter("scored", lambda s: s["score"] == F.col("top")), lambda s: F.struct(s["enter"].alias("enter"), s["tax_id"].alias("tax_id")))
+    status = F.when(F.size("taxa") > 0, "C").otherwise("U").alias("status")
+    ends = best.withColumn("winners", winners).select(*pair, "length", status, F.array_min("winners").alias("low"), F.array_max("winners").alias("high"))
+    return _common(ends, tree, pair).select("sample", "status", F.col("pair_id").alias("read_id"), "tax_id", "length")
 
 
 def kmer_hit_string(reads, kmer_db, k):
     """Run-length list ``taxon:count`` of a read's k-mers in order.
 
-    ``A`` stands for k-mers with an ambiguous base, ``0`` for k-mers not in the table.
+    ``A`` stands for k-mers with an ambiguous base, ``0`` for k-mers not in the table. Only k-mers found in
+    the table travel; the read itself tells the others apart, in time in proportion to its length.
     """
     read = ["sample", "pair_id", "mate"]
-    # Only k-mers found in the table travel; the read itself tells the others apart.
+    db = kmer_db if "word" in kmer_db.columns else settled(kmer_db.select(pk.packed("kmer", k, canonical=True).alias("word"), "tax_id").filter("word is not null"), "kmer-db")
     hits = (
-        sq.explode_kmers(reads, k, *read, canonical=True)
-        .join(kmer_db, "kmer")
-        .select(*read, F.struct("pos", F.col("tax_id").cast("string").alias("label")).alias("hit"), F.lit(None).cast("string").alias("seq"))
-    )
-    whole = reads.select(
-        *read, F.lit(None).cast("struct<pos:int,label:string>").alias("hit"), F.col("seq").alias("seq")
-    )
-    gathered = (
-        hits.unionByName(whole)
-        .groupBy(*read)
-        .agg(F.collect_list("hit").alias("hits"), F.max("seq").alias("seq"))
-        .filter(F.length("seq") >= k)
-        # Behind a generator the map is built once a read, not once a position.
-        .select(*read, "seq", F.explode(F.array(F.map_from_entries("hits"))).alias("found"))
+        pk.explode_words(reads, k, *read, canonical=True)
+        .join(db.select("word", F.col("tax_id").cast("bigint").alias("taxon")), "word")
+        .select(*read, F.struct("pos", "taxon").alias("hit"), F.lit(None).cast("string").alias("seq"))
     )
+    whole = reads.select(*read, F.lit(None).cast("struct<pos:int,taxon:bigint>").alias("hit"), "seq")
+    gathered = hits.unionByName(whole).groupBy(*read).agg(F.collect_list("hit").alias("hits"), F.max("seq").alias("seq")).filter(F.length("seq") >= k)
 
-    def label(pos):
-        window = F.substring(F.col("seq"), pos + 1, F.lit(k))
-        absent = F.when(window.rlike(f"[^{sq.BASES}]"), F.lit("A")).otherwise(F.lit("0"))
-        return F.coalesce(F.try_element_at(F.col("found"), pos), absent)
+    @F.arrow_udf("string")
+    def runs(seq: pa.Array, places: pa.Array, taxa: pa.Array) -> pa.Array:
+        return pk.hit_runs(seq, places, taxa, k)
 
-    labels = F.transform(F.sequence(F.lit(0), F.length("seq") - k), label)
-    ordered = gathered.select(*read, F.explode(F.array(labels)).alias("labels"))
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size("labels")),
-        lambda i: (i == 1) | (F.get("labels", i - 1) != F.get("labels", i - 2)),
-    )
-    runs = F.zip_with(
-        F.col("starts"),
-        F.concat(F.slice("starts", 2, F.size("starts")), F.array(F.size("labels") + 1)),
-        lambda a, b: F.concat(F.get("labels", a - 1), F.lit(":"), (b - a).cast("string")),
-    )
-    return ordered.withColumn("starts", starts).select(
-        "sample", "pair_id", "mate", F.concat_ws(" ", runs).alias("kmer_hits")
-    )
+    return gathered.select(*read, runs("seq", F.col("hits.pos"), F.col("hits.taxon")).alias("kmer_hits"))
 
 
 # ---------------------------------------------------------------- reports and labels
@@ -168,7 +207,8 @@ def taxonomy_report(read_class, taxonomy):
 
     Reads of a taxon that is not in the tree are counted in the row ``unplaced``, so the rows of rank
     U and the root add up to all reads.
-    Reads are counted per sample and taxon before the tree is looked at.
+    Reads are counted per sample and taxon before the tree is looked at, and the lines of a report
+    are put in order by the number at which the walk enters their taxa.
     """
     direct = read_class.groupBy("sample", "tax_id").agg(F.count(F.lit(1)).alias("n"))
     tree = lineages(taxonomy)
@@ -182,7 +222,7 @@ def taxonomy_report(read_class, taxonomy):
             F.sum("n").alias("clade_reads"),
             F.sum(F.when(F.col("own") == F.col("tax_id"), F.col("n")).otherwise(0)).alias("direct_reads"),
         )
-        .join(tree.drop("names"), "tax_id")
+        .join(tree.select("tax_id", "rank", "name", "enter"), "tax_id")
     )
     unknown = direct.filter(F.col("tax_id") == UNCLASSIFIED).select(
         "tax_id",
@@ -191,7 +231,7 @@ def taxonomy_report(read_class, taxonomy):
         F.col("n").alias("direct_reads"),
         F.lit("U").alias("rank"),
         F.lit("unclassified").alias("name"),
-        F.array("tax_id").alias("path"),
+        F.lit(-1).cast("bigint").alias("enter"),
     )
     unplaced = outside.select(
         F.lit(UNPLACED).cast("bigint").alias("tax_id"),
@@ -200,10 +240,10 @@ def taxonomy_report(read_class, taxonomy):
         F.col("n").alias("direct_reads"),
         F.lit("U").alias("rank"),
         F.lit(UNPLACED_NAME).alias("name"),
-        F.array(F.lit(0).cast("bigint"), F.lit(UNPLACED).cast("bigint")).alias("path"),
+        F.lit(0).cast("bigint").alias("enter"),
     )
     totals = direct.groupBy("sample").agg(F.sum("n").alias("total"))
-    in_order = Window.partitionBy("sample").orderBy("path")
+    in_order = Window.partitionBy("sample").orderBy("enter")
     return (
         clades.unionByName(unknown)
         .unionByName(unplaced)

@@ -92,9 +92,9 @@ SQL_VIEWS["report_v"] = report_sql("called_v").replace("with d as", "with d as",
 
 
 def kmer_db(v):
-    """The k-mer table as a stored database, which is what a classifier is given."""
-    path = scratch_path(v.spark, "kmer_db")
-    return materialize_if_absent(v.spark, lambda: tx.canonical_kmer_db(v.kdb_v, v.tax_v), path)
+    """The stored tree, and the k-mer table as a stored database, which is what a classifier is given."""
+    path, tree = scratch_path(v.spark, "kmer_db"), tx.lineages(v.tax_v)
+    return tree, materialize_if_absent(v.spark, lambda: tx.packed_kmer_db(v.kdb_v, tree, K), path)
 
 
 def genes(v):
@@ -108,7 +108,8 @@ def _(v):
 
 @check("classify_reads", "select * from called_v")
 def _(v):
-    return tx.classify_reads(v.reads_v, kmer_db(v), v.tax_v, K)
+    tree, db = kmer_db(v)
+    return tx.classify_reads(v.reads_v, db, tree, K)
 
 
 @check(
@@ -122,7 +123,7 @@ r as (select sample, pair_id, mate, label, island, min(pos) as p0, count(*) as n
 select sample, pair_id, mate, string_agg(label || ':' || cast(n as varchar), ' ' order by p0) as kmer_hits from r group by 1, 2, 3""",
 )
 def _(v):
-    return tx.kmer_hit_string(v.reads_v, kmer_db(v), K)
+    return tx.kmer_hit_string(v.reads_v, kmer_db(v)[1], K)
 
 
 @check("taxonomy_report", report_sql("cls_v"))
@@ -176,7 +177,8 @@ def _(v):
 
 @check("taxonomy_summary", summary_sql("report_v"))
 def _(v):
-    return rounded(plans.taxonomy_summary(v.reads_v, kmer_db(v), v.tax_v, v.track_v, K), "percent_bacteria")
+    tree, db = kmer_db(v)
+    return rounded(plans.taxonomy_summary(v.reads_v, db, tree, v.track_v, K), "percent_bacteria")
 
 
 @check(
