@@ -125,10 +125,21 @@ def words_of(seq, k: int, canonical: bool = False):
     return words(F.col(seq) if isinstance(seq, str) else seq)
 
 
+def word_values(column: pa.Array, k: int, canonical: bool) -> pa.Array:
+    """The word of each sequence of k bases; null for another length or ambiguous bases."""
+    lists = word_lists(column, k, canonical)
+    starts = lists.offsets.to_numpy()
+    return lists.values.take(pa.array(starts[:-1], mask=np.diff(starts) != 1))
+
+
 def packed(kmer, k: int, canonical: bool = False):
     """The packed form of k-mers written as text; null for another length or ambiguous bases."""
-    text = F.col(kmer) if isinstance(kmer, str) else kmer
-    return F.get(words_of(F.when(F.length(text) == k, text), k, canonical), 0)
+
+    @F.arrow_udf(word_type(k))
+    def word(column: pa.Array) -> pa.Array:
+        return word_values(column, k, canonical)
+
+    return word(F.col(kmer) if isinstance(kmer, str) else kmer)
 
 
 def unpacked(word, k: int):

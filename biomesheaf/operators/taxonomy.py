@@ -23,7 +23,7 @@ def lineages(taxonomy):
     Columns tax_id, rank, name, path and names (from the root down), enter and leave: the walk numbers
     taxa from 1 as it enters them, siblings by tax_id, and ``leave`` is the last number below the taxon.
     So u is an ancestor of t, or t itself, if u.enter <= t.enter <= u.leave, and taxa in order of enter
-    are in pre-order. ``leaves`` are the leave numbers along the path.
+    are in pre-order. ``enters`` and ``leaves`` are these numbers along the path.
 
     Paths come from a recursive query, numbers from the sizes of subtrees: a taxon is entered after
     its ancestors and the whole subtrees of their and its earlier siblings. The work grows with the
@@ -65,14 +65,11 @@ def lineages(taxonomy):
         above.join(steps, "over")
         .groupBy("tax_id")
         .agg(F.array_sort(F.collect_list(F.struct("at", "step", "size"))).alias("way"))
-        # Number and last number of each taxon on the path, from the root down.
-        .select("tax_id", F.aggregate(
-            "way",
-            F.struct(F.lit(0).cast("bigint").alias("enter"), F.array().cast("array<bigint>").alias("leaves")),
-            lambda acc, w: F.struct((acc["enter"] + w["step"]).alias("enter"), F.concat(acc["leaves"], F.array(acc["enter"] + w["step"] + w["size"] - 1)).alias("leaves")),
-        ).alias("n"))
-        .select("tax_id", "n.enter", F.element_at("n.leaves", -1).alias("leave"), "n.leaves")
-    )
+        # Numbers of each taxon on the path, from the root down.
+        .select("tax_id", "way", F.transform(F.sequence(F.lit(1), F.size("way")), lambda i: F.aggregate(F.slice("way", F.lit(1), i), F.lit(0).cast("bigint"), lambda acc, w: acc + w["step"])).alias("enters"))
+        .select("tax_id", "enters", F.zip_with("enters", "way", lambda e, w: e + w["size"] - 1).alias("leaves"))
+        .select("tax_id", F.element_at("enters", -1).alias("enter"), F.element_at("leaves", -1).alias("leave"), "enters", "leaves")
+    )
     return settled(walked.join(numbers, "tax_id"), "lineages")
 
 
@@ -84,23 +81,31 @@ def _in_tree(df, tree):
 
 
 def _common(df, tree, keys):
-    """Replaces ``low`` and ``high`` (enter and tax_id of the first and last of some taxa in pre-order) by their LCA, tax_id.
+    """Puts the LCA of some taxa in place of ``low`` and ``high``, the first and last of their numbers.
 
     The LCA is the deepest taxon on the first one's path that is left only after the last one is
-    entered. Only rows with two taxa meet the tree; the others look for a key of their own that no taxon has,
-    so that they are not brought together.
+    entered. Rows with one taxon bring its tax_id and leave. Only the others meet the tree; the rest look
+    for a key of their own that no taxon has, so that they are not brought together.
     """
-    apart = (F.col("low.enter") != F.col("high.enter")) & (F.col("low.enter") > 0)
+    one, apart = F.col("low") == F.col("high"), (F.col("low") != F.col("high")) & (F.col("low") > 0)
     none = -F.abs(F.xxhash64(*keys) % (1 << 40)) - 1
-    way = tree.select(F.col("tax_id").cast("bigint").alias("_first"), F.col("path").alias("_path"), F.col("leaves").alias("_leaves"))
-    met = df.withColumn("_first", F.when(apart, F.col("low.tax_id").cast("bigint")).otherwise(none)).join(way, "_first", "left")
-    depth = F.size(F.filter("_leaves", lambda x: x >= F.col("high.enter")))
-    shared = F.coalesce(F.get("_path", depth - 1), F.lit(UNCLASSIFIED))
-    lca = F.when(F.col("low.enter") == F.col("high.enter"), F.col("low.tax_id")).when(apart, shared).otherwise(UNCLASSIFIED)
-    return met.withColumn("tax_id", lca).drop("_first", "_path", "_leaves", "low", "high")
+    way = tree.select(F.col("enter").alias("_first"), F.col("path").alias("_path"), F.col("enters").alias("_enters"), F.col("leaves").alias("_leaves"))
+    met = df.withColumn("_first", F.when(apart, F.col("low")).otherwise(none)).join(way, "_first", "left")
+    depth = F.size(F.filter("_leaves", lambda x: x >= F.col("high")))
+    of = lambda path: F.get(path, depth - 1)
+    return met.select(
+        *keys,
+        *[c for c in df.columns if c not in (*keys, "low", "high", "tax_id", "leave")],
+        F.coalesce(F.when(one, F.col("tax_id")).otherwise(of("_path")), F.lit(UNCLASSIFIED)).alias("tax_id"),
+        F.coalesce(F.when(one, F.col("low")).otherwise(of("_enters")), F.lit(-1)).alias("enter"),
+        F.coalesce(F.when(one, F.col("leave")).otherwise(of("_leaves")), F.lit(-1)).alias("leave"),
+    )
 
 
-ENDS = ("enter", "tax_id")
+def _words_by_lca(placed, tree, key):
+    """One row per ``key`` with the LCA of its taxa, from rows with enter and leave."""
+    ends = placed.groupBy(key).agg(F.min("enter").alias("low"), F.max("enter").alias("high"), F.max("tax_id").alias("tax_id"), F.max("leave").alias("leave"))
+    return _common(ends, tree, [key])
 
 
 def canonical_kmer_db(kmer_db, taxonomy):
@@ -109,12 +114,8 @@ def canonical_kmer_db(kmer_db, taxonomy):
     A taxon outside the tree is its own root; k-mers of taxa without a common root get taxon 0.
     """
     tree = lineages(taxonomy)
-    ends = (
-        _in_tree(kmer_db, tree)
-        .groupBy(sq.canonical(F.upper("kmer")).alias("kmer"))
-        .agg(F.min(F.struct(*ENDS)).alias("low"), F.max(F.struct(*ENDS)).alias("high"))
-    )
-    return _common(ends, tree, ["kmer"]).select("kmer", "tax_id")
+    words = kmer_db.select(sq.canonical(F.upper("kmer")).alias("kmer"), "tax_id")
+    return _words_by_lca(_in_tree(words, tree), tree, "kmer").select("kmer", "tax_id")
 
 
 def packed_kmer_db(kmer_db, taxonomy, k):
@@ -125,8 +126,11 @@ def packed_kmer_db(kmer_db, taxonomy, k):
     """
     tree = lineages(taxonomy)
     words = kmer_db.select(pk.packed("kmer", k, canonical=True).alias("word"), "tax_id").filter(F.col("word").isNotNull())
-    ends = _in_tree(words, tree).groupBy("word").agg(F.min(F.struct(*ENDS)).alias("low"), F.max(F.struct(*ENDS)).alias("high"))
-    return _in_tree(_common(ends, tree, ["word"]), tree).select("word", "tax_id", "enter", "leave")
+    return _words_by_lca(_in_tree(words, tree), tree, "word")
+
+
+def _ends(numbers):
+    return F.coalesce(F.array_min(numbers), F.lit(0)).alias("low"), F.coalesce(F.array_max(numbers), F.lit(0)).alias("high")
 
 
 def _as_packed(kmer_db, tree, k):
@@ -170,9 +174,9 @@ def classify_reads(reads, kmer_db, taxonomy, k):
 
     scored = pairs.withColumn("scored", F.transform("taxa", lambda t: F.struct(score(t).alias("score"), t["enter"].alias("enter"), t["tax_id"].alias("tax_id"))))
     best = scored.withColumn("top", F.array_max(F.transform("scored", lambda s: s["score"])))
-    winners = F.transform(F.filter("scored", lambda s: s["score"] == F.col("top")), lambda s: F.struct(s["enter"].alias("enter"), s["tax_id"].alias("tax_id")))
+    winners = F.filter("scored", lambda s: s["score"] == F.col("top"))
     status = F.when(F.size("taxa") > 0, "C").otherwise("U").alias("status")
-    ends = best.withColumn("winners", winners).select(*pair, "length", status, F.array_min("winners").alias("low"), F.array_max("winners").alias("high"))
+    ends = best.withColumn("winners", winners).select(*pair, "length", status, *_ends(F.col("winners.enter")), F.get("winners.tax_id", 0).alias("tax_id"), F.lit(0).alias("leave"))
     return _common(ends, tree, pair).select("sample", "status", F.col("pair_id").alias("read_id"), "tax_id", "length")
 
 
