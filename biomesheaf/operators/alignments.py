@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as cg
+from ..functions import packed as pk
 from ..functions import sequences as sq
 from ..functions.cohort import per_sample
 
@@ -298,39 +299,46 @@ def count_reads_per_interval(alignments, intervals, bin_width=BIN_WIDTH):
     """Reads overlapping each interval, zero counts kept: (sample, gene_id, count).
 
     ``intervals`` are (rname, start, end), 0-based half-open, named by ``gene_id`` or else by
-    ``rname``. Equal spans are counted before the join; spans and intervals then meet in bins
-    and a pair is taken only in the bin where its overlap begins, so it is counted once.
+    ``rname``. A span overlaps an interval if it begins before the interval's end and does not end by its
+    start, so the count is a difference of two ranks: spans begun before ``end`` less spans ended by
+    ``start``. Both are running sums over one merged order of span ends and interval ends. The order is cut
+    into bins of positions that carry on the sums of the bins before them, so a long or deep reference
+    is many tasks, and no pair of a read and an interval is ever a row, however intervals are nested.
     """
     spans = _as_spans(alignments)
     intervals = per_sample(intervals, alignments)
     if "gene_id" not in intervals.columns:
         intervals = intervals.withColumn("gene_id", F.col("rname").cast("string"))
-    width = F.lit(bin_width).cast("bigint")
-
-    def bins(start, end):
-        return F.explode(F.sequence(F.floor(start / width), F.floor((end - 1) / width))).alias("bin")
-
-    grouped = (
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast(intervals.schema["gene_id"].dataType)
+    # At one position interval ends come before the spans that begin there, starts after those that end there.
+    ends = [F.struct(F.col("start0").cast("bigint").alias("pos"), F.lit(1).alias("begun"), F.lit(0).alias("ended")), F.struct(F.col("end0").cast("bigint").alias("pos"), F.lit(0).alias("begun"), F.lit(1).alias("ended"))]
+    events = (
         spans.filter(F.col("end0") > F.col("start0"))
-        .groupBy("sample", "rname", "start0", "end0")
-        .agg(F.count(F.lit(1)).alias("reads"))
-        .select("*", bins(F.col("start0"), F.col("end0")))
+        .select("sample", "rname", F.explode(F.array(*ends)).alias("e"))
+        .groupBy("sample", "rname", "e.pos")
+        .agg(F.sum("e.begun").alias("begun"), F.sum("e.ended").alias("ended"))
+        .select("sample", "rname", "pos", F.lit(1).alias("turn"), "begun", "ended", none.alias("gene_id"))
     )
-    placed = intervals.filter(F.col("end") > F.col("start")).select(
-        "sample", "rname", "gene_id", "start", "end", bins(F.col("start"), F.col("end"))
+    asked = [F.struct(F.col("end").cast("bigint").alias("pos"), F.lit(0).alias("turn")), F.struct(F.col("start").cast("bigint").alias("pos"), F.lit(2).alias("turn"))]
+    questions = (
+        intervals.filter(F.col("end") > F.col("start"))
+        .select("sample", "rname", "gene_id", F.explode(F.array(*asked)).alias("q"))
+        .select("sample", "rname", "q.pos", "q.turn", zero.alias("begun"), zero.alias("ended"), "gene_id")
     )
-    overlap_start = F.greatest(F.col("start"), F.col("start0"))
-    hits = (
-        grouped.join(placed, ["sample", "rname", "bin"])
-        .filter(
-            (F.col("start0") < F.col("end"))
-            & (F.col("end0") > F.col("start"))
-            & (F.floor(overlap_start / width) == F.col("bin"))
-        )
-        .select("sample", "gene_id", F.col("reads").alias("count"))
+    place = ["sample", "rname", "bin"]
+    merged = events.unionByName(questions).withColumn("bin", F.floor(F.col("pos") / bin_width))
+    earlier = Window.partitionBy("sample", "rname").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        merged.groupBy(*place)
+        .agg(F.sum("begun").alias("begun"), F.sum("ended").alias("ended"))
+        .select(*place, *[F.coalesce(F.sum(c).over(earlier), zero).alias(f"{c}_before") for c in ("begun", "ended")])
     )
-    none = intervals.select("sample", "gene_id", F.lit(0).cast("bigint").alias("count"))
-    return hits.unionByName(none).groupBy("sample", "gene_id").agg(F.sum("count").alias("count"))
+    so_far = Window.partitionBy(*place).orderBy("pos", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = merged.select(*place, "turn", "gene_id", F.sum("begun").over(so_far).alias("begun"), F.sum("ended").over(so_far).alias("ended"))
+    answered = ranks.filter(F.col("turn") != 1).join(carried, place)
+    term = F.when(F.col("turn") == 0, F.col("begun") + F.col("begun_before")).otherwise(-F.col("ended") - F.col("ended_before"))
+    counts = answered.select("sample", "gene_id", term.alias("count"))
+    return counts.unionByName(intervals.select("sample", "gene_id", zero.alias("count"))).groupBy("sample", "gene_id").agg(F.sum("count").alias("count"))
 
 
 def tpm(counts, gene_lengths, read_length=100):
@@ -437,22 +445,73 @@ def assembly_stats(contigs, thresholds=(0, 1000, 5000, 10000, 25000, 50000), by=
     )
 
 
-def _sketch(sequences, key, k, size, hash_of):
-    words = sq.explode_kmers(sequences, k, key, canonical=True)
-    hashes = words.select(key, hash_of(F.col("kmer")).alias("hash")).distinct()
+# ---------------------------------------------------------------- sketches
+
+
+def _smallest(hashes, key, size):
+    """The ``size`` smallest distinct hashes of each key, numbered from 1."""
     # row_number() <= size is pushed below the shuffle as a per-task group limit.
-    smallest = Window.partitionBy(key).orderBy("hash")
-    return (
-        hashes.withColumn("rank", F.row_number().over(smallest))
-        .filter(F.col("rank") <= size)
-        .drop("rank")
-    )
+    order = Window.partitionBy(key).orderBy("hash")
+    return hashes.select(key, "hash").distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
+
+
+def sketches(sequences, key, k=31, size=1000, hash_of=None):
+    """Bottom-``size`` sketch of the canonical k-mers of each key: (key, hash, rank), one row per hash.
+
+    Hashes are xxhash64 of packed words; ``hash_of`` is a function of a k-mer's text instead (up to
+    32 bases). Words are told apart before they are hashed.
+    """
+    words = pk.explode_words(sequences, k, key, canonical=True).select(key, "word").distinct()
+    hashed = F.xxhash64("word") if hash_of is None else hash_of(pk.unpacked("word", k))
+    return _smallest(words.select(key, hashed.alias("hash")), key, size)
+
 
+def merge_sketches(sketched, into, size=1000):
+    """Sketches of larger units (a column ``into``) from those of their parts: the smallest hashes of the union.
 
-def sketch_top_hits(contigs, ref_seqs, k=31, size=1000, records=50, hash_of=F.xxhash64):
-    """The reference sequences sharing most of an assembly's bottom-``size`` MinHash sketch."""
-    query = _sketch(contigs, "sample", k, size, hash_of)
-    target = _sketch(ref_seqs, "ref_id", k, size, hash_of)
+    The same rows as a sketch of all the sequences, if the parts were sketched with ``size`` or more.
+    """
+    return _smallest(sketched, into, size)
+
+
+def keep_sketches(sequences, path, key, k=31, size=1000, hash_of=None):
+    """The sketches stored at ``path``, with those of the sequences whose key is not there yet added.
+
+    Only new keys are cut into words; the files that are there are not touched. Sequences of one key
+    must come together. Parameters are part of the path's meaning: another k or size needs another path.
+    """
+    spark = sequences.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        sequences = sequences.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
+    sketches(sequences, key, k, size, hash_of).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def sketch_similarity(left, right, left_key, right_key, size=1000):
+    """(left key, right key, shared, similarity) of the pairs of sketches with a hash in common.
+
+    The similarity estimates the Jaccard index: of the ``size`` smallest hashes of the union of both
+    sketches, the share that is in both. The i-th common hash is number rank + rank - i of the
+    union, so the union itself is never built. Exact for sequences with fewer words than ``size``.
+    """
+    sizes = lambda df, key: df.groupBy(key).agg(F.max("rank").alias(f"{key}_n"))
+    both = left.select(left_key, "hash", F.col("rank").alias("_l")).join(right.select(right_key, "hash", F.col("rank").alias("_r")), "hash")
+    order = Window.partitionBy(left_key, right_key).orderBy("hash")
+    placed = both.withColumn("_u", F.col("_l") + F.col("_r") - F.row_number().over(order))
+    counted = placed.groupBy(left_key, right_key).agg(F.count(F.lit(1)).alias("shared"), F.count(F.when(F.col("_u") <= size, 1)).alias("_low"))
+    known = counted.join(sizes(left, left_key), left_key).join(sizes(right, right_key), right_key)
+    union = F.least(F.lit(size), F.col(f"{left_key}_n") + F.col(f"{right_key}_n") - F.col("shared"))
+    return known.select(left_key, right_key, "shared", (F.col("_low") / union).alias("similarity"))
+
+
+def sketch_top_hits(contigs, ref_seqs, k=31, size=1000, records=50, hash_of=None):
+    """The reference sequences sharing most of an assembly's bottom-``size`` MinHash sketch.
+
+    ``ref_seqs`` are sequences (ref_id, seq) or kept sketches of them (ref_id, hash, rank).
+    """
+    query = sketches(contigs, "sample", k, size, hash_of)
+    target = ref_seqs if "hash" in ref_seqs.columns else sketches(ref_seqs, "ref_id", k, size, hash_of)
     shared = (
         query.join(target, "hash")
         .groupBy("sample", "ref_id")

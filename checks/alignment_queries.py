@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from biomesheaf.operators import alignments as al
 from biomesheaf.plans import gene_abundance
+from biomesheaf.session import scratch_path
 
 from .registry import SQL_VIEWS, check, rounded
 
@@ -238,5 +239,34 @@ r as (select *, row_number() over (partition by sample order by shared desc, ref
 select sample, ref_id, shared, rank, round(shared / 1000.0, 6) as similarity from r where rank <= 50""",
 )
 def _(v):
+    return rounded(al.sketch_top_hits(v.contigs_v, kept_references(v), hash_of=F.md5), "similarity")
+
+
+def kept_references(v):
+    """The references' sketches as a stored table that is filled in two goes."""
+    path = scratch_path(v.spark, "sketches")
     refs = v.genes_v.select(F.col("gene").alias("ref_id"), F.col("gene_seq").alias("seq"))
-    return rounded(al.sketch_top_hits(v.contigs_v, refs, hash_of=F.md5), "similarity")
+    al.keep_sketches(refs.filter(F.substring("ref_id", -1, 1) == "7"), path, "ref_id", hash_of=F.md5)
+    return al.keep_sketches(refs, path, "ref_id", hash_of=F.md5)
+
+
+@check(
+    "sketch_similarity",
+    f"""
+with qk as (select distinct sample, md5({CANON}) as hash from (
+    select sample, substr(seq, cast(unnest(range(1, length(seq) - 29)) as int), 31) as kmer from contigs_v) where kmer not like '%N%'),
+q as (select * from (select *, row_number() over (partition by sample order by hash) as rk from qk) where rk <= 1000),
+tk as (select distinct ref_id, md5({CANON}) as hash from (
+    select gene as ref_id, substr(gene_seq, cast(unnest(range(1, length(gene_seq) - 29)) as int), 31) as kmer from genes_v)),
+t as (select * from (select *, row_number() over (partition by ref_id order by hash) as rk from tk) where rk <= 1000),
+p as (select q.sample, t.ref_id, count(*) as shared from q join t on q.hash = t.hash group by 1, 2),
+u as (select sample, ref_id, hash, count(*) as n from (
+    select p.sample, p.ref_id, q.hash from p join q on q.sample = p.sample union all
+    select p.sample, p.ref_id, t.hash from p join t on t.ref_id = p.ref_id) group by 1, 2, 3),
+b as (select *, row_number() over (partition by sample, ref_id order by hash) as rk from u)
+select sample, ref_id, any_value(shared) as shared, round(1.0 * count(*) filter (n = 2) / count(*), 6) as similarity
+from b join p using (sample, ref_id) where rk <= 1000 group by 1, 2""",
+)
+def _(v):
+    found = al.sketch_similarity(al.sketches(v.contigs_v, "sample", hash_of=F.md5), kept_references(v), "sample", "ref_id")
+    return rounded(found, "similarity")

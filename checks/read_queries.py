@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from biomesheaf.functions import sequences as sq
+from biomesheaf.functions.joins import settled
 from biomesheaf.operators import reads as rd
 from biomesheaf.plans import clean_reads
 
@@ -178,6 +179,24 @@ def _(v):
     return both.select("sample", F.col("exact").alias("kmers"), within.alias("within_bound"))
 
 
+@check(
+    "cohort_cardinality",
+    f"""
+with w as (select sample, {CANON} as kmer from (
+    select sample, substr(seq, cast(unnest(range(1, length(seq) - 29)) as int), 31) as kmer from reads_v) where kmer not like '%N%')
+select cohort, count(distinct sample) as samples, count(distinct kmer) as kmers, true as within_bound
+from (select case when sample < 'p' then 'early' else 'late' end as cohort, * from w) group by cohort""",
+)
+def _(v):
+    """Stored sketches united by cohort, against the exact count; three standard errors are allowed."""
+    cohort = F.when(F.col("sample") < "p", "early").otherwise("late").alias("cohort")
+    exact = sq.explode_kmers(v.reads_v.select("*", cohort), 31, "cohort", canonical=True).groupBy("cohort").agg(F.count_distinct("kmer").alias("exact"))
+    kept = settled(rd.cardinality_sketches(v.reads_v), "sketches")
+    both = rd.cohort_cardinality(kept.select("*", cohort), "cohort").join(exact, "cohort")
+    within = F.abs(F.col("kmers") - F.col("exact")) <= 3 * 0.8 / 64 * F.col("exact")
+    return both.select("cohort", "samples", F.col("exact").alias("kmers"), within.alias("within_bound"))
+
+
 @check(
     "toss_low_depth_reads",
     f"""

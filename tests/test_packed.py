@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from biomesheaf.functions import packed as pk
+from biomesheaf.operators import alignments as al
 from biomesheaf.operators import reads as rd
 from biomesheaf.operators import taxonomy as tx
 
@@ -231,3 +232,72 @@ def test_no_text_of_a_kmer_is_shuffled(spark):
     refs = spark.createDataFrame([("r", "ACGTTGCATTACGGATCCATGACGTTGCATTACG")], "ref_id string, seq string")
     words = rd._by_halves(rd.contaminant_words(refs), 31, "ref_id")
     assert words.count() == 2 * rd.contaminant_words(refs).count() and dict(words.dtypes)["key"] == "bigint"
+
+
+def test_sketches_are_kept_merged_and_compared(spark, tmp_path):
+    rng = random.Random(11)
+    base = "".join(rng.choice("ACGT") for _ in range(600))
+    seqs = [("a", base), ("b", base[:400]), ("c", base[300:]), ("d", "".join(rng.choice("ACGT") for _ in range(500))), ("e", "ACGT")]
+    df = spark.createDataFrame(seqs, "ref_id string, seq string")
+    words = {n: {w for w in plain_words(s, 21, True) if w} for n, s in seqs}
+    for size in (50, 5000):
+        made = al.sketches(df, "ref_id", 21, size)
+        path = str(tmp_path / str(size))
+        al.keep_sketches(df.limit(2), path, "ref_id", 21, size)
+        before = {f.name for f in (tmp_path / str(size)).iterdir()}
+        kept = al.keep_sketches(df, path, "ref_id", 21, size)
+        assert before <= {f.name for f in (tmp_path / str(size)).iterdir()}
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, made.collect()))
+        assert al.keep_sketches(df, path, "ref_id", 21, size).count() == made.count()
+        groups = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y"), ("d", "x")], "ref_id string, part string")
+        merged = al.merge_sketches(made.join(groups, "ref_id"), "part", size)
+        whole = al.sketches(df.join(groups, "ref_id"), "part", 21, size)
+        assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
+    left, right = made.withColumnRenamed("ref_id", "l"), made.withColumnRenamed("ref_id", "r")
+    got = {(x.l, x.r): (x.shared, x.similarity) for x in al.sketch_similarity(left, right, "l", "r", 5000).collect()}
+    want = {(a, b): (len(words[a] & words[b]), len(words[a] & words[b]) / len(words[a] | words[b])) for a in words for b in words if words[a] & words[b]}
+    assert got == want
+    low = al.sketches(df, "ref_id", 21, 50)
+    near = {(x.l, x.r): x.similarity for x in al.sketch_similarity(low.withColumnRenamed("ref_id", "l"), low.withColumnRenamed("ref_id", "r"), "l", "r", 50).collect()}
+    assert near["a", "a"] == 1.0 and abs(near["a", "b"] - want["a", "b"][1]) < 0.25
+
+
+def test_cohorts_from_stored_sketches(spark):
+    rng = random.Random(12)
+    shared = "".join(rng.choice("ACGT") for _ in range(3000))
+    rows = [(f"s{i}", 0, 1, shared + "".join(rng.choice("ACGT") for _ in range(2000))) for i in range(4)]
+    for k in (31, 40):
+        kept = rd.cardinality_sketches(spark.createDataFrame(rows, READS), k)
+        got = rd.cohort_cardinality(kept).first()
+        exact = len({w for _, _, _, s in rows for w in plain_words(s, k, True)})
+        assert got.samples == 4 and abs(got.kmers - exact) < 3 * 0.8 / 64 * exact
+
+
+def test_counts_of_nested_intervals_are_differences_of_ranks(spark):
+    rng = random.Random(13)
+    spans = [("s", "c", a, a + rng.randrange(0, 60)) for a in (rng.randrange(0, 1000) for _ in range(300))] + [("s", None, 1, 9), ("t", "c", 5, 6)]
+    gaps = [("c", f"g{i % 90}", a, a + rng.randrange(-2, 500)) for i, a in enumerate(rng.randrange(0, 1000) for _ in range(100))] + [("d", "other", 0, 10), (None, "none", 0, 10)]
+    aln = spark.createDataFrame(spans, "sample string, rname string, start0 bigint, end0 bigint")
+    intervals = spark.createDataFrame(gaps, "rname string, gene_id string, start int, end int")
+    want = Counter({(s, g): 0 for s in "st" for _, g, _, _ in gaps})
+    for s, c, a, b in spans:
+        for d, g, x, y in gaps:
+            if c == d and c is not None and a < b and x < y and a < y and b > x:
+                want[s, g] += 1
+    for width in (7, 64, 1 << 14):
+        got = {(r.sample, r.gene_id): r["count"] for r in al.count_reads_per_interval(aln, intervals, width).collect()}
+        assert got == dict(want)
+
+
+def test_many_nested_intervals_in_one_bin_make_no_pairs(spark):
+    n = 100_000
+    intervals = spark.range(n).select(F.lit("c").alias("rname"), F.col("id").alias("gene_id"), F.lit(0).alias("start"), (F.col("id") % 16_000 + 1).alias("end"))
+    aln = spark.range(20_000).select(F.lit("s").alias("sample"), F.lit("c").alias("rname"), (F.col("id") % 16_000).alias("start0"), (F.col("id") % 16_000 + 100).alias("end0"))
+    counted = al.count_reads_per_interval(aln, intervals)
+    total, rows = counted.agg(F.sum("count"), F.count("*")).first()
+    begun = Counter(i % 16_000 for i in range(20_000))
+    up_to, so_far = [], 0
+    for p in range(16_000):
+        so_far += begun[p]
+        up_to.append(so_far)
+    assert rows == n and total == sum(up_to[i % 16_000] for i in range(n))
