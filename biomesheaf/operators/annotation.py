@@ -194,23 +194,36 @@ def _or_null(ids):
     return F.when(F.size(ids) > 0, ids)
 
 
+def _lists(kinds):
+    """The id lists of a row as one value."""
+    return F.struct(*[F.col(KIND_COLUMN[k]).alias(k) for k in kinds])
+
+
+def _list_hits(rows, targets_long, kinds):
+    """(_lists, <kind>_hit...): the distinct id lists of the rows that hold a target, with what they hold."""
+    any_list = F.coalesce(*[F.col(KIND_COLUMN[k]) for k in kinds]).isNotNull()
+    distinct = rows.filter(any_list).select(_lists(kinds).alias("_lists")).distinct()
+    ids = distinct.select("_lists", F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"_lists.{k}").alias("ids")) for k in kinds])))
+    found = ids.select("_lists", "kind", F.explode("ids").alias("id")).join(targets_long.select("kind", "id").distinct(), ["kind", "id"])
+    hit = lambda k: _or_null(F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("id"))))).alias(f"{k}_hit")
+    return found.groupBy("_lists").agg(*[hit(k) for k in kinds])
+
+
+def _join_list_hits(rows, hits, kinds):
+    """Rows with the hits of their lists. Rows without any list have no hits; a key of their own spreads them."""
+    any_list = F.coalesce(*[F.col(KIND_COLUMN[k]) for k in kinds]).isNotNull()
+    apart = F.when(any_list, 0).otherwise(F.xxhash64(*[c for c in rows.columns if c in ("sample", "cds", "depth")]))
+    keyed = rows.withColumns({"_key": _lists(kinds), "_apart": apart})
+    return keyed.join(hits, (F.col("_key") == F.col("_lists")) & (F.col("_apart") == F.lit(0)), "left").drop("_key", "_apart", "_lists")
+
+
 def intersect_targets(rows, targets_long, kinds=("ec", "ko", "gene", "pwy")):
     """Add ``<kind>_hit``: the ids of the row found among the targets, sorted, null when none.
 
-    Hits depend on the list of ids alone, so distinct lists meet the targets, once each, and rows get
-    the result by their list. The target table may have any size.
+    Hits depend on the lists of ids alone, so the distinct lists of all kinds meet the targets in one
+    join, and rows get the result by their lists in another. The target table may have any size.
     """
-    wanted = targets_long.select("kind", "id").distinct()
-    for kind in kinds:
-        column = KIND_COLUMN[kind]
-        lists = rows.select(F.col(column).alias("_list")).distinct().select("_list", F.explode("_list").alias("id"))
-        hits = (
-            lists.join(wanted.filter(F.col("kind") == kind).select("id"), "id")
-            .groupBy("_list")
-            .agg(F.array_sort(F.collect_set("id")).alias(f"{kind}_hit"))
-        )
-        rows = rows.join(hits, rows[column] == hits["_list"], "left").drop("_list")
-    return rows
+    return _join_list_hits(rows, _list_hits(rows, targets_long, kinds), kinds)
 
 
 def _kind_ids(rows, kinds, suffix=None):
@@ -393,9 +406,14 @@ def assert_depth_conserved(before, after, rtol=1e-5, atol=1e-8):
         raise AssertionError(f"depth differs before and after the split: {broken}")
 
 
-def _with_hits(collapsed, targets, kinds):
-    rows = parse_annotation_lists(collapsed)
-    return intersect_targets(rows, normalize_targets(targets), kinds)
+def _with_hits(collapsed, targets, kinds, genes_to_ec=False):
+    """Rows with their target hits. The rows are stored, so what they are made of is evaluated once.
+
+    With ``genes_to_ec`` the lists, not the rows, have gene hits turned into enzymes.
+    """
+    rows = settled(parse_annotation_lists(collapsed), "collapsed")
+    hits = _list_hits(rows, normalize_targets(targets), kinds)
+    return _join_list_hits(rows, gene_to_ec(hits, targets) if genes_to_ec else hits, kinds)
 
 
 def keyword_candidates(collapsed, targets):
@@ -459,10 +477,10 @@ def split_depth_by_pathway(ec_depth, targets_long):
     )
 
 
-def pathway_candidates(collapsed, targets):
+def pathway_candidates(collapsed, targets, genes_to_ec=False):
     """Collapsed rows with enzyme or gene evidence, before depth and coverage are looked at."""
     kinds = ("ec", "pwy", "gene")
-    return drop_pathway_only(keep_any_hit(_with_hits(collapsed, targets, kinds), kinds), ("ec", "gene"))
+    return drop_pathway_only(keep_any_hit(_with_hits(collapsed, targets, kinds, genes_to_ec), kinds), ("ec", "gene"))
 
 
 def pathway_rows(collapsed, targets, threshold=0.75, by=("sample",), check=False):
@@ -470,7 +488,7 @@ def pathway_rows(collapsed, targets, threshold=0.75, by=("sample",), check=False
 
     ``check`` as in ``keyword_rows``; rows without an enzyme take no part in the split.
     """
-    rows = gene_to_ec(drop_poor_evidence(pathway_candidates(collapsed, targets)), targets)
+    rows = drop_poor_evidence(pathway_candidates(collapsed, targets, genes_to_ec=True))
     rows = rows.select(*by, "cds", "frac", "depth", "ec_hit")
     split = _checked(rows.filter(F.col("ec_hit").isNotNull()), split_depth(rows, "ec_hit", "ec"), check)
     return filter_cds_coverage(split, threshold)
@@ -493,7 +511,7 @@ def annotation_enzymes(annotations, targets):
     Evidence depends on the annotation alone, so it is looked up once per annotation row and not
     once per sample and CDS.
     """
-    rows = gene_to_ec(pathway_candidates(_with_row_count(annotations), targets), targets)
+    rows = pathway_candidates(_with_row_count(annotations), targets, genes_to_ec=True)
     return rows.select(*_annotation_keys(annotations), "n_rows", "ec_hit")
 
 
