@@ -16,6 +16,10 @@ WORDS = 5
 #: Parts of a signature, of 8 bits each, and the parts in which two members of a chunk of the index may differ.
 PARTS, ERRORS = 512, 1
 BLOCK = 256
+#: A round that finds links for fewer than one class in so many is the last before all pairs left are looked at.
+FEW = 100
+#: Bits of the parity vector of a set.
+PARITY = 2048
 _rng = np.random.default_rng(1_703)
 FACTORS = (_rng.integers(1, 2**31, PARTS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 SHIFTS = _rng.integers(0, 2**32, PARTS, dtype=np.uint32)
@@ -55,6 +59,24 @@ def signature(sets: np.ndarray) -> bytes:
     return (least >> np.uint32(24)).astype(np.uint8).tobytes()
 
 
+def bound(sets: np.ndarray) -> bytes:
+    """Whether each of PARITY buckets of the set's values holds an odd number of them, and the set's size."""
+    odd = np.bincount((sets >> np.uint64(53)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(bool)).tobytes() + np.int64(len(sets)).tobytes()
+
+
+def unlike(one: np.ndarray, others: np.ndarray, similarity: int) -> np.ndarray:
+    """Which sets can't be as similar as asked, by their bounds alone; never true of a pair that is.
+
+    A bucket that is odd for one set only holds a value that the other has not, so values that are in one set
+    only are at least as many as such buckets, and as the sizes differ.
+    """
+    size = others[:, PARITY // 8 :].copy().view(np.int64)[:, 0]
+    own = int(one[PARITY // 8 :].copy().view(np.int64)[0])
+    apart = np.bitwise_count(others[:, : PARITY // 8] ^ one[: PARITY // 8]).sum(axis=1, dtype=np.int64)
+    return np.maximum(apart, np.abs(size - own)) * (100 + similarity) > (size + own) * (100 - similarity)
+
+
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
     """The distinct shingle hashes of each text, sorted."""
     for _, _, b, offsets in text_groups(column):
@@ -68,15 +90,16 @@ def _sets(column: pa.Array) -> Iterator[np.ndarray]:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        size, one, two, sig = [], [], [], []
+        size, one, two, sig, limit = [], [], [], [], []
         for s in _sets(batch.column("text")):
             size.append(len(s))
             one.append(int(s.sum(dtype=np.uint64).astype(np.int64)))
             two.append(int(np.bitwise_xor.reduce(s * np.uint64(0xD6E8FEB86659FD93) ^ (s >> np.uint64(29))).astype(np.int64)) if len(s) else 0)
             sig.append(signature(s) if len(s) else None)
+            limit.append(bound(s) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_key"), batch.column("id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sig, pa.binary())],
-            ["_key", "id", "n", "one", "two", "sig"],
+            [batch.column("_key"), batch.column("id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sig, pa.binary()), pa.array(limit, pa.binary())],
+            ["_key", "id", "n", "one", "two", "sig", "bound"],
         )
 
 
@@ -118,8 +141,9 @@ def _store_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _search(similarity: float, nearest: bool):
     """Pairs within a block of a bucket that are in different components and within reach; each pair in its first bucket only."""
     held, near_all = index_keys(similarity), reach(PARTS, similarity)
+    percent = round(100 * similarity)
 
-    def pairs(key, first, second, node, component, block, sig):
+    def pairs(key, first, second, node, component, block, sig, limits):
         rows, cols = np.flatnonzero(block == first), np.flatnonzero(block == second)
         for r in rows:
             c = cols[component[cols] != component[r]]
@@ -134,6 +158,8 @@ def _search(similarity: float, nearest: bool):
                 if not good.any():
                     break
                 good &= differs[:, held[k]].any(axis=1)
+            if limits is not None and good.any():
+                good[good] = ~unlike(limits[r], limits[c[good]], percent)
             c, total = c[good], total[good]
             if nearest and len(c):
                 c, total = c[[total.argmin()]], total[[total.argmin()]]
@@ -146,11 +172,12 @@ def _search(similarity: float, nearest: bool):
         def done(t):
             named = [t.column(c).to_numpy() for c in ("k", "key", "i", "j", "node", "component", "block")]
             sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(-1, PARTS)
+            limits = np.frombuffer(b"".join(t.column("bound").to_pylist()), np.uint8).reshape(len(sig), -1) if "bound" in t.column_names else None
             change = np.flatnonzero(np.any([np.diff(x) != 0 for x in named[:4]], axis=0)) + 1
             found = []
             for s, e in zip([0, *change], [*change, t.num_rows], strict=True):
                 if e - s > 1:
-                    found += pairs(named[0][s], named[2][s], named[3][s], *(x[s:e] for x in named[4:]), sig[s:e])
+                    found += pairs(named[0][s], named[2][s], named[3][s], *(x[s:e] for x in named[4:]), sig[s:e], None if limits is None else limits[s:e])
             a, b, d = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else [()] * 3))
             return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (a, b, d)], ["a", "b", "d"])
 
@@ -182,10 +209,13 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
        them differ in at most one part of some chunk, so they share one of the keys made of a chunk
        less one part: no pair within that distance is missed. Sets at the similarity threshold stay
        within it but for 4.5 standard deviations.
-    3. Each member of a bucket is confirmed against the bucket's smallest member, and components of
-       the links are built: copies, however many, are tied up by as many links as there are copies.
-    4. Only buckets that still hold several components are searched pair by pair, in blocks of about
-       256, first each member's nearest signature in another component, then all that is left.
+    3. Each class is confirmed against two of the smallest members of its buckets, the one it shares most
+       keys with and the smallest, and components of the links are built.
+    4. Only buckets that still hold several components are searched, in blocks of about 256: for each
+       member the nearest signature in another component, one pair a member, again and again until a round finds
+       few (a class with a link to another component mostly finds one, so few are left then); then all that
+       is left. Pairs are left out before that can't be similar enough by the sizes and
+       parity vectors of their sets (``unlike``); of near copies just below the threshold hardly any pass.
     Links are confirmed on full sets. Ids are taken as longs.
 
     Null and empty texts, and texts of blanks, have no set: n_shingles 0, linked with nothing, kept.
@@ -194,11 +224,11 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
     repeated rows with the smallest id all are kept.
     """
     rows = docs.select(row_key(id_col, text_col).alias("_key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    described = rows.mapInArrow(_describe, "_key string, id long, n long, one long, two long, sig binary")
+    described = rows.mapInArrow(_describe, "_key string, id long, n long, one long, two long, sig binary, bound binary")
     signed = stored(described.withColumn("node", F.when(F.col("n") > 0, F.xxhash64("n", "one", "two"))), "signatures")
     classes = signed.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.min("_key").alias("_key"))
     classes = stored(classes, "classes")
-    keyed = signed.join(classes.select("_key"), "_key", "left_semi").where("n > 0").select("node", "sig").dropDuplicates(["node"])
+    keyed = signed.join(classes.select("_key"), "_key", "left_semi").where("n > 0").select("node", "sig", "bound").dropDuplicates(["node"])
     keyed = stored(keyed, "representatives")
     entries = keyed.select("node", F.posexplode(_keys("sig", similarity / 100)).alias("k", "key"))
     shared = entries.groupBy("k", "key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -214,21 +244,30 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
         with_both = with_a.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
         return with_both.select("a", "b", "set_a", "set_b").mapInArrow(_confirm(similarity), "a long, b long")
 
-    links = stored(confirmed(buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()), "links")
-    for nearest in (True, False):
+    # Of its buckets' smallest members, a class asks the one it shares most keys with and the smallest.
+    asked = buckets.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("keys"))
+    asked = asked.groupBy("node").agg(F.max_by("hub", "keys").alias("most"), F.min("hub").alias("least"))
+    asked = asked.select(F.explode(F.array_distinct(F.array("most", "least"))).alias("a"), F.col("node").alias("b"))
+    links = stored(confirmed(asked), "links")
+    known, nearest, number = links.count(), True, classes.count()
+    while True:
         found = components(links).select(F.col("id").alias("node"), "component")
         named = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         still_open = named.groupBy("k", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("k", "key")
         blocks = F.ceil(F.col("members") / BLOCK).cast("int")
         blocked = named.join(still_open, ["k", "key"]).join(keyed, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         paired = blocked.select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
-            "k", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block", "sig"
+            "k", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block", "sig", "bound"
         )
         place = ["k", "key", "i", "j"]
         pairs = paired.repartition(*place).sortWithinPartitions(*place).mapInArrow(_search(similarity / 100, nearest), "a long, b long, d long")
         if nearest:
             pairs = pairs.groupBy("a").agg(F.min(F.struct("d", "b")).alias("x")).select("a", "x.b")
         links = stored(links.unionByName(confirmed(pairs.select("a", "b").distinct())), "links")
+        if not nearest:
+            break
+        before, known = known, links.count()
+        nearest = FEW * (known - before) > number
     found = components(links).select(F.col("id").alias("node"), "component")
     whole = classes.join(found, "node", "left").select("node", "id", "_key", F.coalesce("component", "node").alias("component"))
     smallest = whole.groupBy("component").agg(F.min("id").alias("least"), F.min("_key").alias("first"))

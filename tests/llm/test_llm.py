@@ -410,7 +410,7 @@ def test_pipeline_equals_brute_force_where_it_is_exact(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
     sets = {i: shingle_set(t) for i, t in texts.items()}
-    roots = brute_components(list(sets), lambda a, b: bool(sets[a] & sets[b]) and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]))
+    roots = brute_components(list(sets), lambda a, b: bool(sets[a] & sets[b]) and 100 * len(sets[a] & sets[b]) >= corpus_pipeline.SIMILARITY * len(sets[a] | sets[b]))
     kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SMALL).collect()}
     assert kept == {i for i in roots if roots[i] == i}
     items = [" ".join(w.decode() for w in words(r.text)) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
