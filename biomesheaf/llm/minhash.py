@@ -14,12 +14,12 @@ from .words import hash_words, shingles, text_groups
 
 WORDS = 5
 #: Parts of a signature, of 8 bits each, and the parts in which two members of a chunk of the index may differ.
-PARTS, ERRORS = 512, 1
+PARTS, ERRORS = 384, 1
 BLOCK = 256
 #: A round that finds links for fewer than one class in so many is the last before all pairs left are looked at.
-FEW = 100
+FEW = 20
 #: Bits of the parity vector of a set.
-PARITY = 2048
+PARITY = 1024
 _rng = np.random.default_rng(1_703)
 FACTORS = (_rng.integers(1, 2**31, PARTS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 SHIFTS = _rng.integers(0, 2**32, PARTS, dtype=np.uint32)
@@ -61,7 +61,7 @@ def signature(sets: np.ndarray) -> bytes:
 
 def bound(sets: np.ndarray) -> bytes:
     """Whether each of PARITY buckets of the set's values holds an odd number of them, and the set's size."""
-    odd = np.bincount((sets >> np.uint64(53)).astype(np.int64), minlength=PARITY) & 1
+    odd = np.bincount((sets >> np.uint64(54)).astype(np.int64), minlength=PARITY) & 1
     return np.packbits(odd.astype(bool)).tobytes() + np.int64(len(sets)).tobytes()
 
 
@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 85, id_col: str = "doc_id
     are linked; component_id is the smallest id reachable, kept is true where that is its own.
 
     1. Equal sets are one class (told by their size and two 64-bit sums).
-    2. A class has a signature of 512 parts of 8 bits. The first of them are indexed in chunks (``index_shape``:
+    2. A class has a signature of 384 parts of 8 bits. The first of them are indexed in chunks (``index_shape``:
        at 85 90 parts in 15 chunks, at 80 90 in 18); two signatures that differ in at most 29 (at 80: 35) of
        them differ in at most one part of some chunk, so they share one of the keys made of a chunk
        less one part: no pair within that distance is missed. Sets at the similarity threshold stay
