@@ -19,7 +19,7 @@ BLOCK = 256
 #: A round that finds links for fewer than one class in so many is the last before all pairs left are looked at.
 FEW = 20
 #: Bits of the parity vector of a set.
-PARITY = 1024
+PARITY = 2048
 _rng = np.random.default_rng(1_703)
 FACTORS = (_rng.integers(1, 2**31, PARTS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 SHIFTS = _rng.integers(0, 2**32, PARTS, dtype=np.uint32)
@@ -61,7 +61,7 @@ def signature(sets: np.ndarray) -> bytes:
 
 def bound(sets: np.ndarray) -> bytes:
     """Whether each of PARITY buckets of the set's values holds an odd number of them, and the set's size."""
-    odd = np.bincount((sets >> np.uint64(54)).astype(np.int64), minlength=PARITY) & 1
+    odd = np.bincount((sets >> np.uint64(53)).astype(np.int64), minlength=PARITY) & 1
     return np.packbits(odd.astype(bool)).tobytes() + np.int64(len(sets)).tobytes()
 
 
