@@ -8,17 +8,20 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .adapters import adapter_panel
+
 # Cells of one byte matrix; longer batches are cut so that a few very long reads stay cheap.
 MATRIX_CELLS = 1 << 24
 
 
-def _blocks(lengths):
-    """Row index blocks of similar length, each within MATRIX_CELLS."""
+def _blocks(lengths, cells=None):
+    """Row index blocks of similar length, each within MATRIX_CELLS (or ``cells``)."""
+    cells = cells or MATRIX_CELLS
     order = np.argsort(lengths, kind="stable")
     end = len(order)
     while end > 0:
         width = max(int(lengths[order[end - 1]]), 1)
-        start = max(0, end - max(1, MATRIX_CELLS // width))
+        start = max(0, end - max(1, cells // width))
         yield order[start:end]
         end = start
 
@@ -65,24 +68,16 @@ def adapter_cuts(seqs, adapters, error_rate, min_overlap, lengths=None):
     texts, full = _texts(seqs)
     lengths = full if lengths is None else np.minimum(lengths, full)
     cuts = lengths.copy()
-    panel = [np.frombuffer(a.encode("ascii"), dtype=np.uint8) for a in adapters]
-    longest = max((len(a) for a in panel), default=0)
-    for rows in _blocks(lengths):
+    panel = adapter_panel(tuple(adapters), error_rate, min_overlap)
+    # A cell costs nine bytes more here, for the running words.
+    for rows in _blocks(lengths, MATRIX_CELLS // 8):
         size = lengths[rows]
         width = int(size.max()) if len(rows) else 0
         if width < min_overlap:
             continue
-        cells = np.zeros((len(rows), width + longest), dtype=np.uint8)
+        cells = np.zeros((len(rows), width + panel.longest), dtype=np.uint8)
         cells[:, :width] = _matrix([t[:n] for t, n in zip(texts[rows], size)], width)
-        best = size.copy()
-        for adapter in panel:
-            for start in range(width - min_overlap + 1):
-                overlap = np.minimum(len(adapter), size - start)
-                padding = len(adapter) - overlap
-                differing = (cells[:, start : start + len(adapter)] != adapter).sum(axis=1) - padding
-                hit = (overlap >= min_overlap) & (differing <= np.floor(error_rate * overlap))
-                best = np.where(hit & (start < best), start, best)
-        cuts[rows] = best
+        cuts[rows] = panel.cuts(cells, size)
     return cuts
 
 

@@ -69,3 +69,25 @@ def test_small_matrix_blocks(monkeypatch):
     whole = kn.adapter_cuts(seqs, ["ACGTAC"], 0.1, 3).tolist()
     monkeypatch.setattr(kn, "MATRIX_CELLS", 64)
     assert kn.adapter_cuts(seqs, ["ACGTAC"], 0.1, 3).tolist() == whole
+
+
+def test_large_panels_are_found_by_seeds():
+    rng = random.Random(8)
+    adapters = ["".join(rng.choice("ACGT") for _ in range(rng.randint(4, 40))) for _ in range(120)]
+    seqs = _texts(120, "ACGTN", 70, 9)
+    for s in seqs[:60]:
+        a = list(rng.choice(adapters))
+        for i in rng.sample(range(len(a)), len(a) // 8):
+            a[i] = rng.choice("ACGTN")
+        seqs.append(s[:25] + "".join(a)[: rng.randint(3, 40)] + s[25 : rng.randint(25, 40)])
+
+    def loop(seq, rate, least):
+        for start in range(len(seq) - least + 1):
+            for adapter in adapters:
+                size = min(len(adapter), len(seq) - start)
+                if size >= least and sum(a != b for a, b in zip(seq[start : start + size], adapter)) <= math.floor(rate * size):
+                    return start
+        return len(seq)
+
+    for rate, least in ((0.1, 8), (0.2, 6), (0.0, 4)):
+        assert kn.adapter_cuts(seqs, adapters, rate, least).tolist() == [loop(s, rate, least) for s in seqs]
