@@ -6,7 +6,9 @@ row has ``ec``, ``kegg_ko``, ``kegg_pwy`` and ``protein_name`` as comma lists un
 short_name, pwy) with comma lists; ``normalize_targets`` makes it long: (pathway, kind, id).
 """
 
-from pyspark.sql import Window
+import math
+
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.cohort import sample_list
@@ -422,21 +424,32 @@ def keyword_candidates(collapsed, targets):
     return drop_pathway_only(keep_any_hit(_with_hits(collapsed, targets, kinds), kinds))
 
 
-def keyword_rows(collapsed, targets, threshold=0.75, check=False):
+def keyword_rows(collapsed, targets, threshold=0.75, check=True):
     """Long form of the keyword table: one row per sample, CDS and keyword.
 
-    ``check`` compares the depth of each sample before and after the split and raises on a loss; it
-    evaluates the rows once more.
+    ``check`` stores the split rows, compares their depth with that of the rows before, and raises on a loss.
     """
     rows = choose_keywords(filter_cds_coverage(keyword_candidates(collapsed, targets), threshold))
     rows = rows.select("sample", "cds", "depth", "seed_orth", "keywords")
-    return _checked(rows, split_depth(rows, "keywords", "kwd"), check)
+    return _checked(rows, "keywords", "kwd", check)
+
 
+def _checked(before, ids, name, check):
+    """``split_depth`` of the rows; with ``check`` the depth is summed on both sides of the split while
+    its rows are stored, which is their only evaluation, and a loss raises.
 
-def _checked(before, after, check):
-    if check:
-        assert_depth_conserved(before, after)
-    return after
+    Both sums are taken by the same tasks, so a task that runs again can't set them apart.
+    """
+    if not check:
+        return split_depth(before, ids, name)
+    whole, shared = Observation(), Observation()
+    watched = before.observe(whole, F.sum(F.col("depth").cast("double")).alias("depth"))
+    split = split_depth(watched, ids, name).observe(shared, F.sum("split_depth").alias("depth"))
+    kept = settled(split, "split")
+    total, after = whole.get["depth"] or 0.0, shared.get["depth"] or 0.0
+    if not math.isclose(total, after, rel_tol=1e-5, abs_tol=1e-8):
+        raise AssertionError(f"depth differs before and after the split: {total} and {after}")
+    return kept
 
 
 def summarize_keywords(long_rows):
@@ -458,7 +471,7 @@ def summarize_keywords(long_rows):
     )
 
 
-def keyword_feature_table(cov_annot, targets, threshold=0.75, check=False):
+def keyword_feature_table(cov_annot, targets, threshold=0.75, check=True):
     """Depth per sample and keyword (enzyme, else ortholog, else gene)."""
     return summarize_keywords(keyword_rows(collapse_covered(cov_annot), targets, threshold, check))
 
@@ -483,18 +496,17 @@ def pathway_candidates(collapsed, targets, genes_to_ec=False):
     return drop_pathway_only(keep_any_hit(_with_hits(collapsed, targets, kinds, genes_to_ec), kinds), ("ec", "gene"))
 
 
-def pathway_rows(collapsed, targets, threshold=0.75, by=("sample",), check=False):
+def pathway_rows(collapsed, targets, threshold=0.75, by=("sample",), check=True):
     """Long form before summing: one row per CDS and enzyme that passes the threshold.
 
     ``check`` as in ``keyword_rows``; rows without an enzyme take no part in the split.
     """
     rows = drop_poor_evidence(pathway_candidates(collapsed, targets, genes_to_ec=True))
-    rows = rows.select(*by, "cds", "frac", "depth", "ec_hit")
-    split = _checked(rows.filter(F.col("ec_hit").isNotNull()), split_depth(rows, "ec_hit", "ec"), check)
-    return filter_cds_coverage(split, threshold)
+    rows = filter_cds_coverage(rows.select(*by, "cds", "frac", "depth", "ec_hit"), threshold)
+    return _checked(rows.filter(F.col("ec_hit").isNotNull()), "ec_hit", "ec", check)
 
 
-def pathway_features(collapsed, targets, threshold=0.75, by=("sample",), check=False):
+def pathway_features(collapsed, targets, threshold=0.75, by=("sample",), check=True):
     """Depth per sample, enzyme and pathway from collapsed annotated rows."""
     by = list(by)
     ec_depth = (
@@ -532,7 +544,7 @@ def enzyme_features(collapsed, enzymes, targets, threshold=0.75, by=("sample",))
     return split_depth_by_pathway(ec_depth, normalize_targets(targets))
 
 
-def pathway_feature_table(cov_annot, targets, threshold=0.75, check=False):
+def pathway_feature_table(cov_annot, targets, threshold=0.75, check=True):
     """Depth per sample, enzyme and pathway: (sample, ec, depth, pathway)."""
     return pathway_features(collapse_covered(cov_annot), targets, threshold, check=check)
 

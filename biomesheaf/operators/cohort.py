@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def low_yield_samples(track_reads, min_reads=1_000_000):
-    """Samples with fewer input reads than ``min_reads``."""
+    """Samples with fewer input reads than ``min_reads``, a number or a one-cell scalar subquery."""
     return track_reads.filter(F.col("input") < min_reads).select("sample", "input")
 
 

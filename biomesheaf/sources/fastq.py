@@ -4,12 +4,18 @@ A record is four lines and ``@`` may also start a quality line, so plain text sp
 find record borders. Plain files are cut into byte ranges, each re-synchronised on a record
 start; gzip files are read whole by one task per file. Batches leave as Arrow.
 
+Files of samples that are not asked for are left out before they are opened, and columns that are not
+asked for are not built. Both are options and not pushed-down filters: in Spark 4.1 a Python source that
+took a filter keeps it for later queries of the same DataFrame that have none. Paths without a
+scheme are on Spark's default file system.
+
 Options: ``path`` (comma-separated files, folders or globs), ``layout`` (``interleaved``, ``mate1``
-or ``mate2``), ``splitBytes``, ``samplePattern`` (a regular expression whose group 1, searched in the
+or ``mate2``), ``splitBytes``, ``samples`` (a JSON list), ``samplePattern`` (a regular expression whose group 1, searched in the
 file path, is the sample).
 """
 
 import glob
+import json
 import os
 import re
 import zlib
@@ -37,6 +43,8 @@ class FastqRange(InputPartition):
 
 
 def _filesystem(path):
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), path
@@ -142,8 +150,16 @@ def _name_and_mate(header):
     return name, None
 
 
+def _sample_of(pattern, path):
+    match = re.search(pattern, path)
+    return match.group(1) if match else None
+
+
 class FastqReader(DataSourceReader):
-    def __init__(self, options):
+    def __init__(self, options, columns=tuple(ARROW.names)):
+        self.columns = list(columns)
+        named = options.get("samples")
+        self.samples = None if named is None else set(json.loads(named))
         self.path = options["path"]
         self.layout = options.get("layout", "interleaved")
         if self.layout not in ("interleaved", "mate1", "mate2"):
@@ -154,6 +170,8 @@ class FastqReader(DataSourceReader):
     def partitions(self):
         parts = []
         for path, size in _list_files(self.path):
+            if self.samples is not None and _sample_of(self.pattern, path) not in self.samples:
+                continue
             if path.endswith(".gz"):
                 parts.append(FastqRange(path, 0, -1))
             else:
@@ -163,23 +181,27 @@ class FastqReader(DataSourceReader):
         return parts
 
     def read(self, partition):
-        match = re.search(self.pattern, partition.path)
-        sample = match.group(1) if match else None
+        if partition is None:  # No file at all: Spark still asks once.
+            return
+        sample = _sample_of(self.pattern, partition.path)
+        kept = [ARROW.names.index(c) for c in self.columns]
         system, name = _filesystem(partition.path)
         rows = []
         with system.open_input_file(name) as stream:
             for pair_id, mate, seq, qual in self._mates(stream, partition):
                 rows.append((sample, pair_id, mate, seq, qual))
                 if len(rows) == BATCH:
-                    yield self._batch(rows)
+                    yield self._batch(rows, kept)
                     rows = []
         if rows:
-            yield self._batch(rows)
+            yield self._batch(rows, kept)
 
     @staticmethod
-    def _batch(rows):
+    def _batch(rows, kept):
+        columns = list(zip(*rows))
+        fields = [ARROW.field(i) for i in kept]
         return pa.RecordBatch.from_arrays(
-            [pa.array(column, type=field.type) for column, field in zip(zip(*rows), ARROW)], schema=ARROW
+            [pa.array(columns[i], type=field.type) for i, field in zip(kept, fields)], schema=pa.schema(fields)
         )
 
     def _in_range(self, stream, partition):
@@ -232,22 +254,34 @@ class FastqSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return FastqReader(self.options)
+        return FastqReader(self.options, schema.names)
+
+
+def _qualified(spark, path):
+    """The path with its scheme, as Spark itself would read it; a glob stays a glob."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(folder).toString()
 
 
-def read_fastq(spark, path, layout="interleaved", sample_pattern=DEFAULT_PATTERN, split_bytes=DEFAULT_SPLIT):
+def read_fastq(spark, path, layout="interleaved", sample_pattern=DEFAULT_PATTERN, split_bytes=DEFAULT_SPLIT, samples=None, columns=None):
     """Reads of one or many FASTQ files, plain or gzip.
 
     ``path`` is a path, glob or list of them; for ``layout="split"`` a pair of such values, the
-    first mates and the second mates.
+    first mates and the second mates. ``samples`` are the names whose files are read and ``columns`` those
+    to build (all by default).
     """
     spark.dataSource.register(FastqSource)
+    types = dict(field.split() for field in SCHEMA.split(", "))
+    schema = ", ".join(f"{c} {types[c]}" for c in columns or types)
 
     def load(where, how):
-        where = where if isinstance(where, str) else ",".join(where)
+        parts = where.split(",") if isinstance(where, str) else where
+        reader = spark.read if samples is None else spark.read.option("samples", json.dumps(list(samples)))
         return (
-            spark.read.format("fastq")
-            .option("path", where)
+            reader.format("fastq")
+            .schema(schema)
+            .option("path", ",".join(_qualified(spark, p) for p in parts))
             .option("layout", how)
             .option("samplePattern", sample_pattern)
             .option("splitBytes", str(split_bytes))

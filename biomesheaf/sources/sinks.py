@@ -1,5 +1,7 @@
 """Writers and stage materialisation."""
 
+import json
+
 from pyspark.sql import functions as F
 
 
@@ -53,13 +55,54 @@ def write_fastq(reads, path, layout="interleaved", compression="none", mode="err
         one.write.mode(mode).option("compression", compression).partitionBy("sample").text(f"{path}/R{mate}")
 
 
-def materialize_if_absent(spark, build, path):
-    """Write ``build()`` to the path unless a finished table is there, then read it back.
+def input_state(spark, paths):
+    """What tells one state of some input files or folders from another: their number, bytes and a digest
+    of names, lengths and times. Spark lists the files; nothing is read of their content.
+    """
+    state = {}
+    for path in sorted(paths):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+        row = listed.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.sum(mark).alias("digest")).first()
+        state[path] = [row.files, row.bytes or 0, str(row.digest)]
+    return state
+
+
+def stage_fingerprint(spark, inputs=(), parameters=None):
+    """Canonical JSON of the state of a stage's inputs and of its parameters."""
+    return json.dumps({"inputs": input_state(spark, inputs), "parameters": parameters or {}}, sort_keys=True)
+
+
+def materialize_if_absent(spark, build, path, inputs=(), parameters=None):
+    """Write ``build()`` to the path unless a finished, current table is there, then read it back.
 
-    A stage counts as finished by its ``_SUCCESS`` file; a half-written folder is rebuilt.
+    A stage counts as finished by its ``_SUCCESS`` file; a half-written folder is rebuilt. With
+    ``inputs`` (paths of files, folders or globs) or ``parameters`` (values JSON can hold) a stage is also
+    rebuilt when any of them differs from what it was made of, which is stored beside ``_SUCCESS`` as
+    ``_made_from.json``; a stage without that file counts as outdated then. A stage that reads another
+    one's path as input is outdated as soon as that one is rebuilt. Without both, any finished table is kept.
     """
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+    jvm = spark.sparkContext._jvm
+    names = jvm.org.apache.hadoop.fs.Path
+    system = names(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    record = names(path, "_made_from.json")
+    made_from = stage_fingerprint(spark, inputs, parameters) if inputs or parameters else None
+    current = system.exists(names(path, "_SUCCESS"))
+    if current and made_from is not None:
+        current = system.exists(record)
+        if current:
+            stream = system.open(record)
+            try:
+                current = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") == made_from
+            finally:
+                stream.close()
+    if not current:
         build().write.mode("overwrite").parquet(path)
+        if made_from is not None:
+            # Written last: a run that ends before it leaves a stage that is built again.
+            stream = system.create(record, True)
+            try:
+                stream.write(bytearray(made_from.encode("utf-8")))
+            finally:
+                stream.close()
     return spark.read.parquet(path)

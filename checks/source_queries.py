@@ -296,6 +296,24 @@ def _(v):
     return sinks.materialize_if_absent(v.spark, never, path)
 
 
+@check("materialize_when_changed", "select sample, input, qtrimmed from track_v where qtrimmed > 0")
+def _(v):
+    """Made with one parameter, made again with another, and then kept."""
+    path, tracked = scratch_path(v.spark, "stage"), scratch_path(v.spark, "tracked")
+    v.track_v.write.parquet(tracked)
+
+    def made(least, build=None):
+        usual = lambda: v.spark.read.parquet(tracked).filter(F.col("qtrimmed") > least).select("sample", "input", "qtrimmed")
+        return sinks.materialize_if_absent(v.spark, build or usual, path, inputs=[tracked], parameters={"least": least})
+
+    def never():
+        raise AssertionError("the stage was built twice")
+
+    made(1 << 40)
+    made(0)
+    return made(0, never)
+
+
 @check("append_samples", "select sample, cds, depth, num_bases, ec from cov_annot_v")
 def _(v):
     from .annotation_queries import cov_annot

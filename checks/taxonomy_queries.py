@@ -266,6 +266,11 @@ def _(v):
     return co.low_yield_samples(v.track_v)
 
 
+@check("low_yield_against_average", "select sample, input from track_v where input < (select avg(input) from track_v)")
+def _(v):
+    return co.low_yield_samples(v.track_v, v.track_v.agg(F.avg("input")).scalar())
+
+
 @check(
     "stage_completion",
     """

@@ -296,3 +296,39 @@ def test_split_that_loses_depth_raises(spark):
     an.assert_depth_conserved(before, an.split_depth(before, "ids"))
     with pytest.raises(AssertionError):
         an.assert_depth_conserved(before, an.split_depth(before.limit(1), "ids"))
+
+
+def test_split_is_checked_while_it_is_stored(spark):
+    schema = "sample string, depth double, ids array<string>"
+    before = spark.createDataFrame([("s", 3.0, ["a", "b"]), ("s", 2.0, ["c"]), ("t", 1.0, ["c"])], schema)
+    kept = an._checked(before, "ids", "id", True)
+    assert rows(kept, "sample", "id", "split_depth") == [("s", "a", 1.5), ("s", "b", 1.5), ("s", "c", 2.0), ("t", "c", 1.0)]
+    with pytest.raises(AssertionError, match="depth differs"):
+        an._checked(before.union(spark.createDataFrame([("s", 1.0, [])], schema)), "ids", "id", True)
+    assert an._checked(before.filter("depth > 9"), "ids", "id", True).count() == 0
+    assert an._checked(spark.createDataFrame([], schema), "ids", "id", True).count() == 0
+
+
+def test_frequent_sequences_are_counted_exactly(spark):
+    # Two thirds of a sample are distinct sequences; frequent ones stand just above and below the share.
+    rare = spark.range(60_000).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("seq"))
+    often = spark.range(60).select(F.explode(F.expr("array_repeat(concat('f', id), cast(470 + id as int))")).alias("seq"))
+    one = rare.union(often).select(F.lit("s").alias("sample"), "seq")
+    both = one.union(spark.createDataFrame([("t", "x"), ("t", None)], "sample string, seq string"))
+    total = one.count()
+    expected = sorted((f"f{i}", 470 + i) for i in range(60) if 470 + i > total * 0.00555)
+    for share in (0.00555,):
+        got = rd.qc_overrepresented(both, share).filter("sample = 's'")
+        assert 0 < len(expected) < 60 and rows(got, "seq", "reads") == expected
+    assert rows(rd.qc_overrepresented(one, 0.00009), "seq", "reads") == rows(
+        one.groupBy("seq").agg(F.count("*").alias("reads")).filter(F.col("reads") > total * 0.00009), "seq", "reads"
+    )
+    plan = rd.qc_summary(both)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(sample" in plan and "hashpartitioning(sample#" in plan and ", seq#" not in plan.split("hashpartitioning", 1)[1].split("\n")[0]
+
+
+def test_a_reference_is_no_adapter_panel(spark, monkeypatch):
+    monkeypatch.setattr(rd, "PANEL_BASES", 100)
+    panel = spark.createDataFrame([("ACGT" * 30,)], "seq string")
+    with pytest.raises(ValueError, match="adapter panel"):
+        rd.trim_adapters(spark.createDataFrame([("s", "p", 1, "ACGT", "IIII")], "sample string, pair_id string, mate int, seq string, qual string"), panel)

@@ -154,3 +154,40 @@ def test_split_files_stay_in_step(spark, tmp_path):
 def test_missing_bases_are_null(spark, tmp_path):
     (tmp_path / "s.sam").write_text("@SQ\tSN:c\tLN:9\nq\t256\tc\t1\t0\t3M\t*\t0\t0\t*\t*\n")
     assert rows(tt.read_sam(spark, str(tmp_path / "s.sam"))[0], "qname", "seq", "qual") == [("q", None, None)]
+
+
+def test_only_files_of_the_samples_are_opened(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        _write(tmp_path / "in" / f"{name}.fastq", f"@{name}1\nACGT\n+\nIIII\n@{name}1\nTTTT\n+\n####\n")
+    # Opening this file raises.
+    _write(tmp_path / "in" / "broken.fastq", "@x\nAC\n+\n")
+    where = str(tmp_path / "in")
+    assert rows(read_fastq(spark, where, samples=["b"]), "sample", "pair_id", "mate", "seq") == [("b", "b1", 1, "ACGT"), ("b", "b1", 2, "TTTT")]
+    some = read_fastq(spark, where, samples=["a", "c", "none"])
+    assert rows(some.filter("mate = 2 and sample = 'c'"), "sample", "seq") == [("c", "TTTT")]
+    assert rows(some, "sample", "mate") == [("a", 1), ("a", 2), ("c", 1), ("c", 2)]
+    assert read_fastq(spark, where, samples=[]).count() == 0
+    with pytest.raises(Exception, match="FASTQ"):
+        read_fastq(spark, where).collect()
+    narrow = read_fastq(spark, f"file://{tmp_path}/in/[ab].fastq", columns=("mate", "sample"))
+    assert narrow.columns == ["mate", "sample"] and rows(narrow, "mate", "sample") == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
+
+
+def test_stage_is_built_again_when_what_it_was_made_of_changes(spark, tmp_path):
+    source, stage, built = str(tmp_path / "source"), str(tmp_path / "stage"), []
+    spark.range(5).write.parquet(source)
+
+    def made(least, **more):
+        def build():
+            built.append(least)
+            return spark.read.parquet(source).filter(f"id >= {least}")
+
+        return sinks.materialize_if_absent(spark, build, stage, inputs=[source], parameters={"least": least, **more}).count()
+
+    assert [made(1), made(1), made(2), made(2)] == [4, 4, 3, 3] and built == [1, 2]
+    spark.range(9).write.mode("overwrite").parquet(source)
+    assert [made(2), made(2)] == [7, 7] and built == [1, 2, 2]
+    # A finished stage that does not say what it was made of is outdated, but for callers that don't ask.
+    (tmp_path / "stage" / "_made_from.json").unlink()
+    assert sinks.materialize_if_absent(spark, lambda: spark.range(1), stage).count() == 7
+    assert made(2) == 7 and built == [1, 2, 2, 2]
