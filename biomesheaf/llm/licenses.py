@@ -116,8 +116,9 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8
     segments outside all bounds are dropped before their bigrams are exploded. ``dice`` is the best
     of the licence's templates and segments, ``n_segments`` the number of distinct places.
 
-    Null or empty texts and segments of fewer than two words match nothing. Equal ids count as one
-    document. Other columns of ``docs`` are ignored. No templates or no rows give no rows.
+    Null or empty texts and segments of fewer than two words match nothing. Rows of one id are one
+    document: repeated rows count once, different texts each add their segments. Rows without an id are a
+    document for each distinct text (case, signs and spaces aside). Other columns of ``docs`` are ignored. No templates or no rows give no rows.
     """
     spark = docs.sparkSession
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
@@ -129,6 +130,8 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8
         table.withColumn("b", F.size("bigrams")).select("template", "license", "b", F.explode("bigrams").alias("bigram"))
     )
     text = _once(docs, "_text", _normal(F.col(text_col)), F.col(id_col).alias("_id"))
+    # Two hashes stand for a text, so that texts of one id are not counted together.
+    text = text.withColumn("_key", F.struct(F.xxhash64("_text").alias("a"), F.xxhash64(F.lit(1), F.col("_text")).alias("b")))
     none = F.array().cast("array<struct<at:string,s:string>>")
     numbered = lambda kind: lambda s, i: F.struct(F.concat(F.lit(kind), i.cast("string")).alias("at"), s.alias("s"))
     pieces = F.concat(
@@ -138,22 +141,24 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8
     )
     longest = max((max(map(len, t.split())) for _, t in templates), default=0)
     # Every word is at least one character long: a shorter segment can't reach the bound, whatever it says.
-    segments = text.select("_id", F.inline(pieces)).where(F.length("s") >= 2 * least + 1)
-    segments = _once(segments, "words", _words(F.col("s")), "_id", "at").where(F.size("words") - 1 >= least)
-    segments = _once(segments, "bigrams", _bigrams(F.col("words")), "_id", "at").where(F.size("bigrams").between(least, most))
-    segments = segments.select("_id", "at", F.size("bigrams").alias("a"), F.explode("bigrams").alias("bigram")).where(F.length("bigram") <= 2 * longest + 1)
+    segments = text.select("_id", "_key", F.inline(pieces)).where(F.length("s") >= 2 * least + 1)
+    segments = _once(segments, "words", _words(F.col("s")), "_id", "_key", "at").where(F.size("words") - 1 >= least)
+    segments = _once(segments, "bigrams", _bigrams(F.col("words")), "_id", "_key", "at").where(F.size("bigrams").between(least, most))
+    segments = segments.select("_id", "_key", "at", F.size("bigrams").alias("a"), F.explode("bigrams").alias("bigram")).where(F.length("bigram") <= 2 * longest + 1)
     shared = (
         segments.join(F.broadcast(words_in_template), "bigram")
         .where((F.col("a") >= F.col("b") * low) & (F.col("a") <= F.col("b") * high))
-        .groupBy("_id", "at", "a", "template", "license", "b")
-        .agg(F.count(F.lit(1)).alias("both"))
+        .groupBy("_id", "_key", "at", "a", "template", "license", "b")
+        # Distinct, since repeated rows bring every bigram again.
+        .agg(F.count_distinct("bigram").alias("both"))
         .withColumn("dice", 2.0 * F.col("both") / (F.col("a") + F.col("b")))
         .where(F.col("dice") >= threshold)
     )
     return (
-        shared.groupBy("_id", "at")
+        shared.groupBy("_id", "_key", "at")
         .agg(F.min(F.struct((-F.col("dice")).alias("less"), "license")).alias("best"))
-        .select("_id", "best.license", (-F.col("best.less")).alias("dice"))
-        .groupBy(F.col("_id").alias(id_col), "license")
+        .select("_id", F.when(F.col("_id").isNull(), F.col("_key")).alias("_nameless"), "best.license", (-F.col("best.less")).alias("dice"))
+        .groupBy(F.col("_id").alias(id_col), "_nameless", "license")
         .agg(F.max("dice").alias("dice"), F.count(F.lit(1)).alias("n_segments"))
+        .drop("_nameless")
     )

@@ -24,22 +24,22 @@ with templates as (
   select template, license, {_bigrams("w")} as bigrams
   from (select template, license, {_WORDS.format(_normal("t"))} as w from (values {_TEMPLATES}) v(template, license, t))),
 words_in_template as (select template, license, len(bigrams) as b, unnest(bigrams) as bigram from templates),
-normal as (select doc_id, {_normal("text")} as t from documents),
+normal as (select distinct doc_id, md5(t) as key, t from (select doc_id, {_normal("text")} as t from documents)),
 segments as (
-  select doc_id, 'l' || generate_subscripts(string_split(t, chr(10)), 1) as place, unnest(string_split(t, chr(10))) as s from normal
+  select doc_id, key, 'l' || generate_subscripts(string_split(t, chr(10)), 1) as place, unnest(string_split(t, chr(10))) as s from normal
   union all
-  select doc_id, 'p' || generate_subscripts(p, 1), unnest(p)
-  from (select doc_id, string_split_regex(t, '\\n *\\n[ \\n]*') as p from normal where regexp_matches(t, '\\n *\\n'))
+  select doc_id, key, 'p' || generate_subscripts(p, 1), unnest(p)
+  from (select doc_id, key, string_split_regex(t, '\\n *\\n[ \\n]*') as p from normal where regexp_matches(t, '\\n *\\n'))
   union all
-  select doc_id, 'w', t from normal where contains(t, chr(10))),
+  select doc_id, key, 'w', t from normal where contains(t, chr(10))),
 grams as (
-  select doc_id, place, len(g) as a, unnest(g) as bigram
-  from (select doc_id, place, {_bigrams("w")} as g from (select doc_id, place, {_WORDS.format("s")} as w from segments))),
+  select doc_id, key, place, len(g) as a, unnest(g) as bigram
+  from (select doc_id, key, place, {_bigrams("w")} as g from (select doc_id, key, place, {_WORDS.format("s")} as w from segments))),
 scored as (
-  select doc_id, place, template, license, 2.0 * count(*)::double / (a + b) as dice
-  from grams join words_in_template using (bigram) group by doc_id, place, a, template, license, b),
-best as (select * from scored where dice >= 0.8 qualify row_number() over (partition by doc_id, place order by dice desc, license) = 1)
-select doc_id, license, max(dice) as dice, count(*) as n_segments from best group by doc_id, license"""
+  select doc_id, key, place, template, license, 2.0 * count(*)::double / (a + b) as dice
+  from grams join words_in_template using (bigram) group by doc_id, key, place, a, template, license, b),
+best as (select * from scored where dice >= 0.8 qualify row_number() over (partition by doc_id, key, place order by dice desc, license) = 1)
+select doc_id, license, max(dice) as dice, count(*) as n_segments from best group by doc_id, if(doc_id is null, key, null), license"""
 
 
 @query("op10_license_scan", LICENSE_SQL)

@@ -13,10 +13,12 @@ _own_folder = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; one of our own only where that is unset and all is local (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="llm-"))
     return _own_folder[0]

@@ -8,6 +8,7 @@ import re
 import urllib.parse
 import uuid
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -393,6 +394,23 @@ def test_licences_whole_and_in_lines(spark):
     assert licenses.license_matches(odd(spark)).count() == 0
 
 
+def test_licences_of_repeated_rows_and_rows_without_an_id(spark):
+    mit, half = licenses.TEMPLATES[2][1], " ".join(licenses.TEMPLATES[2][1].split()[: len(licenses.TEMPLATES[2][1].split()) // 4])
+    line = "Released under the MIT License."
+    rows = [(1, mit), (1, mit), (2, line), (2, f"text\n{line}\nmore"), (2, line), (3, half), (3, half), (4, "none of it")]
+    rows += [(None, line), (None, line), (None, f"{line}\nand here is much more text of another kind")]
+    got = licenses.license_matches(documents(spark, rows)).collect()
+    assert all(0.8 <= r.dice <= 1.0 for r in got)
+    assert sorted((r.doc_id or 0, r.license, r.n_segments) for r in got if r.doc_id != 1) == [(0, "MIT", 1), (0, "MIT", 1), (2, "MIT", 2)]
+    assert [(r.license, r.dice) for r in got if r.doc_id == 1] == [("MIT", 1.0)]
+    con = duckdb.connect()
+    frame = documents(spark, rows).toPandas()
+    con.register("documents", frame)
+    cells = con.execute(catalog.ORACLES["op10_license_scan"]).fetchall()
+    key = lambda r: (-1 if r[0] is None else int(r[0]), r[1], round(r[2], 9), r[3])
+    assert sorted(map(key, cells)) == sorted(map(key, (tuple(r) for r in got)))
+
+
 def test_odd_tables_pass_through_every_stage(spark, tmp_path):
     items = spark.createDataFrame([(1, None), (2, "one two three four five six"), (2, "one two three four five six")], "item_id long, text string")
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
