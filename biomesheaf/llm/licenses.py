@@ -121,7 +121,8 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = 0.8
     document for each distinct text (case, signs and spaces aside). Other columns of ``docs`` are ignored. No templates or no rows give no rows.
     """
     spark = docs.sparkSession
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
+    # A little wider than the bounds, so that rounding drops no segment of exactly the threshold.
+    low, high = threshold / (2 - threshold) * (1 - 1e-9), (2 - threshold) / threshold * (1 + 1e-9)
     table = template_table(spark, templates)
     # A few constants: the list is a parameter of the call, far below any broadcast limit.
     sizes = [r.n for r in table.select(F.size("bigrams").alias("n")).distinct().collect()] or [0]
