@@ -3,6 +3,7 @@
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from .graph import components
 from .shared import stored
 
-BLOCK = 512
+BLOCK, PARTS = 512, 64
+LINKS = "node long, links long, tie long"
 
 
 @dataclass
@@ -54,11 +56,18 @@ def _rank(a: np.ndarray, b: np.ndarray, cell: int) -> int:
     return int(np.searchsorted(np.sort(b), s - a, "left").sum())
 
 
-def _units(column: pa.Array, dims: int) -> np.ndarray:
-    v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled by a power of two first, so that no square overflows or vanishes."""
+    if not len(v):
+        return v
+    v = np.ldexp(v, -np.frexp(np.abs(v).max(axis=1))[1][:, None])
     return v / np.linalg.norm(v, axis=1)[:, None]
 
 
+def _units(column: pa.Array, dims: int) -> np.ndarray:
+    return _scaled(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims))
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors as bytes: the driver holds them as numbers, not as objects."""
     for batch in batches:
@@ -70,7 +79,8 @@ def _codebook(x: np.ndarray, size: int, seed: int, rounds: int = 12) -> np.ndarr
     rng = np.random.default_rng(seed)
     centres = x[rng.choice(len(x), min(size, len(x)), replace=False)]
     for _ in range(rounds):
-        near = ((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)[None]).argmin(1)
+        own = (centres * centres).sum(1)[None]
+        near = np.concatenate([(own - 2 * x[s : s + 4096] @ centres.T).argmin(1) for s in range(0, len(x), 4096)])
         count = np.bincount(near, minlength=len(centres))
         total = np.zeros_like(centres)
         np.add.at(total, near, x)
@@ -88,10 +98,14 @@ def fit(classes: DataFrame, dims: int, rows: int, least: float, per_cell: int =
     visits are twice the least number that meets the share ``target`` of these links.
     """
     size = int(max(1, min(most, np.ceil(np.sqrt(rows / per_cell)))))
-    picked = lambda seed, n: classes.where(F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(1 << 40)) < int(min(1.0, 1.2 * n / rows) * (1 << 40))).limit(n)
+
+    def picked(seed, n):  # the same rows however they are partitioned
+        key = F.pmod(F.xxhash64(F.lit(seed), "node"), F.lit(1 << 40))
+        return classes.where(key < int(min(1.0, 1.2 * n / rows) * (1 << 40))).orderBy(key, "node").limit(n)
+
     packed = picked(3, 32 * size).select("v").mapInArrow(_packed, "v binary").collect()
     sample = np.frombuffer(b"".join(r["v"] for r in packed)).reshape(-1, dims)
-    sample = sample / np.linalg.norm(sample, axis=1)[:, None] if len(sample) else np.ones((1, dims)) / np.sqrt(dims)
+    sample = _scaled(sample) if len(sample) else np.ones((1, dims)) / np.sqrt(dims)
     half = max(1, dims // 2)
     index = MultiIndex(_codebook(sample[:, :half], size, 1), _codebook(sample[:, half:], size, 2) if dims > 1 else np.zeros((1, 0)))
     asked = picked(9, queries).select("node", "v").collect()
@@ -99,8 +113,7 @@ def fit(classes: DataFrame, dims: int, rows: int, least: float, per_cell: int =
         index.visits = 1
         return index
     nodes = np.array([r["node"] for r in asked])
-    q = np.array([r["v"] for r in asked], np.float64)
-    q /= np.linalg.norm(q, axis=1)[:, None]
+    q = _scaled(np.array([r["v"] for r in asked], np.float64))
     da, db = index.distances(q)
 
     def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +201,22 @@ def _links(x: dict, y: dict, least: float):
         yield node[keep], links[keep], tie[keep]
 
 
+def _searched(classes: DataFrame, dims: int, rows: int, kind: str, least: float, **options) -> DataFrame:
+    """(node, links, tie) as the blocks counted them, of the classes of one vector length."""
+    index = fit(classes, dims, rows, least, **options)
+    placed = stored(
+        classes.select("node", "copies", "v").mapInArrow(_placed(index, dims), f"node long, copies long, v {kind}, home long, cells array<long>"), "cells"
+    )
+    blocks = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    owners = placed.select(F.col("home").alias("cell"), "node", "copies", "v", "home", "cells", F.lit(False).alias("visitor")).join(blocks, "cell")
+    owners = owners.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    visitors = placed.select(F.explode("cells").alias("cell"), "node", "copies", "v", "home", F.lit(None).cast("array<long>").alias("cells"), F.lit(True).alias("visitor"))
+    visitors = visitors.join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    place = ["cell", "block"]
+    met = owners.unionByName(visitors).repartition(*place).sortWithinPartitions(*place, "visitor")
+    return stored(met.mapInArrow(_verified(dims, least), LINKS), "vector-links")
+
+
 def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", **options) -> DataFrame:
     """(id, n_links, component_id, kept) of every row: links of cosine ``least`` or more, in double precision.
 
@@ -199,40 +228,30 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     Tasks give back a count and one tie a vector, not pairs.
 
     n_links counts the other rows linked directly; component_id is the smallest id reachable, the
-    row's own included; kept is true where that is its id. Vectors that are null, empty, zero, or
-    hold null or non-finite components, or are not of the most frequent length, link with nothing;
+    row's own included; kept is true where that is its id. Vectors of different lengths have no cosine
+    and never link: each length that has two classes or more gets an index and a search of its own.
+    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing;
     such rows and rows of components without any id are kept. Ids are taken as longs.
     """
     v = F.col(vector_col).cast("array<double>")
     sound = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(sound, F.col(vector_col).cast(kind)).alias("v"))
-    lengths = rows.where("v is not null").groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    if lengths is None:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    dims = lengths["d"]
-    node = F.when(F.size("v") == dims, F.xxhash64("v"))
-    rows = rows.withColumn("node", node)
+    rows = rows.withColumn("node", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
     named = stored(rows.select("id", "node"), "vector-nodes")
     alike = rows.where("node is not null").groupBy("node", "v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
     classes = stored(alike, "vector-classes")
-    index = fit(classes, dims, max(1, classes.count()), least, **options)
-    placed = stored(
-        classes.select("node", "copies", "v").mapInArrow(_placed(index, dims), f"node long, copies long, v {kind}, home long, cells array<long>"), "cells"
-    )
-    blocks = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    owners = placed.select(F.col("home").alias("cell"), "node", "copies", "v", "home", "cells", F.lit(False).alias("visitor")).join(blocks, "cell")
-    owners = owners.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    visitors = placed.select(F.explode("cells").alias("cell"), "node", "copies", "v", "home", F.lit(None).cast("array<long>").alias("cells"), F.lit(True).alias("visitor"))
-    visitors = visitors.join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    place = ["cell", "block"]
-    met = owners.unionByName(visitors).repartition(*place).sortWithinPartitions(*place, "visitor")
-    found = stored(met.mapInArrow(_verified(dims, least), "node long, links long, tie long"), "vector-links")
+    lengths = classes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy("d").collect()
+    links = [_searched(classes.where(F.size("v") == r["d"]), r["d"], r["n"], kind, least, **options) for r in lengths]
+    found = reduce(DataFrame.union, links, vectors.sparkSession.createDataFrame([], LINKS))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     ties = components(found.select(F.col("node").alias("a"), F.col("tie").alias("b"))).select(F.col("id").alias("node"), "component")
     whole = classes.select("node", "id", "copies").join(ties, "node", "left").join(counts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = whole.groupBy("component").agg(F.min("id").alias("least"))
-    told = whole.join(smallest, "component").select("node", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    # A component may hold a third of all vectors: its smallest id is looked up under PARTS keys.
+    whole = whole.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(PARTS)))
+    parts = whole.groupBy("component", "part").agg(F.min("id").alias("least"))
+    smallest = parts.groupBy("component").agg(F.min("least").alias("least"))
+    told = whole.join(parts.drop("least").join(smallest, "component"), ["component", "part"]).select("node", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least"))
     return named.join(told, "node", "left").select(
         "id",

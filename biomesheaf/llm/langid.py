@@ -43,7 +43,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column("label").slice(first, n),
                     batch.column("part").slice(first, n),
                     packed((key & ((1 << BITS) - 1)).astype(np.uint16)),
-                    packed(np.minimum(count, 65_535).astype(np.uint16)),
+                    packed(count.astype(np.uint32)),
                 ],
                 ["label", "part", "bucket", "count"],
             )
@@ -80,12 +80,13 @@ def fit(docs: DataFrame, per_label: int = 250, dims: int = 16, epochs: int = 6,
         .mapInArrow(_features, "label string, part int, bucket binary, count binary")
         .toPandas()
     )
-    rows = rows[np.array([len(x) > 0 for x in rows["bucket"]], bool)]
+    # Rows come in the order of partitions; training must not depend on it.
+    rows = rows[np.array([len(x) > 0 for x in rows["bucket"]], bool)].sort_values(["label", "bucket", "count", "part"], ignore_index=True)
     labels = sorted(set(rows["label"]))
     if not labels:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     y = np.array([labels.index(x) for x in rows["label"]])
-    counts = [np.frombuffer(c, np.uint16) for c in rows["count"]]
+    counts = [np.frombuffer(c, np.uint32) for c in rows["count"]]
     xs = [(np.frombuffer(i, np.uint16), (c / c.sum()).astype(np.float32)) for i, c in zip(rows["bucket"], counts, strict=True)]
     apart = (rows["part"] == 0).to_numpy()
     if apart.all() or len(set(y[~apart])) < len(labels):

@@ -18,11 +18,11 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-TOKEN_LEFT = re.compile(r"[A-Za-z0-9_-]*\Z")
 TOKEN = re.compile(r"[A-Za-z0-9_-]+")
-BEFORE = re.compile(r"([^\W\d_]+)[\s\"'(\[]*([:=#]?)[\s\"'(\[]*\Z")
 AFTER = re.compile(r"[\s\"').,;:\]]*([^\W\d_]+)")
-REACH = 48
+IN_TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+#: Keys that each shape of a token is dealt over: there are few shapes, and every value has one.
+SALTS = 64
 
 SPAN = "struct<kind:string,start:int,stop:int>"
 FOUND = f"base array<{SPAN}>, seeds array<struct<value:string,patterns:array<string>>>, others array<struct<start:int,stop:int,value:string,patterns:array<string>>>"
@@ -72,11 +72,25 @@ def _shape(token: str) -> str:
     return f"S:{''.join(sorted(letters)) or 'd'}{len(token)}"
 
 
+def _gap_left(text: str, at: int) -> int:
+    """Where the spaces, quotes and brackets before ``at`` begin."""
+    while at and (text[at - 1] in "\"'([" or text[at - 1].isspace()):
+        at -= 1
+    return at
+
+
 def _context(text: str, start: int, stop: int) -> list[str]:
+    """The word before, with a mark between, and the word after; both whole, at any distance over spaces and quotes."""
     patterns = []
-    if m := BEFORE.search(text, max(0, start - REACH), start):
-        patterns.append(f"L:{m[1].lower()}{m[2]}")
-    if m := AFTER.match(text, stop, stop + REACH):
+    at = _gap_left(text, start)
+    mark = text[at - 1] if at and text[at - 1] in ":=#" else ""
+    stop_word = _gap_left(text, at - len(mark))
+    at = stop_word
+    while at and text[at - 1].isalnum() and not text[at - 1].isdecimal():
+        at -= 1
+    if at < stop_word:
+        patterns.append(f"L:{text[at:stop_word].lower()}{mark}")
+    if m := AFTER.match(text, stop):
         patterns.append(f"R:{m[1].lower()}")
     return patterns
 
@@ -90,7 +104,9 @@ def _others(text: str, taken: list[tuple[int, int]]):
         if i < len(taken) and taken[i][0] <= m.start():
             at = taken[i][1]
             continue
-        start = TOKEN_LEFT.search(text, max(at, m.start() - 256), m.start()).start()
+        start = m.start()
+        while start > at and text[start - 1] in IN_TOKEN:
+            start -= 1
         stop = TOKEN.match(text, m.start()).end()
         at = stop
         token = text[start:stop]
@@ -137,7 +153,8 @@ def bootstrap(found: DataFrame, rounds: int = 3, support: int = 3, least: float
     """
     seeds = found.select(F.explode("seeds").alias("x")).select("x.value", F.explode("x.patterns").alias("pattern")).distinct()
     others = found.select(F.explode("others").alias("x")).select("x.value", F.explode("x.patterns").alias("pattern")).distinct()
-    edges = stored(others, "pii-edges")
+    shape = F.col("pattern").startswith("S:")
+    edges = stored(others.withColumn("salt", F.when(shape, F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int")).otherwise(0)), "pii-edges")
     sizes = stored(
         edges.select("pattern", F.lit(0).alias("seed"))
         .unionByName(seeds.select("pattern", F.lit(1).alias("seed")))
@@ -156,7 +173,8 @@ def bootstrap(found: DataFrame, rounds: int = 3, support: int = 3, least: float
         patterns = sizes.join(gained, "pattern", "left").select(
             "pattern", ((F.col("n_seed") + F.coalesce("gained", F.lit(0.0))) / (F.col("n") + 1)).alias("p")
         )
-        values = stored(edges.join(patterns, "pattern").groupBy("value").agg(F.max("p").alias("confidence")), "pii-values")
+        patterns = patterns.withColumn("salt", F.explode(F.when(shape, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+        values = stored(edges.join(patterns, ["pattern", "salt"]).groupBy("value").agg(F.max("p").alias("confidence")), "pii-values")
     return values.where(F.col("confidence") >= least)
 
 

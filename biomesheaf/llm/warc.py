@@ -1,7 +1,6 @@
 """WARC: archives of pages as a table of chunks, written and read as streams."""
 
 import base64
-import gzip  # noqa: F401  (the members written here are readable by it)
 import hashlib
 import os
 import re
@@ -18,6 +17,8 @@ from .shared import fresh_path, stored
 
 CHUNK = 1 << 20
 FILE = 128 << 20
+#: Keys that each digest is dealt over when its pages look up the one they revisit.
+SALTS = 16
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -53,10 +54,22 @@ def records(pages: DataFrame, least_bytes: int = 0, chunk: int = CHUNK) -> DataF
         {"length": F.octet_length("payload").cast("long"), "digest": F.sha1("payload")}
     )
     first = (
-        plain.where((F.col("length") >= least_bytes) & F.col("page_id").isNotNull()).groupBy("digest", "length").agg(F.max("page_id").alias("keeper"))
+        plain.where((F.col("length") >= least_bytes) & F.col("page_id").isNotNull())
+        .groupBy("digest", "length")
+        .agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .drop("n")
+    )
+    revisits = F.col("page_id") != F.col("keeper")
+    # Digests without payloads meet under SALTS keys each; payloads are dealt by page.
+    salt = F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")
+    ids = plain.where("page_id is not null").select("page_id", "digest", "length", salt.alias("salt"))
+    spread = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = ids.join(spread, ["digest", "length", "salt"]).where(revisits).select("page_id", "digest", "length", F.col("keeper").alias("refers_to")).distinct()
+    named, unnamed = plain.where("page_id is not null"), plain.where("page_id is null")
+    told = named.join(known, ["page_id", "digest", "length"], "left").unionByName(
+        unnamed.withColumn("refers_to", F.lit(None).cast(named.schema["page_id"].dataType))
     )
-    revisits = F.col("keeper").isNotNull() & F.col("page_id").isNotNull() & (F.col("page_id") != F.col("keeper"))
-    told = plain.join(first, ["digest", "length"], "left").withColumn("refers_to", F.when(revisits, F.col("keeper")))
     held = F.when(F.col("refers_to").isNull(), F.col("length")).otherwise(0)
     return told.select(
         "page_id", "url", "refers_to", "length", "digest", "payload",
@@ -232,7 +245,10 @@ def read_chunks(manifest: DataFrame, chunk: int = CHUNK, with_data: bool = True)
 
 
 def read_pages(chunks: DataFrame) -> DataFrame:
-    """A row per record: page_id, payload_bytes, payload_digest, record_type, refers_to; revisits get the size of their response."""
+    """A row per record: page_id, payload_bytes, payload_digest, record_type, refers_to; revisits get the size of their response.
+
+    A response whose payload doesn't have the digest its record declares is damaged: that is an error.
+    """
     ends = chunks.where("last").select(
         F.expr("try_cast(record_id as bigint)").alias("page_id"),
         "record_type",
@@ -247,8 +263,10 @@ def read_pages(chunks: DataFrame) -> DataFrame:
         .groupBy(F.col("page_id").alias("refers_to"), F.col("digest_so_far").alias("declared_digest"))
         .agg(F.max("bytes_so_far").alias("held_bytes"))
     )
+    damaged = F.raise_error(F.concat(F.lit("the payload of a record is not that of its digest: page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
+    digest = F.when(F.col("digest_so_far") == F.col("declared_digest"), F.col("digest_so_far")).otherwise(damaged)
     responses = ends.where("record_type = 'response'").select(
-        "page_id", F.col("bytes_so_far").alias("payload_bytes"), F.col("digest_so_far").alias("payload_digest"), "record_type", "refers_to"
+        "page_id", F.col("bytes_so_far").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to"
     )
     revisits = (
         ends.where("record_type = 'revisit'")
