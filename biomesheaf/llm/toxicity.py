@@ -14,13 +14,16 @@ from .words import term_hashes, text_groups
 BITS = 22
 #: Words count whole and by their first bytes, so that inflected forms share terms.
 PREFIXES = (4, 5, 6)
+#: The Euclidean length of a text's inputs.
+SCALE = 4.0
 
 
 @dataclass
 class FactorizationMachine:
-    """buckets: the sorted term buckets it knows; weight and factors: of each, in that order."""
+    """buckets: the sorted term buckets it knows; idf, weight and factors: of each, in that order."""
 
     buckets: np.ndarray
+    idf: np.ndarray
     weight: np.ndarray
     factors: np.ndarray
     bias: float
@@ -56,89 +59,103 @@ def _sum_by(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _logits(model: FactorizationMachine, at: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    v = model.factors[at]
+def _inputs(idf: np.ndarray, at: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """What each term counts for in its text: its idf over the text's Euclidean length, so long texts weigh no more."""
+    x = idf[at]
+    return SCALE * x / np.sqrt(_sum_by(owner, x * x, n))[owner]
+
+
+def _logits(model: FactorizationMachine, at: np.ndarray, x: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of n texts, and the sums of their factors; ``x`` is what each term counts for."""
+    v = model.factors[at] * x[:, None]
     total = _sum_by(owner, v, n)
     pairs = 0.5 * (total**2 - _sum_by(owner, v * v, n)).sum(axis=1)
-    return model.bias + _sum_by(owner, model.weight[at], n) + pairs, total
+    return model.bias + _sum_by(owner, model.weight[at] * x, n) + pairs, total
+
+
+def _constant(toxic: bool, dims: int) -> FactorizationMachine:
+    empty = np.zeros(0)
+    return FactorizationMachine(empty.astype(np.int64), empty, empty, np.zeros((0, dims)), 30.0 if toxic else -30.0)
 
 
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     per_label: int = 1500,
-    terms: int = 4096,
+    least: int = 3,
     dims: int = 6,
-    epochs: int = 12,
-    steps: int = 1500,
+    epochs: int = 10,
+    steps: int = 600,
     rate: float = 0.1,
     decay: float = 0.002,
+    sparse: float = 0.0003,
     seed: int = 11,
 ) -> FactorizationMachine:
-    """Train on a bounded sample: at most ``per_label`` labelled rows of either class (texts whole).
+    """Train on a bounded sample: at most ``per_label`` labelled documents of either class (texts whole).
 
     ``labels`` has doc_id and toxic (of several rows of an id the largest counts, nulls are no
-    label). The ``terms`` buckets that split the classes best (chi square) are kept. The machine's
-    logit is bias + sum of weights + sum over pairs of terms of the product of their factors, so a
-    pair can count for more, or less, than its two terms. Terms whose chi square is one that chance
-    gives among so many terms (below twice the log of their number) are noise and left out. The bias is moved from the balanced sample
-    to the share of toxic rows among all labels. ``epochs`` passes are made, or more for ``steps`` steps.
+    label); of documents with one id the text that comes first in order is taken. Every term in ``least`` texts of the sample or more has
+    a weight and factors, whatever it tells alone. The machine's logit is bias + sum of weights + sum
+    over pairs of terms of the product of their factors, so a pair can count for more, or less, than
+    its two terms; terms count by their idf in texts of length 1. Linear weights are
+    kept sparse by soft thresholds (``sparse``) while they are learned, factors shrink by ``decay``.
+    The bias is moved from the sample to the share of toxic rows among all labels. ``epochs`` passes
+    are made, or more for ``steps`` steps. The result does not depend on the order of rows.
     """
     one = labels.groupBy("doc_id").agg(F.max("toxic").alias("_toxic")).where(F.col("_toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = {r["_toxic"]: r["n"] for r in one.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    empty = np.zeros(0)
     if not known.get(0) or not known.get(1):
-        return FactorizationMachine(empty.astype(np.int64), empty, np.zeros((0, dims)), 30.0 if known.get(1) else -30.0)
+        return _constant(bool(known.get(1)), dims)
+    # Two labels, so at most 2 * per_label ids; one text each, however often an id repeats.
     sample = labelled_sample(one, F.col("_toxic"), per_label).select("doc_id", F.col("label").cast("int").alias("label"))
-    # Two labels, so at most 2 * per_label rows.
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(sample), "doc_id")
-        .select("text", "label")
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.min("label").alias("label"))
         .mapInArrow(_features, "label int, terms binary")
         .toPandas()
+        .sort_values(["label", "terms"], ignore_index=True)
     )
     y = rows["label"].to_numpy(dtype=np.float64)
     if len(set(y)) < 2:
-        return FactorizationMachine(empty.astype(np.int64), empty, np.zeros((0, dims)), 30.0 if len(y) and y[0] else -30.0)
+        return _constant(bool(len(y) and y[0]), dims)
     lists = [np.frombuffer(t, np.int32) for t in rows["terms"]]
     owner, flat = np.repeat(np.arange(len(y)), [len(t) for t in lists]), np.concatenate(lists)
-    found, at = np.unique(flat, return_inverse=True)
-    toxic, clean = y.sum(), len(y) - y.sum()
-    a = np.bincount(at, weights=y[owner], minlength=len(found))
-    b = np.bincount(at, minlength=len(found)) - a
-    gap = a * (clean - b) - b * (toxic - a)
-    chi = gap**2 * len(y) / np.maximum((a + b) * (len(y) - a - b) * toxic * clean, 1e-9)
-    telling = (a + b >= 3) & (chi >= 2 * np.log(max(2, int((a + b >= 3).sum()))))
-    chosen = np.sort(np.argsort(-np.where(telling, chi, -1), kind="stable")[: min(terms, int(telling.sum()))])
-    place = np.full(len(found), -1)
-    place[chosen] = np.arange(len(chosen))
-    keep = place[at] >= 0
-    owner, at = owner[keep], place[at][keep]
-    cuts = np.searchsorted(owner, np.arange(len(y) + 1))
+    found, at, texts = np.unique(flat, return_inverse=True, return_counts=True)
+    place = np.where(texts >= least, np.cumsum(texts >= least) - 1, -1)
+    owner, at = owner[place[at] >= 0], place[at][place[at] >= 0]
+    found, texts = found[texts >= least], texts[texts >= least]
     rng = np.random.default_rng(seed)
-    model = FactorizationMachine(found[chosen].astype(np.int64), np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), dims)), 0.0)
-    seen_w, seen_v, seen_b = np.full(len(chosen), 1e-6), np.full((len(chosen), dims), 1e-6), 1e-6
+    model = FactorizationMachine(
+        found.astype(np.int64), np.log1p(len(y) / texts), np.zeros(len(found)), rng.normal(0, 0.01, (len(found), dims)), 0.0
+    )
+    inputs = _inputs(model.idf, at, owner, len(y))
+    cuts = np.searchsorted(owner, np.arange(len(y) + 1))
+    seen_w, seen_v, seen_b = np.full(len(found), 1e-3), np.full((len(found), dims), 1e-3), 1e-6
     for _ in range(max(epochs, -(-steps * 32 // len(y)))):
         order = rng.permutation(len(y))
         for part in np.array_split(order, max(1, len(y) // 32)):
-            sizes = cuts[part + 1] - cuts[part]
-            local = np.repeat(np.arange(len(part)), sizes)
-            take = at[np.concatenate([np.arange(cuts[i], cuts[i + 1]) for i in part])] if sizes.sum() else at[:0]
-            logit, total = _logits(model, take, local, len(part))
-            g = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[part]
+            local = np.repeat(np.arange(len(part)), cuts[part + 1] - cuts[part])
+            rows_of = np.concatenate([np.arange(cuts[i], cuts[i + 1]) for i in part])
+            take, x = at[rows_of], inputs[rows_of]
+            logit, total = _logits(model, take, x, local, len(part))
+            g = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[part]) / len(part)
             touched, back = np.unique(take, return_inverse=True)
-            gw = np.bincount(back, weights=g[local], minlength=len(touched)) / len(part) + decay * model.weight[touched]
-            gv = np.zeros((len(touched), dims))
-            np.add.at(gv, back, g[local][:, None] * (total[local] - model.factors[take]) / len(part))
+            pull = g[local] * x
+            gw = np.bincount(back, weights=pull, minlength=len(touched)) + decay * model.weight[touched]
+            pulls = pull[:, None] * (total[local] - model.factors[take] * x[:, None])
+            gv = np.stack([np.bincount(back, weights=pulls[:, k], minlength=len(touched)) for k in range(dims)], axis=1)
             gv += decay * model.factors[touched]
             seen_w[touched] += gw**2
             seen_v[touched] += gv**2
-            seen_b += g.mean() ** 2
-            model.weight[touched] -= rate * gw / np.sqrt(seen_w[touched])
+            seen_b += g.sum() ** 2
+            step = rate / np.sqrt(seen_w[touched])
+            moved = model.weight[touched] - step * gw
+            model.weight[touched] = np.sign(moved) * np.maximum(np.abs(moved) - step * sparse, 0)
             model.factors[touched] -= 0.2 * rate * gv / np.sqrt(seen_v[touched])
-            model.bias -= rate * g.mean() / np.sqrt(seen_b)
-    model.bias += float(np.log(known[1] / known[0]) - np.log(toxic / clean))
+            model.bias -= rate * g.sum() / np.sqrt(seen_b)
+    model.bias += float(np.log(known[1] / known[0]) - np.log(y.sum() / (len(y) - y.sum())))
     return model
 
 
@@ -152,7 +169,7 @@ def toxicity(model: FactorizationMachine, text: str = "text") -> Column:
             p = np.zeros(len(column))
             for first, last, b, offsets in text_groups(column):
                 owner, at = _terms(b, offsets, place)
-                logit, _ = _logits(model, at, owner, last - first)
+                logit, _ = _logits(model, at, _inputs(model.idf, at, owner, last - first), owner, last - first)
                 p[first:last] = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
             yield pa.array(p)
 

@@ -305,11 +305,42 @@ def test_toxicity_on_held_out_rows(spark):
 
 def test_pairs_count_beyond_their_terms():
     """An insult at a group is toxic, either alone is not: the logit of the pair exceeds the sum of its terms'."""
-    model = toxicity.FactorizationMachine(np.arange(2), np.array([-1.0, -1.0]), np.array([[2.0], [2.0]]), -1.0)
-    logit, _ = toxicity._logits(model, np.array([0, 1, 0, 1]), np.array([0, 1, 2, 2]), 3)
+    model = toxicity.FactorizationMachine(np.arange(2), np.ones(2), np.array([-1.0, -1.0]), np.array([[2.0], [2.0]]), -1.0)
+    logit, _ = toxicity._logits(model, np.array([0, 1, 0, 1]), np.ones(4), np.array([0, 1, 2, 2]), 3)
     assert logit[0] < 0 and logit[1] < 0 and logit[2] > 0
 
 
+def balanced_pairs(spark, n=480):
+    """Two insults, two groups, each in half of the toxic and half of the clean texts: only their pairs tell."""
+    rng, rows = random.Random(5), []
+    for i in range(n):
+        insult, group = rng.choice("pq"), rng.choice("xy")
+        filler = [f"filler{rng.randrange(60)}" for _ in range(12)]
+        words = [*filler, f"{insult}{insult}insult", f"{group}{group}group"]
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int((insult == "p") == (group == "x"))))
+    return documents(spark, [r[:2] for r in rows]), spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+
+
+def test_fit_learns_pairs_of_balanced_terms(spark):
+    docs, labels = balanced_pairs(spark)
+    model = toxicity.fit(docs, labels.where("doc_id % 4 <> 0"))
+    got = docs.where("doc_id % 4 = 0").withColumn("p", toxicity.toxicity(model)).join(labels, "doc_id").toPandas()
+    assert ((got.p >= 0.5) == (got.toxic == 1)).mean() > 0.95
+
+
+def test_fit_does_not_depend_on_row_order_and_takes_one_text_an_id(spark):
+    docs, labels = balanced_pairs(spark, 80)
+    labels = labels.unionByName(spark.createDataFrame([(1, None), (None, 1), (900, 1)], "doc_id long, toxic int"))
+    a, b = toxicity.fit(docs, labels), toxicity.fit(docs.unionByName(docs).repartition(7).orderBy(F.rand(3)), labels)
+    assert (a.buckets == b.buckets).all() and (a.weight == b.weight).all() and (a.factors == b.factors).all() and a.bias == b.bias
+    scored = odd(spark).withColumn("p", toxicity.toxicity(a)).collect()
+    assert len(scored) == 10 and all(0 <= r.p <= 1 for r in scored) and len({r.p for r in scored if r.doc_id in (1, 2, 3)}) == 1
+    assert len({r.p for r in scored if r.doc_id == 5}) == 1 and len({r.p for r in scored if r.doc_id in (6, 7)}) == 1
+    empty = documents(spark, [])
+    assert empty.withColumn("p", toxicity.toxicity(toxicity.fit(empty, labels))).count() == 0
+
+
 def test_lm_base_score_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     got = {r.doc_id: r for r in catalog.QUERIES["op3_lm_scores"](spark, SMALL).collect()}
