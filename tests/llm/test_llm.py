@@ -167,6 +167,22 @@ def test_vectors_equal_brute_force(spark):
     assert sum(got[i] == (n[i], want[i]) for i in n) >= 0.95 * len(n)
 
 
+def test_vectors_of_every_length_and_size_are_searched(spark):
+    rng = np.random.default_rng(8)
+    rows, sizes = [], [1.0, 1e200, 1e-200]
+    for i in range(180):
+        base = np.random.default_rng(i % 9).normal(size=[3, 8, 5][i % 3])
+        rows.append((i, ((base + rng.normal(size=len(base)) * 0.02) * sizes[i % 4 % 3]).tolist()))
+    rows += [(200, [1.0]), (201, [2.0]), (202, [-1.0]), (203, []), (204, None)]
+    largest = {i: max(map(abs, v)) for i, v in rows if v}
+    ok = {i: np.array(v) / largest[i] / np.linalg.norm(np.array(v) / largest[i]) for i, v in rows if v}
+    near = lambda a, b: a in ok and b in ok and len(ok[a]) == len(ok[b]) and ok[a] @ ok[b] >= 0.95
+    want = brute_components([i for i, _ in rows], near)
+    n = {i: sum(1 for j, _ in rows if j != i and near(i, j)) for i, _ in rows}
+    got = {r.id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {i: (n[i], want[i]) for i, _ in rows}
+
+
 def test_multi_sequence_visits_nearest_cells():
     rng = np.random.default_rng(2)
     a, b = rng.random(9), rng.random(7)
@@ -267,6 +283,29 @@ def test_bootstrap_finds_unseen_identifiers_and_masks(spark):
     assert len(found) == len(rows)
 
 
+def test_tokens_and_contexts_of_any_length():
+    token = "A" * 5000 + "1234"
+    text = f"key: {token}{' ' * 500}after"
+    assert list(pii._others(text, [])) == [(5, 5 + len(token), token.lower(), ["L:key:", "R:after", f"S:u{len(token)}"])]
+    assert pii._context("x" * 300 + " " * 300 + "12345678", 600, 608) == ["L:" + "x" * 300]
+    before = re.compile(r"([^\W\d_]+)[\s\"'(\[]*([:=#]?)[\s\"'(\[]*\Z")
+    rng = random.Random(4)
+    for _ in range(3000):
+        text = "".join(rng.choice("aé²1_ :=#\"'([\n.") for _ in range(rng.randrange(12)))
+        m = before.search(text)
+        assert pii._context(text, len(text), len(text)) == ([f"L:{m[1].lower()}{m[2]}"] if m else [])
+
+
+def test_damaged_payloads_are_an_error_on_reading(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i % 3}") for i in range(60)], "page_id long, url string, html string")
+    chunks = warc.read_chunks(warc.write_archives(pages, str(tmp_path / "w")))
+    got = warc.read_pages(chunks).collect()
+    assert len(got) == 60 and sorted(r.page_id for r in got if r.record_type == "response") == [57, 58, 59]
+    assert {(r.page_id, r.refers_to) for r in got if r.refers_to is not None} == {(i, 57 + i % 3) for i in range(57)}
+    with pytest.raises(Exception, match="not that of its digest: page 58"):
+        warc.read_pages(chunks.withColumn("digest_so_far", F.when(F.col("record_id") == "58", "A").otherwise(F.col("digest_so_far")))).collect()
+
+
 def test_archives_round_trip_in_chunks(spark, tmp_path):
     big = "xyé" * 5000
     rows = [(1, "http://a/é b\r\nc", big), (2, "u", big), (3, None, None), (4, "u", ""), (5, "u", "<p>"), (5, "u", "<p>"), (None, "u", "n")]
