@@ -1,5 +1,6 @@
 """Alignments, coverage, abundance, assemblies."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from biomesheaf.operators import alignments as al
@@ -79,6 +80,20 @@ def _(v):
     return al.sort_by_coordinate(v.hits_v.select("sample", "rname", "pos", "qname", "flag"))
 
 
+@check(
+    "sort_by_coordinate_order",
+    """
+select sample, rname, pos, qname, flag,
+  row_number() over (partition by sample, rname order by pos, qname) as order_no
+from hits_v""",
+)
+def _(v):
+    """The number each row has within its reference, in the order in which the rows come."""
+    ordered = al.sort_by_coordinate(v.hits_v.select("sample", "rname", "pos", "qname", "flag"), 16)
+    as_they_come = Window.partitionBy("sample", "rname").orderBy("at")
+    return ordered.withColumn("at", F.monotonically_increasing_id()).withColumn("order_no", F.row_number().over(as_they_come)).drop("at")
+
+
 @check("remove_duplicates", "select sample, qname, flag, rname, pos from dedup_v")
 def _(v):
     kept = al.remove_duplicates(v.hits_v, F.col("base_quality_sum"))
