@@ -210,6 +210,19 @@ def test_calls_and_hit_strings_equal_plain_versions(spark, k):
     assert {(r.sample, r.pair_id, r.mate): r.kmer_hits for r in tx.kmer_hit_string(df, db, k).collect()} == runs
 
 
+def test_words_of_reads_are_never_broadcast(spark, tmp_path, capsys):
+    """The files of the reads are smaller than the k-mer table, their words are not."""
+    rng = random.Random(4)
+    seq = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    spark.createDataFrame([("x", 1, 1, seq(300)), ("x", 1, 2, seq(20))], READS).write.parquet(str(tmp_path / "reads"))
+    reads = spark.read.parquet(str(tmp_path / "reads"))
+    kmers = [(seq(21), 5) for _ in range(3000)] + [(reads.filter("mate = 1").first().seq[7:28], 7)]
+    found = tx.kmer_hit_string(reads, spark.createDataFrame(kmers, "kmer string, tax_id int"), 21)
+    found.explain()
+    assert "BuildLeft" not in capsys.readouterr().out
+    assert [tuple(r) for r in found.collect()] == [("x", 1, 1, "0:7 7:1 0:272")]
+
+
 def test_hit_strings_take_time_in_proportion_to_the_read():
     rng = random.Random(9)
 
