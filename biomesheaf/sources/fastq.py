@@ -2,7 +2,8 @@
 
 A record is four lines and ``@`` may also start a quality line, so plain text splitting does not
 find record borders. Plain files are cut into byte ranges, each re-synchronised on a record
-start; gzip files are read whole by one task per file. Batches leave as Arrow.
+start; gzip files are read whole by one task per file. Batches leave as Arrow. A task takes consecutive
+ranges of a file, as many as give it an even share of all bytes, so tasks don't grow with the number of ranges.
 
 Files of samples that are not asked for are left out before they are opened, and columns that are not
 asked for are not built. Both are options and not pushed-down filters: in Spark 4.1 a Python source that
@@ -10,7 +11,7 @@ took a filter keeps it for later queries of the same DataFrame that have none. P
 scheme are on Spark's default file system.
 
 Options: ``path`` (comma-separated files, folders or globs), ``layout`` (``interleaved``, ``mate1``
-or ``mate2``), ``splitBytes``, ``samples`` (a JSON list), ``samplePattern`` (a regular expression whose group 1, searched in the
+or ``mate2``), ``splitBytes``, ``tasks`` (how many to share the bytes among; by default each range is one), ``samples`` (a JSON list), ``samplePattern`` (a regular expression whose group 1, searched in the
 file path, is the sample).
 """
 
@@ -31,6 +32,8 @@ ARROW = pa.schema(
 )
 BATCH = 8192
 BLOCK = 1 << 20
+#: Bytes looked at before a range, for the record that comes before its first one.
+BACK = 1 << 12
 DEFAULT_SPLIT = 128 << 20
 DEFAULT_PATTERN = r"([^/.]+)(?:\.[^/]*)?$"
 
@@ -40,6 +43,7 @@ class FastqRange(InputPartition):
     path: str
     start: int
     end: int  # -1: to the end of the file
+    step: int = 0  # bytes of one range; 0: all is one
 
 
 def _filesystem(path):
@@ -79,12 +83,12 @@ def _list_files(path):
     return sorted(found)
 
 
-def _plain_lines(stream, offset):
-    """(offset, line) pairs from the stream's position on."""
+def _plain_lines(stream, offset, size=BLOCK):
+    """(offset, line) pairs from the stream's position on, read in blocks of ``size``."""
     stream.seek(offset)
     rest, at = b"", offset
     while True:
-        block = stream.read(BLOCK)
+        block = stream.read(size)
         if not block:
             if rest:
                 yield at, rest
@@ -165,19 +169,24 @@ class FastqReader(DataSourceReader):
         if self.layout not in ("interleaved", "mate1", "mate2"):
             raise ValueError(f"unknown layout: {self.layout}")
         self.split = int(options.get("splitbytes", options.get("splitBytes", DEFAULT_SPLIT)))
+        self.tasks = int(options.get("tasks", 0))
         self.pattern = options.get("samplepattern", options.get("samplePattern", DEFAULT_PATTERN))
 
     def partitions(self):
         parts = []
-        for path, size in _list_files(self.path):
-            if self.samples is not None and _sample_of(self.pattern, path) not in self.samples:
-                continue
+        files = [
+            (path, size)
+            for path, size in _list_files(self.path)
+            if self.samples is None or _sample_of(self.pattern, path) in self.samples
+        ]
+        plain = sum(size for path, size in files if not path.endswith(".gz"))
+        share = min(DEFAULT_SPLIT, plain // self.tasks) if self.tasks else 0
+        run = max(1, share // self.split) * self.split
+        for path, size in files:
             if path.endswith(".gz"):
                 parts.append(FastqRange(path, 0, -1))
             else:
-                parts += [
-                    FastqRange(path, s, min(s + self.split, size)) for s in range(0, size, self.split)
-                ]
+                parts += [FastqRange(path, s, min(s + run, size), self.split) for s in range(0, size, run)]
         return parts
 
     def read(self, partition):
@@ -188,14 +197,22 @@ class FastqReader(DataSourceReader):
         system, name = _filesystem(partition.path)
         rows = []
         with system.open_input_file(name) as stream:
-            for pair_id, mate, seq, qual in self._mates(stream, partition):
-                rows.append((sample, pair_id, mate, seq, qual))
-                if len(rows) == BATCH:
-                    yield self._batch(rows, kept)
-                    rows = []
+            for part in self._ranges(partition):
+                for pair_id, mate, seq, qual in self._mates(stream, part):
+                    rows.append((sample, pair_id, mate, seq, qual))
+                    if len(rows) == BATCH:
+                        yield self._batch(rows, kept)
+                        rows = []
         if rows:
             yield self._batch(rows, kept)
 
+    @staticmethod
+    def _ranges(partition):
+        if not partition.step:
+            return [partition]
+        starts = range(partition.start, partition.end, partition.step)
+        return (FastqRange(partition.path, s, min(s + partition.step, partition.end)) for s in starts)
+
     @staticmethod
     def _batch(rows, kept):
         columns = list(zip(*rows))
@@ -209,7 +226,7 @@ class FastqReader(DataSourceReader):
         if partition.end < 0:
             source = _records(_gzip_lines(stream), True)
         else:
-            source = self._from_before(stream, partition.start)
+            source = self._from_before(stream, partition.start, partition.end)
         previous = None
         for at, header, seq, qual in source:
             if partition.end >= 0 and at >= partition.end:
@@ -219,17 +236,20 @@ class FastqReader(DataSourceReader):
             previous = header
 
     @staticmethod
-    def _from_before(stream, start):
-        """Records from a little before the range on, so that its first record can be paired."""
-        if start == 0:
-            return _records(_plain_lines(stream, 0), True)
-        back = 1 << 16
+    def _from_before(stream, start, end):
+        """Records from a little before the range on, so that its first record can be paired.
+
+        Two records must begin before it: the first may be one whose header was cut.
+        """
+        back = BACK
         while True:
             at = max(0, start - back)
-            probe = _records(_plain_lines(stream, at), at == 0)
-            first = next(probe, None)
-            if at == 0 or (first is not None and first[0] < start):
-                return _records(_plain_lines(stream, at), at == 0)
+            if at:
+                probe = _records(_plain_lines(stream, at, min(back, BLOCK)), False)
+                next(probe, None)
+                second = next(probe, None)
+            if at == 0 or (second is not None and second[0] < start):
+                return _records(_plain_lines(stream, at, min(BLOCK, end - at + BACK)), at == 0)
             back *= 4
 
     def _mates(self, stream, partition):
@@ -285,6 +305,7 @@ def read_fastq(spark, path, layout="interleaved", sample_pattern=DEFAULT_PATTERN
             .option("layout", how)
             .option("samplePattern", sample_pattern)
             .option("splitBytes", str(split_bytes))
+            .option("tasks", str(4 * spark.sparkContext.defaultParallelism))
             .load()
         )
 

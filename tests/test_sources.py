@@ -28,6 +28,15 @@ def test_fastq_ranges_and_gzip_agree(spark, tmp_path):
     assert rows(both.groupBy("sample").count()) == [("s1", 80), ("s2", 80)]
 
 
+def test_fastq_tasks_do_not_grow_with_the_ranges(spark, tmp_path):
+    many = "".join(f"@r{i}@x\n{'ACGT' * (1 + i % 40)}\n+\n{'@+II' * (1 + i % 40)}\n" * 2 for i in range(2000))
+    (tmp_path / "s.fq").write_text(many)
+    got = read_fastq(spark, str(tmp_path / "s.fq"), split_bytes=500)
+    assert len(many) // 500 > 800
+    assert got.rdd.getNumPartitions() <= 5 * spark.sparkContext.defaultParallelism
+    assert rows(got, "pair_id", "mate", "seq") == sorted((f"r{i}@x", m, "ACGT" * (1 + i % 40)) for i in range(2000) for m in (1, 2))
+
+
 def test_fastq_mate_marks_orphans_and_damage(spark, tmp_path):
     path = tmp_path / "a.fq"
     path.write_text("@x/2\nA\n+\nI\n@y 1:N:0:AC\nC\n+\nI\n@z\nG\n+\nI\n@w\nT\n+\nI\n@w\nTT\n+\nII\n\n")
