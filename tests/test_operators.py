@@ -1,17 +1,21 @@
 """Edge cases and properties of the operators."""
 
 import random
+import tempfile
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from biomesheaf import plans
+from biomesheaf.functions import packed as pk
 from biomesheaf.functions import sequences as sq
 from biomesheaf.operators import alignments as al
 from biomesheaf.operators import annotation as an
 from biomesheaf.operators import reads as rd
 from biomesheaf.operators import resistome as rs
 from biomesheaf.operators import taxonomy as tx
+from checks import views
 
 SAM = "sample string, qname string, flag int, rname string, pos bigint, cigar string, seq string, qual string"
 
@@ -332,3 +336,11 @@ def test_a_reference_is_no_adapter_panel(spark, monkeypatch):
     panel = spark.createDataFrame([("ACGT" * 30,)], "seq string")
     with pytest.raises(ValueError, match="adapter panel"):
         rd.trim_adapters(spark.createDataFrame([("s", "p", 1, "ACGT", "IIII")], "sample string, pair_id string, mate int, seq string, qual string"), panel)
+
+
+def test_test_tables_are_dealt_by_their_bytes(spark, tmp_path, monkeypatch):
+    spark.range(5000).selectExpr("id as c_custkey", "uuid() as c_name").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    least = spark.sparkContext.defaultParallelism
+    assert views.Views(spark, str(tmp_path)).customer.rdd.getNumPartitions() == max(least, 1)
+    monkeypatch.setitem(views.DEALT, "customer", 4096)
+    assert views.Views(spark, str(tmp_path)).customer.rdd.getNumPartitions() > 3 * least
