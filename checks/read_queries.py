@@ -173,7 +173,7 @@ where kmer not like '%N%' group by sample""",
 def _(v):
     """The estimate against the exact count; three times its standard error is allowed."""
     rsd = 0.05
-    exact = sq.explode_kmers(v.reads_v, 31, "sample", canonical=True).groupBy("sample").agg(F.count_distinct("kmer").alias("exact"))
+    exact = sq.explode_kmers(v.reads_v, 31, "sample", canonical=True, as_numbers=True).groupBy("sample").agg(F.count_distinct("kmer").alias("exact"))
     both = rd.kmer_cardinality(v.reads_v, rsd=rsd).join(exact, "sample")
     within = F.abs(F.col("kmers") - F.col("exact")) <= 3 * rsd * F.col("exact")
     return both.select("sample", F.col("exact").alias("kmers"), within.alias("within_bound"))
@@ -190,7 +190,7 @@ from (select case when sample < 'p' then 'early' else 'late' end as cohort, * fr
 def _(v):
     """Stored sketches united by cohort, against the exact count; three standard errors are allowed."""
     cohort = F.when(F.col("sample") < "p", "early").otherwise("late").alias("cohort")
-    exact = sq.explode_kmers(v.reads_v.select("*", cohort), 31, "cohort", canonical=True).groupBy("cohort").agg(F.count_distinct("kmer").alias("exact"))
+    exact = sq.explode_kmers(v.reads_v.select("*", cohort), 31, "cohort", canonical=True, as_numbers=True).groupBy("cohort").agg(F.count_distinct("kmer").alias("exact"))
     kept = settled(rd.cardinality_sketches(v.reads_v), "sketches")
     both = rd.cohort_cardinality(kept.select("*", cohort), "cohort").join(exact, "cohort")
     within = F.abs(F.col("kmers") - F.col("exact")) <= 3 * 0.8 / 64 * F.col("exact")

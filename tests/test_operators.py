@@ -338,6 +338,15 @@ def test_a_reference_is_no_adapter_panel(spark, monkeypatch):
         rd.trim_adapters(spark.createDataFrame([("s", "p", 1, "ACGT", "IIII")], "sample string, pair_id string, mate int, seq string, qual string"), panel)
 
 
+def test_kmers_as_numbers_are_the_packed_texts(spark):
+    df = spark.createDataFrame([("a", "ACGTNACGGTTACA"), ("a", "acgTT"), ("b", None), (None, "CCATG")], "sample string, seq string")
+    for k, canonical in ((5, True), (4, False), (33, True)):
+        texts = sq.explode_kmers(df, k, "sample", canonical=canonical).withColumn("kmer", pk.packed("kmer", k))
+        numbers = sq.explode_kmers(df, k, "sample", canonical=canonical, as_numbers=True)
+        assert numbers.columns == texts.columns
+        assert Counter(map(tuple, numbers.collect())) == Counter(map(tuple, texts.collect()))
+
+
 def test_test_tables_are_dealt_by_their_bytes(spark, tmp_path, monkeypatch):
     spark.range(5000).selectExpr("id as c_custkey", "uuid() as c_name").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
     least = spark.sparkContext.defaultParallelism
