@@ -224,7 +224,9 @@ def intersect_targets(rows, targets_long, kinds=("ec", "ko", "gene", "pwy")):
 
     Hits depend on the lists of ids alone, so the distinct lists of all kinds meet the targets in one
     join, and rows get the result by their lists in another. The target table may have any size.
+    The rows are stored, so what they are made of is evaluated once for both.
     """
+    rows = settled(rows, "annotated")
     return _join_list_hits(rows, _list_hits(rows, targets_long, kinds), kinds)
 
 

@@ -347,6 +347,26 @@ def test_kmers_as_numbers_are_the_packed_texts(spark):
         assert Counter(map(tuple, numbers.collect())) == Counter(map(tuple, texts.collect()))
 
 
+def test_rows_of_a_target_search_are_made_once(spark, tmp_path):
+    """They are asked for their distinct lists and for themselves."""
+
+    def counted(batches):
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                tempfile.mkstemp(dir=tmp_path)
+            yield batch
+
+    base = spark.createDataFrame(
+        [("s", "c1", ["1.1", "2.2"], None), ("s", "c2", None, None), ("t", "c1", ["2.2"], ["map1"])],
+        "sample string, cds string, ec array<string>, kegg_pwy array<string>",
+    )
+    targets = spark.createDataFrame([("p", "ec", "1.1"), ("p", "pwy", "map1")], "pathway string, kind string, id string")
+    got = an.intersect_targets(base.mapInArrow(counted, base.schema), targets, ("ec", "pwy"))
+    want = [("s", "c1", ["1.1"], None), ("s", "c2", None, None), ("t", "c1", None, ["map1"])]
+    assert rows(got, "sample", "cds", "ec_hit", "pwy_hit") == want
+    assert len(list(tmp_path.iterdir())) == 3
+
+
 def test_test_tables_are_dealt_by_their_bytes(spark, tmp_path, monkeypatch):
     spark.range(5000).selectExpr("id as c_custkey", "uuid() as c_name").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
     least = spark.sparkContext.defaultParallelism
