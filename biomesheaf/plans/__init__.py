@@ -45,9 +45,10 @@ def keyword_features(alignments, ref_lengths, annotations, targets, threshold=0.
     """
     spans = alignments if "start0" in alignments.columns else al.alignment_spans(alignments)
     collapsed = an.annotate_collapsed(an.collapse_runs(al.coverage_runs(spans), ref_lengths), annotations)
-    features = an.summarize_keywords(an.keyword_rows(collapsed, targets, threshold))
     if samples is None:
-        return features
+        return an.summarize_keywords(an.keyword_rows(collapsed, targets, threshold))
+    collapsed = settled(collapsed, "collapsed")
+    features = an.summarize_keywords(an.keyword_rows(collapsed, targets, threshold))
     return an.placeholder_for_empty(features, an.keyword_candidates(collapsed, targets), samples)
 
 

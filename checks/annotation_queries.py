@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from biomesheaf import plans
+from biomesheaf.functions.joins import settled
 from biomesheaf.operators import alignments as al
 from biomesheaf.operators import annotation as an
 
@@ -386,7 +387,7 @@ select sample, ec, round(depth, 6) as depth, pathway from pw_feat_v
 union all select distinct event_type, null, null, null from events""",
 )
 def _(v):
-    t, rows = targets(v, True), collapsed(v)
+    t, rows = targets(v, True), settled(collapsed(v), "collapsed")
     features = rounded(an.pathway_features(rows, t), "depth")
     # The samples of the events table have no coverage at all: each is empty.
     samples = v.aln_v.select("sample").unionByName(v.events.select(F.col("event_type").alias("sample")))

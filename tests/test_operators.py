@@ -373,3 +373,22 @@ def test_test_tables_are_dealt_by_their_bytes(spark, tmp_path, monkeypatch):
     assert views.Views(spark, str(tmp_path)).customer.rdd.getNumPartitions() == max(least, 1)
     monkeypatch.setitem(views.DEALT, "customer", 4096)
     assert views.Views(spark, str(tmp_path)).customer.rdd.getNumPartitions() > 3 * least
+
+
+def test_candidates_and_features_share_one_coverage(spark, tmp_path):
+    """A cohort's placeholders ask for the candidates again, not for their coverage."""
+
+    def counted(batches):
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                tempfile.mkstemp(dir=tmp_path)
+            yield batch
+
+    base = spark.createDataFrame([("s", "c1", 0, 90)], "sample string, rname string, start0 bigint, end0 bigint")
+    annotations = spark.createDataFrame([("c1", "o", "1.1", None, None, None)], "cds string, seed_orth string, ec string, kegg_ko string, kegg_pwy string, protein_name string")
+    targets = spark.createDataFrame([("p", "1.1", None, None, None)], "pathway string, ec string, ko string, short_name string, pwy string")
+    samples = spark.createDataFrame([("s",), ("t",)], "sample string")
+    sizes = spark.createDataFrame([("c1", 100)], "rname string, length bigint")
+    got = plans.keyword_features(base.mapInArrow(counted, base.schema), sizes, annotations, targets, samples=samples)
+    assert sorted((r.sample, r.kwd) for r in got.collect()) == [("s", "1.1"), ("t", None)]
+    assert len(list(tmp_path.iterdir())) == 1
