@@ -155,20 +155,16 @@ def coverage_runs(spans, by=("sample",), bin_width=BIN_WIDTH, levels=0):
         ),
     )
     names = [f"_d{i}" for i in range(levels)] or ["depth"]
-    if levels:
-        sums = [
-            F.sum(F.when(F.col("entry") <= i, F.col("delta")).otherwise(0)).alias(n)
-            for i, n in enumerate(names)
-        ]
-    else:
-        sums = [F.sum("delta").alias("depth")]
-    at_position = events.groupBy(*by, "rname", "bin", "pos").agg(*sums)
+    # A row of each level that begins or ends at a position, and no column per level: sums of levels are
+    # made in the sweep. Of the rows of one position all but the last span no bases.
+    at_position = events.groupBy(*by, "rname", "bin", "pos", *entry).agg(F.sum("delta").alias("delta"))
     sweep = Window.partitionBy(*by, "rname", "bin").orderBy("pos")
     upto = sweep.rowsBetween(Window.unboundedPreceding, 0)
+    steps = [F.when(F.col("entry") <= i, F.col("delta")).otherwise(0) for i in range(levels)] or [F.col("delta")]
     runs = at_position.select(
         *by,
         "rname",
-        *[F.sum(n).over(upto).alias(n) for n in names],
+        *[F.sum(step).over(upto).alias(n) for n, step in zip(names, steps)],
         (F.lead("pos").over(sweep) - F.col("pos")).alias("bases"),
     ).filter((F.col(names[-1]) > 0) & (F.col("bases") > 0))
     if levels:

@@ -584,13 +584,35 @@ def all_samples(df):
 def collapse_runs(runs, ref_lengths, by=("sample",)):
     """``collapse_coverage`` straight from depth runs, without depth 0 and genome rows."""
     by = list(by)
-    keys = [k for k in ("sample", "rname") if k in ref_lengths.columns]
-    return (
+    sums = (
         runs.groupBy(*by, "rname", "depth")
         .agg(F.sum("bases").alias("bases"))
         .groupBy(*by, "rname")
         .agg(F.sum("depth").alias("depth"), F.sum("bases").alias("num_bases"))
-        .join(ref_lengths.select(*keys, F.col("length").alias("cds_size")), keys)
+    )
+    return _with_sizes(sums, ref_lengths)
+
+
+def collapse_levels(runs, ref_lengths, names, levels):
+    """``collapse_runs`` of runs with the depths of all nested levels, each named by ``names`` as ``percent``.
+
+    Runs are not copied per level: a CDS is one row with the bases and distinct depths (at most its length)
+    of every level until these are summed.
+    """
+    at = [F.get("depths", F.lit(i)) for i in range(levels)]
+    per_cds = runs.groupBy("sample", "rname").agg(
+        F.array(*[F.sum(F.when(d > 0, F.col("bases"))) for d in at]).alias("num_bases"),
+        F.array(*[F.collect_set(F.when(d > 0, d)) for d in at]).alias("depths"),
+    )
+    split = per_cds.select("sample", "rname", "depths", F.posexplode("num_bases").alias("_at", "num_bases")).filter(F.col("num_bases").isNotNull())
+    depth = F.aggregate(F.get("depths", F.col("_at")), F.lit(0).cast("bigint"), lambda acc, d: acc + d)
+    return _with_sizes(split.select("sample", F.get(names, F.col("_at")).alias("percent"), "rname", depth.alias("depth"), "num_bases"), ref_lengths)
+
+
+def _with_sizes(sums, ref_lengths):
+    keys = [k for k in ("sample", "rname") if k in ref_lengths.columns]
+    return (
+        sums.join(ref_lengths.select(*keys, F.col("length").alias("cds_size")), keys)
         .withColumnRenamed("rname", "cds")
         .withColumn("frac", F.col("num_bases") / F.col("cds_size"))
     )
@@ -616,12 +638,8 @@ def feature_rarefaction(spans, ref_lengths, annotations, targets, threshold=0.75
         .filter(F.col("_bucket") < limits[-1])
         .withColumn("entry", entry_level(F.col("_bucket"), limits))
     )
-    runs = coverage_runs(entered, levels=len(fractions)).select(
-        "sample", "rname", "bases", F.posexplode("depths").alias("_at", "depth")
-    )
     by = ["sample", "percent"]
-    at_level = runs.filter(F.col("depth") > 0).withColumn("percent", F.get(percents, F.col("_at")))
-    collapsed = collapse_runs(at_level, ref_lengths, by)
+    collapsed = collapse_levels(coverage_runs(entered, levels=len(fractions)), ref_lengths, percents, len(fractions))
     features = enzyme_features(collapsed, enzymes, targets, threshold, by)
     grid = all_samples(spans).select("sample", F.explode(percents).alias("percent"))
     counted = features.select(*by, F.lit(1).alias("n")).unionByName(

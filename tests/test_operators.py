@@ -367,6 +367,23 @@ def test_rows_of_a_target_search_are_made_once(spark, tmp_path):
     assert len(list(tmp_path.iterdir())) == 3
 
 
+def test_levels_collapse_like_runs_of_each(spark, capsys):
+    rng = random.Random(3)
+    spans = [("s", rng.choice("ab"), a, a + rng.randrange(40), rng.randrange(3)) for a in (rng.randrange(100) for _ in range(60))]
+    df = spark.createDataFrame([*spans, ("s", None, 1, 9, 0)], "sample string, rname string, start0 bigint, end0 bigint, entry int")
+    sizes = spark.createDataFrame([("a", 140), ("b", 140)], "rname string, length bigint")
+    runs = al.coverage_runs(df, bin_width=32, levels=3)
+    runs.explain()
+    # A position is one row of each level that has an end there; no column per level is shuffled.
+    assert "partial_sum(CASE" not in capsys.readouterr().out
+    got = an.collapse_levels(runs, sizes, F.array(*map(F.lit, (10, 20, 30))), 3)
+    want = []
+    for i, percent in enumerate((10, 20, 30)):
+        each = an.collapse_runs(al.coverage_runs(df.filter(F.col("entry") <= i)), sizes)
+        want += [(*r, percent) for r in rows(each, "sample", "cds", "depth", "num_bases", "cds_size")]
+    assert rows(got, "sample", "cds", "depth", "num_bases", "cds_size", "percent") == sorted(want)
+
+
 def test_test_tables_are_dealt_by_their_bytes(spark, tmp_path, monkeypatch):
     spark.range(5000).selectExpr("id as c_custkey", "uuid() as c_name").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
     least = spark.sparkContext.defaultParallelism
