@@ -177,8 +177,8 @@ def coverage_histogram(alignments, ref_lengths, by=("sample",), bin_width=BIN_WI
 
     ``alignments`` are SAM rows or spans; ``ref_lengths`` (rname, length) may hold a ``sample``
     column, else every sample gets all references. One aggregation serves references and
-    genome: a covered run adds its bases to its depth and takes them from depth 0, to which
-    each reference brings its whole length.
+    genome: a covered run adds its bases to its depth, each reference brings its whole length to
+    depth 0, and what is covered is taken from there when the depths of a reference are together.
     """
     by = list(by)
     runs = coverage_runs(_as_spans(alignments), by, bin_width)
@@ -191,19 +191,7 @@ def coverage_histogram(alignments, ref_lengths, by=("sample",), bin_width=BIN_WI
 
     name, genome = F.col("rname").cast("string"), F.lit(GENOME)
     covered = runs.select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    r
-                    for who in (name, genome)
-                    for r in (
-                        row(who, F.col("depth"), F.col("bases"), zero),
-                        row(who, zero, -F.col("bases"), zero),
-                    )
-                ]
-            )
-        ),
+        *by, F.inline(F.array(*[row(who, F.col("depth"), F.col("bases"), zero) for who in (name, genome)]))
     )
     length = F.col("length").cast("bigint")
     header = ref_lengths.select(
@@ -218,6 +206,8 @@ def coverage_histogram(alignments, ref_lengths, by=("sample",), bin_width=BIN_WI
     whole = Window.partitionBy(*by, "cds")
     return (
         histogram.withColumn("cds_size", F.sum("size").over(whole))
+        .withColumn("_covered", F.sum(F.when(F.col("depth") > 0, F.col("num_bases")).otherwise(zero)).over(whole))
+        .withColumn("num_bases", F.col("num_bases") - F.when(F.col("depth") > 0, zero).otherwise(F.col("_covered")))
         .filter((F.col("num_bases") > 0) & (F.col("cds_size") > 0))
         .select(
             *by,

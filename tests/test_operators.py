@@ -384,6 +384,20 @@ def test_levels_collapse_like_runs_of_each(spark, capsys):
     assert rows(got, "sample", "cds", "depth", "num_bases", "cds_size", "percent") == sorted(want)
 
 
+def test_histogram_takes_what_is_covered_from_depth_0(spark, capsys):
+    spans = [("s", "a", 0, 10), ("s", "a", 5, 10), ("s", "x", 0, 4), ("s", "full", 0, 6)]
+    aln = spark.createDataFrame(spans, "sample string, rname string, start0 bigint, end0 bigint")
+    sizes = spark.createDataFrame([("s", "a", 20), ("s", "full", 6), ("s", "none", 7)], "sample string, rname string, length bigint")
+    got = al.coverage_histogram(aln, sizes)
+    got.explain()
+    # A covered run is two rows, its reference's and the genome's, and none that takes away.
+    assert "-bases" not in capsys.readouterr().out.replace(" ", "")
+    genome = [("genome", 0, 13, 33), ("genome", 1, 15, 33), ("genome", 2, 5, 33)]
+    assert rows(got, "cds", "depth", "num_bases", "cds_size") == sorted(
+        [("a", 0, 10, 20), ("a", 1, 5, 20), ("a", 2, 5, 20), ("full", 1, 6, 6), ("none", 0, 7, 7), *genome]
+    )
+
+
 def test_test_tables_are_dealt_by_their_bytes(spark, tmp_path, monkeypatch):
     spark.range(5000).selectExpr("id as c_custkey", "uuid() as c_name").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
     least = spark.sparkContext.defaultParallelism
