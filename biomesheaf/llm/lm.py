@@ -24,6 +24,8 @@ KNOWN, CLASSES, WIDTH, SCORED, CONTEXT = 4096, 160, 16, 32, 16
 ALONE = 96
 WINDOW = SCORED + CONTEXT
 BUCKETS = 32
+#: Places whose class scores are held at once.
+PLACES = 512
 END_WORD = np.uint64(0x5E5E5E5E5E5E5E5E)
 
 
@@ -75,6 +77,14 @@ def _windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(inside, places, 0), inside, text
 
 
+def _flat(a: np.ndarray) -> np.ndarray:
+    return a.reshape(-1, a.shape[-1])
+
+
+def _largest(a: np.ndarray) -> float:
+    return max(a.max(), -a.min())
+
+
 @dataclass
 class SubwordModel:
     """place: id -> known token; kind: id -> class; within: id -> log10 share in its class; the rest: weights."""
@@ -95,61 +105,87 @@ class SubwordModel:
             "out": part(WIDTH, CLASSES), "bias": np.zeros(CLASSES, np.float32),
         }
 
-    def forward(self, tokens: np.ndarray, inside: np.ndarray, train: bool = False) -> dict[str, np.ndarray]:
-        """Class probabilities after each scored place; a place sees itself and what stands before it in the window."""
+    def attend(self, tokens: np.ndarray, inside: np.ndarray) -> dict[str, np.ndarray]:
+        """What each scored place knows (``h``) of itself and what stands before it in the window, and all else that a step needs.
+
+        The attention ``a`` is not yet divided by its ``total``.
+        """
         w = self.weights
-        x = w["token"][tokens] + w["position"]
+        x = w["token"].take(tokens, 0)
+        x += w["position"]
         late = x[:, CONTEXT:]
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        q, k, v = late @ w["query"], x @ w["key"], x @ w["value"]
-        q *= np.float32(1 / np.sqrt(WIDTH))
+        q = (_flat(late) @ (w["query"] * x.dtype.type(1 / np.sqrt(WIDTH)))).reshape(late.shape)
+        kv = (_flat(x) @ np.concatenate([w["key"], w["value"]], 1)).reshape(*x.shape[:2], 2 * WIDTH)
+        k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
         s = q @ k.transpose(0, 2, 1)
-        if WIDTH * np.abs(q).max() * np.abs(k).max() > 40:  # else the exponentials are in range anyway
+        if WIDTH * _largest(q) * _largest(k) > 40:  # else the exponentials are in range anyway
             np.clip(s, -40, 40, out=s)
         np.exp(s, out=s)
         s *= MASK
         cut = ~inside.all(axis=1)
-        s[cut] *= inside[cut][:, None, :]
-        total = (s @ np.ones(WINDOW, s.dtype))[:, :, None] + np.float32(1e-30)
-        h = (s @ v) / total
-        h += late
-        z = flat(h) @ w["out"]
-        z += w["bias"]
-        if np.abs(h).max() * np.abs(w["out"]).sum(axis=0).max() + np.abs(w["bias"]).max() > 80:
-            np.clip(z, -80, 80, out=z)
-        z = z.reshape(*h.shape[:2], CLASSES)
-        if train:
-            s /= total
-        return {"x": x, "q": q, "k": k, "v": v, "a": s, "h": h, "z": z}
+        if cut.any():
+            s[cut] *= inside[cut][:, None, :]
+        total = (_flat(s) @ np.ones(WINDOW, s.dtype)).reshape(s.shape[:2])[:, :, None] + np.float32(1e-30)
+        seen = s @ v
+        seen /= total
+        return {"x": x, "q": q, "k": k, "v": v, "a": s, "total": total, "seen": seen, "h": seen + late}
+
+    def class_scores(self, h: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+        """(places, their class scores) for PLACES places at a time, in one array that is used again and stays in the cache."""
+        w = self.weights
+        room = np.empty((min(PLACES, len(h)), CLASSES), h.dtype)
+        wide = len(h) and _largest(h) * np.abs(w["out"]).sum(axis=0).max() + np.abs(w["bias"]).max() > 80
+        for at in range(0, len(h), PLACES):
+            part = h[at : at + PLACES]
+            z = np.matmul(part, w["out"], out=room[: len(part)])
+            z += w["bias"]
+            if wide:
+                np.clip(z, -80, 80, out=z)
+            yield slice(at, at + len(part)), z
+
+    def forward(self, tokens: np.ndarray, inside: np.ndarray) -> dict[str, np.ndarray]:
+        """All class scores (``z``) after each scored place."""
+        h = self.attend(tokens, inside)["h"]
+        return {"z": np.concatenate([z.copy() for _, z in self.class_scores(_flat(h))]).reshape(*h.shape[:2], CLASSES)}
 
     def step(self, tokens: np.ndarray, inside: np.ndarray, target: np.ndarray, rate: float) -> None:
-        """One step of gradient descent (AdaGrad) on a batch of windows."""
-        w, f = self.weights, self.forward(tokens, inside, train=True)
-        scored = inside[:, CONTEXT:]
-        n = max(1, int(scored.sum()))
-        dz = np.exp(f["z"])
-        dz /= dz.sum(axis=2, keepdims=True)
-        np.put_along_axis(dz, target[:, :, None], np.take_along_axis(dz, target[:, :, None], 2) - 1, 2)
-        dz *= (scored / n).astype(np.float32)[:, :, None]
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        dh = dz @ w["out"].T
-        da = dh @ f["v"].transpose(0, 2, 1)
-        ds = f["a"] * (da - (f["a"] * da).sum(axis=2, keepdims=True))
-        dq, dk, dv = (ds @ f["k"]) * np.float32(1 / np.sqrt(WIDTH)), ds.transpose(0, 2, 1) @ f["q"], f["a"].transpose(0, 2, 1) @ dh
-        dx = dk @ w["key"].T + dv @ w["value"].T
-        dx[:, CONTEXT:] += dh + dq @ w["query"].T
-        late = f["x"][:, CONTEXT:]
-        grad = {
-            "out": flat(f["h"]).T @ flat(dz), "bias": flat(dz).sum(0), "query": flat(late).T @ flat(dq), "key": flat(f["x"]).T @ flat(dk),
-            "value": flat(f["x"]).T @ flat(dv), "position": (dx * inside[:, :, None]).sum(0),
-        }
+        """One step of gradient descent (AdaGrad) on a batch of windows.
+
+        The wide arrays, one number a place and class, are gone over as seldom as can be: the gradient of
+        the class scores is ``e * share``, and only its narrow products are scaled.
+        """
+        w, f = self.weights, self.attend(tokens, inside)
+        x, h, target = f["x"], _flat(f["h"]), target.ravel()
+        real = inside[:, CONTEXT:].ravel() / max(1, int(inside[:, CONTEXT:].sum()))
+        dh, grad = np.empty_like(h), {"out": np.zeros_like(w["out"]), "bias": np.zeros_like(w["bias"])}
+        ones, back = np.ones(CLASSES, h.dtype), np.ascontiguousarray(w["out"].T)
+        for at, e in self.class_scores(h):
+            np.exp(e, out=e)
+            total = e @ ones
+            e[np.arange(len(e)), target[at]] -= total
+            share = (real[at] / total).astype(h.dtype)
+            np.multiply(e @ back, share[:, None], out=dh[at])
+            grad["out"] += (h[at] * share[:, None]).T @ e
+            grad["bias"] += share @ e
+        dh = dh.reshape(f["h"].shape)
+        apart = dh / f["total"]
+        ds = apart @ f["v"].transpose(0, 2, 1)
+        ds -= np.einsum("wij,wij->wi", apart, f["seen"])[:, :, None]
+        ds *= f["a"]
+        dq = _flat(ds @ f["k"])
+        dq *= h.dtype.type(1 / np.sqrt(WIDTH))
+        dkv = _flat(np.concatenate([ds.transpose(0, 2, 1) @ f["q"], f["a"].transpose(0, 2, 1) @ apart], 2))
+        dx = (dkv @ np.concatenate([w["key"].T, w["value"].T])).reshape(x.shape)
+        dx[:, CONTEXT:] += dh + (dq @ w["query"].T).reshape(dh.shape)
+        dx *= inside[:, :, None]
+        both = _flat(x).T @ dkv
+        grad |= {"query": _flat(x[:, CONTEXT:]).T @ dq, "key": both[:, :WIDTH], "value": both[:, WIDTH:], "position": dx.sum(0)}
         for name, g in grad.items():
             self._move(name, slice(None), g, rate)
-        dx *= inside[:, :, None]
-        seen, back = np.unique(tokens, return_inverse=True)
-        g = np.zeros((len(seen), WIDTH), np.float32)
-        np.add.at(g, back.ravel(), flat(dx))
-        self._move("token", seen, g, rate)
+        order = np.argsort(tokens.ravel().astype(np.uint16), kind="stable")
+        found = tokens.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
+        self._move("token", found[first], np.add.reduceat(_flat(dx).take(order, 0), first, axis=0), rate)
 
     def _move(self, name, at, g, rate):
         square = self.squares.setdefault(name, np.full_like(self.weights[name], 1e-8))
@@ -282,20 +318,23 @@ def _probabilities(model: SubwordModel):
     """log10 of the probability of each whole text, its end included; windows of all texts are scored in batches."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ones = np.ones(CLASSES, model.weights["out"].dtype)
         for batch in batches:
             out = np.zeros(batch.num_rows)
             for first, last, flat, offsets in _sequences(batch.column("ids")):
                 places, inside, text = _windows(offsets)
                 known, kind, within = model.place[flat], model.kind[flat], model.within[flat]
-                for at in range(0, len(places), 128):
-                    p, i, who = places[at : at + 128], inside[at : at + 128], text[at : at + 128]
-                    z = model.forward(known[p], i)["z"]
+                for at in range(0, len(places), 64):
+                    p, i, who = places[at : at + 64], inside[at : at + 64], text[at : at + 64]
                     scored = i[:, CONTEXT:]
                     nexts = np.where(scored, p[:, CONTEXT:] + 1, 0)
-                    chosen = np.take_along_axis(z, kind[nexts][:, :, None], 2)[:, :, 0]
-                    np.exp(z, out=z)
-                    logs = (chosen - np.log(z @ np.ones(CLASSES, z.dtype))) / np.log(10) + within[nexts]
-                    out[first:last] += np.bincount(who, weights=(logs * scored).sum(axis=1), minlength=last - first)
+                    wanted, h = kind[nexts].ravel(), _flat(model.attend(known[p], i)["h"])
+                    logs = np.empty(len(h), h.dtype)
+                    for part, z in model.class_scores(h):
+                        logs[part] = z[np.arange(len(z)), wanted[part]]
+                        logs[part] -= np.log(np.exp(z, out=z) @ ones)
+                    sums = (logs.reshape(nexts.shape) / np.log(10) + within[nexts]) * scored
+                    out[first:last] += np.bincount(who, weights=sums.sum(axis=1), minlength=last - first)
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), pa.array(out)], ["_row", "doc_id", "score"])
 
     return score

@@ -444,6 +444,34 @@ def test_lm_gradient_and_windows():
         w[at] -= 1e-5
 
 
+def test_lm_class_scores_are_held_a_part_at_a_time():
+    """No array of all places and classes is made; the gradient of tokens that repeat, in windows cut short, is that of the whole loss."""
+    weights = {k: w.astype(np.float64) for k, w in lm.SubwordModel.fresh().items()}
+    model = lm.SubwordModel(np.arange(9), np.arange(9), np.zeros(9), weights)
+    rng = np.random.default_rng(1)
+    h = rng.normal(size=(2 * lm.PLACES + 5, lm.WIDTH))
+    parts = [(at, len(z), z.copy()) for at, z in model.class_scores(h)]
+    assert [n for _, n, _ in parts] == [lm.PLACES, lm.PLACES, 5] and list(model.class_scores(h[:0])) == []
+    assert all(np.allclose(z, h[at] @ weights["out"] + weights["bias"]) for at, _, z in parts)
+    _, inside, _ = lm._windows(np.array([0, 3, 60, 62, 2000]))
+    tokens, target = rng.integers(0, 9, inside.shape), rng.integers(0, lm.CLASSES, (len(inside), lm.SCORED))
+    scored = inside[:, lm.CONTEXT :]
+
+    def loss():
+        z = model.forward(tokens, inside)["z"]
+        return -((np.take_along_axis(z, target[:, :, None], 2)[:, :, 0] - np.log(np.exp(z).sum(2))) * scored).sum() / scored.sum()
+
+    before, taken = loss(), {}
+    model._move = lambda name, at, g, rate: taken.setdefault(name, (at, g))
+    model.step(tokens, inside, target, 0.1)
+    at, g = taken["token"]
+    assert at.tolist() == sorted(set(tokens.ravel().tolist()))
+    for i in range(9):
+        weights["token"][i, 2] += 1e-5
+        assert abs((loss() - before) / 1e-5 - g[i, 2]) < 1e-5
+        weights["token"][i, 2] -= 1e-5
+
+
 def test_raking_meets_its_targets(spark):
     docs = spark.createDataFrame([(i, "w " * (i % 7 + 1), "en" if i % 3 else "de", f"s{i % 4}", 0) for i in range(4000)] + [(9999, None, None, None, 0)], DOCS)
     topic = F.when(F.col("doc_id") % 5 == 0, "a").otherwise("b")
