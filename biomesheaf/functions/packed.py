@@ -11,8 +11,8 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import functions as F
 
-#: k-mer starts of one piece of a sequence, and bases handled at once.
-PIECE, GROUP = 1024, 1 << 20
+#: k-mer starts of one piece of a sequence; bases handled at once, and where the numbers of each should stay in the cache.
+PIECE, GROUP, CUT = 1024, 1 << 20, 1 << 16
 BAD = 4
 CODE = np.full(256, BAD, np.uint8)
 for _i, _b in enumerate("ACGT"):
@@ -75,11 +75,11 @@ def batch_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _groups(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Stretches of values with about GROUP bytes together."""
+def _groups(offsets: np.ndarray, most: int = GROUP) -> Iterator[tuple[int, int]]:
+    """Stretches of values with about ``most`` bytes together."""
     first = 0
     while first < len(offsets) - 1:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + GROUP, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, "right")) - 1)
         yield first, last
         first = last
 
@@ -89,7 +89,7 @@ def word_lists(column: pa.Array, k: int, canonical: bool) -> pa.Array:
     data, offsets = batch_bytes(column)
     counts = np.maximum(np.diff(offsets) - k + 1, 0)
     parts, wrong = [], []
-    for first, last in _groups(offsets):
+    for first, last in _groups(offsets, CUT):
         code = CODE[data[offsets[first] : offsets[last]]]
         n = counts[first:last]
         at = np.repeat(offsets[first:last] - offsets[first] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
@@ -142,6 +142,18 @@ def packed(kmer, k: int, canonical: bool = False):
     return word(F.col(kmer) if isinstance(kmer, str) else kmer)
 
 
+def packed_rows(k: int, kmer: str):
+    """Batches with the column ``kmer`` -> the canonical ``word`` in its place; rows of another length or ambiguous bases are dropped."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word = word_values(batch.column(kmer), k, True)
+            rest = [c for c in batch.schema.names if c != kmer]
+            yield pa.RecordBatch.from_arrays([word, *[batch.column(c) for c in rest]], ["word", *rest]).filter(word.is_valid())
+
+    return pack
+
+
 def unpacked(word, k: int):
     """The text of a packed k-mer of up to 32 bases."""
     word = F.col(word) if isinstance(word, str) else word
@@ -275,6 +287,21 @@ def folded(t: pa.Table, most: int) -> pa.Table:
     return out
 
 
+def _cut_runs(data: np.ndarray, offsets: np.ndarray, first: int, last: int, k: int, m: int) -> tuple[np.ndarray, ...]:
+    """Codes of the sequences from ``first`` to ``last``, the sequence of each base, and begin, size and minimizer of the runs."""
+    code = CODE[data[offsets[first] : offsets[last]]]
+    ends = offsets[first + 1 : last + 1] - offsets[first]
+    read = np.repeat(np.arange(first, last), np.diff(offsets[first : last + 1]))
+    room = ends[read - first] - np.arange(len(code))
+    good = (room >= k) & ~spoilt(code, k)
+    least = minimizers(code, k, m)
+    same = np.zeros(len(code), bool)
+    same[1:] = good[1:] & good[:-1] & (read[1:] == read[:-1]) & (least[1:] == least[:-1])
+    begin = np.flatnonzero(good & ~same)
+    stop = np.flatnonzero(good & ~np.append(same[1:], False))
+    return code, read, begin, stop - begin + k, least[begin]
+
+
 def run_batches(k: int, m: int, most: int):
     """Batches of (sample, owner, seq) -> (sample, owner, minimizer, size, bases, n): the runs of their k-mers."""
 
@@ -282,25 +309,15 @@ def run_batches(k: int, m: int, most: int):
         for batch in batches:
             data, offsets = batch_bytes(batch.column("seq"))
             for first, last in _groups(offsets):
-                code = CODE[data[offsets[first] : offsets[last]]]
-                if len(code) < k:
+                if offsets[last] - offsets[first] < k:
                     continue
-                ends = offsets[first + 1 : last + 1] - offsets[first]
-                read = np.repeat(np.arange(first, last), np.diff(offsets[first : last + 1]))
-                room = ends[read - first] - np.arange(len(code))
-                good = (room >= k) & ~spoilt(code, k)
-                least = minimizers(code, k, m)
-                same = np.zeros(len(code), bool)
-                same[1:] = good[1:] & good[:-1] & (read[1:] == read[:-1]) & (least[1:] == least[:-1])
-                begin = np.flatnonzero(good & ~same)
-                stop = np.flatnonzero(good & ~np.append(same[1:], False))
-                sizes = stop - begin + k
+                code, read, begin, sizes, least = _cut_runs(data, offsets, first, last, k, m)
                 rows = pa.array(read[begin])
                 t = pa.table(
                     {
                         "sample": batch.column("sample").take(rows),
                         "owner": batch.column("owner").take(rows),
-                        "minimizer": pa.array(least[begin].view(np.int64)),
+                        "minimizer": pa.array(least.view(np.int64)),
                         "size": pa.array(sizes.astype(np.int32)),
                         "bases": _packed_slices(code, begin, sizes),
                         "n": pa.array(np.ones(len(begin), np.int64)),
@@ -358,3 +375,193 @@ def rare_owners(k: int, most: int):
             yield from count(held).to_batches()
 
     return owners
+
+
+# ---------------------------------------------------------------- runs of reads that meet a table of words
+
+#: Bins of minimizers; runs or words dealt at once; runs looked up at once, few enough for the cache.
+BINS, DEAL, MEET = 4096, 1 << 20, 1 << 13
+
+
+def _bin_of(least: np.ndarray) -> np.ndarray:
+    return (least & np.uint64(BINS - 1)).astype(np.int32)
+
+
+def _dealt(tables: list[pa.Table], by: list[str]) -> pa.RecordBatch:
+    """One row for all rows with the same ``by``: the other columns become lists, packed bases one value after the other."""
+    t = pa.concat_tables(tables).combine_chunks()
+    key = np.zeros(t.num_rows, np.int64)
+    for name in by:
+        code = t.column(name).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        key = key * (code.max(initial=0) + 1) + code
+    order = np.argsort(key, kind="stable")
+    t, key = t.take(pa.array(order)).combine_chunks(), key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    ends = np.append(first, len(key)).astype(np.int32)
+    columns = {}
+    for name in t.column_names:
+        values = t.column(name).combine_chunks()
+        if name in by:
+            columns[name] = values.take(pa.array(first))
+        elif name == "bases":
+            data, offsets = batch_bytes(values)
+            columns[name] = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets[ends].astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+        else:
+            columns[name] = pa.ListArray.from_arrays(pa.array(ends), values)
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _in_deals(tables: Iterator[pa.Table], by: list[str]) -> Iterator[pa.RecordBatch]:
+    held, total = [], 0
+    for t in tables:
+        held.append(t)
+        total += t.num_rows
+        if total >= DEAL:
+            yield _dealt(held, by)
+            held, total = [], 0
+    if total:
+        yield _dealt(held, by)
+
+
+def run_bins(k: int, m: int):
+    """Batches of (sample, owner, length, bases) -> (bin, sample, owner, length, size, bases): runs, in lists by bin and sample.
+
+    A length that is not null comes out once: with the first run of its sequence, or with a run of no bases if it has none.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for batch in batches:
+            data, offsets = batch_bytes(batch.column("bases"))
+            known = batch.column("length").is_valid().to_numpy(zero_copy_only=False)
+            for first, last in _groups(offsets, CUT):
+                code, read, begin, sizes, least = _cut_runs(data, offsets, first, last, k, m)
+                row = read[begin]
+                bare = np.ones(last - first, bool)
+                bare[row - first] = False
+                bare = first + np.flatnonzero(bare & known[first:last])
+                again = np.concatenate([np.zeros(1, bool), row[1:] == row[:-1]])[: len(row)]
+                rows, none = pa.array(np.concatenate([row, bare])), np.zeros(len(bare), np.int64)
+                length = batch.column("length").take(pa.array(np.concatenate([row, bare]), mask=np.concatenate([again, none > 0])))
+                yield pa.table(
+                    {
+                        "bin": pa.array(np.concatenate([_bin_of(least), (bare % BINS).astype(np.int32)])),
+                        "sample": batch.column("sample").take(rows),
+                        "owner": batch.column("owner").take(rows),
+                        "length": length,
+                        "size": pa.array(np.concatenate([sizes, none]).astype(np.int32)),
+                        "bases": _packed_slices(code if len(code) else np.zeros(1, np.uint8), np.concatenate([begin, none]), np.concatenate([sizes, none])),
+                    }
+                )
+
+    return lambda batches: _in_deals(cut(batches), ["bin", "sample"])
+
+
+def _numbers(words: pa.Array) -> tuple[np.ndarray, ...]:
+    """Packed words as one array, or as (high, low)."""
+    parts = words.flatten() if pa.types.is_struct(words.type) else [words]
+    return tuple(p.to_numpy(zero_copy_only=False).view(np.uint64) for p in parts)
+
+
+def word_bins(k: int, m: int):
+    """Batches of (word, ...) -> (bin, word, ...): the words, and all else that comes with them, in lists by the bin of their minimizer."""
+    shifts = [(part, 2 * i) for part, n in enumerate([k] if k <= ONE else [k - ONE, ONE]) for i in reversed(range(n))]
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, CUT // k):
+                part = batch.slice(at, CUT // k)
+                words = _numbers(part.column("word"))
+                code = np.empty((part.num_rows, k), np.uint8)
+                for i, (of, by) in enumerate(shifts):
+                    code[:, i] = (words[of] >> np.uint64(by)).astype(np.uint8) & np.uint8(3)
+                least = minimizers(code.reshape(-1), k, m)[::k]
+                yield pa.table({"bin": pa.array(_bin_of(least)), **{c: part.column(c) for c in part.schema.names}})
+
+    return lambda batches: _in_deals(binned(batches), ["bin"])
+
+
+def _search_key(words: tuple[np.ndarray, ...]) -> np.ndarray:
+    return words[0] if len(words) == 1 else _spread(words[0] ^ MIXER) ^ words[1]
+
+
+def meet_words(k: int, taxon: list[str]):
+    """Rows of word_bins and run_bins, sorted by bin and words first -> (sample, owner, *taxon, hits, length).
+
+    Every run is cut into its words; of those in the table the hits are counted per run and taxon. All
+    words of a bin are held at once, of the runs MEET or one list at a time.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            number = sum(batch.column(c).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("word", "size"))
+            ends = np.cumsum(number)
+            first = 0
+            while first < batch.num_rows:
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] - number[first] + MEET, "right")))
+                part = batch.slice(first, last - first)
+                first = last
+                bins = part.column("bin").to_numpy()
+                counts = part.column("word").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                own = pa.table({"bin": pa.array(np.repeat(bins, counts)), **{c: part.column(c).flatten() for c in ("word", *taxon)}})
+                table = pa.concat_tables([held, own]).combine_chunks() if held is not None else own
+                held = table.filter(pa.array(table.column("bin").to_numpy() == bins[-1]))
+                yield _met(part, table, k, taxon)
+
+    return meet
+
+
+def _met(part: pa.RecordBatch, table: pa.Table, k: int, taxon: list[str]) -> pa.RecordBatch:
+    sizes = part.column("size").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    owner, length = part.column("owner").flatten(), part.column("length").flatten()
+    block = np.repeat(np.arange(part.num_rows), part.column("size").value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    data, _ = batch_bytes(part.column("bases"))
+    code = np.empty((len(data), 4), np.uint8)
+    for i in range(4):
+        code[:, i] = (data >> np.uint8(6 - 2 * i)) & np.uint8(3)
+    padded = -(-sizes // 4) * 4
+    n = np.maximum(sizes - k + 1, 0)
+    run = np.repeat(np.arange(len(sizes)), n)
+    at = np.repeat(np.cumsum(padded) - padded - (np.cumsum(n) - n), n) + np.arange(len(run))
+    asked = tuple(w[at] for w in window_words(code.reshape(-1), k, True))
+    known = _numbers(table.column("word").combine_chunks())
+    key = _search_key(known)
+    order = np.argsort(key)
+    key, known = key[order], tuple(w[order] for w in known)
+    if len(key) and len(run):
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        of, times = key[heads], np.diff(np.append(heads, len(key)))
+        wanted = _search_key(asked)
+        # Most words that are not in the table fall on a place that none of it has.
+        bits = np.uint64(64 - max(16, (8 * len(of)).bit_length()))
+        taken = np.zeros(1 << (64 - int(bits)), bool)
+        taken[_spread(of) >> bits] = True
+        hit = np.flatnonzero(taken[_spread(wanted) >> bits])
+        place = np.minimum(np.searchsorted(of, wanted[hit]), len(of) - 1)
+        here = of[place] == wanted[hit]
+        hit, place = hit[here], place[here]
+        # A word that repeats in the table counts each time; of two numbers only the whole word counts.
+        again = times[place]
+        hit, start = np.repeat(hit, again), np.repeat(heads[place] - (np.cumsum(again) - again), again)
+        found = start + np.arange(len(start))
+        same = np.logical_and.reduce([a[hit] == b[found] for a, b in zip(asked, known, strict=True)])
+        run, found = run[hit[same]], order[found[same]]
+    else:
+        run, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    values = [table.column(c).combine_chunks() for c in taxon]
+    labels = [v.to_numpy(zero_copy_only=False)[found] for v in values]
+    order = np.lexsort((*labels, run))
+    run, found, labels = run[order], found[order], [x[order] for x in labels]
+    new = np.ones(len(run), bool)
+    if len(run):
+        new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in (run, *labels)])
+    first = np.flatnonzero(new)
+    told = np.flatnonzero(length.is_valid().to_numpy(zero_copy_only=False))
+    rows = np.concatenate([run[first], told])
+    none = np.concatenate([np.zeros(len(first), bool), np.ones(len(told), bool)])
+    picked = pa.array(np.concatenate([found[first], told]), mask=none)
+    hits = np.concatenate([np.diff(np.append(first, len(run))), np.zeros(len(told), np.int64)])
+    columns = {"sample": part.column("sample").take(pa.array(block[rows])), "owner": owner.take(pa.array(rows))}
+    columns |= {c: v.take(picked) for c, v in zip(taxon, values, strict=True)}
+    columns |= {"hits": pa.array(hits, mask=none), "length": length.take(pa.array(rows, mask=~none))}
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))

@@ -314,3 +314,57 @@ def test_many_nested_intervals_in_one_bin_make_no_pairs(spark):
         so_far += begun[p]
         up_to.append(so_far)
     assert rows == n and total == sum(up_to[i % 16_000] for i in range(n))
+
+
+@pytest.mark.parametrize("k", [3, 21, 32, 35])
+def test_runs_meet_words_as_each_word_would(monkeypatch, k):
+    """Hits per pair and taxon equal those of looking every word up; lengths come out once; dealt and looked up a few at a time."""
+    monkeypatch.setattr(pk, "DEAL", 300)
+    monkeypatch.setattr(pk, "MEET", 40)
+    monkeypatch.setattr(pk, "BINS", 8)
+    rng = random.Random(k)
+    text = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    genome = text(400) + "A" * 80
+    reads = [(rng.choice(["s1", "s2", None]), rng.choice([None, *range(30)]), genome[i : i + 60]) for i in rng.sample(range(420), 90)]
+    reads += [("s1", 1, "acgt" * 9), ("s1", 2, "N" * 50), ("s2", 3, "AC"), ("s2", 3, ""), ("s1", 4, genome[:30] + "N" + genome[31:70])]
+    reads += [("s2", 5, None)] + [("s1", i, "A" * 70) for i in range(20)]
+    known = [genome[i : i + k] for i in rng.sample(range(len(genome) - k), 150)]
+    known += known[:9] + ["A" * k]
+    taxa = [rng.randrange(1, 6) for _ in known]
+    values = pk.word_values(pa.array(known), k, True)
+    words = pa.RecordBatch.from_arrays([values, pa.array(taxa), pa.array(taxa), pa.array(taxa, pa.int32())], ["word", "enter", "leave", "tax_id"])
+    rows = pa.table({"sample": pa.array([r[0] for r in reads]), "owner": pa.array([r[1] for r in reads], pa.int64()), "length": pa.array([len(r[2] or "") for r in reads]), "bases": pa.array([r[2] for r in reads])})
+    left = pa.Table.from_batches(list(pk.word_bins(k, min(9, k))(iter([words.slice(0, 70), words.slice(70)]))))
+    right = pa.Table.from_batches(list(pk.run_bins(k, min(9, k))(iter(rows.to_batches(max_chunksize=50)))))
+    dealt = pa.concat_tables([left.append_column("side", pa.array([0] * left.num_rows)), right.append_column("side", pa.array([1] * right.num_rows))], promote_options="default")
+    dealt = dealt.sort_by([("bin", "ascending"), ("side", "ascending")]).combine_chunks()
+    met = pa.Table.from_batches(list(pk.meet_words(k, ["enter", "leave", "tax_id"])(iter(dealt.to_batches(max_chunksize=7))))).to_pylist()
+    by_word: dict = {}
+    for word, taxon in zip(values.to_pylist(), taxa, strict=True):
+        by_word.setdefault(str(word), []).append(taxon)
+    want, got, lengths, told = {}, {}, {}, {}
+    for sample, owner, seq in reads:
+        lengths[sample, owner] = lengths.get((sample, owner), 0) + len(seq or "")
+        for word in pk.word_lists(pa.array([seq]), k, True).values.to_pylist():
+            for taxon in by_word.get(str(word), []) if word is not None else []:
+                want[sample, owner, taxon] = want.get((sample, owner, taxon), 0) + 1
+    for r in met:
+        if r["length"] is None:
+            assert r["enter"] == r["leave"] == r["tax_id"] and r["hits"] > 0
+            got[r["sample"], r["owner"], r["tax_id"]] = got.get((r["sample"], r["owner"], r["tax_id"]), 0) + r["hits"]
+        else:
+            assert r["enter"] is None and r["hits"] is None
+            told[r["sample"], r["owner"]] = told.get((r["sample"], r["owner"]), 0) + r["length"]
+    assert got == want and len(want) > 50 and told == lengths and sum(r["length"] is not None for r in met) == len(reads)
+    assert all(max(b) <= 300 + 50 * 60 for b in [right.column("size").combine_chunks().value_lengths().to_pylist()])
+
+
+def test_reads_are_classified_without_a_row_per_word(spark):
+    """No k-mer is a row of the shuffle, and k-mers of the table are packed once, after what made them."""
+    db = spark.createDataFrame([("ACGTACGTA", 1)], "kmer string, tax_id int").groupBy("kmer").agg(F.min("tax_id").alias("tax_id"))
+    plan = tx.packed_kmer_db(db, tree(spark), 9)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("PythonUDF") == 0 and plan.count("MapInArrow") == 1
+    reads = spark.createDataFrame([("a", 1, 1, "ACGTACGTAC")], "sample string, pair_id long, mate int, seq string")
+    called = tx.classify_reads(reads, db, tree(spark), 9)
+    assert "bases" in (plan := called._jdf.queryExecution().optimizedPlan().toString()) and "posexplode(words" not in plan
+    assert [(r.status, r.length) for r in called.collect()] == [("C", 10)]
