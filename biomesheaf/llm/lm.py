@@ -25,7 +25,9 @@ ALONE = 96
 WINDOW = SCORED + CONTEXT
 BUCKETS = 32
 #: Places whose class scores are held at once.
-PLACES = 512
+PLACES = 352
+#: Class scores are raised as powers of two, which numpy does faster than powers of e.
+BITS = float(np.log2(np.e))
 END_WORD = np.uint64(0x5E5E5E5E5E5E5E5E)
 
 
@@ -71,10 +73,14 @@ def _windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inputs = np.diff(offsets) - 1
     number = -(-inputs // SCORED)
     text = np.repeat(np.arange(len(inputs)), number)
-    first = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)
-    places = (offsets[text] + first * SCORED - CONTEXT)[:, None] + np.arange(WINDOW)
-    inside = (places >= offsets[text][:, None]) & (places < (offsets[text] + inputs[text])[:, None])
-    return np.where(inside, places, 0), inside, text
+    first = (np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number)) * SCORED - CONTEXT
+    places = (offsets[text] + first)[:, None] + np.arange(WINDOW)
+    inside = np.ones(places.shape, bool)
+    cut = np.flatnonzero((first < 0) | (first + WINDOW > inputs[text]))
+    within = first[cut][:, None] + np.arange(WINDOW)
+    inside[cut] = (within >= 0) & (within < inputs[text[cut]][:, None])
+    places[~inside] = 0
+    return places, inside, text
 
 
 def _flat(a: np.ndarray) -> np.ndarray:
@@ -85,6 +91,18 @@ def _largest(a: np.ndarray) -> float:
     return max(a.max(), -a.min())
 
 
+def _cut(inside: np.ndarray) -> np.ndarray:
+    """The windows that reach beyond their text."""
+    return np.flatnonzero(~inside.all(axis=1))
+
+
+def _gathered(model: "SubwordModel", flat: np.ndarray, places: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The known tokens of all windows and the ids that follow their scored places (the first id where nothing is scored)."""
+    nexts = places[:, CONTEXT:] + 1
+    nexts[~inside[:, CONTEXT:]] = 0
+    return model.place[flat].astype(np.uint16).take(places), flat.take(nexts)
+
+
 @dataclass
 class SubwordModel:
     """place: id -> known token; kind: id -> class; within: id -> log10 share in its class; the rest: weights."""
@@ -108,45 +126,58 @@ class SubwordModel:
     def attend(self, tokens: np.ndarray, inside: np.ndarray) -> dict[str, np.ndarray]:
         """What each scored place knows (``h``) of itself and what stands before it in the window, and all else that a step needs.
 
-        The attention ``a`` is not yet divided by its ``total``.
+        Keys and values are not made for all places of a window: ``q`` is the query in terms of the places themselves,
+        and the values are taken of what has been ``seen``, both for the scored places only. The attention ``a`` is
+        not yet divided by its ``total``; ``h`` ends with a one, for the bias.
         """
         w = self.weights
         x = w["token"].take(tokens, 0)
         x += w["position"]
-        late = x[:, CONTEXT:]
-        q = (_flat(late) @ (w["query"] * x.dtype.type(1 / np.sqrt(WIDTH)))).reshape(late.shape)
-        kv = (_flat(x) @ np.concatenate([w["key"], w["value"]], 1)).reshape(*x.shape[:2], 2 * WIDTH)
-        k, v = kv[:, :, :WIDTH], kv[:, :, WIDTH:]
-        s = q @ k.transpose(0, 2, 1)
-        if WIDTH * _largest(q) * _largest(k) > 40:  # else the exponentials are in range anyway
+        late = _flat(x[:, CONTEXT:])
+        q = (late @ self._meets()).reshape(len(x), SCORED, WIDTH)
+        s = q @ x.transpose(0, 2, 1)
+        if _largest(s) > 40:
             np.clip(s, -40, 40, out=s)
-        np.exp(s, out=s)
+        s *= s.dtype.type(BITS)
+        np.exp2(s, out=s)
         s *= MASK
-        cut = ~inside.all(axis=1)
-        if cut.any():
+        cut = _cut(inside)
+        if len(cut):
             s[cut] *= inside[cut][:, None, :]
-        total = (_flat(s) @ np.ones(WINDOW, s.dtype)).reshape(s.shape[:2])[:, :, None] + np.float32(1e-30)
-        seen = s @ v
+        total = (_flat(s) @ np.ones(WINDOW, s.dtype))[:, None] + np.float32(1e-30)
+        seen = _flat(s @ x)
         seen /= total
-        return {"x": x, "q": q, "k": k, "v": v, "a": s, "total": total, "seen": seen, "h": seen + late}
+        h = np.ones((len(late), WIDTH + 1), late.dtype)
+        np.add(seen @ w["value"], late, out=h[:, :WIDTH])
+        return {"x": x, "late": late, "q": q, "a": s, "cut": cut, "total": total, "seen": seen, "h": h}
 
-    def class_scores(self, h: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
-        """(places, their class scores) for PLACES places at a time, in one array that is used again and stays in the cache."""
+    def _meets(self) -> np.ndarray:
+        """Query and key in one: how a place meets another."""
         w = self.weights
+        return w["query"] @ w["key"].T * w["query"].dtype.type(1 / np.sqrt(WIDTH))
+
+    def class_scores(self, h: np.ndarray, unit: float = 1.0) -> Iterator[tuple[slice, np.ndarray]]:
+        """(places, their class scores) for PLACES places at a time, in one array that is used again and stays in the cache.
+
+        If ``h`` ends with a one for the bias, the product adds it. The scores are ``unit`` times as large.
+        """
+        w, unit = self.weights, h.dtype.type(unit)
+        both = np.concatenate([w["out"], w["bias"][None]]) * unit
+        if h.shape[1] == WIDTH:
+            h = np.concatenate([h, np.ones((len(h), 1), h.dtype)], 1)
         room = np.empty((min(PLACES, len(h)), CLASSES), h.dtype)
-        wide = len(h) and _largest(h) * np.abs(w["out"]).sum(axis=0).max() + np.abs(w["bias"]).max() > 80
+        wide = len(h) and np.einsum("ij,ij->i", h, h).max() * (both * both).sum(axis=0).max() > (80 * unit) ** 2
         for at in range(0, len(h), PLACES):
             part = h[at : at + PLACES]
-            z = np.matmul(part, w["out"], out=room[: len(part)])
-            z += w["bias"]
+            z = np.matmul(part, both, out=room[: len(part)])
             if wide:
-                np.clip(z, -80, 80, out=z)
+                np.clip(z, -80 * unit, 80 * unit, out=z)
             yield slice(at, at + len(part)), z
 
     def forward(self, tokens: np.ndarray, inside: np.ndarray) -> dict[str, np.ndarray]:
         """All class scores (``z``) after each scored place."""
         h = self.attend(tokens, inside)["h"]
-        return {"z": np.concatenate([z.copy() for _, z in self.class_scores(_flat(h))]).reshape(*h.shape[:2], CLASSES)}
+        return {"z": np.concatenate([z.copy() for _, z in self.class_scores(h)]).reshape(len(tokens), SCORED, CLASSES)}
 
     def step(self, tokens: np.ndarray, inside: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One step of gradient descent (AdaGrad) on a batch of windows.
@@ -155,42 +186,52 @@ class SubwordModel:
         the class scores is ``e * share``, and only its narrow products are scaled.
         """
         w, f = self.weights, self.attend(tokens, inside)
-        x, h, target = f["x"], _flat(f["h"]), target.ravel()
-        real = inside[:, CONTEXT:].ravel() / max(1, int(inside[:, CONTEXT:].sum()))
-        dh, grad = np.empty_like(h), {"out": np.zeros_like(w["out"]), "bias": np.zeros_like(w["bias"])}
+        x, late, q, a, cut, total, seen, h = (f[k] for k in ("x", "late", "q", "a", "cut", "total", "seen", "h"))
+        scored = inside[:, CONTEXT:].ravel()
+        real = scored * h.dtype.type(1 / max(1, np.count_nonzero(scored)))
+        wanted = target.ravel() + np.arange(0, len(h) * CLASSES, CLASSES)
+        dh, both = np.empty_like(late), np.zeros((CLASSES, WIDTH + 1), h.dtype)
         ones, back = np.ones(CLASSES, h.dtype), np.ascontiguousarray(w["out"].T)
-        for at, e in self.class_scores(h):
-            np.exp(e, out=e)
-            total = e @ ones
-            e[np.arange(len(e)), target[at]] -= total
-            share = (real[at] / total).astype(h.dtype)
-            np.multiply(e @ back, share[:, None], out=dh[at])
-            grad["out"] += (h[at] * share[:, None]).T @ e
-            grad["bias"] += share @ e
-        dh = dh.reshape(f["h"].shape)
-        apart = dh / f["total"]
-        ds = apart @ f["v"].transpose(0, 2, 1)
-        ds -= np.einsum("wij,wij->wi", apart, f["seen"])[:, :, None]
-        ds *= f["a"]
-        dq = _flat(ds @ f["k"])
-        dq *= h.dtype.type(1 / np.sqrt(WIDTH))
-        dkv = _flat(np.concatenate([ds.transpose(0, 2, 1) @ f["q"], f["a"].transpose(0, 2, 1) @ apart], 2))
-        dx = (dkv @ np.concatenate([w["key"].T, w["value"].T])).reshape(x.shape)
-        dx[:, CONTEXT:] += dh + (dq @ w["query"].T).reshape(dh.shape)
-        dx *= inside[:, :, None]
-        both = _flat(x).T @ dkv
-        grad |= {"query": _flat(x[:, CONTEXT:]).T @ dq, "key": both[:, :WIDTH], "value": both[:, WIDTH:], "position": dx.sum(0)}
+        for at, e in self.class_scores(h, BITS):
+            np.exp2(e, out=e)
+            sums = e @ ones
+            e.reshape(-1)[wanted[at] - at.start * CLASSES] -= sums
+            share = (real[at] / sums)[:, None]
+            np.multiply(e @ back, share, out=dh[at])
+            both += e.T @ (h[at] * share)
+        du = dh @ w["value"].T
+        grad = {"out": both[:, :WIDTH].T, "bias": both[:, WIDTH], "value": seen.T @ dh}
+        # what the attention's gradient loses in each of its rows is taken off the narrow products instead
+        deep = lambda narrow: narrow.reshape(q.shape)
+        off, apart = np.einsum("ij,ij->i", du, seen)[:, None], du / total
+        ds = deep(apart) @ x.transpose(0, 2, 1)
+        ds *= a
+        dq = _flat(ds @ x)
+        dq -= off * seen
+        dx = ds.transpose(0, 2, 1) @ q
+        apart -= off / total * _flat(q)
+        dx += a.transpose(0, 2, 1) @ deep(apart)
+        dh += dq @ self._meets().T
+        dx[:, CONTEXT:] += deep(dh)
+        if len(cut):
+            dx[cut] *= inside[cut][:, :, None]
+        meets = late.T @ dq * h.dtype.type(1 / np.sqrt(WIDTH))
+        grad |= {"query": meets @ w["key"], "key": meets.T @ w["query"], "position": dx.sum(0)}
         for name, g in grad.items():
             self._move(name, slice(None), g, rate)
-        order = np.argsort(tokens.ravel().astype(np.uint16), kind="stable")
-        found = tokens.ravel()[order]
+        tokens = tokens.ravel()
+        order = np.argsort(tokens.astype(np.uint16, copy=False), kind="stable")
+        found = tokens[order]
         first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
         self._move("token", found[first], np.add.reduceat(_flat(dx).take(order, 0), first, axis=0), rate)
 
     def _move(self, name, at, g, rate):
-        square = self.squares.setdefault(name, np.full_like(self.weights[name], 1e-8))
-        square[at] += g * g
-        self.weights[name][at] -= rate * g / np.sqrt(square[at])
+        if name not in self.squares:
+            self.squares[name] = np.full_like(self.weights[name], 1e-8)
+        square = self.squares[name][at]
+        square += g * g
+        self.squares[name][at] = square
+        self.weights[name][at] -= rate * g / np.sqrt(square)
 
 
 #: A scored place sees no place after it.
@@ -271,12 +312,12 @@ def _train(model: SubwordModel, rate: float, batch_windows: int = 64):
         for batch in batches:
             for _, _, flat, offsets in _sequences(batch.column("ids")):
                 places, inside, _ = _windows(offsets)
-                known, kind = own.place[flat], own.kind[flat]
+                known, nexts = _gathered(own, flat, places, inside)
+                wanted, places_seen = own.kind.take(nexts), places_seen + int(inside[:, CONTEXT:].sum())
                 order = rng.permutation(len(places))
                 for at in range(0, len(order), batch_windows):
-                    p, i = places[order[at : at + batch_windows]], inside[order[at : at + batch_windows]]
-                    own.step(known[p], i, kind[np.where(i, p + 1, 0)[:, CONTEXT:]], rate)
-                    places_seen += int(i[:, CONTEXT:].sum())
+                    some = order[at : at + batch_windows]
+                    own.step(known[some], inside[some], wanted[some], rate)
         if places_seen:
             values = np.concatenate([own.weights[k].ravel() for k in sorted(own.weights)]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values * places_seen), pa.array(np.full(len(values), float(places_seen)))], ["at", "value", "n"])
@@ -323,41 +364,25 @@ def _probabilities(model: SubwordModel):
             out = np.zeros(batch.num_rows)
             for first, last, flat, offsets in _sequences(batch.column("ids")):
                 places, inside, text = _windows(offsets)
-                known, kind, within = model.place[flat], model.kind[flat], model.within[flat]
+                known, nexts = _gathered(model, flat, places, inside)
+                kind, scores = model.kind.take(nexts), model.within.take(nexts)
                 for at in range(0, len(places), 64):
-                    p, i, who = places[at : at + 64], inside[at : at + 64], text[at : at + 64]
-                    scored = i[:, CONTEXT:]
-                    nexts = np.where(scored, p[:, CONTEXT:] + 1, 0)
-                    wanted, h = kind[nexts].ravel(), _flat(model.attend(known[p], i)["h"])
-                    logs = np.empty(len(h), h.dtype)
-                    for part, z in model.class_scores(h):
-                        logs[part] = z[np.arange(len(z)), wanted[part]]
-                        logs[part] -= np.log(np.exp(z, out=z) @ ones)
-                    sums = (logs.reshape(nexts.shape) / np.log(10) + within[nexts]) * scored
-                    out[first:last] += np.bincount(who, weights=sums.sum(axis=1), minlength=last - first)
+                    h = model.attend(known[at : at + 64], inside[at : at + 64])["h"]
+                    wanted = kind[at : at + 64].ravel() + np.arange(0, len(h) * CLASSES, CLASSES)
+                    logs, sums = np.empty(len(h), h.dtype), np.empty(len(h), h.dtype)
+                    for part, z in model.class_scores(h, BITS):
+                        z.reshape(-1).take(wanted[part] - part.start * CLASSES, out=logs[part])
+                        np.matmul(np.exp2(z, out=z), ones, out=sums[part])
+                    logs *= h.dtype.type(np.log10(2))
+                    logs -= np.log10(sums)
+                    scores[at : at + 64] += logs.reshape(-1, SCORED)
+                scores *= inside[:, CONTEXT:]
+                out[first:last] = np.bincount(text, weights=scores.sum(axis=1), minlength=last - first)
             yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), pa.array(out)], ["_row", "doc_id", "score"])
 
     return score
 
 
-def _head_sums(head: np.ndarray, logs: np.ndarray):
-    """Of each text: its words, those in the head, and the sum of these words' log counts."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, base, seen = (np.zeros(batch.num_rows) for _ in range(3))
-            for first, last, b, offsets in text_groups(batch.column("text")):
-                h, counts = hash_words(b, offsets)
-                at, hit = _find(head, h)
-                owner = np.repeat(np.arange(last - first), counts)[hit]
-                n[first:last] = counts
-                base[first:last] = np.bincount(owner, weights=logs[at[hit]], minlength=last - first)
-                seen[first:last] = np.bincount(owner, minlength=last - first)
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), *map(pa.array, (n.astype(np.int64), base, seen.astype(np.int64)))], ["_row", "n", "base", "seen"])
-
-    return add
-
-
 def _find(head: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(head):
         return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
@@ -365,24 +390,40 @@ def _find(head: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, head[at] == h
 
 
-def _rest(head: np.ndarray):
-    """The words of each text outside the head: (text, word, times)."""
+def _word_sums(head: np.ndarray, logs: np.ndarray):
+    """Rows of two kinds, hashed once: a text's number of words and the sum of the log counts of those in the head, and its words outside.
 
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The former have a word, too, which spreads them over the join; it is there no times.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("_row").to_numpy()
             for first, last, b, offsets in text_groups(batch.column("text")):
                 h, counts = hash_words(b, offsets)
-                _, hit = _find(head, h)
-                owner = np.repeat(np.arange(first, last), counts)[~hit]
-                if len(owner):
-                    pair, times = _pairs(owner, h[~hit])
-                    yield pa.RecordBatch.from_arrays([pa.array(rows[pair[0]]), pa.array(pair[1].view(np.int64)), pa.array(times)], ["_row", "word", "times"])
+                own, place = np.unique(h, return_inverse=True)
+                at, hit = _find(head, own)
+                value = np.zeros(len(own))
+                value[hit] = logs[at[hit]]
+                owner, tail = np.repeat(np.arange(last - first), counts), ~hit[place]
+                base = np.bincount(owner, weights=value[place], minlength=last - first)
+                (text, word), times = _pairs(owner[tail], h[tail])
+                row, more = rows[first:last], len(times)
+                columns = [
+                    pa.array(np.concatenate([row, row[text]])),
+                    pa.array(np.concatenate([row, word.view(np.int64)])),
+                    pa.array(np.concatenate([np.zeros(len(row), np.int64), times])),
+                    pa.concat_arrays([pa.array(counts.astype(np.int64)), pa.nulls(more, pa.int64())]),
+                    pa.concat_arrays([pa.array(base.astype(np.float64)), pa.nulls(more, pa.float64())]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["_row", "word", "times", "words", "base"])
 
-    return rest
+    return add
 
 
 def _pairs(owner: np.ndarray, h: np.ndarray):
+    if not len(h):
+        return (owner, h), np.zeros(0, np.int64)
     order = np.lexsort((h, owner))
     owner, h = owner[order], h[order]
     new = np.flatnonzero(np.concatenate([[True], (np.diff(owner) != 0) | (h[1:] != h[:-1])]))
@@ -417,23 +458,15 @@ def scores(docs: DataFrame, learn: Column, vocabulary: str = VOCABULARY, head_wo
     head = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(head)
     head, count = head[order], top["n"].to_numpy(np.int64)[order]
-    text = rows.select("_row", "text")
-    sums = text.mapInArrow(_head_sums(head, np.log10(count + 1.0)), "_row long, n long, base double, seen long").dropDuplicates(["_row"])
-    rest = text.mapInArrow(_rest(head), "_row long, word long, times long").join(words, "word", "left")
-    c = F.coalesce("n", F.lit(0))
-    rest = rest.groupBy("_row").agg(F.sum(F.col("times") * F.log10(c + 1)).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("also"))
-    scored = stored(sequences.select("_row", "doc_id", "ids").mapInArrow(_probabilities(model), f"_row long, doc_id {kind}, score double"), "lm-scores")
-    copies = scored.groupBy("_row").agg(F.count(F.lit(1)).alias("copies"))
-    told = (
-        copies.join(sums, "_row")
-        .join(rest, "_row", "left")
-        .select(
-            "_row",
-            "n",
-            (F.col("seen") + F.coalesce((F.col("also") / F.col("copies")).cast("long"), F.lit(0))).alias("seen"),
-            (F.col("base") + F.coalesce(F.col("more") / F.col("copies"), F.lit(0.0))).alias("base"),
-        )
+    parts = rows.select("_row", "text").mapInArrow(_word_sums(head, np.log10(count + 1.0)), "_row long, word long, times long, words long, base double")
+    parts = parts.join(words, "word", "left")
+    c, copies = F.coalesce("n", F.lit(0)), F.count("words")  # of equal rows
+    told = parts.groupBy("_row").agg(
+        F.max("words").alias("n"),
+        (F.max("words") - (F.sum(F.when(c > 0, 0).otherwise(F.col("times"))) / copies).cast("long")).alias("seen"),
+        (F.max("base") + F.sum(F.col("times") * F.log10(c + 1)) / copies).alias("base"),
     )
+    scored = stored(sequences.select("_row", "doc_id", "ids").mapInArrow(_probabilities(model), f"_row long, doc_id {kind}, score double"), "lm-scores")
     base = F.col("base") + float(np.log10(ends + 1.0)) - (F.col("n") + 1) * float(np.log10(n + v + 1.0))
     return scored.join(told, "_row").select(
         "doc_id",

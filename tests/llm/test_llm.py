@@ -484,6 +484,40 @@ def test_raking_meets_its_targets(spark):
     assert mixing.mix(docs.where("false")).count() == 0
 
 
+def test_lm_attention_equals_brute_force_without_keys_and_values_of_all_places():
+    model = lm.SubwordModel(np.arange(9), np.arange(9), np.zeros(9), {k: w.astype(np.float64) for k, w in lm.SubwordModel.fresh().items()})
+    w, (_, inside, _) = model.weights, lm._windows(np.array([0, 1, 4, 60, 62, 300]))
+    tokens = np.random.default_rng(2).integers(0, 9, inside.shape)
+    found = model.attend(tokens, inside)
+    h = found["h"].reshape(len(tokens), lm.SCORED, -1)
+    for k in range(len(tokens)):
+        x = w["token"][tokens[k]] + w["position"]
+        for i in np.flatnonzero(inside[k, lm.CONTEXT :]):
+            seen = [j for j in range(lm.CONTEXT + i + 1) if inside[k, j]]
+            e = np.exp(x[seen] @ w["key"] @ (x[lm.CONTEXT + i] @ w["query"]) / np.sqrt(lm.WIDTH))
+            assert np.allclose(h[k, i, : lm.WIDTH], e @ (x[seen] @ w["value"]) / e.sum() + x[lm.CONTEXT + i])
+    late = len(tokens) * lm.SCORED
+    assert all(len(v.reshape(-1, v.shape[-1])) <= late for name, v in found.items() if name != "x" and v.ndim > 1)
+
+
+def test_lm_words_are_hashed_once_for_all_sums(spark):
+    rows = [(1, "a b b c"), (2, "a d"), (2, "a d"), (3, None), (None, "b b e f f"), (5, "g a"), (5, "h")]
+    docs = documents(spark, rows)
+    found = lm.scores(docs, F.coalesce(F.col("doc_id"), F.lit(0)) != 5, head_words=3, rounds=1)
+    assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("MapInArrow") == 1
+    counts: dict = {}
+    for d, t in rows:
+        for w in [*words(t), None] if d != 5 else []:
+            counts[w] = counts.get(w, 0) + 1
+    n, v = sum(counts.values()), len(counts)
+    want = []
+    for d, t in rows:
+        own = [*words(t), None]
+        want.append((str(d), len(own), sum(w in counts for w in own), n, round(sum(np.log10((counts.get(w, 0) + 1) / (n + v + 1)) for w in own), 9)))
+    got = [(str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 9)) for r in found.collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_licences_whole_and_in_lines(spark):
     mit = licenses.TEMPLATES[2][1]
     rows = [(1, "text\nReleased under the MIT License.\nmore"), (2, mit.upper()), (3, f"first part\n\n{mit}\n\nend of it"), (4, "nothing of the kind"), (5, None), (6, "")]
