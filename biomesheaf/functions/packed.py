@@ -197,19 +197,27 @@ def differing_bases(a, b):
     return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
 
-def hit_runs(column: pa.Array, places: pa.Array, taxa: pa.Array, k: int) -> pa.Array:
+def hit_runs(column: pa.Array, places: pa.Array, taxa: pa.Array, k: int, many: pa.Array | None = None, length: pa.Array | None = None) -> pa.Array:
     """``taxon:count`` for each run of equal labels over the k-mers of each sequence, in order.
 
-    ``places`` and ``taxa`` are lists of the k-mers found; the others are 0, ambiguous ones A. The labels
-    of all sequences are one array, filled by place, so the work is in proportion to the bases.
+    ``places`` and ``taxa`` are lists of the k-mers found, or of the first of ``many``; the others are 0, ambiguous
+    ones A. Sequences without ambiguous bases may be null where their ``length`` is given. The labels of all sequences
+    are one array, filled by place, so the work is in proportion to the bases.
     """
     data, offsets = batch_bytes(column)
-    counts = np.maximum(np.diff(offsets) - k + 1, 0)
+    own = np.maximum(np.diff(offsets) - k + 1, 0)
+    counts = own if length is None else np.maximum(own, length.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) - k + 1)
     first = np.concatenate([[0], np.cumsum(counts)])
-    at = np.repeat(offsets[:-1] - first[:-1], counts) + np.arange(first[-1])
-    label = np.where(spoilt(CODE[data], k)[at], -1, 0) if len(data) else np.zeros(0, np.int64)
+    label = np.zeros(first[-1], np.int64)
+    inside = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+    if len(data):
+        label[np.repeat(first[:-1], own) + inside] = np.where(spoilt(CODE[data], k)[np.repeat(offsets[:-1], own) + inside], -1, 0)
     number = places.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    label[np.repeat(first[:-1], number) + places.flatten().to_numpy(zero_copy_only=False)] = taxa.flatten().to_numpy(zero_copy_only=False)
+    place, taxon = np.repeat(first[:-1], number) + places.flatten().to_numpy(zero_copy_only=False), taxa.flatten().to_numpy(zero_copy_only=False)
+    if many is not None:
+        n = many.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        place, taxon = np.repeat(place - (np.cumsum(n) - n), n) + np.arange(n.sum()), np.repeat(taxon, n)
+    label[place] = taxon
     new = np.ones(len(label), bool)
     new[1:] = label[1:] != label[:-1]
     new[first[:-1][counts > 0]] = True
@@ -387,20 +395,27 @@ def _bin_of(least: np.ndarray) -> np.ndarray:
     return (least & np.uint64(BINS - 1)).astype(np.int32)
 
 
-def _dealt(tables: list[pa.Table], by: list[str]) -> pa.RecordBatch:
-    """One row for all rows with the same ``by``: the other columns become lists, packed bases one value after the other."""
+def _dealt(tables: list[pa.Table], by: list[str], then: tuple[str, ...]) -> pa.RecordBatch:
+    """One row for all rows with the same ``by``: the other columns become lists, packed bases one value after the other.
+
+    Rows with the same ``then`` are next to each other in the lists, so that these are few bytes when compressed.
+    """
     t = pa.concat_tables(tables).combine_chunks()
-    key = np.zeros(t.num_rows, np.int64)
-    for name in by:
-        code = t.column(name).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        key = key * (code.max(initial=0) + 1) + code
-    order = np.argsort(key, kind="stable")
-    t, key = t.take(pa.array(order)).combine_chunks(), key[order]
+
+    def numbered(key: np.ndarray, names) -> np.ndarray:
+        for name in names:
+            code = t.column(name).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            key = key * (code.max(initial=0) + 1) + code
+        return key
+
+    key = numbered(np.zeros(t.num_rows, np.int64), by)
+    order = np.argsort(numbered(key, then), kind="stable")
+    rows, key = t.take(pa.array(order)).combine_chunks(), key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     ends = np.append(first, len(key)).astype(np.int32)
     columns = {}
-    for name in t.column_names:
-        values = t.column(name).combine_chunks()
+    for name in rows.column_names:
+        values = rows.column(name).combine_chunks()
         if name in by:
             columns[name] = values.take(pa.array(first))
         elif name == "bases":
@@ -411,16 +426,16 @@ def _dealt(tables: list[pa.Table], by: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def _in_deals(tables: Iterator[pa.Table], by: list[str]) -> Iterator[pa.RecordBatch]:
+def _in_deals(tables: Iterator[pa.Table], by: list[str], then: tuple[str, ...] = ()) -> Iterator[pa.RecordBatch]:
     held, total = [], 0
     for t in tables:
         held.append(t)
         total += t.num_rows
         if total >= DEAL:
-            yield _dealt(held, by)
+            yield _dealt(held, by, then)
             held, total = [], 0
     if total:
-        yield _dealt(held, by)
+        yield _dealt(held, by, then)
 
 
 def run_bins(k: int, m: int):
@@ -456,6 +471,33 @@ def run_bins(k: int, m: int):
     return lambda batches: _in_deals(cut(batches), ["bin", "sample"])
 
 
+def run_places(k: int, m: int):
+    """Batches of (sample, pair_id, mate, piece, bases) -> (bin, sample, pair_id, mate, start, size, bases): runs, in lists by bin and sample.
+
+    ``start`` is the run's first place in the sequence of which the bases are a piece; a run's ``size`` is below that of a piece.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for batch in batches:
+            data, offsets = batch_bytes(batch.column("bases"))
+            piece = batch.column("piece").to_numpy(zero_copy_only=False).astype(np.int64)
+            for first, last in _groups(offsets, CUT):
+                code, read, begin, sizes, least = _cut_runs(data, offsets, first, last, k, m)
+                row = read[begin]
+                start = piece[row] * PIECE + begin + offsets[first] - offsets[row]
+                yield pa.table(
+                    {
+                        "bin": pa.array(_bin_of(least)),
+                        **{c: batch.column(c).take(pa.array(row)) for c in ("sample", "pair_id", "mate")},
+                        "start": pa.array(start.astype(np.int32)),
+                        "size": pa.array(sizes.astype(np.int16)),
+                        "bases": _packed_slices(code, begin, sizes),
+                    }
+                )
+
+    return lambda batches: _in_deals(cut(batches), ["bin", "sample"], ("mate",))
+
+
 def _numbers(words: pa.Array) -> tuple[np.ndarray, ...]:
     """Packed words as one array, or as (high, low)."""
     parts = words.flatten() if pa.types.is_struct(words.type) else [words]
@@ -484,11 +526,10 @@ def _search_key(words: tuple[np.ndarray, ...]) -> np.ndarray:
     return words[0] if len(words) == 1 else _spread(words[0] ^ MIXER) ^ words[1]
 
 
-def meet_words(k: int, taxon: list[str]):
-    """Rows of word_bins and run_bins, sorted by bin and words first -> (sample, owner, *taxon, hits, length).
+def _meet(columns: list[str], met):
+    """Rows of word_bins and of runs, sorted by bin and words first -> ``met`` of some rows and the words of their bins.
 
-    Every run is cut into its words; of those in the table the hits are counted per run and taxon. All
-    words of a bin are held at once, of the runs MEET or one list at a time.
+    All words of a bin, with the named columns, are held at once, of the runs MEET or one list at a time.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -503,18 +544,34 @@ def meet_words(k: int, taxon: list[str]):
                 first = last
                 bins = part.column("bin").to_numpy()
                 counts = part.column("word").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                own = pa.table({"bin": pa.array(np.repeat(bins, counts)), **{c: part.column(c).flatten() for c in ("word", *taxon)}})
+                own = pa.table({"bin": pa.array(np.repeat(bins, counts)), **{c: part.column(c).flatten() for c in ("word", *columns)}})
                 table = pa.concat_tables([held, own]).combine_chunks() if held is not None else own
                 held = table.filter(pa.array(table.column("bin").to_numpy() == bins[-1]))
-                yield _met(part, table, k, taxon)
+                yield met(part, table)
 
     return meet
 
 
-def _met(part: pa.RecordBatch, table: pa.Table, k: int, taxon: list[str]) -> pa.RecordBatch:
+def meet_words(k: int, taxon: list[str]):
+    """Rows of word_bins and run_bins, sorted by bin and words first -> (sample, owner, *taxon, hits, length).
+
+    Every run is cut into its words; of those in the table the hits are counted per run and taxon.
+    """
+    return _meet(taxon, lambda part, table: _met(part, table, k, taxon))
+
+
+def meet_places(k: int):
+    """Rows of word_bins (word, taxon) and run_places, sorted by bin and words first -> (sample, pair_id, mate, pos, taxon, n).
+
+    Every run is cut into its words; of those in the table one row tells each stretch with the same taxon. Of a
+    word that the table has more than once the smallest taxon counts.
+    """
+    return _meet(["taxon"], lambda part, table: _met_places(part, table, k))
+
+
+def _looked_up(part: pa.RecordBatch, table: pa.Table, k: int) -> tuple[np.ndarray, ...]:
+    """The words of the runs that the table has: the run of each, its place in the run, and its row in the table."""
     sizes = part.column("size").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    owner, length = part.column("owner").flatten(), part.column("length").flatten()
-    block = np.repeat(np.arange(part.num_rows), part.column("size").value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
     data, _ = batch_bytes(part.column("bases"))
     code = np.empty((len(data), 4), np.uint8)
     for i in range(4):
@@ -522,32 +579,44 @@ def _met(part: pa.RecordBatch, table: pa.Table, k: int, taxon: list[str]) -> pa.
     padded = -(-sizes // 4) * 4
     n = np.maximum(sizes - k + 1, 0)
     run = np.repeat(np.arange(len(sizes)), n)
-    at = np.repeat(np.cumsum(padded) - padded - (np.cumsum(n) - n), n) + np.arange(len(run))
+    inside = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+    at = np.repeat(np.cumsum(padded) - padded, n) + inside
     asked = tuple(w[at] for w in window_words(code.reshape(-1), k, True))
     known = _numbers(table.column("word").combine_chunks())
     key = _search_key(known)
     order = np.argsort(key)
     key, known = key[order], tuple(w[order] for w in known)
-    if len(key) and len(run):
-        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        of, times = key[heads], np.diff(np.append(heads, len(key)))
-        wanted = _search_key(asked)
-        # Most words that are not in the table fall on a place that none of it has.
-        bits = np.uint64(64 - max(16, (8 * len(of)).bit_length()))
-        taken = np.zeros(1 << (64 - int(bits)), bool)
-        taken[_spread(of) >> bits] = True
-        hit = np.flatnonzero(taken[_spread(wanted) >> bits])
-        place = np.minimum(np.searchsorted(of, wanted[hit]), len(of) - 1)
-        here = of[place] == wanted[hit]
-        hit, place = hit[here], place[here]
-        # A word that repeats in the table counts each time; of two numbers only the whole word counts.
-        again = times[place]
-        hit, start = np.repeat(hit, again), np.repeat(heads[place] - (np.cumsum(again) - again), again)
-        found = start + np.arange(len(start))
-        same = np.logical_and.reduce([a[hit] == b[found] for a, b in zip(asked, known, strict=True)])
-        run, found = run[hit[same]], order[found[same]]
-    else:
-        run, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if not (len(key) and len(run)):
+        return (np.zeros(0, np.int64),) * 3
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    of, times = key[heads], np.diff(np.append(heads, len(key)))
+    wanted = _search_key(asked)
+    # Most words that are not in the table fall on a place that none of it has.
+    bits = np.uint64(64 - max(16, (8 * len(of)).bit_length()))
+    taken = np.zeros(1 << (64 - int(bits)), bool)
+    taken[_spread(of) >> bits] = True
+    hit = np.flatnonzero(taken[_spread(wanted) >> bits])
+    place = np.minimum(np.searchsorted(of, wanted[hit]), len(of) - 1)
+    here = of[place] == wanted[hit]
+    hit, place = hit[here], place[here]
+    # A word that repeats in the table counts each time; of two numbers only the whole word counts.
+    again = times[place]
+    hit, start = np.repeat(hit, again), np.repeat(heads[place] - (np.cumsum(again) - again), again)
+    found = start + np.arange(len(start))
+    same = np.logical_and.reduce([a[hit] == b[found] for a, b in zip(asked, known, strict=True)])
+    hit = hit[same]
+    return run[hit], inside[hit], order[found[same]]
+
+
+def _block(part: pa.RecordBatch) -> np.ndarray:
+    """The row of each run."""
+    return np.repeat(np.arange(part.num_rows), part.column("size").value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+
+
+def _met(part: pa.RecordBatch, table: pa.Table, k: int, taxon: list[str]) -> pa.RecordBatch:
+    owner, length = part.column("owner").flatten(), part.column("length").flatten()
+    block = _block(part)
+    run, _, found = _looked_up(part, table, k)
     values = [table.column(c).combine_chunks() for c in taxon]
     labels = [v.to_numpy(zero_copy_only=False)[found] for v in values]
     order = np.lexsort((*labels, run))
@@ -565,3 +634,21 @@ def _met(part: pa.RecordBatch, table: pa.Table, k: int, taxon: list[str]) -> pa.
     columns |= {c: v.take(picked) for c, v in zip(taxon, values, strict=True)}
     columns |= {"hits": pa.array(hits, mask=none), "length": length.take(pa.array(rows, mask=~none))}
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def _met_places(part: pa.RecordBatch, table: pa.Table, k: int) -> pa.RecordBatch:
+    run, pos, found = _looked_up(part, table, k)
+    taxon = table.column("taxon").combine_chunks().to_numpy(zero_copy_only=False)[found]
+    order = np.lexsort((taxon, pos, run))
+    run, pos, taxon = run[order], pos[order], taxon[order]
+    one = np.ones(len(run), bool)
+    one[1:] = (run[1:] != run[:-1]) | (pos[1:] != pos[:-1])
+    run, pos, taxon = run[one], pos[one], taxon[one]
+    new = np.ones(len(run), bool)
+    new[1:] = (run[1:] != run[:-1]) | (pos[1:] != pos[:-1] + 1) | (taxon[1:] != taxon[:-1])
+    first = np.flatnonzero(new)
+    rows = pa.array(run[first])
+    columns = {"sample": part.column("sample").take(pa.array(_block(part)[run[first]])), **{c: part.column(c).flatten().take(rows) for c in ("pair_id", "mate")}}
+    start = part.column("start").flatten().to_numpy(zero_copy_only=False)[run[first]]
+    columns |= {"pos": pa.array((start + pos[first]).astype(np.int32)), "taxon": pa.array(taxon[first]), "n": pa.array(np.diff(np.append(first, len(run))).astype(np.int32))}
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))

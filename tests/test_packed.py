@@ -368,3 +368,38 @@ def test_reads_are_classified_without_a_row_per_word(spark):
     called = tx.classify_reads(reads, db, tree(spark), 9)
     assert "bases" in (plan := called._jdf.queryExecution().optimizedPlan().toString()) and "posexplode(words" not in plan
     assert [(r.status, r.length) for r in called.collect()] == [("C", 10)]
+
+
+def test_hit_strings_shuffle_runs_and_not_words(spark):
+    rng = random.Random(12)
+    seq = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    k, long = 21, [seq(5000) for _ in range(40)]
+    # Found over a piece's border; twice as two strands, of which the smaller taxon counts; ambiguous, short and missing sequences.
+    long[0] = long[0][:2000] + "n" + long[0][2001:]
+    back = long[1][70:91].translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    kmers = [(long[0][i : i + k], 7) for i in range(1015, 1035)] + [(long[1][70:91], 9), (back, 8), (long[1][71:92].lower(), 8), (long[2][:k], None)]
+    kmers += [(seq(k), 5) for _ in range(500)]
+    rows = [("x", i, 1, s) for i, s in enumerate(long)] + [(None, None, 2, long[1][60:100]), ("x", 1, 1, long[1]), ("y", 1, 1, seq(20)), ("y", 2, 1, None)]
+    reads = spark.createDataFrame(rows, READS)
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = tx.kmer_hit_string(reads, spark.createDataFrame(kmers, "kmer string, tax_id int"), k)
+        got = [tuple(r) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    want = [("x", 0, 1, "0:1015 7:20 0:945 A:21 0:2979"), ("x", 1, 1, "0:70 8:2 0:4908"), (None, None, 2, "0:10 8:2 0:8")]
+    want += [("x", i, 1, "0:4980") for i in range(2, 40)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+    def rows_shuffled(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return rows_shuffled(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return rows_shuffled(node.plan())
+        children = node.children()
+        own = node.metrics().apply("shuffleRecordsWritten").value() if node.nodeName() == "Exchange" else 0
+        return own + sum(rows_shuffled(children.apply(i)) for i in range(children.size()))
+
+    words = sum(len(s) - k + 1 for s in long)
+    assert 0 < rows_shuffled(found._jdf.queryExecution().executedPlan()) < words / 4
