@@ -387,8 +387,8 @@ def rare_owners(k: int, most: int):
 
 # ---------------------------------------------------------------- runs of reads that meet a table of words
 
-#: Bins of minimizers; runs or words dealt at once; runs looked up at once, few enough for the cache.
-BINS, DEAL, MEET = 4096, 1 << 20, 1 << 13
+#: Bins of minimizers; runs or words dealt at once; runs looked up at once, few enough for the cache; bases of a list.
+BINS, DEAL, MEET, LIST = 4096, 1 << 20, 1 << 13, 1 << 18
 
 
 def _bin_of(least: np.ndarray) -> np.ndarray:
@@ -399,6 +399,7 @@ def _dealt(tables: list[pa.Table], by: list[str], then: tuple[str, ...]) -> pa.R
     """One row for all rows with the same ``by``: the other columns become lists, packed bases one value after the other.
 
     Rows with the same ``then`` are next to each other in the lists, so that these are few bytes when compressed.
+    Lists of runs end where they have LIST bases, since sequences of few kinds of words fall into one bin.
     """
     t = pa.concat_tables(tables).combine_chunks()
 
@@ -411,7 +412,14 @@ def _dealt(tables: list[pa.Table], by: list[str], then: tuple[str, ...]) -> pa.R
     key = numbered(np.zeros(t.num_rows, np.int64), by)
     order = np.argsort(numbered(key, then), kind="stable")
     rows, key = t.take(pa.array(order)).combine_chunks(), key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    if "size" in rows.column_names:
+        size = rows.column("size").to_numpy().astype(np.int64)
+        before, first = np.cumsum(size) - size, np.flatnonzero(new)
+        part = (before - np.repeat(before[first], np.diff(np.append(first, len(key))))) // LIST
+        new[1:] |= part[1:] != part[:-1]
+    first = np.flatnonzero(new)
     ends = np.append(first, len(key)).astype(np.int32)
     columns = {}
     for name in rows.column_names:
@@ -529,13 +537,15 @@ def _search_key(words: tuple[np.ndarray, ...]) -> np.ndarray:
 def _meet(columns: list[str], met):
     """Rows of word_bins and of runs, sorted by bin and words first -> ``met`` of some rows and the words of their bins.
 
-    All words of a bin, with the named columns, are held at once, of the runs MEET or one list at a time.
+    All words of a bin, with the named columns, are held at once, of the runs MEET (fewer if they are long) or one list at a time.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            number = sum(batch.column(c).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("word", "size"))
+            words, sizes = (batch.column(c).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("word", "size"))
+            packed_bytes = pa.compute.binary_length(batch.column("bases")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            number = words + np.maximum(sizes, packed_bytes // 8)
             ends = np.cumsum(number)
             first = 0
             while first < batch.num_rows:

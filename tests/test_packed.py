@@ -403,3 +403,13 @@ def test_hit_strings_shuffle_runs_and_not_words(spark):
 
     words = sum(len(s) - k + 1 for s in long)
     assert 0 < rows_shuffled(found._jdf.queryExecution().executedPlan()) < words / 4
+
+
+def test_lists_of_runs_in_one_bin_are_cut():
+    reads = ["A" * 1100] * 700 + ["ACGTTGCATGCCATAGCATTACGGATA", None, "NNN"]
+    whole = {"sample": ["x"] * len(reads), "pair_id": list(range(len(reads))), "mate": [1] * len(reads), "piece": [2] * len(reads), "bases": [s and s.encode() for s in reads]}
+    out = pa.Table.from_batches(list(pk.run_places(21, 9)([pa.RecordBatch.from_pydict(whole)]))).to_pylist()
+    assert all(sum(r["size"]) < pk.LIST + 1100 and len(set(map(len, (r[c] for c in ("pair_id", "mate", "start", "size"))))) == 1 for r in out)
+    assert sum(len(r["pair_id"]) for r in out if set(r["size"]) == {1100}) == 700 and len(out) > 2
+    found = {(i, at + n) for r in out for i, s, z in zip(r["pair_id"], r["start"], r["size"], strict=True) for at in [s - 2 * pk.PIECE] for n in range(z - 20)}
+    assert found == {(i, n) for i, s in enumerate(reads) if s and "N" not in s for n in range(len(s) - 20)}
